@@ -1,0 +1,89 @@
+"""Compare a bound Spark query with its DuckDB oracle: rows, column names, values (as bags)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import sys
+import time
+from collections import Counter
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+          "benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        return None if math.isnan(v) else round(v, 9)
+    if isinstance(v, decimal.Decimal):
+        return round(float(v), 9)
+    if isinstance(v, dt.datetime):
+        return v.isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return v
+
+
+def bag(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(columns), Counter(tuple(_norm(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, con, name, query, sql, sf_dir):
+    t0 = time.time()
+    df = query(spark, sf_dir)
+    s_rows = [tuple(r) for r in df.collect()]
+    t1 = time.time()
+    res = con.execute(sql)
+    d_cols = [c[0] for c in res.description]
+    d_rows = res.fetchall()
+    t2 = time.time()
+    s_cols, s_bag = bag(df.columns, s_rows)
+    d_cols, d_bag = bag(d_cols, d_rows)
+    ok = s_cols == d_cols and s_bag == d_bag
+    detail = ""
+    if s_cols != d_cols:
+        detail = f"columns spark={s_cols} duck={d_cols}"
+    elif not ok:
+        only_s = list((s_bag - d_bag).items())[:3]
+        only_d = list((d_bag - s_bag).items())[:3]
+        detail = f"only spark={only_s} only duck={only_d}"
+    return ok, len(s_rows), len(d_rows), t1 - t0, t2 - t1, detail
+
+
+def main(argv):
+    sys.path.insert(0, "/root/repo")
+    from rollcall import build_session
+    from rollcall.plans.bindings import QUERIES
+    from rollcall.plans.oracle_sql import ORACLES
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    names = argv[2:] or list(QUERIES)
+    spark = build_session("local[8]", shuffle_partitions=8)
+    con = duck(sf_dir)
+    bad = 0
+    for name in names:
+        try:
+            ok, ns, nd, ts, td, detail = compare(spark, con, name, QUERIES[name], ORACLES[name], sf_dir)
+        except Exception as exc:  # report and go on
+            ok, ns, nd, ts, td, detail = False, -1, -1, 0, 0, f"{type(exc).__name__}: {str(exc)[:400]}"
+        bad += not ok
+        print(f"{'OK ' if ok else 'BAD'} {name:28s} spark={ns:7d} duck={nd:7d} {ts:6.2f}s {td:6.2f}s {detail}",
+              flush=True)
+    print("mismatches:", bad)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv) else 0)
