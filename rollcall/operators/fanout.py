@@ -5,6 +5,12 @@ row once per match (at least once).  Joining the raw side would shuffle all
 its rows and put every match of a hot key in one task; counting matches per
 key first (partial aggregation on the map side) leaves one row per key, and
 the repeat is a streaming ``explode`` after a one-to-one join.
+
+A row that must be repeated more than ``HOT_COPIES`` times (a key holding a
+large share of the other side) would still be emitted by one task.  The
+per-key counts are small, so they are checked for such keys first; when one
+exists its copies are cut into chunks of ``HOT_COPIES`` and the chunks are
+hash-distributed over the shuffle partitions before being expanded.
 """
 
 from __future__ import annotations
@@ -12,20 +18,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_KEY, _COPIES, _REP = "__rc_fan_key", "__rc_fan_copies", "__rc_fan_rep"
+HOT_COPIES = 100_000
+_KEY, _COPIES, _REP, _CHUNK = "__rc_fan_key", "__rc_fan_copies", "__rc_fan_rep", "__rc_fan_chunk"
+
 
+def repeat_rows(df: DataFrame, copies: Column, spread_by: str | None = None,
+                chunk: int = HOT_COPIES) -> DataFrame:
+    """Emit each row ``copies`` times; 0 (or less) drops it.
 
-def repeat_rows(df: DataFrame, copies: Column) -> DataFrame:
-    """Emit each row ``copies`` times; 0 (or less) drops it."""
-    copies = copies.cast("long")
-    return (df.filter(copies > 0)
-              .withColumn(_REP, F.explode(F.sequence(F.lit(1).cast("long"), copies)))
-              .drop(_REP))
+    With ``spread_by`` (a key column), rows are first cut into chunks of at
+    most ``chunk`` copies that are shuffled by ``(spread_by, chunk index)``,
+    so one row's copies are produced by many tasks.
+    """
+    counted = df.withColumn(_COPIES, copies.cast("long")).filter(F.col(_COPIES) > 0)
+    one = F.lit(1).cast("long")
+    if spread_by is None:
+        out = counted.withColumn(_REP, F.explode(F.sequence(one, F.col(_COPIES))))
+        return out.drop(_REP, _COPIES)
+    step = F.lit(int(chunk)).cast("long")
+    last_chunk = F.floor((F.col(_COPIES) - one) / step).cast("long")
+    # An explicit partition count: chunk rows are tiny, and AQE would otherwise
+    # coalesce them back into a single partition.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = (counted.withColumn(_CHUNK, F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
+                     .repartition(parts, F.col(spread_by), F.col(_CHUNK)))
+    size = F.least(step, F.col(_COPIES) - F.col(_CHUNK) * step)
+    out = chunks.withColumn(_REP, F.explode(F.sequence(one, size)))
+    return out.drop(_REP, _CHUNK, _COPIES)
 
 
 def _multiply(df: DataFrame, id_col: str, per_key: DataFrame, default: int) -> DataFrame:
+    hot = per_key.filter(F.col(_COPIES) > HOT_COPIES).limit(1).count() > 0
     joined = df.join(per_key, F.col(id_col) == F.col(_KEY), "left")
-    return repeat_rows(joined, F.coalesce(F.col(_COPIES), F.lit(default))).drop(_KEY, _COPIES)
+    copies = F.coalesce(F.col(_COPIES), F.lit(default))
+    return repeat_rows(joined.withColumn("__rc_fan_n", copies).drop(_KEY, _COPIES),
+                       F.col("__rc_fan_n"), spread_by=id_col if hot else None,
+                       chunk=HOT_COPIES).drop("__rc_fan_n")
 
 
 def without_partial_cancel(df: DataFrame, cancels: DataFrame, id_col: str,

@@ -10,9 +10,14 @@ same decisions are joins:
   object holding the key ``cep`` (its value may be null);
 * the winner is the lowest-ranked accepting provider (``min`` of a struct
   led by the rank: a partial aggregate, safe for hot codes);
-* the per-code decisions are joined back to the form rows, broadcast when
-  their number is below the size bound (AQE converts the join at run time
-  otherwise), and all counters come from one aggregate over the rows.
+* the per-code decisions are joined back to the form rows.  They are an
+  aggregate, so their true size is known only once their shuffle stage has
+  run: AQE turns the join into a broadcast when that size is under
+  ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise keeps the
+  sort-merge join, splitting the partition of a hot code (such as the
+  ``00000-000`` filler) with its skew-join handling.  Checking the size up
+  front would compute the whole lookup twice.  All counters come from one
+  aggregate over the rows.
 """
 
 from __future__ import annotations
@@ -24,7 +29,6 @@ from pyspark.sql import functions as F
 
 from rollcall.fixed_values import ADDRESS_FIELDS, PROVIDERS
 from rollcall.functions.responses import address_fields, has_key, is_object, provider_accepts
-from rollcall.operators.sizing import broadcast_if_small
 
 PROVIDER_ORDER = tuple(name for name, _, _ in PROVIDERS)
 
@@ -68,7 +72,7 @@ def lookup_provider(forms: DataFrame, responses: DataFrame, provider: str,
     """
     used = _codes_in_use(forms, code_col)
     parsed = parse_responses(responses.join(used, "cep_requested", "left_semi"), provider)
-    joined = forms.join(broadcast_if_small(parsed), F.col(code_col) == F.col("cep_requested"), "left")
+    joined = forms.join(parsed, F.col(code_col) == F.col("cep_requested"), "left")
     status = (F.when(F.col("accepted"), F.lit("ok"))
                 .when(F.col("is_object"), F.lit("nok"))
                 .otherwise(F.lit("error")))
@@ -90,11 +94,10 @@ def code_winners(responses: DataFrame, codes: DataFrame, providers=PROVIDER_ORDE
                                         .join(codes, "cep_requested", "left_semi"))
               .select("cep_requested", rank.alias("rank"), "body")
               .filter(has_key("body")))
-    best = (ranked.groupBy("cep_requested")
-                  .agg(F.min(F.struct(F.col("rank"), address_fields("body").alias("fields")))
-                        .alias("best")))
+    best = ranked.groupBy("cep_requested").agg(F.min(F.struct("rank", "body")).alias("best"))
     return codes.join(best, "cep_requested", "left").select(
-        "cep_requested", F.col("best.rank").alias("winner_rank"), F.col("best.fields").alias("fields"))
+        "cep_requested", F.col("best.rank").alias("winner_rank"),
+        address_fields(F.col("best.body")).alias("fields"))
 
 
 def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER_ORDER,
@@ -102,8 +105,7 @@ def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER
     """First-success fallback over ``providers`` for every form row."""
     codes = _codes_in_use(forms, code_col)
     winners = code_winners(responses, codes, providers)
-    rows = forms.join(broadcast_if_small(winners), F.col(code_col) == F.col("cep_requested"), "left") \
-                .drop("cep_requested")
+    rows = forms.join(winners, F.col(code_col) == F.col("cep_requested"), "left").drop("cep_requested")
     addresses = rows.filter(F.col("winner_rank").isNotNull()).select(
         F.col(id_col).cast("string").alias("item_id"),
         *[F.col(f"fields.{f}").alias(f) for f in ADDRESS_FIELDS])

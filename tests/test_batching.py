@@ -1,0 +1,78 @@
+import duckdb
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rollcall.operators.batching import number_batches, number_rows, select_batch
+
+
+def test_five_rows_batches_of_two(spark):
+    df = spark.createDataFrame([(i,) for i in [5, 3, 1, 4, 2]], "id long")
+    got = sorted((r.id, r.batch_number) for r in number_batches(df, ["id"], 2).collect())
+    assert got == [(1, 1), (2, 1), (3, 2), (4, 2), (5, 3)]
+
+
+def test_row_cap_keeps_first_rows(spark):
+    df = spark.createDataFrame([(i,) for i in range(1, 6)], "id long")
+    got = sorted((r.id, r.batch_number) for r in number_batches(df, ["id"], 2, max_rows=3).collect())
+    assert got == [(1, 1), (2, 1), (3, 2)]
+
+
+def test_zero_batch_size_rejected(spark):
+    df = spark.createDataFrame([(1,)], "id long")
+    with pytest.raises(ValueError):
+        number_batches(df, ["id"], 0)
+
+
+def test_ties_keep_batches_full(spark):
+    # one participant with two answers across a batch boundary
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, "a"), (4, "a")], "id long, f string")
+    got = number_batches(df, ["id"], 2).groupBy("batch_number").count().orderBy("batch_number").collect()
+    assert [r["count"] for r in got] == [2, 2, 1]
+
+
+def test_select_batch(spark):
+    df = spark.createDataFrame([(i,) for i in range(10)], "id long")
+    assert sorted(r.id for r in select_batch(number_batches(df, ["id"], 3), 2).collect()) == [3, 4, 5]
+
+
+def test_descending_order_and_empty_input(spark):
+    df = spark.createDataFrame([(i,) for i in range(4)], "id long")
+    got = sorted((r.id, r.row_number) for r in number_rows(df, [F.col("id").desc()]).collect())
+    assert got == [(0, 4), (1, 3), (2, 2), (3, 1)]
+    empty = spark.createDataFrame([], "id long")
+    assert number_batches(empty, ["id"], 2).count() == 0
+
+
+def test_hot_key_is_spread_over_ranges(spark, tmp_path):
+    # a third of the rows share one key: the sort still uses several ranges
+    df = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    # at this size AQE would rightly merge every range into one partition
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = number_rows(df, ["k"], "rn", workdir=str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert numbered.select(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first() == (1, 30000, 30000)
+    hot = numbered.filter(F.col("k") == 7).agg(F.min("rn"), F.max("rn"), F.count("*")).first()
+    assert hot[1] - hot[0] + 1 == hot[2] == 10001  # the hot key's rows are consecutive
+    landed = spark.read.parquet(str(next(tmp_path.glob("rollcall-rows-*"))))
+    files = (landed.filter(F.col("k") == 7).select(F.input_file_name().alias("f")).distinct().count())
+    assert files > 1                                # and were sorted by more than one task
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(-5, 5), st.one_of(st.none(), st.integers(0, 3))), min_size=0, max_size=60),
+       st.integers(1, 7))
+def test_matches_single_window_row_number(spark, rows, n):
+    df = spark.createDataFrame(rows, "a long, b long")
+    got = [(r.a, r.b, r.batch_number) for r in number_batches(df, ["a", "b"], n).collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (a BIGINT, b BIGINT)")
+    if rows:
+        con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    want = con.execute(f"SELECT a, b, CAST(floor((row_number() OVER (ORDER BY a NULLS FIRST, b NULLS FIRST) - 1)"
+                       f" / {n}) + 1 AS BIGINT) FROM t").fetchall()
+    key = lambda r: (r[0], -1 if r[1] is None else r[1], r[2])
+    assert sorted(got, key=key) == sorted(want, key=key)
