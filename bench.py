@@ -38,7 +38,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or list(HEADLINE)
-    conf = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    conf = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+            # Small-data sizing: AQE's default 1 MB minimum would fold the CPU-heavy
+            # per-code lookup stage into one task at this scale.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
     if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="rollcall-bench-")
     spark = build_session(f"local[{cpus}]", app="rollcall-bench", shuffle_partitions=int(cpus) * 2, conf=conf)

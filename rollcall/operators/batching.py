@@ -4,16 +4,20 @@
 A window without ``PARTITION BY`` would pull every row into one task, so the
 row number is built from a distributed sort instead:
 
-1. range-partition and sort by the keys plus a per-row tiebreak (so even a
-   key that holds a third of all rows is spread over several ranges) and
-   write the sorted rows, one file per range, to the shared checkpoint folder;
-2. count rows per range (metadata-only read) and turn the counts into
-   offsets; there is one row per range, so the offsets table is small by
-   construction and is broadcast;
-3. row number = offset of the range + position of the row in its file + 1.
-
-The written files make the numbering stable: a lost executor re-reads them
-instead of recomputing a sort whose ties could come out differently.
+1. the input is written once to the shared checkpoint folder together with a
+   per-row tiebreak id, so the (often join-heavy) input is computed once, not
+   once for the sort's range sampling and again for the sort, and the
+   tiebreak can never change under a retried task;
+2. the staged rows are range-partitioned and sorted by the keys plus the
+   tiebreak (so even a key that holds a third of all rows is spread over
+   several ranges) and written, one file per range;
+3. rows are counted per range (a metadata-only read) and the counts turned
+   into offsets; there is one row per range, so the offsets table is small
+   by construction and is broadcast;
+4. row number = offset of the range + position of the row in its file + 1.
+
+Files in the shared folder, not executor memory, hold the intermediate
+state, so a lost executor costs a re-read, never a different numbering.
 """
 
 from __future__ import annotations
@@ -38,11 +42,12 @@ def number_rows(df: DataFrame, order_by, row_col: str = "row_number", workdir: s
     base = workdir or ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/rollcall-rows-{uuid.uuid4().hex}"
     keys = [_key(k) for k in order_by]
-    ranged = (df.withColumn(_TIE, F.monotonically_increasing_id())
-                .orderBy(*keys, F.col(_TIE))
-                .withColumn(_PART, F.spark_partition_id()))
-    ranged.write.option("maxRecordsPerFile", 0).parquet(path)
-    landed = spark.read.schema(ranged.schema).parquet(path)
+    staged = df.withColumn(_TIE, F.monotonically_increasing_id())
+    staged.write.parquet(f"{path}/staged")
+    staged = spark.read.schema(staged.schema).parquet(f"{path}/staged")
+    ranged = staged.orderBy(*keys, F.col(_TIE)).withColumn(_PART, F.spark_partition_id())
+    ranged.write.option("maxRecordsPerFile", 0).parquet(f"{path}/sorted")
+    landed = spark.read.schema(ranged.schema).parquet(f"{path}/sorted")
     counts = landed.groupBy(_PART).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PART, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))

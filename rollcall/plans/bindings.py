@@ -9,7 +9,6 @@ directly.  Nothing here caps, samples or filters rows to make a check cheap.
 from __future__ import annotations
 
 import datetime as dt
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +26,8 @@ from rollcall.operators.report import join_addresses
 from rollcall.operators.sizing import broadcast_if_small
 from rollcall.operators.trades import correlate_trades
 from rollcall.plans.extract import _checkout_tickets, extract_forms, extract_participants
-from rollcall.plans.testdata_model import landed_responses, operational_tables, postal_answer
+from rollcall.plans.testdata_model import (landed_responses, operational_tables, postal_answer,
+                                            read_driver_table)
 from rollcall.sources.sinks import edition_label
 
 # Parameters of the bound queries (kept equal to the oracle SQL).
@@ -39,7 +39,7 @@ ROWS_PER_BATCH = 2500
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_driver_table(spark, sf_dir, name)
 
 
 def _model(spark, sf_dir):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.sources.schemas import OPERATIONAL
+from rollcall.sources.schemas import DRIVER, OPERATIONAL
 
 # Postal answers by order priority: well formed, underscores, short, long,
 # without hyphen (or missing for pending orders); F/O/P statuses spell the
@@ -45,8 +45,12 @@ def postal_answer() -> "F.Column":
     return F.expr(_PRIORITY_ANSWER)
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table with its declared schema (no footer-reading inference job)."""
+    return spark.read.schema(DRIVER[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+_read = read_driver_table
 
 
 def _conform(df: DataFrame, name: str) -> DataFrame:

@@ -65,3 +65,24 @@ ADDRESSES = _struct(("item_id", S), *[(name, S) for name in ADDRESS_FIELDS])
 
 ALL = {**OPERATIONAL, "forms": FORMS, "participants": PARTICIPANTS,
        "responses": RESPONSES, "addresses": ADDRESSES}
+
+# The driver's TPC-H-like test tables (read with these schemas, never inferred).
+DB = T.DoubleType()
+DRIVER = {
+    "region": _struct(("r_regionkey", I), ("r_name", S)),
+    "nation": _struct(("n_nationkey", I), ("n_name", S), ("n_regionkey", I)),
+    "customer": _struct(("c_custkey", L), ("c_name", S), ("c_nationkey", I), ("c_acctbal", DB),
+                        ("c_mktsegment", S)),
+    "supplier": _struct(("s_suppkey", L), ("s_name", S), ("s_nationkey", I), ("s_acctbal", DB)),
+    "part": _struct(("p_partkey", L), ("p_name", S), ("p_brand", S), ("p_type", S), ("p_size", I),
+                    ("p_retailprice", DB)),
+    "orders": _struct(("o_orderkey", L), ("o_custkey", L), ("o_orderstatus", S), ("o_totalprice", DB),
+                      ("o_orderdate", TS), ("o_orderpriority", S)),
+    "lineitem": _struct(("l_orderkey", L), ("l_partkey", L), ("l_suppkey", L), ("l_linenumber", I),
+                        ("l_quantity", DB), ("l_extendedprice", DB), ("l_discount", DB), ("l_tax", DB),
+                        ("l_returnflag", S), ("l_linestatus", S), ("l_shipdate", TS)),
+    "events": _struct(("event_id", L), ("ts", TS), ("user_id", L), ("event_type", S), ("value", DB),
+                      ("props", S)),
+    "conversations": _struct(("conv_id", L), ("turn", L), ("role", S), ("text", S)),
+    "benchmark": _struct(("item_id", L), ("text", S)),
+}

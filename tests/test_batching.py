@@ -57,7 +57,7 @@ def test_hot_key_is_spread_over_ranges(spark, tmp_path):
     assert numbered.select(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first() == (1, 30000, 30000)
     hot = numbered.filter(F.col("k") == 7).agg(F.min("rn"), F.max("rn"), F.count("*")).first()
     assert hot[1] - hot[0] + 1 == hot[2] == 10001  # the hot key's rows are consecutive
-    landed = spark.read.parquet(str(next(tmp_path.glob("rollcall-rows-*"))))
+    landed = spark.read.parquet(str(next(tmp_path.glob("rollcall-rows-*")) / "sorted"))
     files = (landed.filter(F.col("k") == 7).select(F.input_file_name().alias("f")).distinct().count())
     assert files > 1                                # and were sorted by more than one task
 
