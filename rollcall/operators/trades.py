@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.fixed_values import PAID_STATUS
 from rollcall.functions.labels import full_name
+from rollcall.operators.sizing import broadcast_if_small
 
 
 def correlate_trades(df: DataFrame, trades: DataFrame, participants: DataFrame, id_col: str,
@@ -25,8 +26,13 @@ def correlate_trades(df: DataFrame, trades: DataFrame, participants: DataFrame,
     paid trades per participant multiply its rows, as the joins do.
     """
     paid = trades.filter(F.col("status") == F.lit(paid_status))
-    holders = participants.select(F.col("id").alias("__rc_holder_id"),
-                                  full_name("name", "surname").alias("__rc_holder_name"))
+    # Only the holders of traded tickets are needed: the participant table is
+    # semi-joined to the (size-checked, broadcast) set of their ids, so it is
+    # scanned but never shuffled whole for a handful of names.
+    wanted = paid.select(F.col("originalParticipantId").alias("__rc_holder_id")).distinct()
+    holders = (participants.select(F.col("id").alias("__rc_holder_id"),
+                                   full_name("name", "surname").alias("__rc_holder_name"))
+                           .join(broadcast_if_small(wanted), "__rc_holder_id", "left_semi"))
     as_old = (paid.select(F.col("participantId").alias("__rc_old_key"),
                           F.col("originalParticipantId").alias("__rc_old_new_item"))
                   .join(holders, F.col("__rc_old_new_item") == F.col("__rc_holder_id"), "left")

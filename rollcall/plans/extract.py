@@ -86,8 +86,8 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
         F.col("id").alias("__pid"), F.col("sessionId").alias("__session"),
         F.col("checkoutEventTicketBatchPriceId").alias("__cprice"),
         local_date("createdAt").alias("data_compra"))
-    buyers = buyers.join(_paid_sessions(tables).select(F.col("id").alias("__session")), "__session")
     buyers = buyers.join(_checkout_tickets(tables, edition), "__cprice")
+    buyers = buyers.join(_paid_sessions(tables).select(F.col("id").alias("__session")), "__session")
     buyers = keep_unused_fanout(buyers, tables["eventticketcomplement"], "__ticket", "ticketId")
     buyers = without_partial_cancel(buyers, tables["checkoutorderticketpartialcancel"], "__pid")
     forms = answers.join(buyers, F.col("participant_id") == F.col("__pid")).select(
@@ -123,19 +123,21 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
         full_name("name", "surname").alias("participant"), F.col("trackingCode").alias("ticket_tracking"),
         F.col("coupon"), F.col("email"), F.col("phoneNumber").alias("phone"), F.col("cpf"),
         F.col("birthDate").alias("birth_date"))
-    p = people.join(sessions, "__session").withColumn("order_id", F.col("__session"))
-    p = p.join(_checkout_tickets(tables, edition, excluded_events), "__cprice")
-    types = tables["eventticketbatchpricetype"].select(F.col("id").alias("__type"),
-                                                       F.col("name").alias("ticket_type"))
-    p = p.join(broadcast_if_small(types), "__type", "left")
-    races = tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket"),
-                                                   F.col("nameParsed").alias("race"))
-    p = p.join(broadcast_if_small(races), "__ticket", "left")
+    # Joins grouped by key: the edition filter first (most selective), then the
+    # three session-keyed joins back to back (one shuffle of the participant side),
+    # then the participant-keyed ones.
+    p = people.join(_checkout_tickets(tables, edition, excluded_events), "__cprice")
     payments = tables["checkoutpayment"].select(F.col("sessionId").alias("__session"),
                                                 F.col("paymentOption").alias("__payment"))
     summary = tables["checkoutsummary"].select(F.col("sessionId").alias("__session"),
                                                F.col("ticketInsurance").alias("__insurance"))
-    p = p.join(payments, "__session", "left").join(summary, "__session", "left")
+    p = (p.join(sessions, "__session").withColumn("order_id", F.col("__session"))
+          .join(payments, "__session", "left").join(summary, "__session", "left"))
+    types = tables["eventticketbatchpricetype"].select(F.col("id").alias("__type"),
+                                                       F.col("name").alias("ticket_type"))
+    races = tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket"),
+                                                   F.col("nameParsed").alias("race"))
+    p = p.join(broadcast_if_small(types), "__type", "left").join(broadcast_if_small(races), "__ticket", "left")
     p = without_partial_cancel(p, tables["checkoutorderticketpartialcancel"], "item_id")
     if not drop_unused_fanout:
         p = keep_unused_fanout(p, tables["tradecheckoutsession"], "item_id", "participantId")
