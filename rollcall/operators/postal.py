@@ -44,3 +44,14 @@ def profile_postal_codes(df: DataFrame, col: str = "cep") -> DataFrame:
     return long_form.select(
         "metric", labels[F.col("metric")].alias("label"), F.col("n").cast("long").alias("n"),
         (F.col("n") / F.nullif(F.col("__rc_total"), F.lit(0))).cast("double").alias("share"))
+
+
+def profile_display(profile: DataFrame) -> DataFrame:
+    """Display form of the profile: ``label`` and ``qtde (percent)`` as ``"n (p.pp%)"``.
+
+    Text for people only; the numbers stay in ``profile_postal_codes``.  A
+    null share (empty input) leaves the text null.
+    """
+    text = F.when(F.col("share").isNotNull(),
+                  F.format_string("%d (%.2f%%)", F.col("n"), F.col("share") * F.lit(100.0)))
+    return profile.select("label", text.alias("qtde (percent)"))

@@ -47,11 +47,19 @@ def edition_tickets(tables: dict[str, DataFrame], edition: str, excluded_events=
     return dim.drop("__batch")
 
 
-def _checkout_tickets(tables, edition, excluded_events=()) -> DataFrame:
+def checked_edition_tickets(tables: dict[str, DataFrame], edition: str) -> DataFrame:
+    """``edition_tickets`` marked for broadcast when its size bound holds (checked once)."""
+    return broadcast_if_small(edition_tickets(tables, edition))
+
+
+def _checkout_tickets(tables, edition, excluded_events=(), tickets: DataFrame | None = None) -> DataFrame:
     """``__cprice`` -> edition ticket columns (checkout-level price rows of the edition)."""
     cp = tables["checkouteventticketbatchprice"].select(
         F.col("id").alias("__cprice"), F.col("eventTicketBatchPriceId").alias("__price"))
-    return cp.join(broadcast_if_small(edition_tickets(tables, edition, excluded_events)), "__price")
+    dim = tickets if tickets is not None else checked_edition_tickets(tables, edition)
+    if excluded_events:
+        dim = dim.filter(~F.col("__event").isin(list(excluded_events)))
+    return cp.join(dim, "__price")
 
 
 def _paid_sessions(tables) -> DataFrame:
@@ -62,14 +70,16 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
                   first=fv.DEFAULT_FIRST_DATE, last=fv.DEFAULT_LAST_DATE,
                   max_rows: int | None = fv.DEFAULT_MAX_ROWS,
                   rows_per_batch: int = fv.DEFAULT_ROWS_PER_BATCH,
-                  collation: str = fv.FIELD_ID_COLLATION, workdir: str | None = None) -> DataFrame:
+                  collation: str = fv.FIELD_ID_COLLATION, workdir: str | None = None,
+                  tickets: DataFrame | None = None) -> DataFrame:
     """Postal-code answers of paid, non-cancelled buyers of ``edition``.
 
     The purchase date is the participant's own ``createdAt`` (local time).
     The answer's field id is matched to the question catalogue under
     ``collation`` (case and accent insensitive by default).  Rows are numbered
     in batches of ``rows_per_batch`` by participant id (remaining columns break
-    ties) and capped at ``max_rows``.
+    ties) and capped at ``max_rows``.  ``tickets`` may pass a precomputed
+    ``checked_edition_tickets`` shared with the participant extraction.
     """
     questions = (tables["formFieldsPlaceholderParsed"]
                  .filter(F.col("placeholderParsed") == F.lit(fv.POSTAL_QUESTION))
@@ -86,7 +96,7 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
         F.col("id").alias("__pid"), F.col("sessionId").alias("__session"),
         F.col("checkoutEventTicketBatchPriceId").alias("__cprice"),
         local_date("createdAt").alias("data_compra"))
-    buyers = buyers.join(_checkout_tickets(tables, edition), "__cprice")
+    buyers = buyers.join(_checkout_tickets(tables, edition, tickets=tickets), "__cprice")
     buyers = buyers.join(_paid_sessions(tables).select(F.col("id").alias("__session")), "__session")
     buyers = keep_unused_fanout(buyers, tables["eventticketcomplement"], "__ticket", "ticketId")
     buyers = without_partial_cancel(buyers, tables["checkoutorderticketpartialcancel"], "__pid")
@@ -105,7 +115,8 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
                          rows_per_batch: int = fv.DEFAULT_ROWS_PER_BATCH,
                          as_of: dt.date | str | None = None,
                          excluded_events=(fv.SERVICE_SHOP_EVENT_ID,),
-                         drop_unused_fanout: bool = False, workdir: str | None = None) -> DataFrame:
+                         drop_unused_fanout: bool = False, workdir: str | None = None,
+                         tickets: DataFrame | None = None) -> DataFrame:
     """The 25-column participant report of paid, non-cancelled buyers of ``edition``.
 
     The purchase date is the *session's* ``createdAt`` (local time).  ``as_of``
@@ -126,7 +137,7 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
     # Joins grouped by key: the edition filter first (most selective), then the
     # three session-keyed joins back to back (one shuffle of the participant side),
     # then the participant-keyed ones.
-    p = people.join(_checkout_tickets(tables, edition, excluded_events), "__cprice")
+    p = people.join(_checkout_tickets(tables, edition, excluded_events, tickets), "__cprice")
     payments = tables["checkoutpayment"].select(F.col("sessionId").alias("__session"),
                                                 F.col("paymentOption").alias("__payment"))
     summary = tables["checkoutsummary"].select(F.col("sessionId").alias("__session"),

@@ -10,7 +10,7 @@ from rollcall import fixed_values as fv
 from rollcall.operators.lookup import PROVIDER_ORDER, Resolved, resolve_addresses
 from rollcall.operators.postal import normalise_postal_codes
 from rollcall.operators.report import join_addresses
-from rollcall.plans.extract import extract_forms, extract_participants
+from rollcall.plans.extract import checked_edition_tickets, extract_forms, extract_participants
 
 
 class Report(NamedTuple):
@@ -31,10 +31,11 @@ def build_report(tables: dict[str, DataFrame], responses, edition: str, first, l
     extractions are independent jobs (an empty forms extract does not stop
     the participant one).
     """
+    tickets = checked_edition_tickets(tables, edition)
     participants = extract_participants(tables, edition, first, last, max_rows, rows_per_batch, as_of,
-                                        excluded_events, workdir=workdir)
+                                        excluded_events, workdir=workdir, tickets=tickets)
     forms = normalise_postal_codes(extract_forms(tables, edition, first, last, max_rows, rows_per_batch,
-                                                 workdir=workdir))
+                                                 workdir=workdir, tickets=tickets))
     landed = responses(forms) if callable(responses) else responses
     resolved = resolve_addresses(forms, landed, providers)
     return Report(participants, forms, resolved, join_addresses(participants, resolved.addresses))

@@ -2,7 +2,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rollcall.operators.postal import normalise_postal_codes, profile_postal_codes
+from rollcall.operators.postal import normalise_postal_codes, profile_display, profile_postal_codes
 
 CASES = [
     ("01310-100", "01310-100"),
@@ -61,3 +61,11 @@ def test_profile_of_empty_input(spark):
     df = spark.createDataFrame([], "cep string")
     got = {r.metric: (r.n, r.share) for r in profile_postal_codes(df).collect()}
     assert got["total"] == (0, None) and got["ok"] == (0, None)
+
+
+def test_profile_display_text(spark):
+    df = spark.createDataFrame([("01310-100",), ("1310",), ("1310",), ("0_",)], "cep string")
+    got = {r.label: r["qtde (percent)"] for r in profile_display(profile_postal_codes(df)).collect()}
+    assert got["total de ceps"] == "4 (100.00%)"
+    assert got["ceps com menos de 8 dígitos"] == "3 (75.00%)"
+    assert got["ceps com underline"] == "1 (25.00%)"
