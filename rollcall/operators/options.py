@@ -17,7 +17,7 @@ def unnest_options(participant_options: DataFrame, id_col: str = "id",
 
 def option_answers(options_view: DataFrame, items: DataFrame, item_complements: DataFrame,
                    stocks: DataFrame, stock_names, fields: dict[str, str],
-                   out_key: str = "participanteId") -> DataFrame:
+                   out_key: str = "participant_id") -> DataFrame:
     """Options whose stock is named in ``stock_names``, with complement ``fields``.
 
     ``fields`` maps complement columns to output names.  Items and stock are
