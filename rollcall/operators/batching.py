@@ -42,9 +42,9 @@ def number_rows(df: DataFrame, order_by, row_col: str = "row_number", workdir: s
     base = workdir or ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/rollcall-rows-{uuid.uuid4().hex}"
     keys = [_key(k) for k in order_by]
-    staged = df.withColumn(_TIE, F.monotonically_increasing_id())
-    staged.write.parquet(f"{path}/staged")
-    staged = spark.read.schema(staged.schema).parquet(f"{path}/staged")
+    tagged = df.withColumn(_TIE, F.monotonically_increasing_id())
+    tagged.write.parquet(f"{path}/staged")
+    staged = spark.read.schema(tagged.schema).parquet(f"{path}/staged")
     ranged = staged.orderBy(*keys, F.col(_TIE)).withColumn(_PART, F.spark_partition_id())
     ranged.write.option("maxRecordsPerFile", 0).parquet(f"{path}/sorted")
     landed = spark.read.schema(ranged.schema).parquet(f"{path}/sorted")

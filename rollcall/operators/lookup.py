@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from rollcall.fixed_values import ADDRESS_FIELDS, PROVIDERS
 from rollcall.functions.responses import address_fields, has_key, is_object, provider_accepts
+from rollcall.session import materialize
 
 PROVIDER_ORDER = tuple(name for name, _, _ in PROVIDERS)
 
@@ -101,11 +102,19 @@ def code_winners(responses: DataFrame, codes: DataFrame, providers=PROVIDER_ORDE
 
 
 def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER_ORDER,
-                      code_col: str = "parsed_ceps", id_col: str = "participant_id") -> Resolved:
-    """First-success fallback over ``providers`` for every form row."""
+                      code_col: str = "parsed_ceps", id_col: str = "participant_id",
+                      materialized: bool = False) -> Resolved:
+    """First-success fallback over ``providers`` for every form row.
+
+    The four results share one lineage; with ``materialized`` the row-level
+    result is written once to the shared checkpoint folder, so writing the
+    addresses and the counters does not run the lookup twice.
+    """
     codes = _codes_in_use(forms, code_col)
     winners = code_winners(responses, codes, providers)
     rows = forms.join(winners, F.col(code_col) == F.col("cep_requested"), "left").drop("cep_requested")
+    if materialized:
+        rows = materialize(rows, "resolved")
     addresses = rows.filter(F.col("winner_rank").isNotNull()).select(
         F.col(id_col).cast("string").alias("item_id"),
         *[F.col(f"fields.{f}").alias(f) for f in ADDRESS_FIELDS])

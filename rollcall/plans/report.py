@@ -23,13 +23,15 @@ class Report(NamedTuple):
 def build_report(tables: dict[str, DataFrame], responses, edition: str, first, last, as_of,
                  rows_per_batch: int = fv.DEFAULT_ROWS_PER_BATCH, max_rows: int | None = fv.DEFAULT_MAX_ROWS,
                  excluded_events=(fv.SERVICE_SHOP_EVENT_ID,), providers=PROVIDER_ORDER,
-                 workdir: str | None = None) -> Report:
+                 workdir: str | None = None, materialize_lookup: bool = True) -> Report:
     """Participants of ``edition`` with the address of every postal code they answered.
 
     ``responses`` is the landed responses table, or a callable that builds it
     from the cleaned forms (for landings keyed by the codes in use).  The two
     extractions are independent jobs (an empty forms extract does not stop
-    the participant one).
+    the participant one).  The lookup rows are written once to the shared
+    checkpoint folder (``materialize_lookup``), so the report, the addresses
+    and the counters all read the same decided rows.
     """
     tickets = checked_edition_tickets(tables, edition)
     participants = extract_participants(tables, edition, first, last, max_rows, rows_per_batch, as_of,
@@ -37,5 +39,5 @@ def build_report(tables: dict[str, DataFrame], responses, edition: str, first, l
     forms = normalise_postal_codes(extract_forms(tables, edition, first, last, max_rows, rows_per_batch,
                                                  workdir=workdir, tickets=tickets))
     landed = responses(forms) if callable(responses) else responses
-    resolved = resolve_addresses(forms, landed, providers)
+    resolved = resolve_addresses(forms, landed, providers, materialized=materialize_lookup)
     return Report(participants, forms, resolved, join_addresses(participants, resolved.addresses))

@@ -20,6 +20,27 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` on ``total_cores`` cores.
+
+    Scan splits and shuffle partitions are sized so one task holds about
+    ``target_partition_bytes`` (well inside an executor core's share of
+    memory, so sorts and hash joins spill rarely), with at least three waves
+    of tasks.  AQE then coalesces small shuffle partitions towards the
+    advisory size and splits skewed ones, so the initial number errs high.
+    For 100 TB on 1,000 executors x 8 cores this gives about 410,000 initial
+    shuffle partitions and 256 MB scan splits.
+    """
+    partitions = max(3 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    mb = target_partition_bytes >> 20
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{mb}m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{max(mb // 2, 1)}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{mb * 4}m",
+    }
+
+
 def build_session(master: str | None = None, app: str = "rollcall",
                   shuffle_partitions: int | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
@@ -56,3 +77,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="rollcall-ckpt-")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir() or folder
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
+
+    Cuts the lineage: later actions and retried tasks read the files instead
+    of recomputing (or re-deciding) what produced them.  The folder is the
+    one the cluster names in ``spark.checkpoint.dir``.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rollcall-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

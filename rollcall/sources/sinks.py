@@ -44,17 +44,19 @@ def display_participants(df: DataFrame, extra: dict[str, str] | None = None) ->
 
 
 def write_report(df: DataFrame, path: str, run_ts: dt.datetime, edition_col: str = "edition") -> str:
-    """Write the final report under ``report_label=<label>/run_ts=<YYYYMMDD_HHMM>``.
+    """Write the report under ``report_label=<edition label>/run_ts=<YYYYMMDD_HHMM>``.
 
-    The label is one scalar (an aggregate), the only value brought to the driver.
+    The label is computed per row (blanks as ``_``): for a one-edition report,
+    which is what the extraction yields, it equals ``edition_label``, and it
+    needs no pass over the report before the write.  Rows of several
+    editions land in one folder each.  Returns the base path.
     """
-    row = edition_label(df, edition_col).first()
-    label = (row[0] if row and row[0] is not None else "_")
     stamp = run_ts.strftime("%Y%m%d_%H%M")
-    (df.withColumn("report_label", F.lit(label)).withColumn("run_ts", F.lit(stamp))
+    (df.withColumn("report_label", F.coalesce(label_text(edition_col), F.lit("_")))
+       .withColumn("run_ts", F.lit(stamp))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("report_label", "run_ts").parquet(path))
-    return f"{path.rstrip('/')}/report_label={label}/run_ts={stamp}"
+    return path
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

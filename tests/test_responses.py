@@ -48,7 +48,7 @@ def test_fallback_counters_example(spark):
         ("brasilapi", "00000-003", "<html>"), ("viacep", "00000-003", "[1]"), ("apicep", "00000-003", '{"cep":null}'),
         ("brasilapi", "00000-004", "{}"), ("viacep", "00000-004", "{}"), ("apicep", "00000-004", "{}"),
     ])
-    res = resolve_addresses(forms, responses)
+    res = resolve_addresses(forms, responses, materialized=True)
     c = res.counters.first().asDict()
     assert c == {"ok": 3, "nok": 1, "brasilapi_errors": 3, "viacep_errors": 2, "apicep_errors": 1}
     addr = {r.item_id: r.cep for r in res.addresses.collect()}

@@ -56,9 +56,16 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("10 Milhas RJ", 1), ("10 Milhas RJ", 2)], "edition string, item_id long")
     assert edition_label(df).first().edition_label == "10_Milhas_RJ"
     out = write_report(df, str(tmp_path / "report"), dt.datetime(2025, 6, 30, 14, 5))
-    assert out.endswith("report_label=10_Milhas_RJ/run_ts=20250630_1405")
-    assert spark.read.parquet(out).count() == 2
+    assert spark.read.parquet(f"{out}/report_label=10_Milhas_RJ/run_ts=20250630_1405").count() == 2
     write_extract(df, str(tmp_path / "forms"), "edition")
     assert spark.read.parquet(str(tmp_path / "forms")).filter(F.col("edition_label") == "10_Milhas_RJ").count() == 2
     assert display_participants(df).columns == ["edição", "itemID"]
     assert preview(df, 1).count() == 1
+
+
+def test_scale_conf_for_100_tb():
+    from rollcall.session import scale_conf
+    conf = scale_conf(100 << 40, 8000)
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * 4096)
+    assert conf["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "24"
