@@ -36,15 +36,26 @@ def _key(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def number_rows(df: DataFrame, order_by, row_col: str = "row_number", workdir: str | None = None) -> DataFrame:
-    """Add a 1-based global ``row_col`` in the order of ``order_by``."""
+def number_rows(df: DataFrame, order_by, row_col: str = "row_number", workdir: str | None = None,
+                stage_input: bool = True) -> DataFrame:
+    """Add a 1-based global ``row_col`` in the order of ``order_by``.
+
+    ``stage_input=False`` skips step 1 for an input that is a plain file scan
+    (with filters or projections): re-reading it for the range sampling is
+    cheap and yields the same rows in the same order, so its tiebreak ids are
+    stable without being written.  Anything with a join, aggregate or
+    shuffle should be staged.
+    """
     spark = df.sparkSession
     base = workdir or ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/rollcall-rows-{uuid.uuid4().hex}"
     keys = [_key(k) for k in order_by]
     tagged = df.withColumn(_TIE, F.monotonically_increasing_id())
-    tagged.write.parquet(f"{path}/staged")
-    staged = spark.read.schema(tagged.schema).parquet(f"{path}/staged")
+    if stage_input:
+        tagged.write.parquet(f"{path}/staged")
+        staged = spark.read.schema(tagged.schema).parquet(f"{path}/staged")
+    else:
+        staged = tagged
     ranged = staged.orderBy(*keys, F.col(_TIE)).withColumn(_PART, F.spark_partition_id())
     ranged.write.option("maxRecordsPerFile", 0).parquet(f"{path}/sorted")
     landed = spark.read.schema(ranged.schema).parquet(f"{path}/sorted")
@@ -59,13 +70,13 @@ def number_rows(df: DataFrame, order_by, row_col: str = "row_number", workdir: s
 
 def number_batches(df: DataFrame, order_by, rows_per_batch: int, max_rows: int | None = None,
                    batch_col: str = "batch_number", keep_row_number: bool = False,
-                   workdir: str | None = None) -> DataFrame:
+                   workdir: str | None = None, stage_input: bool = True) -> DataFrame:
     """Add ``batch_col``; ``max_rows`` keeps the first rows of that order only."""
     if rows_per_batch is None or int(rows_per_batch) <= 0:
         raise ValueError("rows_per_batch must be a positive integer")
     if max_rows is not None and int(max_rows) < 0:
         raise ValueError("max_rows must not be negative")
-    numbered = number_rows(df, order_by, _ROW, workdir)
+    numbered = number_rows(df, order_by, _ROW, workdir, stage_input)
     if max_rows is not None:
         numbered = numbered.filter(F.col(_ROW) <= F.lit(int(max_rows)))
     numbered = numbered.withColumn(

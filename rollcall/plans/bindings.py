@@ -169,7 +169,7 @@ def q_trade_correlation(spark, sf_dir):
 # -- batches ---------------------------------------------------------------------
 def q_batch_numbering(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id", "user_id")
-    return number_batches(ev, ["event_id"], ROWS_PER_BATCH)
+    return number_batches(ev, ["event_id"], ROWS_PER_BATCH, stage_input=False)
 
 
 LINEITEM_ORDER = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -178,7 +178,7 @@ LINEITEM_ORDER = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qua
 
 def q_batch_numbering_ties(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
-    return number_batches(li, list(LINEITEM_ORDER), ROWS_PER_BATCH)
+    return number_batches(li, list(LINEITEM_ORDER), ROWS_PER_BATCH, stage_input=False)
 
 
 def q_batch_slice(spark, sf_dir):
@@ -187,7 +187,7 @@ def q_batch_slice(spark, sf_dir):
 
 def q_row_cap(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id", "user_id")
-    return number_batches(ev, ["event_id"], ROWS_PER_BATCH, max_rows=5000)
+    return number_batches(ev, ["event_id"], ROWS_PER_BATCH, max_rows=5000, stage_input=False)
 
 
 # -- labels ----------------------------------------------------------------------

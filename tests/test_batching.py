@@ -76,3 +76,12 @@ def test_matches_single_window_row_number(spark, rows, n):
                        f" / {n}) + 1 AS BIGINT) FROM t").fetchall()
     key = lambda r: (r[0], -1 if r[1] is None else r[1], r[2])
     assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_unstaged_scan_gives_same_numbers(spark, tmp_path):
+    path = str(tmp_path / "scan")
+    spark.range(0, 5000).select((F.col("id") % 97).alias("k"), F.col("id").alias("v")).write.parquet(path)
+    scan = spark.read.parquet(path)
+    a = number_batches(scan, ["k", "v"], 100, stage_input=False)
+    b = number_batches(scan, ["k", "v"], 100)
+    assert sorted(a.collect()) == sorted(b.collect())
