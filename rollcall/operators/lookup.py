@@ -87,18 +87,29 @@ def lookup_provider(forms: DataFrame, responses: DataFrame, provider: str,
 
 
 def code_winners(responses: DataFrame, codes: DataFrame, providers=PROVIDER_ORDER) -> DataFrame:
-    """Per code: ``winner_rank`` (1-based, null if none accepts) and the winner's fields."""
-    rank = F.when(F.col("provider") == F.lit(providers[0]), F.lit(1))
-    for i, name in enumerate(providers[1:], start=2):
-        rank = rank.when(F.col("provider") == F.lit(name), F.lit(i))
-    ranked = (latest_responses(responses.filter(F.col("provider").isin(list(providers)))
-                                        .join(codes, "cep_requested", "left_semi"))
-              .select("cep_requested", rank.alias("rank"), "body")
-              .filter(has_key("body")))
-    best = ranked.groupBy("cep_requested").agg(F.min(F.struct("rank", "body")).alias("best"))
-    return codes.join(best, "cep_requested", "left").select(
-        "cep_requested", F.col("best.rank").alias("winner_rank"),
-        address_fields(F.col("best.body")).alias("fields"))
+    """Per code: ``winner_rank`` (1-based, null if none accepts) and the winner's fields.
+
+    One aggregate per code: for every provider the latest body (a ``max_by``
+    whose ordering is null on the other providers' rows, so they are
+    skipped), then the first provider whose latest body accepts wins.  Only
+    the winning body is parsed into fields.
+    """
+    latest = []
+    for i, name in enumerate(providers, start=1):
+        mine = F.col("provider") == F.lit(name)
+        latest.append(F.max_by(F.when(mine, F.col("body")), F.when(mine, F.struct("fetched_at", "body")))
+                       .alias(f"__rc_b{i}"))
+    per_code = (responses.filter(F.col("provider").isin(list(providers)))
+                         .join(codes, "cep_requested", "left_semi")
+                         .groupBy("cep_requested").agg(*latest))
+    rank = F.when(has_key(F.col("__rc_b1")), F.lit(1))
+    body = F.when(has_key(F.col("__rc_b1")), F.col("__rc_b1"))
+    for i in range(2, len(providers) + 1):
+        rank = rank.when(has_key(F.col(f"__rc_b{i}")), F.lit(i))
+        body = body.when(has_key(F.col(f"__rc_b{i}")), F.col(f"__rc_b{i}"))
+    decided = per_code.select("cep_requested", rank.alias("winner_rank"), body.alias("__rc_body"))
+    return codes.join(decided, "cep_requested", "left").select(
+        "cep_requested", "winner_rank", address_fields(F.col("__rc_body")).alias("fields"))
 
 
 def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER_ORDER,
