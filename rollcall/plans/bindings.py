@@ -18,6 +18,7 @@ from rollcall.functions.dates import local_date, purchased_between
 from rollcall.functions.labels import age_band, age_years, payment_label, refund_mark
 from rollcall.operators.batching import number_batches, select_batch
 from rollcall.operators.catalogue import list_editions
+from rollcall.operators.collation import join_collated
 from rollcall.operators.fanout import keep_unused_fanout, without_partial_cancel
 from rollcall.operators.lookup import PROVIDER_ORDER, lookup_provider, resolve_addresses
 from rollcall.operators.options import option_answers, unnest_options
@@ -114,11 +115,10 @@ def q_unused_fanout_join(spark, sf_dir):
 # -- collation -----------------------------------------------------------------
 def q_collated_join(spark, sf_dir):
     m = _model(spark, sf_dir)
-    q = m["formFieldsPlaceholderParsed"]
+    q = m["formFieldsPlaceholderParsed"].select(F.col("fieldId").alias("q_field"), "placeholderParsed")
     a = m["formfieldanswer"]
-    c = "UNICODE_CI_AI"
-    j = a.join(broadcast_if_small(q), F.collate(a["fieldId"], c) == F.collate(q["fieldId"], c))
-    return j.select(F.col("checkoutParticipantId").alias("participant_id"), a["fieldId"].alias("field_id"),
+    j = join_collated(a, "fieldId", q, "q_field", "UNICODE_CI_AI")
+    return j.select(F.col("checkoutParticipantId").alias("participant_id"), F.col("fieldId").alias("field_id"),
                     F.col("placeholderParsed").alias("question"))
 
 
@@ -127,9 +127,7 @@ def q_collated_segments(spark, sf_dir):
     left = cust.select("c_custkey", F.lower("c_mktsegment").alias("segment"))
     labels = cust.select("c_mktsegment").distinct().select(
         F.translate(F.upper("c_mktsegment"), "AEIOU", "ÁÉÍÓÚ").alias("label"))
-    c = "UNICODE_CI_AI"
-    return left.join(broadcast_if_small(labels), F.collate(F.col("segment"), c) == F.collate(F.col("label"), c)) \
-               .select("c_custkey", "segment", "label")
+    return join_collated(left, "segment", labels, "label", "UNICODE_CI_AI").select("c_custkey", "segment", "label")
 
 
 def q_answer_filter(spark, sf_dir):

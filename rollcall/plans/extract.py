@@ -20,6 +20,7 @@ from rollcall import fixed_values as fv
 from rollcall.functions.dates import local_date, purchased_between
 from rollcall.functions.labels import age_band, age_years, full_name, payment_label, refund_mark
 from rollcall.operators.batching import number_batches
+from rollcall.operators.collation import join_collated
 from rollcall.operators.fanout import keep_unused_fanout, without_partial_cancel
 from rollcall.operators.options import option_answers, unnest_options
 from rollcall.operators.sizing import broadcast_if_small
@@ -89,9 +90,7 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
                .filter(~F.col("answer").isin(list(fv.REJECTED_ANSWERS)))
                .select(F.col("checkoutParticipantId").alias("participant_id"),
                        F.col("fieldId").alias("field_id"), F.col("answer").alias("cep")))
-    answers = answers.join(broadcast_if_small(questions),
-                           F.collate(F.col("field_id"), collation) == F.collate(F.col("__q_field"), collation)
-                           ).drop("__q_field")
+    answers = join_collated(answers, "field_id", questions, "__q_field", collation).drop("__q_field")
     buyers = purchased_between(tables["checkoutparticipant"], "createdAt", first, last).select(
         F.col("id").alias("__pid"), F.col("sessionId").alias("__session"),
         F.col("checkoutEventTicketBatchPriceId").alias("__cprice"),
