@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -42,8 +41,6 @@ def main() -> None:
             # Small-data sizing: AQE's default 1 MB minimum would fold the CPU-heavy
             # per-code lookup stage into one task at this scale.
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="rollcall-bench-")
     spark = build_session(f"local[{cpus}]", app="rollcall-bench", shuffle_partitions=int(cpus) * 2, conf=conf)
     # JVM warm-up (class loading, JIT, codegen) on the smallest data set, not timed.
     warm = os.path.join(os.path.dirname(sf_dir), "sf0.001")
