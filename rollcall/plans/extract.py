@@ -22,7 +22,7 @@ from rollcall.functions.labels import age_band, age_years, full_name, payment_la
 from rollcall.operators.batching import number_batches
 from rollcall.operators.collation import join_collated
 from rollcall.operators.fanout import keep_unused_fanout, without_partial_cancel
-from rollcall.operators.options import option_answers, unnest_options
+from rollcall.operators.options import option_answer_groups, unnest_options
 from rollcall.operators.sizing import broadcast_if_small
 from rollcall.operators.trades import correlate_trades
 
@@ -151,13 +151,14 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
     p = without_partial_cancel(p, tables["checkoutorderticketpartialcancel"], "item_id")
     if not drop_unused_fanout:
         p = keep_unused_fanout(p, tables["tradecheckoutsession"], "item_id", "participantId")
-    view = unnest_options(tables["participant_options"])
-    shirts = option_answers(view, tables["eventticketstockitems"], tables["eventticketstockitemscomplement"],
-                            tables["eventticketstock"], fv.SHIRT_STOCK_NAMES, {"nameParsed": "shirt"},
-                            out_key="__shirt_pid")
-    kits = option_answers(view, tables["eventticketstockitems"], tables["eventticketstockitemscomplement"],
-                          tables["eventticketstock"], fv.KIT_PICKUP_STOCK_NAMES,
-                          {"day": "pickup_day", "hour": "pickup_hour"}, out_key="__kit_pid")
+    options = option_answer_groups(
+        unnest_options(tables["participant_options"]), tables["eventticketstockitems"],
+        tables["eventticketstockitemscomplement"], tables["eventticketstock"],
+        {"shirts": (fv.SHIRT_STOCK_NAMES, {"nameParsed": "shirt"}),
+         "kits": (fv.KIT_PICKUP_STOCK_NAMES, {"day": "pickup_day", "hour": "pickup_hour"})},
+        out_key="__opt_pid")
+    shirts = options["shirts"].withColumnRenamed("__opt_pid", "__shirt_pid")
+    kits = options["kits"].withColumnRenamed("__opt_pid", "__kit_pid")
     p = (p.join(shirts, F.col("item_id") == F.col("__shirt_pid"), "left")
           .join(kits, F.col("item_id") == F.col("__kit_pid"), "left"))
     p = correlate_trades(p, tables["tradecheckoutsession"], tables["checkoutparticipant"], "item_id")
