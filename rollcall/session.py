@@ -58,25 +58,34 @@ def build_session(master: str | None = None, app: str = "rollcall",
     return spark
 
 
+_LOCAL_DIRS: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder for materialised intermediates.
 
     The cluster names it in ``spark.checkpoint.dir``; it is only invented here
     when Spark runs in local mode (tests, laptops).  A cluster without that
     setting is an error, since a machine-local folder would not survive the
-    loss of an executor.
+    loss of an executor.  Works with classic and Connect sessions.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    current = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    if not sc.master.startswith("local"):
+        return current
+    master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
+    if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="rollcall-ckpt-")
-    sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir() or folder
+    folder = _LOCAL_DIRS.setdefault(id(spark), tempfile.mkdtemp(prefix="rollcall-ckpt-"))
+    if sc is not None:
+        sc.setCheckpointDir(folder)
+        return sc.getCheckpointDir() or folder
+    return folder
 
 
 def materialize(df, name: str = "stage"):
