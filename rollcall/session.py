@@ -81,7 +81,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = _LOCAL_DIRS.setdefault(id(spark), tempfile.mkdtemp(prefix="rollcall-ckpt-"))
+    if id(spark) not in _LOCAL_DIRS:
+        _LOCAL_DIRS[id(spark)] = tempfile.mkdtemp(prefix="rollcall-ckpt-")
+    folder = _LOCAL_DIRS[id(spark)]
     if sc is not None:
         sc.setCheckpointDir(folder)
         return sc.getCheckpointDir() or folder
