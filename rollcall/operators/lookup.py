@@ -8,8 +8,10 @@ same decisions are joins:
 * each distinct code is decided once (identical codes are not re-asked);
 * a provider *accepts* a code in the fallback chain when its body is a JSON
   object holding the key ``cep`` (its value may be null);
-* the winner is the lowest-ranked accepting provider (``min`` of a struct
-  led by the rank: a partial aggregate, safe for hot codes);
+* one aggregate per code keeps every provider's latest body (``max_by``,
+  partially aggregated on the map side, so a code fetched many times is no
+  hot spot); the winner is the first provider in the chain whose latest body
+  accepts, and only its body is parsed;
 * the per-code decisions are joined back to the form rows.  They are an
   aggregate, so their true size is known only once their shuffle stage has
   run: AQE turns the join into a broadcast when that size is under
