@@ -43,8 +43,7 @@ def edition_tickets(tables: dict[str, DataFrame], edition: str, excluded_events=
     bt = tables["eventticketbatch"].select(F.col("id").alias("__batch"), F.col("ticketId").alias("__ticket"))
     pr = tables["eventticketbatchprice"].select(F.col("id").alias("__price"), F.col("typeId").alias("__type"),
                                                 F.col("ticketBatchId").alias("__batch"))
-    dim = (broadcast_if_small(ec).join(ev, "__event").join(tk, "__event")
-           .join(bt, "__ticket").join(pr, "__batch"))
+    dim = ec.join(ev, "__event").join(tk, "__event").join(bt, "__ticket").join(pr, "__batch")
     return dim.drop("__batch")
 
 
