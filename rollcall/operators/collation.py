@@ -10,6 +10,8 @@ all of it to one task.  Instead:
 2. only those keys are matched to the small side under the collation;
 3. the large side is joined to that mapping on the raw, binary key, with the
    mapping broadcast after a size check: the large side is never shuffled.
+   The mapping is written once to the shared checkpoint folder, so the check
+   and the join read it instead of scanning the large side's keys twice.
 
 Same rows as the direct collated join, including every match of a key.
 """
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.operators.sizing import broadcast_if_small
+from rollcall.session import materialize
 
 _RAW = "__rc_coll_raw"
 
@@ -28,5 +31,6 @@ def join_collated(df: DataFrame, col: str, small: DataFrame, small_col: str, col
                   how: str = "inner") -> DataFrame:
     """``df JOIN small ON collate(df.col) = collate(small.small_col)``; ``how`` is inner or left."""
     keys = df.select(F.col(col).alias(_RAW)).filter(F.col(_RAW).isNotNull()).distinct()
-    pairs = keys.join(small, F.collate(F.col(_RAW), collation) == F.collate(F.col(small_col), collation))
+    pairs = materialize(
+        keys.join(small, F.collate(F.col(_RAW), collation) == F.collate(F.col(small_col), collation)), "collated")
     return df.join(broadcast_if_small(pairs), F.col(col) == F.col(_RAW), how).drop(_RAW)

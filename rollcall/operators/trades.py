@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rollcall.fixed_values import PAID_STATUS
 from rollcall.functions.labels import full_name
 from rollcall.operators.sizing import broadcast_if_small
+from rollcall.session import materialize
 
 
 def correlate_trades(df: DataFrame, trades: DataFrame, participants: DataFrame, id_col: str,
@@ -28,8 +29,9 @@ def correlate_trades(df: DataFrame, trades: DataFrame, participants: DataFrame,
     paid = trades.filter(F.col("status") == F.lit(paid_status))
     # Only the holders of traded tickets are needed: the participant table is
     # semi-joined to the (size-checked, broadcast) set of their ids, so it is
-    # scanned but never shuffled whole for a handful of names.
-    wanted = paid.select(F.col("originalParticipantId").alias("__rc_holder_id")).distinct()
+    # scanned but never shuffled whole for a handful of names.  The id set is
+    # written once, so the size check and the join do not both compute it.
+    wanted = materialize(paid.select(F.col("originalParticipantId").alias("__rc_holder_id")).distinct(), "traded")
     holders = (participants.select(F.col("id").alias("__rc_holder_id"),
                                    full_name("name", "surname").alias("__rc_holder_name"))
                            .join(broadcast_if_small(wanted), "__rc_holder_id", "left_semi"))
