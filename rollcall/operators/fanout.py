@@ -73,3 +73,35 @@ def keep_unused_fanout(df: DataFrame, other: DataFrame, id_col: str, key: str) -
     """Same rows as ``df LEFT JOIN other ON other.key = id_col`` with no column of other."""
     per_key = other.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias(_COPIES))
     return _multiply(df, id_col, per_key, 1)
+
+
+def multiply_by_matches(df: DataFrame, id_col: str, cancels: DataFrame | None = None,
+                        unused: tuple = (), key: str = "participantId", reason: str = "reason") -> DataFrame:
+    """``without_partial_cancel`` and any number of ``keep_unused_fanout`` on one key, in one pass.
+
+    ``unused`` holds ``(table, key)`` pairs.  All sides are unioned into one
+    per-key aggregate (one shuffle, partial aggregation on the map side), so
+    the rows are joined and repeated once: copies = (null-reason cancellations
+    if the key has any cancellation, else 1) x max(1, matches) of every
+    ``unused`` side.
+    """
+    flags = ["__rc_c", "__rc_cn"] + [f"__rc_u{i}" for i in range(len(unused))]
+    zero = {f: F.lit(0) for f in flags}
+    parts = []
+    if cancels is not None:
+        cols = {**zero, "__rc_c": F.lit(1), "__rc_cn": F.col(reason).isNull().cast("int")}
+        parts.append(cancels.select(F.col(key).alias(_KEY), *[cols[f].cast("long").alias(f) for f in flags]))
+    for i, (table, table_key) in enumerate(unused):
+        cols = {**zero, f"__rc_u{i}": F.lit(1)}
+        parts.append(table.select(F.col(table_key).alias(_KEY), *[cols[f].cast("long").alias(f) for f in flags]))
+    if not parts:
+        return df
+    sides = parts[0]
+    for part in parts[1:]:
+        sides = sides.unionByName(part)
+    sums = sides.groupBy(_KEY).agg(*[F.sum(f).alias(f) for f in flags])
+    copies = F.when(F.col("__rc_c") > 0, F.col("__rc_cn")).otherwise(F.lit(1))
+    for i in range(len(unused)):
+        copies = copies * F.greatest(F.col(f"__rc_u{i}"), F.lit(1))
+    per_key = sums.select(_KEY, copies.cast("long").alias(_COPIES))
+    return _multiply(df, id_col, per_key, 1)

@@ -21,7 +21,7 @@ from rollcall.functions.dates import local_date, purchased_between
 from rollcall.functions.labels import age_band, age_years, full_name, payment_label, refund_mark
 from rollcall.operators.batching import number_batches
 from rollcall.operators.collation import join_collated
-from rollcall.operators.fanout import keep_unused_fanout, without_partial_cancel
+from rollcall.operators.fanout import keep_unused_fanout, multiply_by_matches, without_partial_cancel
 from rollcall.operators.options import option_answer_groups, unnest_options
 from rollcall.operators.sizing import broadcast_if_small
 from rollcall.operators.trades import correlate_trades
@@ -147,9 +147,8 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
     races = tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket"),
                                                    F.col("nameParsed").alias("race"))
     p = p.join(broadcast_if_small(types), "__type", "left").join(broadcast_if_small(races), "__ticket", "left")
-    p = without_partial_cancel(p, tables["checkoutorderticketpartialcancel"], "item_id")
-    if not drop_unused_fanout:
-        p = keep_unused_fanout(p, tables["tradecheckoutsession"], "item_id", "participantId")
+    trades_fanout = () if drop_unused_fanout else ((tables["tradecheckoutsession"], "participantId"),)
+    p = multiply_by_matches(p, "item_id", tables["checkoutorderticketpartialcancel"], trades_fanout)
     options = option_answer_groups(
         unnest_options(tables["participant_options"]), tables["eventticketstockitems"],
         tables["eventticketstockitemscomplement"], tables["eventticketstock"],

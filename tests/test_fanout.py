@@ -31,3 +31,15 @@ def test_hot_participant_is_split_across_tasks(spark, monkeypatch):
     assert sorted(out.groupBy("pid").count().collect()) == sorted(want.collect())
     sizes = out.rdd.glom().map(len).collect()
     assert max(sizes) < 0.5 * sum(sizes)
+
+
+def test_combined_multiplier_equals_sequential(spark):
+    people = spark.createDataFrame([(i,) for i in range(1, 8)], "pid long")
+    cancels = spark.createDataFrame([(2, None), (3, "x"), (4, None), (4, "x"), (5, None), (5, None), (7, None)],
+                                    "participantId long, reason string")
+    trades = spark.createDataFrame([(1,), (1,), (5,), (6,), (6,), (6,), (3,)], "participantId long")
+    seq = fanout.keep_unused_fanout(fanout.without_partial_cancel(people, cancels, "pid"), trades, "pid",
+                                    "participantId")
+    one = fanout.multiply_by_matches(people, "pid", cancels, ((trades, "participantId"),))
+    count = lambda d: sorted((r.pid, r["count"]) for r in d.groupBy("pid").count().collect())
+    assert count(one) == count(seq) == [(1, 2), (2, 1), (4, 1), (5, 2), (6, 3), (7, 1)]
