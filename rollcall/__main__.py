@@ -4,6 +4,9 @@
     spark-submit rollcall/__main__.py extract  --landing s3://landing --edition "10 Milhas" --out s3://extracts
     spark-submit rollcall/__main__.py report   --landing s3://landing --edition "10 Milhas" \\
         --first 2022-05-01 --last 2026-05-31 --as-of 2025-06-30 --out s3://reports
+    spark-submit rollcall/__main__.py land --url jdbc:mysql://db:3306/tickets --user u --password p \\
+        --tables checkoutparticipant,checkoutsession --partition-column id --lower 1 \\
+        --upper 90000000 --partitions 400 --out s3://landing
 
 Tables are read from ``<landing>/<table>`` with their declared schemas
 (``--format parquet`` or ``csv``); the report also reads ``<landing>/responses``.
@@ -21,6 +24,17 @@ from rollcall import fixed_values as fv
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="rollcall")
     sub = p.add_subparsers(dest="command", required=True)
+    land = sub.add_parser("land", help="scan operational tables over JDBC and land them as Parquet")
+    land.add_argument("--url", required=True)
+    land.add_argument("--user", default=None)
+    land.add_argument("--password", default=None)
+    land.add_argument("--driver", default=None)
+    land.add_argument("--tables", required=True, help="comma-separated table names")
+    land.add_argument("--partition-column", default=None)
+    land.add_argument("--lower", type=int, default=None)
+    land.add_argument("--upper", type=int, default=None)
+    land.add_argument("--partitions", type=int, default=None)
+    land.add_argument("--out", required=True)
     for name in ("editions", "extract", "report"):
         s = sub.add_parser(name)
         s.add_argument("--landing", required=True)
@@ -42,7 +56,16 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv=None, spark=None) -> int:
     args = _parser().parse_args(argv)
     from rollcall.session import build_session
-    from rollcall.sources.readers import read_table, read_tables
+    from rollcall.sources.readers import jdbc_options, land_table, read_jdbc, read_table, read_tables
+    if args.command == "land":
+        names = [t.strip() for t in args.tables.split(",") if t.strip()]
+        options = [jdbc_options(args.url, t, user=args.user, password=args.password, driver=args.driver,
+                                partition_column=args.partition_column, lower_bound=args.lower,
+                                upper_bound=args.upper, num_partitions=args.partitions) for t in names]
+        spark = spark or build_session()
+        for name, opts in zip(names, options):
+            land_table(read_jdbc(spark, name, opts), args.out, name)
+        return 0
     spark = spark or build_session()
     tables = read_tables(spark, args.landing, fmt=args.format)
     if args.command == "editions":

@@ -4,16 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.sources.schemas import ALL, OPERATIONAL
 
 
 def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """Read one landed table with its declared schema (never inferred)."""
-    reader = spark.read.schema(ALL[name]).format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", "true").option("mode", "FAILFAST")
-    return reader.load(f"{base.rstrip('/')}/{name}")
+    """Read one landed table with its declared schema (never inferred).
+
+    CSV has no array type: an array column is landed as JSON text
+    (``[500, 501]``) and parsed into the declared element type.
+    """
+    schema = ALL[name]
+    path = f"{base.rstrip('/')}/{name}"
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    arrays = {f.name: f.dataType for f in schema.fields if isinstance(f.dataType, T.ArrayType)}
+    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) if f.name in arrays else f
+                                for f in schema.fields])
+    raw = (spark.read.schema(text_schema).option("header", "true").option("mode", "FAILFAST").csv(path))
+    return raw.select([F.from_json(F.col(f.name), arrays[f.name]).alias(f.name) if f.name in arrays
+                       else F.col(f.name) for f in schema.fields])
 
 
 def read_tables(spark: SparkSession, base: str, names=None, fmt: str = "parquet") -> dict[str, DataFrame]:

@@ -69,3 +69,18 @@ def test_scale_conf_for_100_tb():
     assert conf["spark.sql.shuffle.partitions"] == str(100 * 4096)
     assert conf["spark.sql.files.maxPartitionBytes"] == "256m"
     assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_csv_array_column_from_json_text(spark, tmp_path):
+    base = tmp_path / "land"
+    (base / "participant_options").mkdir(parents=True)
+    (base / "participant_options" / "a.csv").write_text('id,questionIDs\n1,"[500, 501]"\n2,[]\n')
+    rows = {r.id: r.questionIDs for r in read_table(spark, str(base), "participant_options", fmt="csv").collect()}
+    assert rows == {1: [500, 501], 2: []}
+
+
+def test_land_command_validates_split_options():
+    from rollcall.__main__ import main
+    with pytest.raises(ValueError):
+        main(["land", "--url", "jdbc:mysql://db:3306/x", "--tables", "event", "--partition-column", "id",
+              "--out", "/nonexistent"])
