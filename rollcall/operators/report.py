@@ -12,11 +12,14 @@ def join_addresses(participants: DataFrame, addresses: DataFrame, id_col: str =
                    names: dict[str, str] = REPORT_ADDRESS_NAMES) -> DataFrame:
     """``participants.*`` plus the renamed address fields, one row per match.
 
-    The address key is text and the participant key an integer: the text is
-    converted with ``try_cast`` so a malformed key misses instead of failing
-    the job.  A participant with several answered codes repeats.
+    The address key is text and the participant key an integer.  The text is
+    read as a number the way the original join compared them (``'12.0'`` is
+    12, blanks are trimmed) through ``decimal(38,0)``, and with ``try_cast``,
+    so a malformed key misses instead of failing the job.  A participant with
+    several answered codes repeats.
     """
-    addr = addresses.select(F.col("item_id").try_cast("bigint").alias("__rc_addr_key"),
+    key = F.col("item_id").try_cast("decimal(38,0)").try_cast("bigint")
+    addr = addresses.select(key.alias("__rc_addr_key"),
                             *[F.col(src).alias(dst) for src, dst in names.items()])
     return (participants.join(addr, F.col(id_col) == F.col("__rc_addr_key"), "left")
                         .drop("__rc_addr_key"))
