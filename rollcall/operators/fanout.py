@@ -10,7 +10,9 @@ A row that must be repeated more than ``HOT_COPIES`` times (a key holding a
 large share of the other side) would still be emitted by one task.  The
 per-key counts are small, so they are checked for such keys first; when one
 exists its copies are cut into chunks of ``HOT_COPIES`` and the chunks are
-hash-distributed over the shuffle partitions before being expanded.
+hash-distributed over the shuffle partitions before being expanded.  The
+per-key counts are written once to the shared checkpoint folder, so the check
+and the join read the same small table.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.session import materialize
+
 HOT_COPIES = 100_000
 _KEY, _COPIES, _REP, _CHUNK = "__rc_fan_key", "__rc_fan_copies", "__rc_fan_rep", "__rc_fan_chunk"
 
@@ -48,6 +52,9 @@ def repeat_rows(df: DataFrame, copies: Column, spread_by: str | None = None,
 
 
 def _multiply(df: DataFrame, id_col: str, per_key: DataFrame, default: int) -> DataFrame:
+    # One row per key, written once: the hot-key check and the join read it
+    # instead of aggregating the (whole) other side twice.
+    per_key = materialize(per_key, "per-key")
     hot = per_key.filter(F.col(_COPIES) > HOT_COPIES).limit(1).count() > 0
     joined = df.join(per_key, F.col(id_col) == F.col(_KEY), "left")
     copies = F.coalesce(F.col(_COPIES), F.lit(default))
