@@ -26,7 +26,7 @@ from rollcall.operators.postal import normalise_postal_codes, profile_postal_cod
 from rollcall.operators.report import join_addresses
 from rollcall.operators.sizing import broadcast_if_small
 from rollcall.operators.trades import correlate_trades
-from rollcall.plans.extract import _checkout_tickets, extract_forms, extract_participants
+from rollcall.plans.extract import checkout_tickets, extract_forms, extract_participants
 from rollcall.plans.testdata_model import (landed_responses, operational_tables, postal_answer,
                                             read_driver_table)
 from rollcall.sources.sinks import edition_label
@@ -73,7 +73,7 @@ def _paid_edition_participants(m):
     people = m["checkoutparticipant"].select(F.col("id").alias("item_id"), F.col("sessionId").alias("__session"),
                                              F.col("checkoutEventTicketBatchPriceId").alias("__cprice"))
     return (people.join(sessions, "__session")
-                  .join(_checkout_tickets(m, EDITION, EXCLUDED_EVENTS), "__cprice"))
+                  .join(checkout_tickets(m, EDITION, EXCLUDED_EVENTS), "__cprice"))
 
 
 def q_paid_star_join(spark, sf_dir):

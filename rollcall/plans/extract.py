@@ -52,7 +52,7 @@ def checked_edition_tickets(tables: dict[str, DataFrame], edition: str) -> DataF
     return broadcast_if_small(edition_tickets(tables, edition))
 
 
-def _checkout_tickets(tables, edition, excluded_events=(), tickets: DataFrame | None = None) -> DataFrame:
+def checkout_tickets(tables, edition, excluded_events=(), tickets: DataFrame | None = None) -> DataFrame:
     """``__cprice`` -> edition ticket columns (checkout-level price rows of the edition)."""
     cp = tables["checkouteventticketbatchprice"].select(
         F.col("id").alias("__cprice"), F.col("eventTicketBatchPriceId").alias("__price"))
@@ -94,7 +94,7 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
         F.col("id").alias("__pid"), F.col("sessionId").alias("__session"),
         F.col("checkoutEventTicketBatchPriceId").alias("__cprice"),
         local_date("createdAt").alias("data_compra"))
-    buyers = buyers.join(_checkout_tickets(tables, edition, tickets=tickets), "__cprice")
+    buyers = buyers.join(checkout_tickets(tables, edition, tickets=tickets), "__cprice")
     buyers = buyers.join(_paid_sessions(tables).select(F.col("id").alias("__session")), "__session")
     buyers = keep_unused_fanout(buyers, tables["eventticketcomplement"], "__ticket", "ticketId")
     buyers = without_partial_cancel(buyers, tables["checkoutorderticketpartialcancel"], "__pid")
@@ -135,7 +135,7 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
     # Joins grouped by key: the edition filter first (most selective), then the
     # three session-keyed joins back to back (one shuffle of the participant side),
     # then the participant-keyed ones.
-    p = people.join(_checkout_tickets(tables, edition, excluded_events, tickets), "__cprice")
+    p = people.join(checkout_tickets(tables, edition, excluded_events, tickets), "__cprice")
     payments = tables["checkoutpayment"].select(F.col("sessionId").alias("__session"),
                                                 F.col("paymentOption").alias("__payment"))
     summary = tables["checkoutsummary"].select(F.col("sessionId").alias("__session"),

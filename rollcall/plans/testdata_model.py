@@ -27,7 +27,7 @@ from rollcall.sources.schemas import DRIVER, OPERATIONAL
 # Postal answers by order priority: well formed, underscores, short, long,
 # without hyphen (or missing for pending orders); F/O/P statuses spell the
 # field id differently (case, accent) to exercise the collated join.
-_PRIORITY_ANSWER = """
+PRIORITY_ANSWER_SQL = """
   CASE o_orderpriority
     WHEN '1-URGENT' THEN substr(lpad(CAST(o_orderkey AS STRING), 8, '0'), 1, 5) || '-' ||
                          substr(lpad(CAST(o_orderkey AS STRING), 8, '0'), 6, 3)
@@ -42,7 +42,7 @@ _PRIORITY_ANSWER = """
 
 
 def postal_answer() -> "F.Column":
-    return F.expr(_PRIORITY_ANSWER)
+    return F.expr(PRIORITY_ANSWER_SQL)
 
 
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
