@@ -52,14 +52,27 @@ def checked_edition_tickets(tables: dict[str, DataFrame], edition: str) -> DataF
     return broadcast_if_small(edition_tickets(tables, edition))
 
 
+def _edition_dim(tables, edition, excluded_events=(), tickets: DataFrame | None = None) -> DataFrame:
+    dim = tickets if tickets is not None else checked_edition_tickets(tables, edition)
+    if excluded_events:
+        dim = dim.filter(~F.col("__event").isin(list(excluded_events)))
+    return dim
+
+
 def checkout_tickets(tables, edition, excluded_events=(), tickets: DataFrame | None = None) -> DataFrame:
     """``__cprice`` -> edition ticket columns (checkout-level price rows of the edition)."""
     cp = tables["checkouteventticketbatchprice"].select(
         F.col("id").alias("__cprice"), F.col("eventTicketBatchPriceId").alias("__price"))
-    dim = tickets if tickets is not None else checked_edition_tickets(tables, edition)
-    if excluded_events:
-        dim = dim.filter(~F.col("__event").isin(list(excluded_events)))
-    return cp.join(dim, "__price")
+    return cp.join(_edition_dim(tables, edition, excluded_events, tickets), "__price")
+
+
+def _of_edition(catalogue: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Rows of an all-events catalogue that belong to the edition (semi-join on the small dimension).
+
+    Keeps catalogue tables edition-sized, so their own broadcast check holds
+    however many events the catalogue spans.
+    """
+    return catalogue.join(dim.select(key), key, "left_semi")
 
 
 def _paid_sessions(tables) -> DataFrame:
@@ -94,9 +107,12 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
         F.col("id").alias("__pid"), F.col("sessionId").alias("__session"),
         F.col("checkoutEventTicketBatchPriceId").alias("__cprice"),
         local_date("createdAt").alias("data_compra"))
-    buyers = buyers.join(checkout_tickets(tables, edition, tickets=tickets), "__cprice")
+    dim = _edition_dim(tables, edition, tickets=tickets)
+    buyers = buyers.join(checkout_tickets(tables, edition, tickets=dim), "__cprice")
     buyers = buyers.join(_paid_sessions(tables).select(F.col("id").alias("__session")), "__session")
-    buyers = keep_unused_fanout(buyers, tables["eventticketcomplement"], "__ticket", "ticketId")
+    complements = _of_edition(tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket")),
+                              dim, "__ticket")
+    buyers = keep_unused_fanout(buyers, complements, "__ticket", "__ticket")
     buyers = without_partial_cancel(buyers, tables["checkoutorderticketpartialcancel"], "__pid")
     forms = answers.join(buyers, F.col("participant_id") == F.col("__pid")).select(
         "participant_id", "data_compra", F.col("__edition").alias("edicao"),
@@ -135,17 +151,20 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
     # Joins grouped by key: the edition filter first (most selective), then the
     # three session-keyed joins back to back (one shuffle of the participant side),
     # then the participant-keyed ones.
-    p = people.join(checkout_tickets(tables, edition, excluded_events, tickets), "__cprice")
+    dim = _edition_dim(tables, edition, excluded_events, tickets)
+    p = people.join(checkout_tickets(tables, edition, tickets=dim), "__cprice")
     payments = tables["checkoutpayment"].select(F.col("sessionId").alias("__session"),
                                                 F.col("paymentOption").alias("__payment"))
     summary = tables["checkoutsummary"].select(F.col("sessionId").alias("__session"),
                                                F.col("ticketInsurance").alias("__insurance"))
     p = (p.join(sessions, "__session").withColumn("order_id", F.col("__session"))
           .join(payments, "__session", "left").join(summary, "__session", "left"))
-    types = tables["eventticketbatchpricetype"].select(F.col("id").alias("__type"),
-                                                       F.col("name").alias("ticket_type"))
-    races = tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket"),
-                                                   F.col("nameParsed").alias("race"))
+    types = _of_edition(tables["eventticketbatchpricetype"].select(F.col("id").alias("__type"),
+                                                                  F.col("name").alias("ticket_type")),
+                        dim, "__type")
+    races = _of_edition(tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket"),
+                                                               F.col("nameParsed").alias("race")),
+                        dim, "__ticket")
     p = p.join(broadcast_if_small(types), "__type", "left").join(broadcast_if_small(races), "__ticket", "left")
     trades_fanout = () if drop_unused_fanout else ((tables["tradecheckoutsession"], "participantId"),)
     p = multiply_by_matches(p, "item_id", tables["checkoutorderticketpartialcancel"], trades_fanout)
