@@ -20,3 +20,19 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+# An id set is one long per row: a bound of 5,000,000 keeps its broadcast hash
+# table near 100 MB on every executor.
+ID_SET_ROWS = 5_000_000
+_IDS = "__rc_ids"
+
+
+def key_set(df: DataFrame, col: str, max_rows: int = ID_SET_ROWS) -> DataFrame:
+    """Distinct non-null values of ``col`` as column ``__rc_ids``, broadcast when the bound holds."""
+    ids = df.select(F.col(col).alias(_IDS)).filter(F.col(_IDS).isNotNull()).distinct()
+    return broadcast_if_small(ids, max_rows)
+
+
+def restrict(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``col`` is in ``ids`` (a semi-join: a map-side filter when ids are broadcast)."""
+    return df.join(ids, F.col(col) == F.col(_IDS), "left_semi")

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from rollcall.fixed_values import PAID_STATUS
 from rollcall.functions.labels import full_name
-from rollcall.operators.sizing import broadcast_if_small
+from rollcall.operators.sizing import broadcast_if_small, restrict
 from rollcall.session import materialize
 
 
 def correlate_trades(df: DataFrame, trades: DataFrame, participants: DataFrame, id_col: str,
-                     paid_status: str = PAID_STATUS) -> DataFrame:
+                     paid_status: str = PAID_STATUS, ids: DataFrame | None = None) -> DataFrame:
     """Add ``correlated_item_id`` and ``correlated_participant``.
 
     Two left joins on the participant id, both over paid trades:
@@ -24,22 +24,27 @@ def correlate_trades(df: DataFrame, trades: DataFrame, participants: DataFrame,
       item is ``participantId``, the name is the one stored on the trade.
 
     Id and name are coalesced independently (new-item side first), and several
-    paid trades per participant multiply its rows, as the joins do.
+    paid trades per participant multiply its rows, as the joins do.  ``ids``
+    (a ``key_set`` of ``df``'s ids) restricts each side to the trades that can
+    meet ``df`` before anything is shuffled.
     """
     paid = trades.filter(F.col("status") == F.lit(paid_status))
+    by_participant = restrict(paid, "participantId", ids) if ids is not None else paid
+    by_original = restrict(paid, "originalParticipantId", ids) if ids is not None else paid
     # Only the holders of traded tickets are needed: the participant table is
     # semi-joined to the (size-checked, broadcast) set of their ids, so it is
     # scanned but never shuffled whole for a handful of names.  The id set is
     # written once, so the size check and the join do not both compute it.
-    wanted = materialize(paid.select(F.col("originalParticipantId").alias("__rc_holder_id")).distinct(), "traded")
+    wanted = materialize(by_participant.select(F.col("originalParticipantId").alias("__rc_holder_id"))
+                                       .distinct(), "traded")
     holders = (participants.select(F.col("id").alias("__rc_holder_id"),
                                    full_name("name", "surname").alias("__rc_holder_name"))
                            .join(broadcast_if_small(wanted), "__rc_holder_id", "left_semi"))
-    as_old = (paid.select(F.col("participantId").alias("__rc_old_key"),
+    as_old = (by_participant.select(F.col("participantId").alias("__rc_old_key"),
                           F.col("originalParticipantId").alias("__rc_old_new_item"))
                   .join(holders, F.col("__rc_old_new_item") == F.col("__rc_holder_id"), "left")
                   .drop("__rc_holder_id"))
-    as_new = paid.select(F.col("originalParticipantId").alias("__rc_new_key"),
+    as_new = by_original.select(F.col("originalParticipantId").alias("__rc_new_key"),
                          F.col("participantId").alias("__rc_new_old_item"),
                          full_name("participantName", "participantSurname").alias("__rc_new_name"))
     out = (df.join(as_old, F.col(id_col) == F.col("__rc_old_key"), "left")

@@ -23,8 +23,9 @@ from rollcall.operators.batching import number_batches
 from rollcall.operators.collation import join_collated
 from rollcall.operators.fanout import keep_unused_fanout, multiply_by_matches, without_partial_cancel
 from rollcall.operators.options import option_answer_groups, unnest_options
-from rollcall.operators.sizing import broadcast_if_small
+from rollcall.operators.sizing import broadcast_if_small, key_set, restrict
 from rollcall.operators.trades import correlate_trades
+from rollcall.session import materialize
 
 FORMS_COLUMNS = ("batch_number", "participant_id", "data_compra", "edicao", "evento", "field_id",
                  "pergunta_cadastrada", "pergunta_tratada", "cep")
@@ -98,11 +99,6 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
                  .filter(F.col("placeholderParsed") == F.lit(fv.POSTAL_QUESTION))
                  .select(F.col("fieldId").alias("__q_field"), F.col("placeholder").alias("pergunta_cadastrada"),
                          F.col("placeholderParsed").alias("pergunta_tratada")))
-    answers = (tables["formfieldanswer"]
-               .filter(~F.col("answer").isin(list(fv.REJECTED_ANSWERS)))
-               .select(F.col("checkoutParticipantId").alias("participant_id"),
-                       F.col("fieldId").alias("field_id"), F.col("answer").alias("cep")))
-    answers = join_collated(answers, "field_id", questions, "__q_field", collation).drop("__q_field")
     buyers = purchased_between(tables["checkoutparticipant"], "createdAt", first, last).select(
         F.col("id").alias("__pid"), F.col("sessionId").alias("__session"),
         F.col("checkoutEventTicketBatchPriceId").alias("__cprice"),
@@ -110,10 +106,20 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
     dim = _edition_dim(tables, edition, tickets=tickets)
     buyers = buyers.join(checkout_tickets(tables, edition, tickets=dim), "__cprice")
     buyers = buyers.join(_paid_sessions(tables).select(F.col("id").alias("__session")), "__session")
+    # The edition's buyers, written once; their id set then filters the
+    # all-events answer and cancellation tables before anything is shuffled.
+    buyers = materialize(buyers, "edition-buyers")
+    ids = key_set(buyers, "__pid")
+    answers = (restrict(tables["formfieldanswer"], "checkoutParticipantId", ids)
+               .filter(~F.col("answer").isin(list(fv.REJECTED_ANSWERS)))
+               .select(F.col("checkoutParticipantId").alias("participant_id"),
+                       F.col("fieldId").alias("field_id"), F.col("answer").alias("cep")))
+    answers = join_collated(answers, "field_id", questions, "__q_field", collation).drop("__q_field")
     complements = _of_edition(tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket")),
                               dim, "__ticket")
     buyers = keep_unused_fanout(buyers, complements, "__ticket", "__ticket")
-    buyers = without_partial_cancel(buyers, tables["checkoutorderticketpartialcancel"], "__pid")
+    cancels = restrict(tables["checkoutorderticketpartialcancel"], "participantId", ids)
+    buyers = without_partial_cancel(buyers, cancels, "__pid")
     forms = answers.join(buyers, F.col("participant_id") == F.col("__pid")).select(
         "participant_id", "data_compra", F.col("__edition").alias("edicao"),
         F.col("__event_title").alias("evento"), "field_id", "pergunta_cadastrada",
@@ -166,10 +172,17 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
                                                                F.col("nameParsed").alias("race")),
                         dim, "__ticket")
     p = p.join(broadcast_if_small(types), "__type", "left").join(broadcast_if_small(races), "__ticket", "left")
-    trades_fanout = () if drop_unused_fanout else ((tables["tradecheckoutsession"], "participantId"),)
-    p = multiply_by_matches(p, "item_id", tables["checkoutorderticketpartialcancel"], trades_fanout)
+    # The edition's participants, written once; their id set filters every
+    # all-events table below (cancellations, trades, option choices) in its
+    # scan, before any aggregate, explode or shuffle.
+    p = materialize(p, "edition-participants")
+    ids = key_set(p, "item_id")
+    trades = tables["tradecheckoutsession"]
+    cancels = restrict(tables["checkoutorderticketpartialcancel"], "participantId", ids)
+    trades_fanout = () if drop_unused_fanout else ((restrict(trades, "participantId", ids), "participantId"),)
+    p = multiply_by_matches(p, "item_id", cancels, trades_fanout)
     options = option_answer_groups(
-        unnest_options(tables["participant_options"]), tables["eventticketstockitems"],
+        unnest_options(restrict(tables["participant_options"], "id", ids)), tables["eventticketstockitems"],
         tables["eventticketstockitemscomplement"], tables["eventticketstock"],
         {"shirts": (fv.SHIRT_STOCK_NAMES, {"nameParsed": "shirt"}),
          "kits": (fv.KIT_PICKUP_STOCK_NAMES, {"day": "pickup_day", "hour": "pickup_hour"})},
@@ -178,7 +191,7 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
     kits = options["kits"].withColumnRenamed("__opt_pid", "__kit_pid")
     p = (p.join(shirts, F.col("item_id") == F.col("__shirt_pid"), "left")
           .join(kits, F.col("item_id") == F.col("__kit_pid"), "left"))
-    p = correlate_trades(p, tables["tradecheckoutsession"], tables["checkoutparticipant"], "item_id")
+    p = correlate_trades(p, trades, tables["checkoutparticipant"], "item_id", ids=ids)
     age = age_years("birth_date", as_of)
     report = p.select(
         "item_id", "order_id", "purchase_date", "participant", "correlated_item_id",
