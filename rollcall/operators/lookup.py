@@ -5,7 +5,10 @@ Responses are landed once per (provider, requested code) in the
 provider row by row, falling back to the next one on failure; here the
 same decisions are joins:
 
-* each distinct code is decided once (identical codes are not re-asked);
+* each distinct code is decided once (identical codes are not re-asked); the
+  codes in use are written once and, when their number is within the id-set
+  bound, broadcast so the responses landing (every code ever requested) is
+  filtered in its scan instead of shuffled;
 * a provider *accepts* a code in the fallback chain when its body is a JSON
   object holding the key ``cep`` (its value may be null);
 * one aggregate per code keeps every provider's latest body (``max_by``,
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 
 from rollcall.fixed_values import ADDRESS_FIELDS, PROVIDERS
 from rollcall.functions.responses import address_fields, has_key, is_object, provider_accepts
+from rollcall.operators.sizing import ID_SET_ROWS, broadcast_if_small
 from rollcall.session import materialize
 
 PROVIDER_ORDER = tuple(name for name, _, _ in PROVIDERS)
@@ -50,7 +54,13 @@ def latest_responses(responses: DataFrame) -> DataFrame:
 
 
 def _codes_in_use(forms: DataFrame, code_col: str) -> DataFrame:
-    return forms.select(F.col(code_col).alias("cep_requested")).distinct()
+    """Distinct codes of the form rows, written once (a partial aggregate collapses hot codes)."""
+    return materialize(forms.select(F.col(code_col).alias("cep_requested")).distinct(), "codes")
+
+
+def _answered(responses: DataFrame, codes: DataFrame) -> DataFrame:
+    """Responses for the codes in use only: a scan-side filter when the code set is broadcast."""
+    return responses.join(broadcast_if_small(codes, ID_SET_ROWS), "cep_requested", "left_semi")
 
 
 def parse_responses(responses: DataFrame, provider: str) -> DataFrame:
@@ -73,8 +83,7 @@ def lookup_provider(forms: DataFrame, responses: DataFrame, provider: str,
     original job skipped or aborted on these and counted them nowhere).
     ``counters`` has ``ok``, ``nok`` and the extra ``errors``.
     """
-    used = _codes_in_use(forms, code_col)
-    parsed = parse_responses(responses.join(used, "cep_requested", "left_semi"), provider)
+    parsed = parse_responses(_answered(responses, _codes_in_use(forms, code_col)), provider)
     joined = forms.join(parsed, F.col(code_col) == F.col("cep_requested"), "left")
     status = (F.when(F.col("accepted"), F.lit("ok"))
                 .when(F.col("is_object"), F.lit("nok"))
@@ -101,9 +110,8 @@ def code_winners(responses: DataFrame, codes: DataFrame, providers=PROVIDER_ORDE
         mine = F.col("provider") == F.lit(name)
         latest.append(F.max_by(F.when(mine, F.col("body")), F.when(mine, F.struct("fetched_at", "body")))
                        .alias(f"__rc_b{i}"))
-    per_code = (responses.filter(F.col("provider").isin(list(providers)))
-                         .join(codes, "cep_requested", "left_semi")
-                         .groupBy("cep_requested").agg(*latest))
+    per_code = (_answered(responses.filter(F.col("provider").isin(list(providers))), codes)
+                .groupBy("cep_requested").agg(*latest))
     rank = F.when(has_key(F.col("__rc_b1")), F.lit(1))
     body = F.when(has_key(F.col("__rc_b1")), F.col("__rc_b1"))
     for i in range(2, len(providers) + 1):
