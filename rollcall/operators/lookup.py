@@ -6,9 +6,9 @@ provider row by row, falling back to the next one on failure; here the
 same decisions are joins:
 
 * each distinct code is decided once (identical codes are not re-asked); the
-  codes in use are written once and, when their number is within the id-set
-  bound, broadcast so the responses landing (every code ever requested) is
-  filtered in its scan instead of shuffled;
+  codes in use are written once and, when their number is within the
+  broadcast bound, broadcast so the responses landing (every code ever
+  requested) is filtered in its scan instead of shuffled;
 * a provider *accepts* a code in the fallback chain when its body is a JSON
   object holding the key ``cep`` (its value may be null);
 * one aggregate per code keeps every provider's latest body (``max_by``,
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from rollcall.fixed_values import ADDRESS_FIELDS, PROVIDERS
 from rollcall.functions.responses import address_fields, has_key, is_object, provider_accepts
-from rollcall.operators.sizing import ID_SET_ROWS, broadcast_if_small
+from rollcall.operators.sizing import broadcast_if_small
 from rollcall.session import materialize
 
 PROVIDER_ORDER = tuple(name for name, _, _ in PROVIDERS)
@@ -60,7 +60,7 @@ def _codes_in_use(forms: DataFrame, code_col: str) -> DataFrame:
 
 def _answered(responses: DataFrame, codes: DataFrame) -> DataFrame:
     """Responses for the codes in use only: a scan-side filter when the code set is broadcast."""
-    return responses.join(broadcast_if_small(codes, ID_SET_ROWS), "cep_requested", "left_semi")
+    return responses.join(broadcast_if_small(codes), "cep_requested", "left_semi")
 
 
 def parse_responses(responses: DataFrame, provider: str) -> DataFrame:

@@ -21,9 +21,9 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
-# An id set is one long per row: a bound of 5,000,000 keeps its broadcast hash
-# table near 100 MB on every executor.
-ID_SET_ROWS = 5_000_000
+# An id set is one long per row: a bound of 2,000,000 keeps its broadcast hash
+# table (built on the driver, then sent to every executor) near 32 MB.
+ID_SET_ROWS = 2_000_000
 _IDS = "__rc_ids"
 
 
