@@ -16,9 +16,15 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    import os
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.isdir(path):
+            path = f"{path}/*.parquet"
+        elif not os.path.exists(path):
+            continue
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 
