@@ -35,10 +35,14 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("--upper", type=int, default=None)
     land.add_argument("--partitions", type=int, default=None)
     land.add_argument("--out", required=True)
+    land.add_argument("--month-partitioned", action="store_true",
+                      help="partition purchase-dated tables by month of createdAt")
     for name in ("editions", "extract", "report"):
         s = sub.add_parser(name)
         s.add_argument("--landing", required=True)
         s.add_argument("--format", default="parquet", choices=("parquet", "csv"))
+        s.add_argument("--month-partitioned", action="store_true",
+                       help="the landing was written with land --month-partitioned")
         if name == "editions":
             s.add_argument("--contains", default=None)
             s.add_argument("--out", default=None, help="write here instead of printing")
@@ -56,7 +60,8 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv=None, spark=None) -> int:
     args = _parser().parse_args(argv)
     from rollcall.session import build_session
-    from rollcall.sources.readers import jdbc_options, land_table, read_jdbc, read_table, read_tables
+    from rollcall.sources.readers import (PURCHASE_DATED, jdbc_options, land_table, read_jdbc, read_table,
+                                          read_tables)
     if args.command == "land":
         names = [t.strip() for t in args.tables.split(",") if t.strip()]
         options = [jdbc_options(args.url, t, user=args.user, password=args.password, driver=args.driver,
@@ -64,10 +69,12 @@ def main(argv=None, spark=None) -> int:
                                 upper_bound=args.upper, num_partitions=args.partitions) for t in names]
         spark = spark or build_session()
         for name, opts in zip(names, options):
-            land_table(read_jdbc(spark, name, opts), args.out, name)
+            month_of = PURCHASE_DATED.get(name) if args.month_partitioned else None
+            land_table(read_jdbc(spark, name, opts), args.out, name, month_of=month_of)
         return 0
     spark = spark or build_session()
-    tables = read_tables(spark, args.landing, fmt=args.format)
+    tables = read_tables(spark, args.landing, fmt=args.format,
+                         months=PURCHASE_DATED if args.month_partitioned else None)
     if args.command == "editions":
         from rollcall.operators.catalogue import list_editions
         editions = list_editions(tables["eventcomplement"], args.contains)

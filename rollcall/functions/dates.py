@@ -45,7 +45,9 @@ def purchased_between(df: DataFrame, col: str, first, last,
 
     Written as a half-open range on the raw column, so the predicate is
     pushed into the Parquet scan (a predicate on the shifted, cast value is
-    not).  Same rows as ``local_date(col) BETWEEN first AND last``.
+    not).  When the table carries the ``<col>_month`` partition column of
+    ``land_table(month_of=col)``, the months outside the range are pruned too.
+    Same rows as ``local_date(col) BETWEEN first AND last``.
     """
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.DateType):
@@ -62,4 +64,11 @@ def purchased_between(df: DataFrame, col: str, first, last,
         cond = cond & (F.col(col) >= F.lit(lo.isoformat(sep=" ")).cast(cast_to))
     if hi is not None:
         cond = cond & (F.col(col) < F.lit(hi.isoformat(sep=" ")).cast(cast_to))
+    month = f"{col}_month"
+    if month in df.columns:
+        # Landed partitioned by the column's UTC month: prune whole months.
+        if lo is not None:
+            cond = cond & (F.col(month) >= F.lit(lo.strftime("%Y-%m")))
+        if hi is not None:
+            cond = cond & (F.col(month) <= F.lit((hi - dt.timedelta(microseconds=1)).strftime("%Y-%m")))
     return df.filter(cond)

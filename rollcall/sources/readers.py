@@ -9,13 +9,18 @@ from pyspark.sql import types as T
 from rollcall.sources.schemas import ALL, OPERATIONAL
 
 
-def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet") -> DataFrame:
+def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet",
+               month_of: str | None = None) -> DataFrame:
     """Read one landed table with its declared schema (never inferred).
 
-    CSV has no array type: an array column is landed as JSON text
-    (``[500, 501]``) and parsed into the declared element type.
+    ``month_of`` declares the month partition column written by
+    ``land_table(month_of=…)``.  CSV has no array type: an array column is
+    landed as JSON text (``[500, 501]``) and parsed into the declared element
+    type.
     """
     schema = ALL[name]
+    if month_of:
+        schema = T.StructType(schema.fields + [T.StructField(month_column(month_of), T.StringType(), True)])
     path = f"{base.rstrip('/')}/{name}"
     if fmt != "csv":
         return spark.read.schema(schema).format(fmt).load(path)
@@ -27,8 +32,15 @@ def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet")
                        else F.col(f.name) for f in schema.fields])
 
 
-def read_tables(spark: SparkSession, base: str, names=None, fmt: str = "parquet") -> dict[str, DataFrame]:
-    return {name: read_table(spark, base, name, fmt) for name in (names or OPERATIONAL)}
+# Tables whose purchase date filters extractions: landed month-partitioned by it.
+PURCHASE_DATED = {"checkoutparticipant": "createdAt", "checkoutsession": "createdAt"}
+
+
+def read_tables(spark: SparkSession, base: str, names=None, fmt: str = "parquet",
+                months: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Read landed tables; ``months`` maps a table to its month-partition source column."""
+    months = months or {}
+    return {name: read_table(spark, base, name, fmt, months.get(name)) for name in (names or OPERATIONAL)}
 
 
 def jdbc_options(url: str, table: str, *, user: str | None = None, password: str | None = None,
@@ -66,9 +78,22 @@ def read_jdbc(spark: SparkSession, name: str, options: dict[str, str]) -> DataFr
     return raw.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def land_table(df: DataFrame, base: str, name: str, partition_by=()) -> str:
-    """Write a scanned table as Parquet so later runs read it column-pruned."""
+def month_column(col: str) -> str:
+    """Name of the month partition column derived from timestamp ``col``."""
+    return f"{col}_month"
+
+
+def land_table(df: DataFrame, base: str, name: str, partition_by=(), month_of: str | None = None) -> str:
+    """Write a scanned table as Parquet so later runs read it column-pruned.
+
+    ``month_of`` names a timestamp column; the table is then partitioned by its
+    UTC month (``<col>_month``, ``yyyy-MM``), and ``purchased_between`` on that
+    column reads only the months of its range (static partition pruning).
+    """
     path = f"{base.rstrip('/')}/{name}"
+    if month_of:
+        df = df.withColumn(month_column(month_of), F.date_format(F.col(month_of), "yyyy-MM"))
+        partition_by = (*partition_by, month_column(month_of))
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -27,3 +27,16 @@ def test_cli_extract_and_report(spark, tables, tmp_path):
     assert report.filter("itemID = 1").select("cidade").distinct().collect()[0][0] == "SP"
     counters = spark.read.parquet(str(tmp_path / "r_counters")).first().asDict()
     assert counters["ok"] == 2 and counters["nok"] == 2   # participants 1 and 11 answered 01310-100
+
+
+def test_cli_reads_month_partitioned_landing(spark, tables, tmp_path):
+    from rollcall.sources.readers import PURCHASE_DATED, land_table
+    base = str(tmp_path / "landing")
+    _land(spark, tables, base)
+    for name, col in PURCHASE_DATED.items():
+        land_table(tables[name], base, name, month_of=col)
+    args = ["--landing", base, "--edition", "10 Milhas RJ", "--first", "2023-12-31", "--last", "2024-01-31",
+            "--as-of", "2025-06-30", "--rows-per-batch", "3", "--month-partitioned"]
+    assert main(["extract", *args, "--out", str(tmp_path / "x")], spark) == 0
+    assert spark.read.parquet(str(tmp_path / "x" / "participants")).count() == 14
+    assert spark.read.parquet(str(tmp_path / "x" / "forms")).count() == 4

@@ -84,3 +84,17 @@ def test_land_command_validates_split_options():
     with pytest.raises(ValueError):
         main(["land", "--url", "jdbc:mysql://db:3306/x", "--tables", "event", "--partition-column", "id",
               "--out", "/nonexistent"])
+
+
+def test_month_partitions_are_pruned(spark, tables, tmp_path):
+    from rollcall.sources.readers import land_table
+    base = str(tmp_path / "landing")
+    land_table(tables["checkoutsession"], base, "checkoutsession", month_of="createdAt")
+    landed = read_table(spark, base, "checkoutsession", month_of="createdAt")
+    got = purchased_between(landed, "createdAt", "2024-01-02", "2024-01-06")
+    want = purchased_between(tables["checkoutsession"], "createdAt", "2024-01-02", "2024-01-06")
+    assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect()) == [14, 15, 16, 17, 18, 19]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(createdAt_month" in plan and "2024-01" in plan
+    first_day = purchased_between(landed, "createdAt", "2023-12-31", "2023-12-31")
+    assert sorted(r.id for r in first_day.collect()) == [11]   # 2024-01-01 02:00 UTC is Dec 31 local
