@@ -98,3 +98,33 @@ def test_month_partitions_are_pruned(spark, tables, tmp_path):
     assert "PartitionFilters: [isnotnull(createdAt_month" in plan and "2024-01" in plan
     first_day = purchased_between(landed, "createdAt", "2023-12-31", "2023-12-31")
     assert sorted(r.id for r in first_day.collect()) == [11]   # 2024-01-01 02:00 UTC is Dec 31 local
+
+
+class _Conf(dict):
+    def get(self, key, default=None):
+        return super().get(key, default)
+
+
+class _Context:
+    def __init__(self, master):
+        self.master, self._dir = master, None
+
+    def getCheckpointDir(self):
+        return self._dir
+
+    def setCheckpointDir(self, d):
+        self._dir = d
+
+
+class _Session:
+    def __init__(self, master, conf):
+        self.sparkContext, self.conf = _Context(master), _Conf(conf)
+
+
+def test_checkpoint_dir_never_invented_on_a_cluster():
+    from rollcall.session import ensure_checkpoint_dir
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Session("yarn", {}))
+    shared = _Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
+    assert ensure_checkpoint_dir(shared) == "hdfs:///shared/ckpt"
+    assert shared.sparkContext.getCheckpointDir() == "hdfs:///shared/ckpt"
