@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollcall.functions.responses import address_fields, has_key, is_object
 from rollcall.operators.lookup import PROVIDER_ORDER
+from rollcall.session import ensure_checkpoint_dir
 from rollcall.sources.schemas import RESPONSES
 
 
@@ -29,13 +30,16 @@ def parsed_responses(responses: DataFrame, providers=PROVIDER_ORDER) -> DataFram
         address_fields("body").alias("fields"))
 
 
-def land_parsed_responses(spark: SparkSession, source: str, sink: str, checkpoint: str,
+def land_parsed_responses(spark: SparkSession, source: str, sink: str, checkpoint: str | None = None,
                           once: bool = True) -> StreamingQuery:
     """Append parsed responses from ``source`` to ``sink`` (exactly once via ``checkpoint``).
 
-    ``checkpoint`` must be a folder the whole cluster shares.  ``once`` runs
-    until the files present now are processed (``availableNow``).
+    ``checkpoint`` must be a folder the whole cluster shares; by default it is
+    ``streams/parsed-responses`` under the session's checkpoint folder.
+    ``once`` runs until the files present now are processed (``availableNow``).
     """
+    if checkpoint is None:
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/parsed-responses"
     stream = parsed_responses(read_response_stream(spark, source))
     writer = (stream.writeStream.format("parquet").option("path", sink)
               .option("checkpointLocation", checkpoint).outputMode("append"))
