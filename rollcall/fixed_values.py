@@ -48,6 +48,13 @@ PROVIDERS = (
     ("apicep", "code", "not_found"),
 )
 ACCEPT_KEY = "cep"
+# Request URL of each provider; the code (NNNNN-NNN) replaces the placeholder.
+URL_PLACEHOLDER = "replace_cep"
+PROVIDER_URLS = {
+    "brasilapi": "https://brasilapi.com.br/api/cep/v1/replace_cep",
+    "viacep": "https://viacep.com.br/ws/replace_cep/json/",
+    "apicep": "https://cdn.apicep.com/file/apicep/replace_cep.json",
+}
 ADDRESS_FIELDS = ("cep", "state", "city", "neighborhood", "street", "service")
 
 # --- fixed values: display names --------------------------------------------

@@ -32,7 +32,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.fixed_values import ADDRESS_FIELDS, PROVIDERS
+from rollcall.fixed_values import ADDRESS_FIELDS, PROVIDER_URLS, PROVIDERS, URL_PLACEHOLDER
 from rollcall.functions.responses import address_fields, has_key, is_object, provider_accepts
 from rollcall.operators.sizing import broadcast_if_small
 from rollcall.session import materialize
@@ -122,6 +122,40 @@ def code_winners(responses: DataFrame, codes: DataFrame, providers=PROVIDER_ORDE
         "cep_requested", "winner_rank", address_fields(F.col("__rc_body")).alias("fields"))
 
 
+def pending_requests(forms: DataFrame, responses: DataFrame, providers=PROVIDER_ORDER,
+                     code_col: str = "parsed_ceps", urls: dict[str, str] = PROVIDER_URLS) -> DataFrame:
+    """The next request of the fallback chain for every code in use: ``provider``, ``cep_requested``, ``url``.
+
+    Walking the providers in order, a code needs the first provider that has
+    no landed answer yet, as long as every earlier provider answered without
+    accepting; a code some provider accepted, or that every provider
+    answered, needs nothing.  An external fetcher lands the answers to these
+    requests in ``responses`` and the next call yields the following step,
+    so each code is asked once per provider and never past its first success.
+    """
+    codes = _codes_in_use(forms, code_col)
+    answered = []
+    for i, name in enumerate(providers, start=1):
+        mine = F.col("provider") == F.lit(name)
+        answered.append(F.max(F.when(mine, F.lit(True))).alias(f"__rc_a{i}"))
+        answered.append(F.max_by(F.when(mine, F.col("body")), F.when(mine, F.struct("fetched_at", "body")))
+                         .alias(f"__rc_b{i}"))
+    state = (_answered(responses.filter(F.col("provider").isin(list(providers))), codes)
+             .groupBy("cep_requested").agg(*answered))
+    step = None
+    for i in range(1, len(providers) + 1):
+        missing, accepted = F.col(f"__rc_a{i}").isNull(), has_key(F.col(f"__rc_b{i}"))
+        step = (F.when(missing, F.lit(i)) if step is None else step.when(missing, F.lit(i))).when(
+            accepted, F.lit(None).cast("int"))
+    names = F.element_at(F.array(*[F.lit(n) for n in providers]), F.col("__rc_step"))
+    templates = F.element_at(F.array(*[F.lit(urls[n]) for n in providers]), F.col("__rc_step"))
+    decided = codes.join(state, "cep_requested", "left")   # a code nobody answered: first provider
+    return (decided.select("cep_requested", step.alias("__rc_step"))
+                   .filter(F.col("__rc_step").isNotNull())
+                   .select(names.alias("provider"), "cep_requested",
+                           F.replace(templates, F.lit(URL_PLACEHOLDER), F.col("cep_requested")).alias("url")))
+
+
 def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER_ORDER,
                       code_col: str = "parsed_ceps", id_col: str = "participant_id",
                       materialized: bool = False) -> Resolved:

@@ -20,7 +20,7 @@ from rollcall.operators.batching import number_batches, select_batch
 from rollcall.operators.catalogue import list_editions
 from rollcall.operators.collation import join_collated
 from rollcall.operators.fanout import keep_unused_fanout, without_partial_cancel
-from rollcall.operators.lookup import PROVIDER_ORDER, lookup_provider, resolve_addresses
+from rollcall.operators.lookup import PROVIDER_ORDER, lookup_provider, pending_requests, resolve_addresses
 from rollcall.operators.options import option_answers, unnest_options
 from rollcall.operators.postal import normalise_postal_codes, profile_postal_codes
 from rollcall.operators.report import join_addresses
@@ -272,6 +272,11 @@ def q_unresolved_codes(spark, sf_dir):
     return _resolved(spark, sf_dir).unresolved.select("participant_id", "parsed_ceps")
 
 
+def q_pending_requests(spark, sf_dir):
+    forms = _normalised(spark, sf_dir)
+    return pending_requests(forms, landed_responses(forms))
+
+
 def q_report_join(spark, sf_dir):
     orders = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("item_id"), "o_custkey", "o_orderstatus")
     return join_addresses(orders, _resolved(spark, sf_dir).addresses)
@@ -333,6 +338,7 @@ QUERIES = {
     "address_fallback": q_address_fallback,
     "fallback_counters": q_fallback_counters,
     "unresolved_codes": q_unresolved_codes,
+    "pending_requests": q_pending_requests,
     "report_join": q_report_join,
     "edition_label": q_edition_label,
     "forms_extract": q_forms_extract,

@@ -79,3 +79,19 @@ def test_single_provider_counts_errors_in_neither(spark):
 def test_unknown_provider_rejected(spark):
     with pytest.raises(ValueError):
         provider_accepts(F.col("body"), "nope")
+
+
+def test_pending_requests_walk_the_chain(spark):
+    from rollcall.operators.lookup import pending_requests
+    forms = spark.createDataFrame([(1, "00000-001"), (2, "00000-002"), (3, "00000-003"), (4, "00000-004"),
+                                   (5, "00000-005"), (6, "00000-001")], "participant_id long, parsed_ceps string")
+    responses = _responses(spark, [
+        ("brasilapi", "00000-001", '{"cep":"1"}'),                                         # resolved
+        ("brasilapi", "00000-002", '{"errors":["x"]}'),                                    # ask viacep
+        ("brasilapi", "00000-003", "<html>"), ("viacep", "00000-003", "{}"),               # ask apicep
+        ("brasilapi", "00000-004", "{}"), ("viacep", "00000-004", "{}"), ("apicep", "00000-004", "[1]"),  # done
+    ])
+    got = sorted((r.provider, r.cep_requested, r.url) for r in pending_requests(forms, responses).collect())
+    assert got == [("apicep", "00000-003", "https://cdn.apicep.com/file/apicep/00000-003.json"),
+                   ("brasilapi", "00000-005", "https://brasilapi.com.br/api/cep/v1/00000-005"),
+                   ("viacep", "00000-002", "https://viacep.com.br/ws/00000-002/json/")]
