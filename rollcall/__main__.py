@@ -88,13 +88,22 @@ def main(argv=None, spark=None) -> int:
         from rollcall.operators.postal import normalise_postal_codes
         from rollcall.plans.extract import checked_edition_tickets, extract_forms, extract_participants
         from rollcall.sources.sinks import write_extract
+        from concurrent.futures import ThreadPoolExecutor
         tickets = checked_edition_tickets(tables, args.edition)
-        forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last, args.max_rows,
-                                                     args.rows_per_batch, tickets=tickets))
-        people = extract_participants(tables, args.edition, args.first, args.last, args.max_rows,
-                                      args.rows_per_batch, as_of, tickets=tickets)
-        write_extract(forms, f"{args.out}/forms", "edicao")
-        write_extract(people, f"{args.out}/participants", "edition")
+
+        def forms_job():
+            forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last,
+                                                         args.max_rows, args.rows_per_batch, tickets=tickets))
+            write_extract(forms, f"{args.out}/forms", "edicao")
+
+        def people_job():
+            people = extract_participants(tables, args.edition, args.first, args.last, args.max_rows,
+                                          args.rows_per_batch, as_of, tickets=tickets)
+            write_extract(people, f"{args.out}/participants", "edition")
+
+        with ThreadPoolExecutor(max_workers=2) as pool:   # independent jobs, run concurrently
+            for done in [pool.submit(forms_job), pool.submit(people_job)]:
+                done.result()
         return 0
     from rollcall.plans.report import build_report
     from rollcall.sources.sinks import display_participants, write_report

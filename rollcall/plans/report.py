@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -34,10 +35,14 @@ def build_report(tables: dict[str, DataFrame], responses, edition: str, first, l
     and the counters all read the same decided rows.
     """
     tickets = checked_edition_tickets(tables, edition)
-    participants = extract_participants(tables, edition, first, last, max_rows, rows_per_batch, as_of,
-                                        excluded_events, workdir=workdir, tickets=tickets)
-    forms = normalise_postal_codes(extract_forms(tables, edition, first, last, max_rows, rows_per_batch,
-                                                 workdir=workdir, tickets=tickets))
+    # The two extractions are independent: their eager steps (writes to the
+    # checkpoint folder, size checks) run as concurrent jobs from two threads.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        people = pool.submit(extract_participants, tables, edition, first, last, max_rows, rows_per_batch,
+                             as_of, excluded_events, workdir=workdir, tickets=tickets)
+        answers = pool.submit(extract_forms, tables, edition, first, last, max_rows, rows_per_batch,
+                              workdir=workdir, tickets=tickets)
+        participants, forms = people.result(), normalise_postal_codes(answers.result())
     landed = responses(forms) if callable(responses) else responses
     resolved = resolve_addresses(forms, landed, providers, materialized=materialize_lookup)
     return Report(participants, forms, resolved, join_addresses(participants, resolved.addresses))
