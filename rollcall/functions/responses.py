@@ -1,4 +1,15 @@
-"""Acceptance rules and field access for raw JSON response bodies."""
+"""Acceptance rules and field access for raw JSON response bodies.
+
+Bodies are read with Spark's JSON functions.  On well-formed JSON the rules
+equal the original job's (Python ``json`` plus ``dict`` access): key presence
+with a null value, rejecting values, duplicate keys (the last one wins),
+whitespace, key case and escapes were compared case by case.  Field values
+that are not strings come back as JSON text (``true``, ``{"a":1}``).  On
+malformed text the two parsers differ at the margins (Python also accepts
+``NaN``, and rejects trailing text after the object and single quotes); the
+services answer with JSON or with an error page, and an error page is not
+an object for either.
+"""
 
 from __future__ import annotations
 
