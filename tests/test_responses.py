@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rollcall.functions.responses import has_key, is_object, provider_accepts
@@ -95,3 +97,42 @@ def test_pending_requests_walk_the_chain(spark):
     assert got == [("apicep", "00000-003", "https://cdn.apicep.com/file/apicep/00000-003.json"),
                    ("brasilapi", "00000-005", "https://brasilapi.com.br/api/cep/v1/00000-005"),
                    ("viacep", "00000-002", "https://viacep.com.br/ws/00000-002/json/")]
+
+
+def _python_rules(body):
+    """The original job's view of one body: json.loads + dict access."""
+    import json
+    d = json.loads(body)
+    if not isinstance(d, dict):
+        return None
+    as_text = lambda v: v if isinstance(v, str) else None  # noqa: E731  (non-strings: JSON text in Spark)
+    return ("cep" in d, d.get("errors") is None, d.get("type") != "validation_error",
+            d.get("code") != "not_found", as_text(d.get("cep")), as_text(d.get("city")))
+
+
+_values = st.one_of(st.none(), st.booleans(), st.integers(-5, 5), st.sampled_from(["validation_error", "not_found", "x", ""]),
+                    st.lists(st.integers(0, 2), max_size=2))
+_objects = st.dictionaries(st.sampled_from(["cep", "errors", "type", "code", "city", "state", "CEP"]), _values,
+                           max_size=5)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.one_of(_objects, st.lists(st.integers(), max_size=2), st.integers(), st.none()),
+                min_size=1, max_size=15))
+def test_rules_equal_python_on_wellformed_json(spark, docs):
+    import json
+    bodies = [json.dumps(d) for d in docs]
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    rows = df.select(is_object("body").alias("o"), has_key("body").alias("k"),
+                     provider_accepts("body", "brasilapi").alias("b"), provider_accepts("body", "viacep").alias("v"),
+                     provider_accepts("body", "apicep").alias("a"),
+                     F.from_json("body", "cep string, city string").alias("f")).collect()
+    for body, r in zip(bodies, rows):
+        want = _python_rules(body)
+        if want is None:
+            assert not r.o and not r.k, body
+            continue
+        assert (r.k, r.b, r.v, r.a) == want[:4], body
+        for got, expected in zip((r.f.cep, r.f.city), want[4:]):
+            if expected is not None:
+                assert got == expected, body
