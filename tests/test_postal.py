@@ -69,3 +69,33 @@ def test_profile_display_text(spark):
     assert got["total de ceps"] == "4 (100.00%)"
     assert got["ceps com menos de 8 dígitos"] == "3 (75.00%)"
     assert got["ceps com underline"] == "1 (25.00%)"
+
+
+def _python_clean(cep):
+    """The original cleaning, step by step (a missing answer as the documented empty text)."""
+    s = "" if cep is None else str(cep)
+    s = s.replace("_", "0").replace("-", "")
+    s = s.ljust(8, "0") if len(s) < 8 else s[:8]
+    return s[0:5] + "-" + s[5:]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=12),
+                          st.text(alphabet="0123456789_-. çé😀", max_size=12)), min_size=1, max_size=20))
+def test_normalise_equals_original_steps(spark, codes):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "i int, cep string")
+    got = {r.i: r.parsed_ceps for r in normalise_postal_codes(df).collect()}
+    assert got == {i: _python_clean(c) for i, c in enumerate(codes)}
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789_-. a", max_size=12)), min_size=1, max_size=20))
+def test_profile_equals_original_counts(spark, codes):
+    df = spark.createDataFrame([(c,) for c in codes], "cep string")
+    got = {r.metric: r.n for r in profile_postal_codes(df).collect()}
+    raw = ["" if c is None else c for c in codes]
+    cleaned = [s.replace("_", "0").replace("-", "") for s in raw]
+    assert got == {"total": len(raw), "with_underscore": sum(s.count("_") for s in raw),
+                   "without_hyphen": sum("-" not in s for s in raw),
+                   "ok": sum(len(s) == 8 for s in cleaned), "too_short": sum(len(s) < 8 for s in cleaned),
+                   "too_long": sum(len(s) > 8 for s in cleaned), "peculiar": 0}
