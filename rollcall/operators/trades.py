@@ -11,11 +11,9 @@ from rollcall.operators.sizing import broadcast_if_small, restrict
 from rollcall.session import materialize
 
 
-def correlate_trades(df: DataFrame, trades: DataFrame, participants: DataFrame, id_col: str,
-                     paid_status: str = PAID_STATUS, ids: DataFrame | None = None) -> DataFrame:
-    """Add ``correlated_item_id`` and ``correlated_participant``.
-
-    Two left joins on the participant id, both over paid trades:
+def trade_sides(trades: DataFrame, participants: DataFrame, paid_status: str = PAID_STATUS,
+                ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the trade correlation, keyed by the participant they attach to.
 
     * as the *old* item (``trade.participantId = id``): the correlated item is
       ``originalParticipantId``, its holder's name comes from the participant
@@ -23,10 +21,8 @@ def correlate_trades(df: DataFrame, trades: DataFrame, participants: DataFrame,
     * as the *new* item (``trade.originalParticipantId = id``): the correlated
       item is ``participantId``, the name is the one stored on the trade.
 
-    Id and name are coalesced independently (new-item side first), and several
-    paid trades per participant multiply its rows, as the joins do.  ``ids``
-    (a ``key_set`` of ``df``'s ids) restricts each side to the trades that can
-    meet ``df`` before anything is shuffled.
+    ``ids`` (a ``key_set`` of the participants to correlate) restricts each
+    side to the trades that can meet them before anything is shuffled.
     """
     paid = trades.filter(F.col("status") == F.lit(paid_status))
     by_participant = restrict(paid, "participantId", ids) if ids is not None else paid
@@ -41,15 +37,30 @@ def correlate_trades(df: DataFrame, trades: DataFrame, participants: DataFrame,
                                    full_name("name", "surname").alias("__rc_holder_name"))
                            .join(broadcast_if_small(wanted), "__rc_holder_id", "left_semi"))
     as_old = (by_participant.select(F.col("participantId").alias("__rc_old_key"),
-                          F.col("originalParticipantId").alias("__rc_old_new_item"))
-                  .join(holders, F.col("__rc_old_new_item") == F.col("__rc_holder_id"), "left")
-                  .drop("__rc_holder_id"))
+                                    F.col("originalParticipantId").alias("__rc_old_new_item"))
+                            .join(holders, F.col("__rc_old_new_item") == F.col("__rc_holder_id"), "left")
+                            .drop("__rc_holder_id"))
     as_new = by_original.select(F.col("originalParticipantId").alias("__rc_new_key"),
-                         F.col("participantId").alias("__rc_new_old_item"),
-                         full_name("participantName", "participantSurname").alias("__rc_new_name"))
+                                F.col("participantId").alias("__rc_new_old_item"),
+                                full_name("participantName", "participantSurname").alias("__rc_new_name"))
+    return as_old, as_new
+
+
+def attach_trade_sides(df: DataFrame, sides: tuple[DataFrame, DataFrame], id_col: str) -> DataFrame:
+    """Left-join both sides and coalesce id and name independently (new-item side first).
+
+    Several paid trades per participant multiply its rows, as the joins do.
+    """
+    as_old, as_new = sides
     out = (df.join(as_old, F.col(id_col) == F.col("__rc_old_key"), "left")
              .join(as_new, F.col(id_col) == F.col("__rc_new_key"), "left")
              .withColumn("correlated_item_id", F.coalesce("__rc_new_old_item", "__rc_old_new_item"))
              .withColumn("correlated_participant", F.coalesce("__rc_new_name", "__rc_holder_name")))
     return out.drop("__rc_old_key", "__rc_old_new_item", "__rc_holder_name",
                     "__rc_new_key", "__rc_new_old_item", "__rc_new_name")
+
+
+def correlate_trades(df: DataFrame, trades: DataFrame, participants: DataFrame, id_col: str,
+                     paid_status: str = PAID_STATUS, ids: DataFrame | None = None) -> DataFrame:
+    """Add ``correlated_item_id`` and ``correlated_participant`` (see ``trade_sides``)."""
+    return attach_trade_sides(df, trade_sides(trades, participants, paid_status, ids), id_col)

@@ -12,6 +12,7 @@ are counted per key and repeated, the others are joined.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from rollcall.operators.collation import join_collated
 from rollcall.operators.fanout import keep_unused_fanout, multiply_by_matches, without_partial_cancel
 from rollcall.operators.options import option_answer_groups, unnest_options
 from rollcall.operators.sizing import broadcast_if_small, key_set, restrict
-from rollcall.operators.trades import correlate_trades
+from rollcall.operators.trades import attach_trade_sides, trade_sides
 from rollcall.session import materialize
 
 FORMS_COLUMNS = ("batch_number", "participant_id", "data_compra", "edicao", "evento", "field_id",
@@ -114,12 +115,20 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
                .filter(~F.col("answer").isin(list(fv.REJECTED_ANSWERS)))
                .select(F.col("checkoutParticipantId").alias("participant_id"),
                        F.col("fieldId").alias("field_id"), F.col("answer").alias("cep")))
-    answers = join_collated(answers, "field_id", questions, "__q_field", collation).drop("__q_field")
     complements = _of_edition(tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket")),
                               dim, "__ticket")
-    buyers = keep_unused_fanout(buyers, complements, "__ticket", "__ticket")
     cancels = restrict(tables["checkoutorderticketpartialcancel"], "participantId", ids)
-    buyers = without_partial_cancel(buyers, cancels, "__pid")
+
+    def fanned_buyers():
+        return without_partial_cancel(keep_unused_fanout(buyers, complements, "__ticket", "__ticket"),
+                                      cancels, "__pid")
+
+    # The question matching and the buyers' row multiplicity are independent;
+    # their small eager jobs run concurrently.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        matched = pool.submit(join_collated, answers, "field_id", questions, "__q_field", collation)
+        fanned = pool.submit(fanned_buyers)
+        answers, buyers = matched.result().drop("__q_field"), fanned.result()
     forms = answers.join(buyers, F.col("participant_id") == F.col("__pid")).select(
         "participant_id", "data_compra", F.col("__edition").alias("edicao"),
         F.col("__event_title").alias("evento"), "field_id", "pergunta_cadastrada",
@@ -180,18 +189,24 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
     trades = tables["tradecheckoutsession"]
     cancels = restrict(tables["checkoutorderticketpartialcancel"], "participantId", ids)
     trades_fanout = () if drop_unused_fanout else ((restrict(trades, "participantId", ids), "participantId"),)
-    p = multiply_by_matches(p, "item_id", cancels, trades_fanout)
-    options = option_answer_groups(
-        unnest_options(restrict(tables["participant_options"], "id", ids)), tables["eventticketstockitems"],
-        tables["eventticketstockitemscomplement"], tables["eventticketstock"],
-        {"shirts": (fv.SHIRT_STOCK_NAMES, {"nameParsed": "shirt"}),
-         "kits": (fv.KIT_PICKUP_STOCK_NAMES, {"day": "pickup_day", "hour": "pickup_hour"})},
-        out_key="__opt_pid")
+    # Three independent steps, each with its own small eager jobs (writes to
+    # the checkpoint folder, size checks): submitted concurrently.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        fanned = pool.submit(multiply_by_matches, p, "item_id", cancels, trades_fanout)
+        chosen = pool.submit(
+            option_answer_groups,
+            unnest_options(restrict(tables["participant_options"], "id", ids)), tables["eventticketstockitems"],
+            tables["eventticketstockitemscomplement"], tables["eventticketstock"],
+            {"shirts": (fv.SHIRT_STOCK_NAMES, {"nameParsed": "shirt"}),
+             "kits": (fv.KIT_PICKUP_STOCK_NAMES, {"day": "pickup_day", "hour": "pickup_hour"})},
+            "__opt_pid")
+        partners = pool.submit(trade_sides, trades, tables["checkoutparticipant"], fv.PAID_STATUS, ids)
+        p, options, sides = fanned.result(), chosen.result(), partners.result()
     shirts = options["shirts"].withColumnRenamed("__opt_pid", "__shirt_pid")
     kits = options["kits"].withColumnRenamed("__opt_pid", "__kit_pid")
     p = (p.join(shirts, F.col("item_id") == F.col("__shirt_pid"), "left")
           .join(kits, F.col("item_id") == F.col("__kit_pid"), "left"))
-    p = correlate_trades(p, trades, tables["checkoutparticipant"], "item_id", ids=ids)
+    p = attach_trade_sides(p, sides, "item_id")
     age = age_years("birth_date", as_of)
     report = p.select(
         "item_id", "order_id", "purchase_date", "participant", "correlated_item_id",
