@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +60,7 @@ def build_session(master: str | None = None, app: str = "rollcall",
 
 
 _LOCAL_DIRS: dict[int, str] = {}
+_LOCAL_LOCK = threading.Lock()   # extractions call this from several driver threads
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -81,13 +83,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    if id(spark) not in _LOCAL_DIRS:
-        _LOCAL_DIRS[id(spark)] = tempfile.mkdtemp(prefix="rollcall-ckpt-")
-    folder = _LOCAL_DIRS[id(spark)]
-    if sc is not None:
-        sc.setCheckpointDir(folder)
-        return sc.getCheckpointDir() or folder
-    return folder
+    with _LOCAL_LOCK:
+        if sc is not None and sc.getCheckpointDir():
+            return sc.getCheckpointDir()
+        if id(spark) not in _LOCAL_DIRS:
+            _LOCAL_DIRS[id(spark)] = tempfile.mkdtemp(prefix="rollcall-ckpt-")
+        folder = _LOCAL_DIRS[id(spark)]
+        if sc is not None:
+            sc.setCheckpointDir(folder)
+            return sc.getCheckpointDir() or folder
+        return folder
 
 
 def materialize(df, name: str = "stage"):
