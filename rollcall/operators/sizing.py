@@ -28,8 +28,14 @@ _IDS = "__rc_ids"
 
 
 def key_set(df: DataFrame, col: str, max_rows: int = ID_SET_ROWS) -> DataFrame:
-    """Distinct non-null values of ``col`` as column ``__rc_ids``, broadcast when the bound holds."""
-    ids = df.select(F.col(col).alias(_IDS)).filter(F.col(_IDS).isNotNull()).distinct()
+    """Distinct non-null values of ``col`` as column ``__rc_ids``, broadcast when the bound holds.
+
+    The set is written once to the shared checkpoint folder: the size check
+    and every table it filters read that small file instead of each
+    re-aggregating ``df``.
+    """
+    from rollcall.session import materialize
+    ids = materialize(df.select(F.col(col).alias(_IDS)).filter(F.col(_IDS).isNotNull()).distinct(), "ids")
     return broadcast_if_small(ids, max_rows)
 
 
