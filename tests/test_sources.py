@@ -128,3 +128,14 @@ def test_checkpoint_dir_never_invented_on_a_cluster():
     shared = _Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
     assert ensure_checkpoint_dir(shared) == "hdfs:///shared/ckpt"
     assert shared.sparkContext.getCheckpointDir() == "hdfs:///shared/ckpt"
+
+
+def test_batch_slice_of_written_extract_skips_other_batches(spark, tmp_path):
+    from rollcall.operators.batching import number_batches, select_batch
+    df = spark.range(0, 20000).select(F.lit("10 Milhas").alias("edition"), F.col("id"))
+    path = str(tmp_path / "extract")
+    write_extract(number_batches(df, ["id"], 2500), path, "edition")
+    back = select_batch(spark.read.parquet(path), 3)
+    assert sorted(r.id for r in back.collect()) == list(range(5000, 7500))
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(batch_number), EqualTo(batch_number,3)]" in plan
