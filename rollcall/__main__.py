@@ -4,12 +4,16 @@
     spark-submit rollcall/__main__.py extract  --landing s3://landing --edition "10 Milhas" --out s3://extracts
     spark-submit rollcall/__main__.py report   --landing s3://landing --edition "10 Milhas" \\
         --first 2022-05-01 --last 2026-05-31 --as-of 2025-06-30 --out s3://reports
+    spark-submit rollcall/__main__.py pending  --landing s3://landing --edition "10 Milhas" --out s3://requests
     spark-submit rollcall/__main__.py land --url jdbc:mysql://db:3306/tickets --user u --password p \\
         --tables checkoutparticipant,checkoutsession --partition-column id --lower 1 \\
         --upper 90000000 --partitions 400 --out s3://landing
 
 Tables are read from ``<landing>/<table>`` with their declared schemas
-(``--format parquet`` or ``csv``); the report also reads ``<landing>/responses``.
+(``--format parquet`` or ``csv``); ``report`` and ``pending`` also read
+``<landing>/responses``.  ``pending`` writes the next request of the provider
+chain for every code the edition's forms need (provider, code, URL), for a
+fetcher that lands the answers in ``responses``.
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("--out", required=True)
     land.add_argument("--month-partitioned", action="store_true",
                       help="partition purchase-dated tables by month of createdAt")
-    for name in ("editions", "extract", "report"):
+    for name in ("editions", "extract", "report", "pending"):
         s = sub.add_parser(name)
         s.add_argument("--landing", required=True)
         s.add_argument("--format", default="parquet", choices=("parquet", "csv"))
@@ -105,9 +109,17 @@ def main(argv=None, spark=None) -> int:
             for done in [pool.submit(forms_job), pool.submit(people_job)]:
                 done.result()
         return 0
+    responses = read_table(spark, args.landing, "responses", args.format)
+    if args.command == "pending":
+        from rollcall.operators.lookup import pending_requests
+        from rollcall.operators.postal import normalise_postal_codes
+        from rollcall.plans.extract import extract_forms
+        forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last, args.max_rows,
+                                                     args.rows_per_batch))
+        pending_requests(forms, responses).write.mode("overwrite").parquet(args.out)
+        return 0
     from rollcall.plans.report import build_report
     from rollcall.sources.sinks import display_participants, write_report
-    responses = read_table(spark, args.landing, "responses", args.format)
     report = build_report(tables, responses, args.edition, args.first, args.last, as_of,
                           rows_per_batch=args.rows_per_batch, max_rows=args.max_rows)
     write_report(display_participants(report.report), args.out, dt.datetime.now(),

@@ -40,3 +40,14 @@ def test_cli_reads_month_partitioned_landing(spark, tables, tmp_path):
     assert main(["extract", *args, "--out", str(tmp_path / "x")], spark) == 0
     assert spark.read.parquet(str(tmp_path / "x" / "participants")).count() == 14
     assert spark.read.parquet(str(tmp_path / "x" / "forms")).count() == 4
+
+
+def test_cli_pending_requests(spark, tables, tmp_path):
+    base = str(tmp_path / "landing")
+    _land(spark, tables, base)
+    args = ["--landing", base, "--edition", "10 Milhas RJ", "--first", "2023-12-31", "--last", "2024-01-31",
+            "--out", str(tmp_path / "p")]
+    assert main(["pending", *args], spark) == 0
+    got = sorted((r.provider, r.cep_requested) for r in spark.read.parquet(str(tmp_path / "p")).collect())
+    # 01310-100 was accepted by the first provider; the other codes were never asked
+    assert got == [("brasilapi", "01234-567"), ("brasilapi", "13100-000")]
