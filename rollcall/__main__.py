@@ -1,10 +1,10 @@
 """Command line for ``spark-submit``: list editions, extract, or build the report.
 
-    spark-submit rollcall/__main__.py editions --landing s3://landing --contains milhas
-    spark-submit rollcall/__main__.py extract  --landing s3://landing --edition "10 Milhas" --out s3://extracts
-    spark-submit rollcall/__main__.py report   --landing s3://landing --edition "10 Milhas" \\
+    spark-submit rollcall/__main__.py editions --landing s3://landing --contains run
+    spark-submit rollcall/__main__.py extract  --landing s3://landing --edition "City Run 2025" --out s3://extracts
+    spark-submit rollcall/__main__.py report   --landing s3://landing --edition "City Run 2025" \\
         --first 2022-05-01 --last 2026-05-31 --as-of 2025-06-30 --out s3://reports
-    spark-submit rollcall/__main__.py pending  --landing s3://landing --edition "10 Milhas" --out s3://requests
+    spark-submit rollcall/__main__.py pending  --landing s3://landing --edition "City Run 2025" --out s3://requests
     spark-submit rollcall/__main__.py land --url jdbc:mysql://db:3306/tickets --user u --password p \\
         --tables checkoutparticipant,checkoutsession --partition-column id --lower 1 \\
         --upper 90000000 --partitions 400 --out s3://landing
