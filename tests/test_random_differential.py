@@ -92,3 +92,13 @@ def test_extractions_match_sql_on_random_tables(spark, tmp_path, seed):
     sql = FORMS.replace("/ 2500)", "/ 5)")
     want = con.execute(f"WITH {sql} SELECT {', '.join(FORMS_COLUMNS)} FROM forms").fetchall()
     assert _norm(forms.select(*FORMS_COLUMNS).collect()) == _norm(want)
+
+
+@pytest.mark.parametrize("seed", [3, 8])
+def test_extractions_match_sql_without_any_broadcast(spark, tmp_path, seed, monkeypatch):
+    """Every size check refused (huge editions and catalogues): shuffle joins only, hot path forced."""
+    import rollcall.operators.fanout as fanout
+    import rollcall.operators.sizing as sizing
+    monkeypatch.setattr(sizing, "has_at_most", lambda df, max_rows: False)
+    monkeypatch.setattr(fanout, "HOT_COPIES", 1)
+    test_extractions_match_sql_on_random_tables(spark, tmp_path, seed)
