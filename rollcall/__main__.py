@@ -61,70 +61,93 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
-def main(argv=None, spark=None) -> int:
-    args = _parser().parse_args(argv)
+def _land(args, spark):
     from rollcall.session import build_session
-    from rollcall.sources.readers import (PURCHASE_DATED, jdbc_options, land_table, read_jdbc, read_table,
-                                          read_tables)
-    if args.command == "land":
-        names = [t.strip() for t in args.tables.split(",") if t.strip()]
-        options = [jdbc_options(args.url, t, user=args.user, password=args.password, driver=args.driver,
-                                partition_column=args.partition_column, lower_bound=args.lower,
-                                upper_bound=args.upper, num_partitions=args.partitions) for t in names]
-        spark = spark or build_session()
-        for name, opts in zip(names, options):
-            month_of = PURCHASE_DATED.get(name) if args.month_partitioned else None
-            land_table(read_jdbc(spark, name, opts), args.out, name, month_of=month_of)
-        return 0
+    from rollcall.sources.readers import PURCHASE_DATED, jdbc_options, land_table, read_jdbc
+    names = [t.strip() for t in args.tables.split(",") if t.strip()]
+    options = [jdbc_options(args.url, t, user=args.user, password=args.password, driver=args.driver,
+                            partition_column=args.partition_column, lower_bound=args.lower,
+                            upper_bound=args.upper, num_partitions=args.partitions) for t in names]
     spark = spark or build_session()
-    tables = read_tables(spark, args.landing, fmt=args.format,
-                         months=PURCHASE_DATED if args.month_partitioned else None)
-    if args.command == "editions":
-        from rollcall.operators.catalogue import list_editions
-        editions = list_editions(tables["eventcomplement"], args.contains)
-        if args.out:
-            editions.write.mode("overwrite").parquet(args.out)
-        else:
-            editions.show(1000, truncate=False)
-        return 0
-    as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
-    if args.command == "extract":
-        from rollcall.operators.postal import normalise_postal_codes
-        from rollcall.plans.extract import checked_edition_tickets, extract_forms, extract_participants
-        from rollcall.sources.sinks import write_extract
-        from concurrent.futures import ThreadPoolExecutor
-        tickets = checked_edition_tickets(tables, args.edition)
-
-        def forms_job():
-            forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last,
-                                                         args.max_rows, args.rows_per_batch, tickets=tickets))
-            write_extract(forms, f"{args.out}/forms", "edicao")
-
-        def people_job():
-            people = extract_participants(tables, args.edition, args.first, args.last, args.max_rows,
-                                          args.rows_per_batch, as_of, tickets=tickets)
-            write_extract(people, f"{args.out}/participants", "edition")
-
-        with ThreadPoolExecutor(max_workers=2) as pool:   # independent jobs, run concurrently
-            for done in [pool.submit(forms_job), pool.submit(people_job)]:
-                done.result()
-        return 0
-    responses = read_table(spark, args.landing, "responses", args.format)
-    if args.command == "pending":
-        from rollcall.operators.lookup import pending_requests
-        from rollcall.operators.postal import normalise_postal_codes
-        from rollcall.plans.extract import extract_forms
-        forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last, args.max_rows,
-                                                     args.rows_per_batch))
-        pending_requests(forms, responses).write.mode("overwrite").parquet(args.out)
-        return 0
+    for name, opts in zip(names, options):
+        month_of = PURCHASE_DATED.get(name) if args.month_partitioned else None
+        land_table(read_jdbc(spark, name, opts), args.out, name, month_of=month_of)
+
+
+def _editions(args, spark, tables):
+    from rollcall.operators.catalogue import list_editions
+    editions = list_editions(tables["eventcomplement"], args.contains)
+    if args.out:
+        editions.write.mode("overwrite").parquet(args.out)
+    else:
+        editions.show(1000, truncate=False)
+
+
+def _extract(args, spark, tables):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from rollcall.operators.postal import normalise_postal_codes
+    from rollcall.plans.extract import checked_edition_tickets, extract_forms, extract_participants
+    from rollcall.sources.sinks import write_extract
+    tickets = checked_edition_tickets(tables, args.edition)
+
+    def forms_job():
+        forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last,
+                                                     args.max_rows, args.rows_per_batch, tickets=tickets))
+        write_extract(forms, f"{args.out}/forms", "edicao")
+
+    def people_job():
+        people = extract_participants(tables, args.edition, args.first, args.last, args.max_rows,
+                                      args.rows_per_batch, _as_of(args), tickets=tickets)
+        write_extract(people, f"{args.out}/participants", "edition")
+
+    with ThreadPoolExecutor(max_workers=2) as pool:   # independent jobs, run concurrently
+        for done in [pool.submit(forms_job), pool.submit(people_job)]:
+            done.result()
+
+
+def _pending(args, spark, tables):
+    from rollcall.operators.lookup import pending_requests
+    from rollcall.operators.postal import normalise_postal_codes
+    from rollcall.plans.extract import extract_forms
+    forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last, args.max_rows,
+                                                 args.rows_per_batch))
+    pending_requests(forms, _responses(args, spark)).write.mode("overwrite").parquet(args.out)
+
+
+def _report(args, spark, tables):
     from rollcall.plans.report import build_report
     from rollcall.sources.sinks import display_participants, write_report
-    report = build_report(tables, responses, args.edition, args.first, args.last, as_of,
+    report = build_report(tables, _responses(args, spark), args.edition, args.first, args.last, _as_of(args),
                           rows_per_batch=args.rows_per_batch, max_rows=args.max_rows)
     write_report(display_participants(report.report), args.out, dt.datetime.now(),
                  edition_col=fv.PARTICIPANT_DISPLAY_NAMES["edition"])
     report.resolved.counters.write.mode("overwrite").parquet(f"{args.out}_counters")
+
+
+def _as_of(args) -> dt.date:
+    return dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
+
+
+def _responses(args, spark):
+    from rollcall.sources.readers import read_table
+    return read_table(spark, args.landing, "responses", args.format)
+
+
+COMMANDS = {"editions": _editions, "extract": _extract, "pending": _pending, "report": _report}
+
+
+def main(argv=None, spark=None) -> int:
+    args = _parser().parse_args(argv)
+    if args.command == "land":
+        _land(args, spark)
+        return 0
+    from rollcall.session import build_session
+    from rollcall.sources.readers import PURCHASE_DATED, read_tables
+    spark = spark or build_session()
+    tables = read_tables(spark, args.landing, fmt=args.format,
+                         months=PURCHASE_DATED if args.month_partitioned else None)
+    COMMANDS[args.command](args, spark, tables)
     return 0
 
 
