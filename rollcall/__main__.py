@@ -87,18 +87,18 @@ def _extract(args, spark, tables):
     from concurrent.futures import ThreadPoolExecutor
 
     from rollcall.operators.postal import normalise_postal_codes
-    from rollcall.plans.extract import checked_edition_tickets, extract_forms, extract_participants
+    from rollcall.plans.extract import edition_scope, extract_forms, extract_participants
     from rollcall.sources.sinks import write_extract
-    tickets = checked_edition_tickets(tables, args.edition)
+    scope = edition_scope(tables, args.edition)
 
     def forms_job():
         forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last,
-                                                     args.max_rows, args.rows_per_batch, tickets=tickets))
+                                                     args.max_rows, args.rows_per_batch, scope=scope))
         write_extract(forms, f"{args.out}/forms", "edicao")
 
     def people_job():
         people = extract_participants(tables, args.edition, args.first, args.last, args.max_rows,
-                                      args.rows_per_batch, _as_of(args), tickets=tickets)
+                                      args.rows_per_batch, _as_of(args), scope=scope)
         write_extract(people, f"{args.out}/participants", "edition")
 
     with ThreadPoolExecutor(max_workers=2) as pool:   # independent jobs, run concurrently

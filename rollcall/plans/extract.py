@@ -12,6 +12,7 @@ are counted per key and repeated, the others are joined.
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -68,6 +69,35 @@ def checkout_tickets(tables, edition, excluded_events=(), tickets: DataFrame | N
     return cp.join(_edition_dim(tables, edition, excluded_events, tickets), "__price")
 
 
+class EditionScope(NamedTuple):
+    """What both extractions of one edition share, computed once."""
+    tickets: DataFrame     # ticket dimension, broadcast when its row bound holds
+    checkout: DataFrame    # the edition's checkout-price rows with their ticket columns (written once)
+    cprice_ids: DataFrame  # the id set of those rows (written once, broadcast within its bound)
+
+
+def edition_scope(tables: dict[str, DataFrame], edition: str) -> EditionScope:
+    """The edition's tickets and checkout-price rows, and the id set that filters the participant table.
+
+    The checkout-price table spans every event; it is filtered by the
+    broadcast ticket dimension in its scan and the edition's share is
+    written once.  Its id set then filters the participant table in its scan,
+    so no extraction shuffles the participants of every event.
+    """
+    tickets = checked_edition_tickets(tables, edition)
+    checkout = materialize(checkout_tickets(tables, edition, tickets=tickets), "edition-checkout")
+    return EditionScope(tickets, checkout, key_set(checkout, "__cprice"))
+
+
+def _scoped(scope: EditionScope, excluded_events=()) -> tuple[DataFrame, DataFrame]:
+    """Ticket dimension and checkout rows of the scope without the excluded events."""
+    dim, checkout = scope.tickets, scope.checkout
+    if excluded_events:
+        keep = ~F.col("__event").isin(list(excluded_events))
+        dim, checkout = dim.filter(keep), checkout.filter(keep)
+    return dim, checkout
+
+
 def _of_edition(catalogue: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Rows of an all-events catalogue that belong to the edition (semi-join on the small dimension).
 
@@ -86,31 +116,35 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
                   max_rows: int | None = fv.DEFAULT_MAX_ROWS,
                   rows_per_batch: int = fv.DEFAULT_ROWS_PER_BATCH,
                   collation: str = fv.FIELD_ID_COLLATION, workdir: str | None = None,
-                  tickets: DataFrame | None = None) -> DataFrame:
+                  scope: EditionScope | None = None) -> DataFrame:
     """Postal-code answers of paid, non-cancelled buyers of ``edition``.
 
     The purchase date is the participant's own ``createdAt`` (local time).
     The answer's field id is matched to the question catalogue under
     ``collation`` (case and accent insensitive by default).  Rows are numbered
     in batches of ``rows_per_batch`` by participant id (remaining columns break
-    ties) and capped at ``max_rows``.  ``tickets`` may pass a precomputed
-    ``checked_edition_tickets`` shared with the participant extraction.
+    ties) and capped at ``max_rows``.  ``scope`` may pass the ``edition_scope``
+    shared with the participant extraction.
     """
     questions = (tables["formFieldsPlaceholderParsed"]
                  .filter(F.col("placeholderParsed") == F.lit(fv.POSTAL_QUESTION))
                  .select(F.col("fieldId").alias("__q_field"), F.col("placeholder").alias("pergunta_cadastrada"),
                          F.col("placeholderParsed").alias("pergunta_tratada")))
-    buyers = purchased_between(tables["checkoutparticipant"], "createdAt", first, last).select(
+    scope = scope or edition_scope(tables, edition)
+    dim, checkout = _scoped(scope)
+    # The edition's buyers in the date range: the participant table is filtered
+    # in its scan (date range pushed down, checkout-price id set broadcast),
+    # joined to the edition's checkout rows and written once.  Their id sets
+    # then filter the all-events session, answer and cancellation tables.
+    buyers = restrict(purchased_between(tables["checkoutparticipant"], "createdAt", first, last),
+                      "checkoutEventTicketBatchPriceId", scope.cprice_ids).select(
         F.col("id").alias("__pid"), F.col("sessionId").alias("__session"),
         F.col("checkoutEventTicketBatchPriceId").alias("__cprice"),
         local_date("createdAt").alias("data_compra"))
-    dim = _edition_dim(tables, edition, tickets=tickets)
-    buyers = buyers.join(checkout_tickets(tables, edition, tickets=dim), "__cprice")
-    buyers = buyers.join(_paid_sessions(tables).select(F.col("id").alias("__session")), "__session")
-    # The edition's buyers, written once; their id set then filters the
-    # all-events answer and cancellation tables before anything is shuffled.
-    buyers = materialize(buyers, "edition-buyers")
-    ids = key_set(buyers, "__pid")
+    buyers = materialize(buyers.join(checkout, "__cprice"), "edition-buyers")
+    ids, session_ids = key_set(buyers, "__pid"), key_set(buyers, "__session")
+    paid = restrict(_paid_sessions(tables), "id", session_ids).select(F.col("id").alias("__session"))
+    buyers = buyers.join(paid, "__session")
     answers = (restrict(tables["formfieldanswer"], "checkoutParticipantId", ids)
                .filter(~F.col("answer").isin(list(fv.REJECTED_ANSWERS)))
                .select(F.col("checkoutParticipantId").alias("participant_id"),
@@ -145,7 +179,7 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
                          as_of: dt.date | str | None = None,
                          excluded_events=(fv.SERVICE_SHOP_EVENT_ID,),
                          drop_unused_fanout: bool = False, workdir: str | None = None,
-                         tickets: DataFrame | None = None) -> DataFrame:
+                         scope: EditionScope | None = None) -> DataFrame:
     """The 25-column participant report of paid, non-cancelled buyers of ``edition``.
 
     The purchase date is the *session's* ``createdAt`` (local time).  ``as_of``
@@ -155,23 +189,28 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
     """
     if as_of is None:
         raise ValueError("as_of is required")
-    sessions = purchased_between(_paid_sessions(tables), "createdAt", first, last).select(
-        F.col("id").alias("__session"), local_date("createdAt").alias("purchase_date"))
-    people = tables["checkoutparticipant"].select(
+    scope = scope or edition_scope(tables, edition)
+    dim, checkout = _scoped(scope, excluded_events)
+    # The edition's participants: the participant table is filtered in its scan
+    # by the broadcast checkout-price id set, joined to the edition's checkout
+    # rows and written once.  Their id sets then filter every table that spans
+    # all events (sessions, payments, summaries, cancellations, trades, option
+    # choices) in its scan, before any join, aggregate or explode.
+    people = restrict(tables["checkoutparticipant"], "checkoutEventTicketBatchPriceId", scope.cprice_ids).select(
         F.col("id").alias("item_id"), F.col("sessionId").alias("__session"),
         F.col("checkoutEventTicketBatchPriceId").alias("__cprice"),
         full_name("name", "surname").alias("participant"), F.col("trackingCode").alias("ticket_tracking"),
         F.col("coupon"), F.col("email"), F.col("phoneNumber").alias("phone"), F.col("cpf"),
         F.col("birthDate").alias("birth_date"))
-    # Joins grouped by key: the edition filter first (most selective), then the
-    # three session-keyed joins back to back (one shuffle of the participant side),
-    # then the participant-keyed ones.
-    dim = _edition_dim(tables, edition, excluded_events, tickets)
-    p = people.join(checkout_tickets(tables, edition, tickets=dim), "__cprice")
-    payments = tables["checkoutpayment"].select(F.col("sessionId").alias("__session"),
-                                                F.col("paymentOption").alias("__payment"))
-    summary = tables["checkoutsummary"].select(F.col("sessionId").alias("__session"),
-                                               F.col("ticketInsurance").alias("__insurance"))
+    p = materialize(people.join(checkout, "__cprice"), "edition-participants")
+    ids, session_ids = key_set(p, "item_id"), key_set(p, "__session")
+    sessions = restrict(purchased_between(_paid_sessions(tables), "createdAt", first, last), "id", session_ids
+                        ).select(F.col("id").alias("__session"), local_date("createdAt").alias("purchase_date"))
+    payments = restrict(tables["checkoutpayment"], "sessionId", session_ids).select(
+        F.col("sessionId").alias("__session"), F.col("paymentOption").alias("__payment"))
+    summary = restrict(tables["checkoutsummary"], "sessionId", session_ids).select(
+        F.col("sessionId").alias("__session"), F.col("ticketInsurance").alias("__insurance"))
+    # The three session-keyed joins back to back: one shuffle of the participants.
     p = (p.join(sessions, "__session").withColumn("order_id", F.col("__session"))
           .join(payments, "__session", "left").join(summary, "__session", "left"))
     types = _of_edition(tables["eventticketbatchpricetype"].select(F.col("id").alias("__type"),
@@ -181,11 +220,6 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
                                                                F.col("nameParsed").alias("race")),
                         dim, "__ticket")
     p = p.join(broadcast_if_small(types), "__type", "left").join(broadcast_if_small(races), "__ticket", "left")
-    # The edition's participants, written once; their id set filters every
-    # all-events table below (cancellations, trades, option choices) in its
-    # scan, before any aggregate, explode or shuffle.
-    p = materialize(p, "edition-participants")
-    ids = key_set(p, "item_id")
     trades = tables["tradecheckoutsession"]
     cancels = restrict(tables["checkoutorderticketpartialcancel"], "participantId", ids)
     trades_fanout = () if drop_unused_fanout else ((restrict(trades, "participantId", ids), "participantId"),)

@@ -11,7 +11,7 @@ from rollcall import fixed_values as fv
 from rollcall.operators.lookup import PROVIDER_ORDER, Resolved, resolve_addresses
 from rollcall.operators.postal import normalise_postal_codes
 from rollcall.operators.report import join_addresses
-from rollcall.plans.extract import checked_edition_tickets, extract_forms, extract_participants
+from rollcall.plans.extract import edition_scope, extract_forms, extract_participants
 
 
 class Report(NamedTuple):
@@ -34,14 +34,14 @@ def build_report(tables: dict[str, DataFrame], responses, edition: str, first, l
     checkpoint folder (``materialize_lookup``), so the report, the addresses
     and the counters all read the same decided rows.
     """
-    tickets = checked_edition_tickets(tables, edition)
+    scope = edition_scope(tables, edition)
     # The two extractions are independent: their eager steps (writes to the
     # checkpoint folder, size checks) run as concurrent jobs from two threads.
     with ThreadPoolExecutor(max_workers=2) as pool:
         people = pool.submit(extract_participants, tables, edition, first, last, max_rows, rows_per_batch,
-                             as_of, excluded_events, workdir=workdir, tickets=tickets)
+                             as_of, excluded_events, workdir=workdir, scope=scope)
         answers = pool.submit(extract_forms, tables, edition, first, last, max_rows, rows_per_batch,
-                              workdir=workdir, tickets=tickets)
+                              workdir=workdir, scope=scope)
         participants, forms = people.result(), normalise_postal_codes(answers.result())
     landed = responses(forms) if callable(responses) else responses
     resolved = resolve_addresses(forms, landed, providers, materialized=materialize_lookup)
