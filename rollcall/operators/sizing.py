@@ -39,6 +39,13 @@ def key_set(df: DataFrame, col: str, max_rows: int = ID_SET_ROWS) -> DataFrame:
     return broadcast_if_small(ids, max_rows)
 
 
+def key_sets(df: DataFrame, *cols: str, max_rows: int = ID_SET_ROWS) -> list[DataFrame]:
+    """``key_set`` of several columns of ``df``, computed as concurrent jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, len(cols))) as pool:
+        return list(pool.map(lambda c: key_set(df, c, max_rows), cols))
+
+
 def restrict(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
     """Rows of ``df`` whose ``col`` is in ``ids`` (a semi-join: a map-side filter when ids are broadcast)."""
     return df.join(ids, F.col(col) == F.col(_IDS), "left_semi")

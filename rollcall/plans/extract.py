@@ -25,7 +25,7 @@ from rollcall.operators.batching import number_batches
 from rollcall.operators.collation import join_collated
 from rollcall.operators.fanout import keep_unused_fanout, multiply_by_matches, without_partial_cancel
 from rollcall.operators.options import option_answer_groups, unnest_options
-from rollcall.operators.sizing import broadcast_if_small, key_set, restrict
+from rollcall.operators.sizing import broadcast_if_small, key_set, key_sets, restrict
 from rollcall.operators.trades import attach_trade_sides, trade_sides
 from rollcall.session import materialize
 
@@ -142,7 +142,7 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
         F.col("checkoutEventTicketBatchPriceId").alias("__cprice"),
         local_date("createdAt").alias("data_compra"))
     buyers = materialize(buyers.join(checkout, "__cprice"), "edition-buyers")
-    ids, session_ids = key_set(buyers, "__pid"), key_set(buyers, "__session")
+    ids, session_ids = key_sets(buyers, "__pid", "__session")
     paid = restrict(_paid_sessions(tables), "id", session_ids).select(F.col("id").alias("__session"))
     buyers = buyers.join(paid, "__session")
     answers = (restrict(tables["formfieldanswer"], "checkoutParticipantId", ids)
@@ -203,7 +203,7 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
         F.col("coupon"), F.col("email"), F.col("phoneNumber").alias("phone"), F.col("cpf"),
         F.col("birthDate").alias("birth_date"))
     p = materialize(people.join(checkout, "__cprice"), "edition-participants")
-    ids, session_ids = key_set(p, "item_id"), key_set(p, "__session")
+    ids, session_ids = key_sets(p, "item_id", "__session")
     sessions = restrict(purchased_between(_paid_sessions(tables), "createdAt", first, last), "id", session_ids
                         ).select(F.col("id").alias("__session"), local_date("createdAt").alias("purchase_date"))
     payments = restrict(tables["checkoutpayment"], "sessionId", session_ids).select(
