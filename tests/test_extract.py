@@ -92,3 +92,11 @@ def test_catalogue(tables):
 def test_catalogue_nulls_first(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "globalEvent string")
     assert [r.globalEvent for r in list_editions(df, "").collect()] == [None, "a", "b"]
+
+
+def test_unknown_edition_gives_empty_results(tables):
+    from rollcall.plans.extract import extract_forms
+    people = extract_participants(tables, "Nenhuma", as_of=dt.date(2025, 6, 30), rows_per_batch=3)
+    forms = extract_forms(tables, "Nenhuma", rows_per_batch=3)
+    assert people.count() == 0 and forms.count() == 0
+    assert people.columns[0] == "batch_number" and forms.columns[-1] == "cep"
