@@ -51,8 +51,12 @@ def edition_tickets(tables: dict[str, DataFrame], edition: str, excluded_events=
 
 
 def checked_edition_tickets(tables: dict[str, DataFrame], edition: str) -> DataFrame:
-    """``edition_tickets`` marked for broadcast when its size bound holds (checked once)."""
-    return broadcast_if_small(edition_tickets(tables, edition))
+    """``edition_tickets``, written once and marked for broadcast when its size bound holds.
+
+    Its size check and every consumer (checkout prices, ticket types and
+    complements) read the written copy instead of re-joining the catalogue.
+    """
+    return broadcast_if_small(materialize(edition_tickets(tables, edition), "edition-tickets"))
 
 
 def _edition_dim(tables, edition, excluded_events=(), tickets: DataFrame | None = None) -> DataFrame:
