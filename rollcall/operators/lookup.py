@@ -113,11 +113,12 @@ def code_winners(responses: DataFrame, codes: DataFrame, providers=PROVIDER_ORDE
     per_code = (_answered(responses.filter(F.col("provider").isin(list(providers))), codes)
                 .groupBy("cep_requested").agg(*latest))
     rank = F.when(has_key(F.col("__rc_b1")), F.lit(1))
-    body = F.when(has_key(F.col("__rc_b1")), F.col("__rc_b1"))
     for i in range(2, len(providers) + 1):
         rank = rank.when(has_key(F.col(f"__rc_b{i}")), F.lit(i))
-        body = body.when(has_key(F.col(f"__rc_b{i}")), F.col(f"__rc_b{i}"))
-    decided = per_code.select("cep_requested", rank.alias("winner_rank"), body.alias("__rc_body"))
+    bodies = F.array(*[F.col(f"__rc_b{i}") for i in range(1, len(providers) + 1)])
+    decided = (per_code.withColumn("winner_rank", rank)       # each body parsed once, chain order
+                       .select("cep_requested", "winner_rank",
+                               F.element_at(bodies, F.col("winner_rank")).alias("__rc_body")))
     return codes.join(decided, "cep_requested", "left").select(
         "cep_requested", "winner_rank", address_fields(F.col("__rc_body")).alias("fields"))
 
