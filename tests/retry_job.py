@@ -30,7 +30,23 @@ def main():
     w = Window.orderBy("k", "v")
     want = {(r.k, r.v): r.b for r in spark.range(0, 4000).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
             .withColumn("b", F.floor((F.row_number().over(w) - 1) / 300) + 1).collect()}
-    print("OK" if got == want else "MISMATCH", len(got))
+    numbering_ok = got == want
+
+    # A whole participant extraction whose participant scan fails once per job.
+    import datetime as dt
+    sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+    from fixture_tables import operational_tables
+    from rollcall.plans.extract import extract_participants
+    tables = operational_tables(spark)
+    args = ("10 Milhas RJ", "2023-12-31", "2024-01-31")
+    clean = sorted(map(tuple, extract_participants(tables, *args, rows_per_batch=3, as_of=dt.date(2025, 6, 30))
+                       .collect()))
+    cp = tables["checkoutparticipant"]
+    tables["checkoutparticipant"] = cp.repartition(4).withColumn("id", flaky(F.col("id")))
+    retried = sorted(map(tuple, extract_participants(tables, *args, rows_per_batch=3, as_of=dt.date(2025, 6, 30))
+                         .collect()))
+    extraction_ok = clean == retried and len(clean) == 14
+    print("OK" if numbering_ok and extraction_ok else "MISMATCH", len(got))
 
 
 if __name__ == "__main__":
