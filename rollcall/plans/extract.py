@@ -1,12 +1,14 @@
 """Forms and participant extraction for one edition and purchase-date range.
 
 ``tables`` maps operational table names (see ``rollcall.sources.schemas``) to
-DataFrames.  Both extractions start from the edition's small ticket
-dimension (price -> batch -> ticket -> event -> edition, all catalogue
-tables), filter the large tables as early as possible (the date range is
-pushed into the scan as a half-open instant range), and keep the row
-multiplicity of the original left joins: matches that contribute no column
-are counted per key and repeated, the others are joined.
+DataFrames.  Both extractions start from the edition scope: the small ticket
+dimension (price -> batch -> ticket -> event -> edition, catalogue tables),
+the edition's checkout-price rows and their id set.  Every table that spans
+all events is then filtered in its scan by a broadcast key set of the edition
+(checkout prices, then participants and sessions), the date range is pushed
+into the scan as a half-open instant range, and the row multiplicity of the
+original left joins is kept: matches that contribute no column are counted per
+key and repeated, the others are joined.
 """
 
 from __future__ import annotations
