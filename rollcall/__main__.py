@@ -47,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--format", default="parquet", choices=("parquet", "csv"))
         s.add_argument("--month-partitioned", action="store_true",
                        help="the landing was written with land --month-partitioned")
+        s.add_argument("--option-view", action="store_true",
+                       help="the landing holds checkoutparticipant_array_vw instead of participant_options")
         if name == "editions":
             s.add_argument("--contains", default=None)
             s.add_argument("--out", default=None, help="write here instead of printing")
@@ -144,8 +146,12 @@ def main(argv=None, spark=None) -> int:
         return 0
     from rollcall.session import build_session
     from rollcall.sources.readers import PURCHASE_DATED, read_tables
+    from rollcall.sources.schemas import OPERATIONAL
     spark = spark or build_session()
-    tables = read_tables(spark, args.landing, fmt=args.format,
+    names = list(OPERATIONAL)
+    if args.option_view:
+        names = [n for n in names if n != "participant_options"] + ["checkoutparticipant_array_vw"]
+    tables = read_tables(spark, args.landing, names=names, fmt=args.format,
                          months=PURCHASE_DATED if args.month_partitioned else None)
     COMMANDS[args.command](args, spark, tables)
     return 0

@@ -113,6 +113,18 @@ def _of_edition(catalogue: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return catalogue.join(dim.select(key), key, "left_semi")
 
 
+def _option_view(tables, ids: DataFrame) -> DataFrame:
+    """One row per participant and chosen option id, for the participants in ``ids``.
+
+    Taken from the un-nested view when the landing holds it, else from the
+    array column of ``participant_options`` (filtered before the explode).
+    """
+    if "checkoutparticipant_array_vw" in tables:
+        view = tables["checkoutparticipant_array_vw"].select("id", "questionIDs")
+        return restrict(view, "id", ids)
+    return unnest_options(restrict(tables["participant_options"], "id", ids))
+
+
 def _paid_sessions(tables) -> DataFrame:
     return tables["checkoutsession"].filter(F.col("status") == F.lit(fv.PAID_STATUS))
 
@@ -235,7 +247,7 @@ def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT
         fanned = pool.submit(multiply_by_matches, p, "item_id", cancels, trades_fanout)
         chosen = pool.submit(
             option_answer_groups,
-            unnest_options(restrict(tables["participant_options"], "id", ids)), tables["eventticketstockitems"],
+            _option_view(tables, ids), tables["eventticketstockitems"],
             tables["eventticketstockitemscomplement"], tables["eventticketstock"],
             {"shirts": (fv.SHIRT_STOCK_NAMES, {"nameParsed": "shirt"}),
              "kits": (fv.KIT_PICKUP_STOCK_NAMES, {"day": "pickup_day", "hour": "pickup_hour"})},

@@ -45,6 +45,9 @@ OPERATIONAL = {
         ("fieldId", S), ("placeholder", S), ("placeholderParsed", S)),
 }
 
+# The un-nested option view, for landings that hold it instead of ``participant_options``.
+OPTION_VIEW = _struct(("id", L), ("questionIDs", L))
+
 FORMS = _struct(
     ("batch_number", L), ("participant_id", L), ("data_compra", D), ("edicao", S), ("evento", S),
     ("field_id", S), ("pergunta_cadastrada", S), ("pergunta_tratada", S), ("cep", S))
@@ -63,7 +66,7 @@ RESPONSES = _struct(("provider", S), ("cep_requested", S), ("body", S), ("fetche
 ADDRESS_FIELDS = ("cep", "state", "city", "neighborhood", "street", "service")
 ADDRESSES = _struct(("item_id", S), *[(name, S) for name in ADDRESS_FIELDS])
 
-ALL = {**OPERATIONAL, "forms": FORMS, "participants": PARTICIPANTS,
+ALL = {**OPERATIONAL, "checkoutparticipant_array_vw": OPTION_VIEW, "forms": FORMS, "participants": PARTICIPANTS,
        "responses": RESPONSES, "addresses": ADDRESSES}
 
 # The driver's TPC-H-like test tables (read with these schemas, never inferred).

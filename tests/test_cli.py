@@ -51,3 +51,14 @@ def test_cli_pending_requests(spark, tables, tmp_path):
     got = sorted((r.provider, r.cep_requested) for r in spark.read.parquet(str(tmp_path / "p")).collect())
     # 01310-100 was accepted by the first provider; the other codes were never asked
     assert got == [("brasilapi", "01234-567"), ("brasilapi", "13100-000")]
+
+
+def test_cli_with_unnested_option_view(spark, tables, tmp_path):
+    from rollcall.operators.options import unnest_options
+    base = str(tmp_path / "landing")
+    _land(spark, tables, base)
+    unnest_options(tables["participant_options"]).write.parquet(f"{base}/checkoutparticipant_array_vw")
+    args = ["--landing", base, "--edition", "10 Milhas RJ", "--first", "2023-12-31", "--last", "2024-01-31",
+            "--as-of", "2025-06-30", "--rows-per-batch", "3", "--option-view"]
+    assert main(["extract", *args, "--out", str(tmp_path / "x")], spark) == 0
+    assert spark.read.parquet(str(tmp_path / "x" / "participants")).count() == 14

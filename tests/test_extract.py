@@ -100,3 +100,13 @@ def test_unknown_edition_gives_empty_results(tables):
     forms = extract_forms(tables, "Nenhuma", rows_per_batch=3)
     assert people.count() == 0 and forms.count() == 0
     assert people.columns[0] == "batch_number" and forms.columns[-1] == "cep"
+
+
+def test_unnested_option_view_gives_the_same_report(tables):
+    from rollcall.operators.options import unnest_options
+    with_view = {k: v for k, v in tables.items() if k != "participant_options"}
+    with_view["checkoutparticipant_array_vw"] = unnest_options(tables["participant_options"])
+    args = ("10 Milhas RJ", "2023-12-31", "2024-01-31")
+    a = extract_participants(tables, *args, rows_per_batch=3, as_of=dt.date(2025, 6, 30)).collect()
+    b = extract_participants(with_view, *args, rows_per_batch=3, as_of=dt.date(2025, 6, 30)).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == 14
