@@ -60,6 +60,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--rows-per-batch", type=int, default=fv.DEFAULT_ROWS_PER_BATCH)
         s.add_argument("--as-of", default=None, help="date ages are computed at (default: today)")
         s.add_argument("--out", required=True)
+        if name == "report":
+            s.add_argument("--out-format", default="parquet", choices=("parquet", "csv"))
     return p
 
 
@@ -123,7 +125,7 @@ def _report(args, spark, tables):
     report = build_report(tables, _responses(args, spark), args.edition, args.first, args.last, _as_of(args),
                           rows_per_batch=args.rows_per_batch, max_rows=args.max_rows)
     write_report(display_participants(report.report), args.out, dt.datetime.now(),
-                 edition_col=fv.PARTICIPANT_DISPLAY_NAMES["edition"])
+                 edition_col=fv.PARTICIPANT_DISPLAY_NAMES["edition"], fmt=args.out_format)
     report.resolved.counters.write.mode("overwrite").parquet(f"{args.out}_counters")
 
 

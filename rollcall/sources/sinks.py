@@ -47,19 +47,24 @@ def display_participants(df: DataFrame, extra: dict[str, str] | None = None) ->
     return df.select([F.col(c).alias(names.get(c, c)) for c in df.columns])
 
 
-def write_report(df: DataFrame, path: str, run_ts: dt.datetime, edition_col: str = "edition") -> str:
+def write_report(df: DataFrame, path: str, run_ts: dt.datetime, edition_col: str = "edition",
+                 fmt: str = "parquet") -> str:
     """Write the report under ``report_label=<edition label>/run_ts=<YYYYMMDD_HHMM>``.
 
     The label is computed per row (blanks as ``_``): for a one-edition report,
     which is what the extraction yields, it equals ``edition_label``, and it
     needs no pass over the report before the write.  Rows of several
-    editions land in one folder each.  Returns the base path.
+    editions land in one folder each.  ``fmt="csv"`` writes CSV with a header
+    line (for spreadsheet users) instead of Parquet.  Returns the base path.
     """
     stamp = run_ts.strftime("%Y%m%d_%H%M")
-    (df.withColumn("report_label", F.coalesce(label_text(edition_col), F.lit("_")))
-       .withColumn("run_ts", F.lit(stamp))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("report_label", "run_ts").parquet(path))
+    writer = (df.withColumn("report_label", F.coalesce(label_text(edition_col), F.lit("_")))
+                .withColumn("run_ts", F.lit(stamp))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("report_label", "run_ts").format(fmt))
+    if fmt == "csv":
+        writer = writer.option("header", "true")
+    writer.save(path)
     return path
 
 

@@ -139,3 +139,10 @@ def test_batch_slice_of_written_extract_skips_other_batches(spark, tmp_path):
     assert sorted(r.id for r in back.collect()) == list(range(5000, 7500))
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(batch_number), EqualTo(batch_number,3)]" in plan
+
+
+def test_report_as_csv(spark, tmp_path):
+    df = spark.createDataFrame([("10 Milhas RJ", 1, "São Paulo")], "edition string, item_id long, cidade string")
+    out = write_report(df, str(tmp_path / "csv"), dt.datetime(2025, 6, 30, 14, 5), fmt="csv")
+    back = spark.read.option("header", "true").csv(f"{out}/report_label=10_Milhas_RJ/run_ts=20250630_1405")
+    assert [tuple(r) for r in back.collect()] == [("10 Milhas RJ", "1", "São Paulo")]
