@@ -9,7 +9,9 @@
         --tables checkoutparticipant,checkoutsession --partition-column id --lower 1 \\
         --upper 90000000 --partitions 400 --out s3://landing
 
-Tables are read from ``<landing>/<table>`` with their declared schemas
+``extract`` writes ``forms``, ``forms_profile`` (the postal-code profile) and
+``participants`` under ``--out``.  Tables are read from ``<landing>/<table>``
+with their declared schemas
 (``--format parquet`` or ``csv``); ``report`` and ``pending`` also read
 ``<landing>/responses``.  ``pending`` writes the next request of the provider
 chain for every code the edition's forms need (provider, code, URL), for a
@@ -90,7 +92,7 @@ def _editions(args, spark, tables):
 def _extract(args, spark, tables):
     from concurrent.futures import ThreadPoolExecutor
 
-    from rollcall.operators.postal import normalise_postal_codes
+    from rollcall.operators.postal import normalise_postal_codes, profile_display, profile_postal_codes
     from rollcall.plans.extract import edition_scope, extract_forms, extract_participants
     from rollcall.sources.sinks import write_extract
     scope = edition_scope(tables, args.edition)
@@ -99,6 +101,9 @@ def _extract(args, spark, tables):
         forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last,
                                                      args.max_rows, args.rows_per_batch, scope=scope))
         write_extract(forms, f"{args.out}/forms", "edicao")
+        written = spark.read.parquet(f"{args.out}/forms")
+        profile = profile_postal_codes(written)    # the postal-code profile of the extract, one row per metric
+        profile.join(profile_display(profile), "label").write.mode("overwrite").parquet(f"{args.out}/forms_profile")
 
     def people_job():
         people = extract_participants(tables, args.edition, args.first, args.last, args.max_rows,

@@ -21,6 +21,8 @@ def test_cli_extract_and_report(spark, tables, tmp_path):
     assert main(["extract", *common, "--out", str(tmp_path / "x")], spark) == 0
     assert spark.read.parquet(str(tmp_path / "x" / "forms")).count() == 4
     assert spark.read.parquet(str(tmp_path / "x" / "participants")).count() == 14
+    profile = {r.metric: r["qtde (percent)"] for r in spark.read.parquet(str(tmp_path / "x" / "forms_profile")).collect()}
+    assert profile["total"] == "4 (100.00%)" and profile["with_underscore"] == "3 (75.00%)"
     assert main(["report", *common, "--out", str(tmp_path / "r")], spark) == 0
     report = spark.read.parquet(str(tmp_path / "r"))
     assert report.count() == 14 and "itemID" in report.columns and "cidade" in report.columns
