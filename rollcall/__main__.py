@@ -43,8 +43,14 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("--out", required=True)
     land.add_argument("--month-partitioned", action="store_true",
                       help="partition purchase-dated tables by month of createdAt")
+    helps = {
+        "editions": "list editions (optionally those containing a fragment)",
+        "extract": "write the forms, their postal-code profile and the participants of one edition",
+        "report": "write the participant report with resolved addresses, and the lookup counters",
+        "pending": "write the next provider request of every postal code the edition needs",
+    }
     for name in ("editions", "extract", "report", "pending"):
-        s = sub.add_parser(name)
+        s = sub.add_parser(name, help=helps[name])
         s.add_argument("--landing", required=True)
         s.add_argument("--format", default="parquet", choices=("parquet", "csv"))
         s.add_argument("--month-partitioned", action="store_true",
