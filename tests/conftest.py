@@ -9,11 +9,10 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     from rollcall import build_session, ensure_checkpoint_dir
-    session = build_session("local[4]", app="rollcall-tests", shuffle_partitions=8,
-                            conf={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("ckpt"))})
-    ensure_checkpoint_dir(session)
+    session = build_session("local[4]", app="rollcall-tests", shuffle_partitions=8)
+    ensure_checkpoint_dir(session)   # the configured spark.checkpoint.dir, or a local folder if unset
     yield session
     session.stop()
 

@@ -2,7 +2,6 @@
 
 import os
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -13,8 +12,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 def main():
     spark = (SparkSession.builder.master("local[4,4]")          # up to 4 attempts per task
-             .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
-             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="retry-ckpt-")).getOrCreate())
+             .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
     from rollcall.operators.batching import number_batches
 
