@@ -19,14 +19,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces and pre-tokens kept in a worker; beyond that new ones are encoded without being kept.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 500_000
 _PIECES = re.compile(r"\s*\S+|\s+")
 _CONTROL = re.compile("[\x1c-\x1f\x00]")   # white space to Python, symbols to the tokenizers
 #: Texts that are not words with one space or line end between them are cut one at a time.
 _UNEVEN = (r"[ \n][ \n]|^[ \n]|[ \n]$|"
            r"[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 #: Bytes of text that are cut at a time.
-_SLICE_BYTES = 16 << 20
+_SLICE_BYTES = 8 << 20
 #: Words below this character lower and compose alike everywhere, letter by letter.
 _PLAIN_BELOW = "\u0130"
 
