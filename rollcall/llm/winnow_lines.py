@@ -87,7 +87,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     first = materialize(places.groupBy("key").agg(F.min(position).alias("first"), F.max(position).alias("latest"))
                         .filter(F.col("first") < F.col("latest")).select(F.col("key").alias("first_key"), "first"),
                         "first-places")
-    later = places.join(first, F.col("key") == F.col("first_key")).filter(position > F.col("first"))
+    # both joins are planned alike at every size: sorted by key, so a skewed key can be split
+    later = places.join(first.hint("merge"), F.col("key") == F.col("first_key")).filter(position > F.col("first"))
     marked = later.select("did", "th", "line", F.posexplode("words").alias("step", "n")) \
         .select("did", "th", (F.col("line") + F.col("step")).alias("line"), "n")
     # a document's marked lines meet in one row: at most its own lines
@@ -114,7 +115,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     removed = materialize(repeated_lines(docs), "repeated-lines")
     text = F.col("d.text").cast("string")
     joined = docs.select(*kept).alias("d").join(
-        removed.alias("r"), (F.coalesce(F.col("d.doc_id").cast("long"), F.lit(_NO_ID)) == F.col("r.did"))
+        removed.hint("merge").alias("r"), (F.coalesce(F.col("d.doc_id").cast("long"), F.lit(_NO_ID)) == F.col("r.did"))
         & (F.xxhash64(text) == F.col("r.th")), "left")
     lines = F.transform(_lines(text), lambda x, i: F.struct(x.alias("x"), F.array_contains(F.col("r.lines"), i).alias("out")))
     stays = F.rtrim(F.array_join(F.transform(F.filter(lines, lambda x: ~x["out"]), lambda x: x["x"]), ""), F.lit("\n"))
