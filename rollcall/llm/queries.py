@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rollcall.llm import (chunked_bpe, direct_codes, fair_toxicity, host_rules, retrieval_packing, winnow_lines,
-                          zstd_langid)
+from rollcall.llm import (chunked_bpe, context_mixing, direct_codes, fair_toxicity, host_rules, order_minhash,
+                          prefix_forest, retrieval_packing, winnow_lines, zstd_langid)
 from rollcall.llm.common import read_table
 
 
@@ -20,10 +21,18 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.duplicate_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op3_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op4_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval_packing.packing_digest(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -32,6 +41,10 @@ def op5_zstd_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_langid.predict_languages(read_table(spark, sf_dir, "documents"))
 
 
+def op6_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.search_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_winnow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow_lines.dedup_digest(read_table(spark, sf_dir, "documents"))
 
@@ -51,9 +64,12 @@ def op10_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_order_minhash": op1_order_minhash,
     "op2_host_rules": op2_host_rules,
+    "op3_context_mixing": op3_context_mixing,
     "op4_retrieval_packing": op4_retrieval_packing,
     "op5_zstd_langid": op5_zstd_langid,
+    "op6_prefix_forest": op6_prefix_forest,
     "op7_winnow_lines": op7_winnow_lines,
     "op8_fair_toxicity": op8_fair_toxicity,
     "op9_direct_codes": op9_direct_codes,
