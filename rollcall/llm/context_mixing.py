@@ -1,12 +1,12 @@
 """Language-model scoring by logistic mixing of hashed-context bit predictors.
 
 A text is its lower-cased words, a space after each, and an end symbol.  Every
-byte is coded by binary decisions along a Huffman code of the training bytes.
-Four predictors hold counts of ones per (context, decision): the last byte, the
-last two, the last four, and the word so far, hashed into fixed tables.  Their
-stretched probabilities are mixed with weights that are chosen by the
-decision and by each predictor's confidence, and an adaptive probability map
-per decision refines the sum.
+byte is coded by binary decisions along the Huffman code of the bytes that
+follow the one before it.  Five predictors hold counts of ones per (context,
+decision): the last one, two, four and six bytes, and the word so far, hashed
+into fixed tables.  Their stretched probabilities are mixed with weights that
+are chosen by each predictor's confidence and scaled by the decision's depth,
+and an adaptive probability map per depth refines the sum.
 
 Training.  The counts are sums over all training rows but a hash fold of
 them (``MIX_FOLD``); on that fold, whose counts the tables have not seen, the
@@ -32,6 +32,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,21 +42,24 @@ from rollcall.llm.common import fold, materialize
 HELD_OUT_FOLDS, HELD_OUT = 5, 1
 #: Of the training rows, one in so many (by hash) trains the mixing instead of the counts.
 MIX_FOLD = 16
-#: Table bits of the predictors: one, two, four bytes, word so far.
-TABLE_BITS = (16, 18, 20, 21)
+#: Bytes of context of the predictors (the first is one), before that of the word so far; and their table bits.
+ORDERS = (1, 2, 4, 6)
+TABLE_BITS = (16, 18, 21, 22, 22)
 BLOCK = 1 << 16
 CONFIDENCES = 8
 HEAVY_SHARE = 1 << 18
 #: Positions counted, scored and learned from at a time; words counted before they go to the shuffle.
-COUNT_POSITIONS, SCORE_POSITIONS, LEARN_POSITIONS = 1 << 21, 1 << 17, 1 << 14
+COUNT_POSITIONS, SCORE_POSITIONS, LEARN_POSITIONS = 1 << 16, 1 << 15, 1 << 15
 _FLUSH = 300_000
 END = "\n"
 
-_PAD = b"\n\n\n\n"
-_NODES = 256
-_MAP_STEPS = 33
+_PAD = b"\n" * 8
+_DEPTHS = 64
+#: Cells of a probability map over the mixed logit, from -8 to 8.
+_MAP_CELLS = 257
 _ODD = np.uint32(0x9E3779B1)
 _WORD_BASE = 0x5851F42D4C957F2D
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -64,30 +68,33 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 
 class Code:
-    """Huffman code of the 256 byte values; decisions are numbered by inner node."""
+    """For each byte the Huffman code of the bytes after it; a step holds the inner node and the bit."""
 
     def __init__(self, histogram: np.ndarray):
-        heap = [(int(n) + 1, symbol, symbol) for symbol, n in enumerate(histogram)]
+        paths = [path for row in histogram.reshape(256, 256) for path in self._paths(row)]
+        self.length = np.array([len(p) for p in paths], np.uint8)
+        self.steps = np.zeros((int(self.length.max()), 1 << 16), np.uint16)
+        for pair, path in enumerate(paths):
+            self.steps[:len(path), pair] = path
+
+    @staticmethod
+    def _paths(counts: np.ndarray) -> list[list[int]]:
+        """Per symbol ``2 * node + bit`` from the root on; the length stays below ``_DEPTHS``."""
+        heap = [(int(n) + 1, symbol) for symbol, n in enumerate(counts)]
         heapq.heapify(heap)
         parent: dict[int, tuple[int, int]] = {}
-        for node in range(_NODES - 1):
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            parent[a[2]], parent[b[2]] = (256 + node, 0), (256 + node, 1)
-            heapq.heappush(heap, (a[0] + b[0], 256 + node, 256 + node))
+        for node in range(256, 511):
+            (m, a), (n, b) = heapq.heappop(heap), heapq.heappop(heap)
+            parent[a], parent[b] = (node, 0), (node, 1)
+            heapq.heappush(heap, (m + n, node))
         paths = []
         for symbol in range(256):
             path, at = [], symbol
             while at in parent:
                 at, bit = parent[at]
-                path.append((at - 256, bit))
+                path.append(2 * (at - 256) + bit)
             paths.append(path[::-1])
-        self.length = np.array([len(p) for p in paths], np.uint8)
-        depth = int(self.length.max())
-        self.node = np.zeros((depth, 256), np.uint8)
-        self.bit = np.zeros((depth, 256), np.uint8)
-        for symbol, path in enumerate(paths):
-            for d, (node, bit) in enumerate(path):
-                self.node[d, symbol], self.bit[d, symbol] = node, bit
+        return paths
 
 
 class Stream:
@@ -98,45 +105,52 @@ class Stream:
         raw = np.frombuffer(b"".join([_PAD + t for t in texts]), np.uint8)
         sizes = np.array([len(t) for t in texts]) + len(_PAD)
         owner = np.repeat(np.arange(len(texts)), sizes)
-        place = np.arange(len(raw))
-        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        at = np.flatnonzero(place - first >= len(_PAD))
+        pads = np.zeros(len(raw), bool)
+        for k in range(len(_PAD)):
+            pads[np.cumsum(sizes) - sizes + k] = True
+        at = np.flatnonzero(~pads)
         wide = raw.astype(np.uint32)
-        two = wide[at - 1] | wide[at - 2] << np.uint32(8)
-        four = two | wide[at - 3] << np.uint32(16) | wide[at - 4] << np.uint32(24)
-        symbol = raw[at]
-        order = np.argsort(np.uint8(255) - code.length[symbol], kind="stable")
-        self.symbol, self.owner = symbol[order], owner[at][order]
-        lengths = code.length[self.symbol]
-        self.active = [int(np.searchsorted(-lengths.astype(np.int16), -d, side="left")) for d in range(code.node.shape[0])]
-        hashes = (wide[at - 1] << np.uint32(24), two * np.uint32(0x85EBCA6B), four * np.uint32(0xC2B2AE35),
-                  self._words(raw, at))
-        self.hashes = [h[order] for h in hashes]
+        pairs = (wide[at - 1] << np.uint32(8) | wide[at]).astype(np.uint16)
+        lengths = code.length.take(pairs)
+        order = np.argsort(np.uint8(255) - lengths, kind="stable")
+        at = at[order]
+        self.pairs, self.owner = pairs[order], owner[at]
+        counts = np.bincount(lengths, minlength=256)
+        self.active = len(at) - np.cumsum(counts)[:code.steps.shape[0]]      # symbols with more than d decisions
+        self.hashes, mixed = [wide[at - 1] << np.uint32(8)], wide
+        for back in range(2, max(ORDERS) + 1):
+            # mixed[i] is a hash of the `back` bytes up to i
+            mixed = mixed[1:] * np.uint32(0x85EBCA6B) + (wide[:-back + 1] + np.uint32(1)) * np.uint32(pow(0x2C1B3C6D, back, 1 << 32))
+            if back in ORDERS:
+                found = mixed[at - back]
+                self.hashes.append(found ^ found >> np.uint32(15))
+        self.hashes.append(self._words(raw, at))
         self.code = code
 
     @staticmethod
     def _words(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Hash of the word so far: a polynomial in its bytes, free of where the word starts."""
         n = len(raw)
-        powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, _WORD_BASE, np.uint64))])
-        inverse = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, pow(_WORD_BASE, -1, 1 << 64), np.uint64))])
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:n])])
+        if len(_POWERS[0]) <= n:
+            for k, base in enumerate((_WORD_BASE, pow(_WORD_BASE, -1, 1 << 64))):
+                _POWERS[k] = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(2 * n, base, np.uint64))])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _POWERS[0][:n])])
         gap = (raw == 32) | (raw == 10)
-        start = np.maximum.accumulate(np.where(gap, np.arange(n) + 1, 0))[at - 1]
-        return ((sums[at] - sums[start]) * inverse[start] * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32)
+        start = np.maximum.accumulate(np.where(gap, np.arange(1, n + 1), 0))[at - 1]
+        return ((sums[at] - sums[start]) * _POWERS[1][start] * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32)
 
     def decisions(self):
-        """Per code depth: how many symbols take part, their node and bit, and the slot in each table."""
+        """Per code depth: the depth, how many symbols take part, their bits, and the slot in each table."""
         for d, n in enumerate(self.active):
             if not n:
                 return
-            symbols = self.symbol[:n]
-            node = self.code.node[d][symbols]
-            step = node.astype(np.uint32) * np.uint32(0x27D4EB2F)
-            slots = [((self.hashes[0][:n] >> np.uint32(16)) | node).astype(np.intp)]
-            slots += [((h[:n] ^ step) * _ODD >> np.uint32(32 - b)).astype(np.intp)
+            step = self.code.steps[d].take(self.pairs[:n])
+            node = (step >> np.uint16(1)).astype(np.uint32)
+            salt = node * np.uint32(0x27D4EB2F)
+            slots = [(self.hashes[0][:n] | node).astype(np.intp)]
+            slots += [((h[:n] ^ salt) * _ODD >> np.uint32(32 - b)).astype(np.intp)
                       for h, b in zip(self.hashes[1:], TABLE_BITS[1:], strict=True)]
-            yield n, node, self.code.bit[d][symbols], slots
+            yield d, n, step & np.uint16(1), slots
 
 
 def runs(documents: list[list[bytes]], positions: int):
@@ -155,17 +169,25 @@ def runs(documents: list[list[bytes]], positions: int):
 
 def _pack(counts: np.ndarray) -> bytes:
     large = np.flatnonzero(counts >= 65535)
-    return (np.minimum(counts, 65535).astype("<u2").tobytes() + large.astype("<i8").tobytes()
-            + counts[large].astype("<i8").tobytes())
+    return zstandard.compress(np.minimum(counts, 65535).astype("<u2").tobytes() + large.astype("<i8").tobytes()
+                              + counts[large].astype("<i8").tobytes(), level=1)
 
 
 def _unpack(packed: bytes, size: int = 2 * BLOCK) -> np.ndarray:
+    packed = zstandard.decompress(packed)
     counts = np.frombuffer(packed, "<u2", size).astype(np.int64)
     rest = np.frombuffer(packed, "<i8", offset=2 * size)
     counts[rest[:len(rest) // 2]] = rest[len(rest) // 2:]
     return counts
 
 
+def count_bits(tables: list[np.ndarray], stream: Stream) -> None:
+    """Adds a run's zeros and ones per slot to the tables."""
+    for _, _, bit, slots in stream.decisions():
+        for table, slot in zip(tables, slots, strict=True):
+            np.add.at(table, slot * 2 + bit, np.int32(1))
+
+
 _PARTIAL = "word binary, n long, block int, salt int, counts binary"
 
 
@@ -180,7 +202,7 @@ def _partial_counts(training: DataFrame, code: Code) -> DataFrame:
              pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names=names)
 
     def run(batches):
-        tables = [np.zeros(2 << b, np.int64) for b in TABLE_BITS]
+        tables = [np.zeros(2 << b, np.int32) for b in TABLE_BITS]
         found: Counter = Counter()
         any_rows = False
         for batch in batches:
@@ -195,9 +217,7 @@ def _partial_counts(training: DataFrame, code: Code) -> DataFrame:
             counted = [w for w, m in zip(documents, mixing, strict=True) if not m]
             any_rows |= bool(counted)
             for a, b in runs(counted, COUNT_POSITIONS):
-                for _, _, bit, slots in Stream(code, counted[a:b]).decisions():
-                    for table, slot in zip(tables, slots, strict=True):
-                        table += np.bincount(slot * 2 + bit, minlength=len(table))
+                count_bits(tables, Stream(code, counted[a:b]))
         if found:
             yield words_out(found)
         if any_rows:
@@ -250,101 +270,121 @@ def _states(counts: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Fixed tables, weights and probability maps; picklable for a broadcast."""
+    """Fixed tables, weights and probability maps; picklable for a broadcast.
+
+    A predictor's weight is chosen by its confidence; the scale of the sum and the map by the decision's depth.
+    """
 
     def __init__(self, code: Code, tables: list[np.ndarray]):
         self.code, self.tables = code, tables
-        weight = np.repeat([[0.0, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.4]], _NODES, axis=0).ravel()
-        self.weights = np.stack([weight] * len(TABLE_BITS)).astype(np.float32)
-        centres = 1 / (1 + np.exp(-(np.arange(_MAP_STEPS) / 2 - 8.0)))
-        self.maps = np.tile(centres, _NODES).astype(np.float32)
-
-    def mix(self, node: np.ndarray, slots: list[np.ndarray]):
-        """The mixed logit, and per predictor its input and the index of its weight."""
-        logit = np.zeros(len(node), np.float32)
-        inputs = []
-        gate = node.astype(np.int32) * CONFIDENCES
-        for table, weights, slot in zip(self.tables, self.weights, slots, strict=True):
-            state = table[slot]
-            x = _STRETCH[state]
-            index = gate + (state >> 8)
-            logit += weights[index] * x
-            inputs.append((x, index))
-        return np.clip(logit, -8, 7.999), inputs
+        self.weights = np.tile([0.0, 0.1, 0.2, 0.25, 0.3, 0.35, 0.35, 0.35], (len(TABLE_BITS), 1))
+        self.scales = np.ones(_DEPTHS)
+        self.maps = np.tile(self._centres(), (_DEPTHS, 1))
 
     @staticmethod
-    def place(node: np.ndarray, logit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Cell of a probability map and the share of the next one."""
-        at = (logit + 8) * 2
-        low = at.astype(np.int32)
-        return node.astype(np.int32) * _MAP_STEPS + low, at - low
-
-    def log10_bits(self, node: np.ndarray, bit: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
-        logit, _ = self.mix(node, slots)
-        cell, share = self.place(node, logit)
-        refined = self.maps[cell] * (1 - share) + self.maps[cell + 1] * share
-        p = 0.5 * (1 / (1 + np.exp(-logit)) + refined)
-        return np.log10(np.where(bit, p, 1 - p))
+    def _centres() -> np.ndarray:
+        return 1 / (1 + np.exp(-np.linspace(-8, 8, _MAP_CELLS)))
+
+    def adopt(self, sums: dict[int, tuple[float, float]]) -> None:
+        """Weights, scales and maps from the sums of all partitions; what no event touched stays."""
+        values, maps = np.append(self.weights, self.scales), self.maps.ravel().copy()
+        for i, (a, b) in sums.items():
+            if i < len(values):
+                values[i] = a / b
+            else:
+                maps[i - len(values)] = (a + 20 * maps[i - len(values)]) / (b + 20)
+        self.weights, self.scales = values[:self.weights.size].reshape(self.weights.shape), values[self.weights.size:]
+        self.maps = maps.reshape(self.maps.shape)
+
+    def inputs(self) -> np.ndarray:
+        """Weighted stretched probability by predictor and state."""
+        return (np.repeat(self.weights, 256, axis=1) * _STRETCH).astype(np.float32)
+
+    def mix(self, slots: list[np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The weighted sum of the predictors, and their states."""
+        states = [t.take(s, mode="clip") for t, s in zip(self.tables, slots, strict=True)]
+        total = inputs[0].take(states[0], mode="clip")
+        for given, state in zip(inputs[1:], states[1:], strict=True):
+            total += given.take(state, mode="clip")
+        return total, states
+
+    @staticmethod
+    def cells(total: np.ndarray, scale: float) -> np.ndarray:
+        return (np.clip(total * np.float32(scale * 16), -128, 128) + np.float32(128.5)).astype(np.int32)
 
     def score(self, documents: list[list[bytes]]) -> np.ndarray:
-        """log10 probability of each document."""
+        """log10 probability of each document: a bit's is the mean of its cell's mixed and refined one."""
         out = np.zeros(len(documents))
+        inputs = self.inputs()
+        p = 0.5 * (self._centres() + np.clip(self.maps, 1e-6, 1 - 1e-6))
+        costs = np.log10(np.stack([1 - p, p], axis=2)).reshape(_DEPTHS, -1).astype(np.float32)
         for a, b in runs(documents, SCORE_POSITIONS):
             stream = Stream(self.code, documents[a:b])
-            cost = np.zeros(len(stream.symbol))
-            for n, node, bit, slots in stream.decisions():
-                cost[:n] += self.log10_bits(node, bit, slots)
+            cost = np.zeros(len(stream.pairs))
+            for d, n, bit, slots in stream.decisions():
+                total, _ = self.mix(slots, inputs)
+                cost[:n] += costs[d].take(self.cells(total, self.scales[d]) * 2 + bit, mode="clip")
             out[a:b] = np.bincount(stream.owner, cost, b - a)
         return out
 
     def learn(self, documents: list[list[bytes]], seen: np.ndarray, hits: np.ndarray) -> None:
-        """Online steps over the documents; counts the events per weight in ``seen`` and per map cell in ``hits``."""
+        """Online steps over the documents; counts events per weight and scale in ``seen``, per map cell in ``hits``."""
+        size = self.weights.size
         for a, b in runs(documents, LEARN_POSITIONS):
-            for _, node, bit, slots in Stream(self.code, documents[a:b]).decisions():
-                logit, inputs = self.mix(node, slots)
-                cell, share = self.place(node, logit)
-                for shift, part in ((0, 1 - share), (1, share)):
-                    hits[0] += np.bincount(cell + shift, part, hits.shape[1])
-                    hits[1] += np.bincount(cell + shift, part * bit, hits.shape[1])
-                error = bit - 1 / (1 + np.exp(-logit))
-                for c, (x, index) in enumerate(inputs):
-                    size = self.weights.shape[1]
-                    events = np.bincount(index, minlength=size)
-                    power = np.bincount(index, x * x, size)
-                    seen[c] += events
-                    rate = 0.5 / (1 + seen[c] / 20_000) ** 0.5
-                    self.weights[c] += rate * np.bincount(index, error * x, size) / (power + 20)
+            for d, _, bit, slots in Stream(self.code, documents[a:b]).decisions():
+                total, states = self.mix(slots, self.inputs())
+                cell = d * _MAP_CELLS + self.cells(total, self.scales[d])
+                hits[0] += np.bincount(cell, minlength=hits.shape[1])
+                hits[1] += np.bincount(cell, bit, hits.shape[1])
+                p = 1 / (1 + np.exp(-np.clip(total * self.scales[d], -8, 8)))
+                error, curvature = bit - p, p * (1 - p) + 1e-4
+                for c, state in enumerate(states):
+                    x = _STRETCH[state] * self.scales[d]
+                    self._step(self.weights[c], state >> 8, error * x, curvature * x * x, seen[c * CONFIDENCES:][:CONFIDENCES])
+                self._step(self.scales[d:d + 1], np.zeros(len(bit), np.int64), error * total, curvature * total * total,
+                           seen[size + d:][:1])
+
+    @staticmethod
+    def _step(values, index, gradient, curvature, seen) -> None:
+        seen += np.bincount(index, minlength=len(seen))
+        rate = 0.25 / (1 + seen / 100_000) ** 0.5
+        values += rate * np.bincount(index, gradient, len(seen)) / (np.bincount(index, curvature, len(seen)) + 20)
 
 
 def _mix_statistics(mixing: DataFrame, model) -> DataFrame:
     """Sums over partitions of the learned weights by their events, and of the maps' counts: ``i, a, b``."""
     def run(batches):
         own = Model(model.value.code, model.value.tables)
-        seen, hits = np.zeros(own.weights.shape), np.zeros((2, len(own.maps) + 1))
+        seen, hits = np.zeros(own.weights.size + _DEPTHS), np.zeros((2, own.maps.size))
         for batch in batches:
             own.learn([tokens_of(t) for t in batch.column("text").to_pylist()], seen, hits)
-        a = np.concatenate([(own.weights * seen).ravel(), hits[1]])
-        b = np.concatenate([seen.ravel(), hits[0]])
+        a = np.concatenate([np.append(own.weights, own.scales) * seen, hits[1]])
+        b = np.concatenate([seen, hits[0]])
         keep = np.flatnonzero(b)
         yield pa.RecordBatch.from_arrays([pa.array(keep), pa.array(a[keep]), pa.array(b[keep])], names=["i", "a", "b"])
     return mixing.select("text").mapInArrow(run, "i long, a double, b double").groupBy("i").agg(
         F.sum("a").alias("a"), F.sum("b").alias("b"))
 
 
+#: Bytes as the stream has them: A-Z lowered, white space a space.
+_FOLDED = bytes(32 if 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
 def _histogram(training: DataFrame) -> np.ndarray:
-    """Bytes of the training text, as the stream has them; 256 numbers reach the driver."""
+    """Counts of byte pairs in the training text; 65,536 numbers at most reach the driver."""
     def run(batches):
-        counts = np.zeros(256, np.int64)
+        counts = np.zeros(1 << 16, np.int64)
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                if text:
-                    counts += np.bincount(np.frombuffer(text.encode().lower(), np.uint8), minlength=256)
-            counts[10] += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(counts)], names=["byte", "n"])
-    rows = training.select("text").mapInArrow(run, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(256, np.int64)
-    for r in rows:
-        counts[32 if 9 <= r["byte"] <= 13 and r["byte"] != 10 else r["byte"]] += r["n"]
+                raw = np.frombuffer((" " + (text or "") + " ").encode().translate(_FOLDED), np.uint8).astype(np.int64)
+                np.add.at(counts, raw[:-1] * 256 + raw[1:], 1)
+            counts[32 * 256 + 10] += batch.num_rows
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["pair", "n"])
+    counts = np.zeros(1 << 16, np.int64)
+    for r in training.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        counts[r["pair"]] = r["n"]
+    counts[32 * 256 + 32] = 0      # spaces in a row are one in the stream
     return counts
 
 
@@ -353,23 +393,19 @@ def train(training: DataFrame):
     code = Code(_histogram(training))
     partial = materialize(_partial_counts(training, code), "lm-partial")
     words = materialize(partial.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
-    blocks = _sum_blocks(_sum_blocks(partial.filter(F.col("block").isNotNull()), "block", "salt"), "block")
-    flat = np.zeros(sum(2 << b for b in TABLE_BITS), np.int64)
-    for row in blocks.toLocalIterator():      # the tables' fixed size, a block at a time
-        flat[2 * BLOCK * row["block"]:2 * BLOCK * (row["block"] + 1)] = _unpack(row["counts"])
-    tables = [_states(t) for t in np.split(flat, np.cumsum([2 << b for b in TABLE_BITS])[:-1])]
-    model = Model(code, tables)
+    sums = _sum_blocks(_sum_blocks(partial.filter(F.col("block").isNotNull()), "block", "salt"), "block")
+
+    def states(batches):
+        for batch in batches:
+            found = [_states(_unpack(c)).tobytes() for c in batch.column("counts").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(found, pa.binary())], names=["block", "states"])
+    flat = np.full(sum(1 << b for b in TABLE_BITS), 128, np.uint16)
+    for row in sums.mapInArrow(states, "block int, states binary").collect():      # two bytes a slot of the fixed tables
+        flat[BLOCK * row["block"]:BLOCK * (row["block"] + 1)] = np.frombuffer(row["states"], np.uint16)
+    model = Model(code, np.split(flat, np.cumsum([1 << b for b in TABLE_BITS])[:-1]))
     sent = training.sparkSession.sparkContext.broadcast(model)
     learned = _mix_statistics(training.filter("mixing"), sent).collect()      # one row a weight or map cell
-    size = model.weights.size
-    weights, maps = model.weights.ravel().copy(), model.maps.astype(float)
-    for r in learned:
-        if r["i"] < size:
-            weights[r["i"]] = r["a"] / r["b"]
-        elif r["i"] - size < len(maps):
-            maps[r["i"] - size] = (r["a"] + 4 * maps[r["i"] - size]) / (r["b"] + 4)
-    model.weights = weights.reshape(model.weights.shape).astype(np.float32)
-    model.maps = np.append(np.clip(maps, 1e-6, 1 - 1e-6), 0.5).astype(np.float32)
+    model.adopt({r["i"]: (r["a"], r["b"]) for r in learned})
     total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     return model, words, total["n"], total["v"]
 
