@@ -28,10 +28,10 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -48,9 +48,8 @@ TABLE_BITS = (16, 18, 21, 22, 22)
 BLOCK = 1 << 16
 CONFIDENCES = 8
 HEAVY_SHARE = 1 << 18
-#: Positions counted, scored and learned from at a time; words counted before they go to the shuffle.
+#: Bytes counted, scored and learned from at a time.
 COUNT_POSITIONS, SCORE_POSITIONS, LEARN_POSITIONS = 1 << 16, 1 << 15, 1 << 15
-_FLUSH = 300_000
 END = "\n"
 
 _PAD = b"\n" * 8
@@ -62,9 +61,23 @@ _WORD_BASE = 0x5851F42D4C957F2D
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    """Words of the text with A-Z lowered, as bytes."""
-    return text.encode().lower().split() if text else []
+def normal(text: str | None) -> bytes:
+    """The text as the stream codes it: words with A-Z lowered, a space after each, the end symbol."""
+    return b" ".join([*text.encode().lower().split(), END.encode()]) if text else END.encode()
+
+
+def numbered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """For every word of a batch its number and its row, and the distinct words by number."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(cut).to_numpy(zero_copy_only=False))
+    numbered = cut.flatten().dictionary_encode()
+    number = numbered.indices.to_numpy(zero_copy_only=False)
+    words = numbered.dictionary.cast(pa.binary())
+    empty = pc.equal(words, b"").to_numpy(zero_copy_only=False)
+    if empty.any():      # before or after white space at a text's ends
+        keep = ~empty[number]
+        number, owner = number[keep], owner[keep]
+    return number, owner, words
 
 
 class Code:
@@ -100,8 +113,7 @@ class Code:
 class Stream:
     """Symbols and context hashes of a run of documents, ordered so that longer codes come first."""
 
-    def __init__(self, code: Code, documents: list[list[bytes]]):
-        texts = [b" ".join([*words, END.encode()]) for words in documents]
+    def __init__(self, code: Code, texts: list[bytes]):
         raw = np.frombuffer(b"".join([_PAD + t for t in texts]), np.uint8)
         sizes = np.array([len(t) for t in texts]) + len(_PAD)
         owner = np.repeat(np.arange(len(texts)), sizes)
@@ -153,16 +165,16 @@ class Stream:
             yield d, n, step & np.uint16(1), slots
 
 
-def runs(documents: list[list[bytes]], positions: int):
-    """Slices of the documents of about so many bytes; a longer document is a slice of its own."""
+def runs(texts: list[bytes], size: int):
+    """Slices of the texts of about so many bytes; a longer text is a slice of its own."""
     begin, held = 0, 0
-    for i, words in enumerate(documents):
-        held += sum(map(len, words)) + len(words) + 5
-        if held >= positions:
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= size:
             yield begin, i + 1
             begin, held = i + 1, 0
-    if begin < len(documents):
-        yield begin, len(documents)
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
 # Counts as sums of partial tables: 16 bits a slot, larger numbers listed apart.
@@ -195,31 +207,22 @@ def _partial_counts(training: DataFrame, code: Code) -> DataFrame:
     """Word counts, and tables of bit counts in blocks, of each partition's rows."""
     names = [f.split()[0] for f in _PARTIAL.split(", ")]
 
-    def words_out(found: Counter) -> pa.RecordBatch:
-        size = len(found)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64()), pa.nulls(size, pa.int32()),
-             pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names=names)
+    def words_out(words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+        none = [pa.nulls(len(words), kind) for kind in (pa.int32(), pa.int32(), pa.binary())]
+        return pa.RecordBatch.from_arrays([words, pa.array(counts, pa.int64()), *none], names=names)
 
     def run(batches):
         tables = [np.zeros(2 << b, np.int32) for b in TABLE_BITS]
-        found: Counter = Counter()
-        any_rows = False
+        any_rows, ends = False, 0
         for batch in batches:
-            documents = [tokens_of(t) for t in batch.column("text").to_pylist()]
-            mixing = batch.column("mixing").to_pylist()
-            for words in documents:
-                found.update(words)
-                if len(found) > _FLUSH:
-                    yield words_out(found)
-                    found.clear()
-            found[END.encode()] += len(documents)
-            counted = [w for w, m in zip(documents, mixing, strict=True) if not m]
+            number, _, words = numbered_words(batch.column("text"))
+            yield words_out(words, np.bincount(number, minlength=len(words)))
+            ends += batch.num_rows
+            counted = [normal(t) for t in batch.filter(pc.invert(batch.column("mixing"))).column("text").to_pylist()]
             any_rows |= bool(counted)
             for a, b in runs(counted, COUNT_POSITIONS):
                 count_bits(tables, Stream(code, counted[a:b]))
-        if found:
-            yield words_out(found)
+        yield words_out(pa.array([END.encode()], pa.binary()), np.array([ends]))
         if any_rows:
             flat = np.concatenate(tables)
             salt = TaskContext.get().partitionId() % 64
@@ -312,7 +315,7 @@ class Model:
     def cells(total: np.ndarray, scale: float) -> np.ndarray:
         return (np.clip(total * np.float32(scale * 16), -128, 128) + np.float32(128.5)).astype(np.int32)
 
-    def score(self, documents: list[list[bytes]]) -> np.ndarray:
+    def score(self, documents: list[bytes]) -> np.ndarray:
         """log10 probability of each document: a bit's is the mean of its cell's mixed and refined one."""
         out = np.zeros(len(documents))
         inputs = self.inputs()
@@ -327,7 +330,7 @@ class Model:
             out[a:b] = np.bincount(stream.owner, cost, b - a)
         return out
 
-    def learn(self, documents: list[list[bytes]], seen: np.ndarray, hits: np.ndarray) -> None:
+    def learn(self, documents: list[bytes], seen: np.ndarray, hits: np.ndarray) -> None:
         """Online steps over the documents; counts events per weight and scale in ``seen``, per map cell in ``hits``."""
         size = self.weights.size
         for a, b in runs(documents, LEARN_POSITIONS):
@@ -357,7 +360,7 @@ def _mix_statistics(mixing: DataFrame, model) -> DataFrame:
         own = Model(model.value.code, model.value.tables)
         seen, hits = np.zeros(own.weights.size + _DEPTHS), np.zeros((2, own.maps.size))
         for batch in batches:
-            own.learn([tokens_of(t) for t in batch.column("text").to_pylist()], seen, hits)
+            own.learn([normal(t) for t in batch.column("text").to_pylist()], seen, hits)
         a = np.concatenate([np.append(own.weights, own.scales) * seen, hits[1]])
         b = np.concatenate([seen, hits[0]])
         keep = np.flatnonzero(b)
@@ -392,7 +395,7 @@ def train(training: DataFrame):
     """Model, word counts (``word, c``) and totals (tokens, distinct) of ``text, mixing``."""
     code = Code(_histogram(training))
     partial = materialize(_partial_counts(training, code), "lm-partial")
-    words = materialize(partial.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
+    words = materialize(partial.filter(F.col("n") > 0).groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     sums = _sum_blocks(_sum_blocks(partial.filter(F.col("block").isNotNull()), "block", "salt"), "block")
 
     def states(batches):
@@ -411,7 +414,7 @@ def train(training: DataFrame):
 
 
 _SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
-           "rare array<struct<word:binary,n:long>>")
+           "rare array<binary>")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -431,29 +434,28 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def run(batches):
         own, known = sent.value
         end = known.get(END.encode(), math.log10(0.5) - denominator)
-        rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for batch in batches:
-            documents = [tokens_of(t) for t in batch.column("text").to_pylist()]
-            scores = own.score(documents)
-            base, n_known, rare = [], [], []
-            for tokens in documents:
-                counts = Counter(tokens)
-                logs = [(known.get(w), n) for w, n in counts.items()]
-                base.append(math.fsum(x * n for x, n in logs if x is not None) + end)
-                n_known.append(sum(n for x, n in logs if x is not None) + (END.encode() in known))
-                rare.append([{"word": w, "n": n} for w, n in counts.items() if w not in known])
+            rows = batch.num_rows
+            number, owner, words = numbered_words(batch.column("text"))
+            log = np.array([known.get(w, math.nan) for w in words.to_pylist()])
+            found = log[number] if len(number) else np.zeros(0)
+            is_rare = np.isnan(found)
+            rare = words.take(pa.array(number[is_rare]))
+            bounds = np.concatenate([[0], np.cumsum(np.bincount(owner[is_rare], minlength=rows))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), batch.column("held_out"),
-                 pa.array([len(t) + 1 for t in documents], pa.int64()), pa.array(n_known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(scores, pa.float64()), pa.array(rare, rare_type)], names=names)
+                 pa.array(np.bincount(owner, minlength=rows) + 1),
+                 pa.array(np.bincount(owner[~is_rare], minlength=rows) + int(END.encode() in known)),
+                 pa.array(np.bincount(owner, np.nan_to_num(found), rows) + end),
+                 pa.array(own.score([normal(t) for t in batch.column("text").to_pylist()])),
+                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rare)], names=names)
     scored = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out")
                          .mapInArrow(run, _SCORED), "lm-scored")
-    rest = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
+    rest = scored.select("row", F.explode("rare").alias("word"))
     joined = rest.join(words.filter(F.col("c") * HEAVY_SHARE < total).hint("merge"), "word", "left")
     count = F.coalesce("c", F.lit(0))
     tails = joined.groupBy("row").agg(
-        F.sum(F.col("n") * (F.log10(count + 0.5) - F.lit(denominator))).alias("tail"),
-        F.sum(F.when(count > 0, F.col("n")).otherwise(0)).alias("tail_known"))
+        F.sum(F.log10(count + 0.5) - F.lit(denominator)).alias("tail"), F.sum((count > 0).cast("long")).alias("tail_known"))
     return scored.drop("rare").join(tails.hint("merge"), "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("tail", F.lit(0.0))).alias("base_score"),

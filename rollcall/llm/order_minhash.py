@@ -120,6 +120,10 @@ def _node(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
 
 
+def _known_id(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63)))
+
+
 def sketch_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, node, n_words, sketch`` of every row."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _node(F.col("text")).alias("node"),
@@ -139,9 +143,13 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
 
 
 def _word_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, words`` (hashes, 8 bytes each) once per node of ``nodes``."""
-    texts = docs.select(_node(F.col("text")).alias("node"), F.col("text").cast("string").alias("text")) \
-        .join(nodes.hint("merge"), "node", "left_semi").groupBy("node").agg(F.max("text").alias("text"))
+    """``node, words`` (hashes, 8 bytes each) once per node of ``nodes``, from the row with the node's ``first_id``.
+
+    Joined by node and id, so that the copies of one text do not meet.
+    """
+    texts = docs.select(_node(F.col("text")).alias("node"), _known_id(F.col("doc_id")).alias("first_id"),
+                        F.col("text").cast("string").alias("text")) \
+        .join(nodes.hint("merge"), ["node", "first_id"], "left_semi").groupBy("node", "first_id").agg(F.max("text").alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -179,7 +187,8 @@ def _verify(pairs: DataFrame, words: DataFrame) -> DataFrame:
 def find_links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     """Verified ``leader, node`` links between different texts."""
     nodes = materialize(sketched.filter(F.size("sketch") > 0).groupBy("node").agg(
-        F.max("n_words").alias("n_words"), F.max("sketch").alias("sketch")), "nodes")
+        F.min(_known_id(F.col("doc_id"))).alias("first_id"), F.max("n_words").alias("n_words"), F.max("sketch").alias("sketch")),
+        "nodes")
     spark = docs.sparkSession
     words, links, active = None, None, None
     for vectors in (1, 2, 3):
@@ -200,6 +209,7 @@ def find_links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
         pairs = materialize(pairs, "pairs")
         if words is None:
             involved = entries.join(leaders.select("bucket").hint("merge"), "bucket", "left_semi").select("node").distinct()
+            involved = involved.join(nodes.select("node", "first_id").hint("merge"), "node")
             words = materialize(_word_table(docs, materialize(involved, "involved")), "words")
         found = materialize(_verify(pairs, words), "links")
         links = found if links is None else materialize(links.unionByName(found), "links")
