@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import fair_toxicity, retrieval_packing, zstd_langid
+from rollcall.llm import fair_toxicity, order_minhash, retrieval_packing, winnow_lines, zstd_langid
 from rollcall.llm.common import DOCUMENT_COLUMNS, materialize, read_table
 from rollcall.llm.queries import tokenizer_file
 
@@ -30,12 +30,25 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _documents(found.filter("accepted"))
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the later places of repeated runs of lines; ``n_chars`` follows the text."""
+    out = winnow_lines.dedup_lines(_documents(docs))
+    return _documents(out.withColumn("n_chars", F.when(F.col("n_removed_lines") > 0, F.length("text").cast("long"))
+                                     .otherwise(F.col("n_chars"))))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest doc_id."""
+    return order_minhash.keep_representatives(_documents(docs))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences of all kept documents."""
     return retrieval_packing.packing_digest(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
-STAGES = [("toxicity", drop_toxic), ("language_id", keep_identified), ("packing", pack)]
+STAGES = [("toxicity", drop_toxic), ("language_id", keep_identified), ("line_dedup", drop_repeated_lines),
+          ("near_dedup", drop_near_duplicates), ("packing", pack)]
 
 #: SQL cannot express these stages.
 ORACLE_SQL = None
