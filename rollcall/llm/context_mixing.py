@@ -2,9 +2,9 @@
 
 A text is its lower-cased words, a space after each, and an end symbol.  Every
 byte is coded by binary decisions along the Huffman code of the bytes that
-follow the one before it.  Five predictors hold counts of ones per (context,
-decision): the last one, two, four and six bytes, and the word so far, hashed
-into fixed tables.  Their stretched probabilities are mixed with weights that
+follow the one before it.  Four predictors hold counts of ones per (context,
+decision): the last byte, the last three, the last five, and the word so far,
+hashed into fixed tables.  Their stretched probabilities are mixed with weights that
 are chosen by each predictor's confidence and scaled by the decision's depth,
 and an adaptive probability map per depth refines the sum.
 
@@ -43,11 +43,13 @@ HELD_OUT_FOLDS, HELD_OUT = 5, 1
 #: Of the training rows, one in so many (by hash) trains the mixing instead of the counts.
 MIX_FOLD = 16
 #: Bytes of context of the predictors (the first is one), before that of the word so far; and their table bits.
-ORDERS = (1, 2, 4, 6)
-TABLE_BITS = (16, 18, 21, 22, 22)
+ORDERS = (1, 3, 5)
+TABLE_BITS = (16, 20, 21, 22)
 BLOCK = 1 << 16
 CONFIDENCES = 8
-HEAVY_SHARE = 1 << 18
+HEAVY_SHARE = 1 << 20
+#: Bytes of text that Arrow cuts into words at a time.
+SLICE_BYTES = 8 << 20
 #: Bytes counted, scored and learned from at a time.
 COUNT_POSITIONS, SCORE_POSITIONS, LEARN_POSITIONS = 1 << 16, 1 << 15, 1 << 15
 END = "\n"
@@ -66,6 +68,17 @@ def normal(text: str | None) -> bytes:
     return b" ".join([*text.encode().lower().split(), END.encode()]) if text else END.encode()
 
 
+def slices(batch: pa.RecordBatch):
+    """The batch in runs of rows with about ``SLICE_BYTES`` of text."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES)))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def numbered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """For every word of a batch its number and its row, and the distinct words by number."""
     cut = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
@@ -214,7 +227,7 @@ def _partial_counts(training: DataFrame, code: Code) -> DataFrame:
     def run(batches):
         tables = [np.zeros(2 << b, np.int32) for b in TABLE_BITS]
         any_rows, ends = False, 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             number, _, words = numbered_words(batch.column("text"))
             yield words_out(words, np.bincount(number, minlength=len(words)))
             ends += batch.num_rows
@@ -224,10 +237,9 @@ def _partial_counts(training: DataFrame, code: Code) -> DataFrame:
                 count_bits(tables, Stream(code, counted[a:b]))
         yield words_out(pa.array([END.encode()], pa.binary()), np.array([ends]))
         if any_rows:
-            flat = np.concatenate(tables)
             salt = TaskContext.get().partitionId() % 64
-            for block in range(len(flat) // (2 * BLOCK)):
-                part = flat[2 * BLOCK * block:2 * BLOCK * (block + 1)]
+            parts = (t[at:at + 2 * BLOCK] for t in tables for at in range(0, len(t), 2 * BLOCK))
+            for block, part in enumerate(parts):
                 if part.any():
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([None], pa.binary()), pa.array([None], pa.int64()), pa.array([block], pa.int32()),
@@ -434,7 +446,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def run(batches):
         own, known = sent.value
         end = known.get(END.encode(), math.log10(0.5) - denominator)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = batch.num_rows
             number, owner, words = numbered_words(batch.column("text"))
             log = np.array([known.get(w, math.nan) for w in words.to_pylist()])
@@ -452,7 +464,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     scored = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out")
                          .mapInArrow(run, _SCORED), "lm-scored")
     rest = scored.select("row", F.explode("rare").alias("word"))
-    joined = rest.join(words.filter(F.col("c") * HEAVY_SHARE < total).hint("merge"), "word", "left")
+    # a rare word has less than 1 in HEAVY_SHARE of the tokens, so no key is hot
+    joined = rest.join(words.filter(F.col("c") * HEAVY_SHARE < total).hint("shuffle_hash"), "word", "left")
     count = F.coalesce("c", F.lit(0))
     tails = joined.groupBy("row").agg(
         F.sum(F.log10(count + 0.5) - F.lit(denominator)).alias("tail"), F.sum((count > 0).cast("long")).alias("tail_known"))
