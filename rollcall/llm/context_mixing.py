@@ -47,9 +47,9 @@ ORDERS = (1, 3, 5)
 TABLE_BITS = (16, 20, 21, 22)
 BLOCK = 1 << 16
 CONFIDENCES = 8
-HEAVY_SHARE = 1 << 20
+HEAVY_SHARE = 1 << 19
 #: Bytes of text that Arrow cuts into words at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Bytes counted, scored and learned from at a time.
 COUNT_POSITIONS, SCORE_POSITIONS, LEARN_POSITIONS = 1 << 16, 1 << 15, 1 << 15
 END = "\n"
@@ -77,6 +77,7 @@ def slices(batch: pa.RecordBatch):
         stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES)))
         yield batch.slice(start, stop - start)
         start = stop
+        pa.default_memory_pool().release_unused()
 
 
 def numbered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
