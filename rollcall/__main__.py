@@ -61,10 +61,10 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--contains", default=None)
             s.add_argument("--out", default=None, help="write here instead of printing")
             continue
-        s.add_argument("--edition", default=fv.DEFAULT_EDITION)
-        s.add_argument("--first", default=fv.DEFAULT_FIRST_DATE)
-        s.add_argument("--last", default=fv.DEFAULT_LAST_DATE)
-        s.add_argument("--max-rows", type=int, default=fv.DEFAULT_MAX_ROWS)
+        s.add_argument("--edition", required=True)
+        s.add_argument("--first", default=None)
+        s.add_argument("--last", default=None)
+        s.add_argument("--max-rows", type=int, default=None)
         s.add_argument("--rows-per-batch", type=int, default=fv.DEFAULT_ROWS_PER_BATCH)
         s.add_argument("--as-of", default=None, help="date ages are computed at (default: today)")
         s.add_argument("--out", required=True)
@@ -92,7 +92,8 @@ def _editions(args, spark, tables):
     if args.out:
         editions.write.mode("overwrite").parquet(args.out)
     else:
-        editions.show(1000, truncate=False)
+        for row in editions.toLocalIterator():
+            print(row[0])
 
 
 def _extract(args, spark, tables):
@@ -100,15 +101,16 @@ def _extract(args, spark, tables):
 
     from rollcall.operators.postal import normalise_postal_codes, profile_display, profile_postal_codes
     from rollcall.plans.extract import edition_scope, extract_forms, extract_participants
+    from rollcall.session import materialize
     from rollcall.sources.sinks import write_extract
     scope = edition_scope(tables, args.edition)
 
     def forms_job():
         forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last,
                                                      args.max_rows, args.rows_per_batch, scope=scope))
+        forms = materialize(forms, "extract-forms")
         write_extract(forms, f"{args.out}/forms", "edicao")
-        written = spark.read.parquet(f"{args.out}/forms")
-        profile = profile_postal_codes(written)    # the postal-code profile of the extract, one row per metric
+        profile = profile_postal_codes(forms)      # of this edition's rows, whatever else lies in --out
         profile.join(profile_display(profile), "label").write.mode("overwrite").parquet(f"{args.out}/forms_profile")
 
     def people_job():

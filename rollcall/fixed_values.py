@@ -14,10 +14,6 @@ LOCAL_OFFSET_HOURS = -3
 FIELD_ID_COLLATION = "UNICODE_CI_AI"
 SHIRT_STOCK_NAMES = ("Tamanho da Camisa", "Shirt Size")
 KIT_PICKUP_STOCK_NAMES = ("Retirada de Kit", "Kit Pickup")
-DEFAULT_EDITION = "Teste"
-DEFAULT_FIRST_DATE = "1900-01-01"
-DEFAULT_LAST_DATE = "2100-12-31"
-DEFAULT_MAX_ROWS = 10_000_000
 DEFAULT_ROWS_PER_BATCH = 10_000_000
 
 # --- fixed values: report text ---------------------------------------------

@@ -83,7 +83,8 @@ def lookup_provider(forms: DataFrame, responses: DataFrame, provider: str,
     original job skipped or aborted on these and counted them nowhere).
     ``counters`` has ``ok``, ``nok`` and the extra ``errors``.
     """
-    parsed = parse_responses(_answered(responses, _codes_in_use(forms, code_col)), provider)
+    # written first, so that a hot code's rows can be split in the join
+    parsed = materialize(parse_responses(_answered(responses, _codes_in_use(forms, code_col)), provider), "parsed")
     joined = forms.join(parsed, F.col(code_col) == F.col("cep_requested"), "left")
     status = (F.when(F.col("accepted"), F.lit("ok"))
                 .when(F.col("is_object"), F.lit("nok"))
@@ -167,7 +168,8 @@ def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER
     addresses and the counters does not run the lookup twice.
     """
     codes = _codes_in_use(forms, code_col)
-    winners = code_winners(responses, codes, providers)
+    # written first: the row join then has plain shuffles on both sides, and a hot code's rows can be split
+    winners = materialize(code_winners(responses, codes, providers), "code-winners")
     rows = forms.join(winners, F.col(code_col) == F.col("cep_requested"), "left").drop("cep_requested")
     if materialized:
         rows = materialize(rows, "resolved")

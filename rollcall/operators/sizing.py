@@ -1,8 +1,7 @@
 """Broadcast only behind a checked size bound.
 
-``has_at_most`` reads at most ``max_rows + 1`` rows per partition and stops,
-so the check costs little on a catalogue table and stays bounded on a large
-one.  Sides above the bound are left to the planner (sort-merge join, turned
+``has_at_most`` counts, so each task sends one number; a side that is costly
+to compute is written first (``key_set``) and the written copy is counted.  Sides above the bound are left to the planner (sort-merge join, turned
 into a broadcast at run time by AQE when the shuffled side proves small).
 """
 
@@ -19,7 +18,7 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

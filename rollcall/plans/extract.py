@@ -129,9 +129,9 @@ def _paid_sessions(tables) -> DataFrame:
     return tables["checkoutsession"].filter(F.col("status") == F.lit(fv.PAID_STATUS))
 
 
-def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITION,
-                  first=fv.DEFAULT_FIRST_DATE, last=fv.DEFAULT_LAST_DATE,
-                  max_rows: int | None = fv.DEFAULT_MAX_ROWS,
+def extract_forms(tables: dict[str, DataFrame], edition: str,
+                  first=None, last=None,
+                  max_rows: int | None = None,
                   rows_per_batch: int = fv.DEFAULT_ROWS_PER_BATCH,
                   collation: str = fv.FIELD_ID_COLLATION, workdir: str | None = None,
                   scope: EditionScope | None = None) -> DataFrame:
@@ -141,7 +141,8 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
     The answer's field id is matched to the question catalogue under
     ``collation`` (case and accent insensitive by default).  Rows are numbered
     in batches of ``rows_per_batch`` by participant id (remaining columns break
-    ties) and capped at ``max_rows``.  ``scope`` may pass the ``edition_scope``
+    ties).  ``max_rows`` keeps the first ones only; without it, and without date
+    bounds, every row is kept.  ``scope`` may pass the ``edition_scope``
     shared with the participant extraction.
     """
     questions = (tables["formFieldsPlaceholderParsed"]
@@ -190,9 +191,9 @@ def extract_forms(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITIO
     return numbered.select(*FORMS_COLUMNS)
 
 
-def extract_participants(tables: dict[str, DataFrame], edition: str = fv.DEFAULT_EDITION,
-                         first=fv.DEFAULT_FIRST_DATE, last=fv.DEFAULT_LAST_DATE,
-                         max_rows: int | None = fv.DEFAULT_MAX_ROWS,
+def extract_participants(tables: dict[str, DataFrame], edition: str,
+                         first=None, last=None,
+                         max_rows: int | None = None,
                          rows_per_batch: int = fv.DEFAULT_ROWS_PER_BATCH,
                          as_of: dt.date | str | None = None,
                          excluded_events=(fv.SERVICE_SHOP_EVENT_ID,),

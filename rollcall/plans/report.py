@@ -22,7 +22,7 @@ class Report(NamedTuple):
 
 
 def build_report(tables: dict[str, DataFrame], responses, edition: str, first, last, as_of,
-                 rows_per_batch: int = fv.DEFAULT_ROWS_PER_BATCH, max_rows: int | None = fv.DEFAULT_MAX_ROWS,
+                 rows_per_batch: int = fv.DEFAULT_ROWS_PER_BATCH, max_rows: int | None = None,
                  excluded_events=(fv.SERVICE_SHOP_EVENT_ID,), providers=PROVIDER_ORDER,
                  workdir: str | None = None, materialize_lookup: bool = True) -> Report:
     """Participants of ``edition`` with the address of every postal code they answered.

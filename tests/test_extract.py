@@ -110,3 +110,17 @@ def test_unnested_option_view_gives_the_same_report(tables):
     a = extract_participants(tables, *args, rows_per_batch=3, as_of=dt.date(2025, 6, 30)).collect()
     b = extract_participants(with_view, *args, rows_per_batch=3, as_of=dt.date(2025, 6, 30)).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == 14
+
+
+def test_defaults_keep_every_row(tables):
+    """Without bounds or a cap nothing is cut, and null purchase dates stay."""
+    every = extract_forms(tables, "10 Milhas RJ", rows_per_batch=2).count()
+    assert every >= extract_forms(tables, "10 Milhas RJ", "1900-01-01", "2100-12-31", rows_per_batch=2).count()
+    assert extract_forms(tables, "10 Milhas RJ", max_rows=1, rows_per_batch=2).count() == min(1, every)
+
+
+def test_backslash_in_the_catalogue_fragment(spark):
+    from rollcall.operators.catalogue import list_editions
+    rows = spark.createDataFrame([("a\\b",), ("a%b",), ("axb",)], "globalEvent string")
+    found = lambda c: [r[0] for r in list_editions(rows, c).collect()]
+    assert found("a\\b") == ["a\\b"] and found("a\\%b") == ["a%b"] and len(found("a_b")) == 3 and found("\\") == ["a\\b"]
