@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces and pre-tokens kept in a worker; beyond that new ones are encoded without being kept.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 _PIECES = re.compile(r"\s*\S+|\s+")
 _CONTROL = re.compile("[\x1c-\x1f\x00]")   # white space to Python, symbols to the tokenizers
 #: Texts that are not words with one space or line end between them are cut one at a time.
