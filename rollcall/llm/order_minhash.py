@@ -39,6 +39,10 @@ KMER_WORDS = 5
 SKETCHES = 24
 RETAINED = 2
 MIN_SIMILARITY = 0.8
+#: Hash values of a text held at a time, unless one function has more.
+SKETCH_VALUES = 1 << 15
+#: Rows of a batch whose words are unpacked together.
+SLICE_ROWS = 64
 
 _WORDS = re.compile(r"[^\W_]+")
 _EVEN = np.random.default_rng(61).integers(1, 1 << 62, 2 * SKETCHES + 8, dtype=np.uint64) | np.uint64(1)
@@ -74,9 +78,14 @@ def sketch(words: np.ndarray) -> np.ndarray:
     if not len(words):
         return np.zeros(0, np.int64)
     kmers = labelled_kmers(words)
-    values = _mix(kmers[None, :] * _EVEN[:SKETCHES, None] + _EVEN[SKETCHES:2 * SKETCHES, None])
     if len(kmers) > RETAINED:
-        chosen = np.sort(np.argpartition(values, RETAINED - 1, axis=1)[:, :RETAINED], axis=1)
+        # a long text takes its hash functions a few at a time
+        at_once = max(1, SKETCH_VALUES // len(kmers))
+        chosen = np.concatenate([
+            np.argpartition(_mix(kmers[None, :] * _EVEN[r:min(r + at_once, SKETCHES), None]
+                                 + _EVEN[SKETCHES + r:SKETCHES + min(r + at_once, SKETCHES), None]), RETAINED - 1, axis=1)[:, :RETAINED]
+            for r in range(0, SKETCHES, at_once)])
+        chosen.sort(axis=1)
     else:
         chosen = np.tile(np.arange(len(kmers)), (SKETCHES, 1))
     vector = np.zeros(SKETCHES, np.uint64)
@@ -96,6 +105,16 @@ def aligned_similarity(a: list[int], b: list[int], least: float = MIN_SIMILARITY
     most_unmatched = int((1 - least) * total + 1e-9)
     if not b or len(a) - len(b) > most_unmatched:
         return 0.0
+    # equal words at both ends are aligned whatever lies between
+    head = 0
+    while head < len(b) and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < len(b) - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    a, b = a[head:len(a) - tail], b[head:len(b) - tail]
+    if not b:
+        return 2 * (head + tail) / total
     in_b = set(b)
     if sum(w not in in_b for w in a) > most_unmatched:
         return 0.0
@@ -112,7 +131,15 @@ def aligned_similarity(a: list[int], b: list[int], least: float = MIN_SIMILARITY
             match &= band << (j - width) if j >= width else band >> (width - j)
             found = row & match
             row = ((row + found) | (row - found)) & full
-    return 2 * (len(a) - row.bit_count()) / total
+    return 2 * (head + tail + len(a) - row.bit_count()) / total
+
+
+def slices(batches):
+    """Runs of a few rows, so that long texts are not all unpacked at once; the allocator gives back what is free."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+        pa.default_memory_pool().release_unused()
 
 
 def _node(text: Column) -> Column:
@@ -132,8 +159,8 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             counts, sketches = [], []
-            for text in batch.column("text").to_pylist():
-                words = word_hashes(text)
+            for text in batch.column("text"):
+                words = word_hashes(text.as_py())
                 counts.append(len(words))
                 sketches.append(sketch(words))
             yield pa.RecordBatch.from_arrays(
@@ -152,8 +179,8 @@ def _word_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         .join(nodes.hint("merge"), ["node", "first_id"], "left_semi").groupBy("node", "first_id").agg(F.max("text").alias("text"))
 
     def run(batches):
-        for batch in batches:
-            words = [word_hashes(t).tobytes() for t in batch.column("text").to_pylist()]
+        for batch in slices(batches):
+            words = [word_hashes(t.as_py()).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(words, pa.binary())], names=["node", "words"])
     return texts.mapInArrow(run, "node binary, words binary")
 
@@ -175,7 +202,7 @@ def _verify(pairs: DataFrame, words: DataFrame) -> DataFrame:
         .join(words.select("node", F.col("words").alias("b")).hint("merge"), "node")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             columns = [batch.column(c).to_pylist() for c in ("a", "b")]
             linked = [aligned_similarity(np.frombuffer(a, np.uint64).tolist(), np.frombuffer(b, np.uint64).tolist())
                       >= MIN_SIMILARITY for a, b in zip(*columns, strict=True)]
