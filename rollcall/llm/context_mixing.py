@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -248,8 +249,8 @@ def _partial_counts(training: DataFrame, code: Code) -> DataFrame:
     return training.select("text", "mixing").mapInArrow(run, _PARTIAL)
 
 
-def _sum_blocks(blocks: DataFrame, *keys: str) -> DataFrame:
-    """Blocks added up by key; a task holds one running sum."""
+def _sum_blocks(blocks: DataFrame, *keys: str, finish: Callable[[np.ndarray], bytes] = _pack) -> DataFrame:
+    """Blocks added up by key, as ``finish`` writes a sum; a task holds one running sum."""
     def run(batches):
         key, total = None, None
         for batch in batches:
@@ -264,7 +265,7 @@ def _sum_blocks(blocks: DataFrame, *keys: str) -> DataFrame:
             yield out(key, total)
 
     def out(key, total):
-        return pa.RecordBatch.from_arrays([*[pa.array([k], pa.int32()) for k in key], pa.array([_pack(total)], pa.binary())],
+        return pa.RecordBatch.from_arrays([*[pa.array([k], pa.int32()) for k in key], pa.array([finish(total)], pa.binary())],
                                           names=[*keys, "counts"])
     return blocks.select(*keys, "counts").repartition(*keys).sortWithinPartitions(*keys) \
         .mapInArrow(run, ", ".join(f"{k} int" for k in keys) + ", counts binary")
@@ -409,15 +410,11 @@ def train(training: DataFrame):
     code = Code(_histogram(training))
     partial = materialize(_partial_counts(training, code), "lm-partial")
     words = materialize(partial.filter(F.col("n") > 0).groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
-    sums = _sum_blocks(_sum_blocks(partial.filter(F.col("block").isNotNull()), "block", "salt"), "block")
-
-    def states(batches):
-        for batch in batches:
-            found = [_states(_unpack(c)).tobytes() for c in batch.column("counts").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(found, pa.binary())], names=["block", "states"])
+    sums = _sum_blocks(partial.filter(F.col("block").isNotNull()), "block", "salt")
+    states = _sum_blocks(sums, "block", finish=lambda total: _states(total).tobytes())
     flat = np.full(sum(1 << b for b in TABLE_BITS), 128, np.uint16)
-    for row in sums.mapInArrow(states, "block int, states binary").collect():      # two bytes a slot of the fixed tables
-        flat[BLOCK * row["block"]:BLOCK * (row["block"] + 1)] = np.frombuffer(row["states"], np.uint16)
+    for row in states.collect():      # two bytes a slot of the fixed tables
+        flat[BLOCK * row["block"]:BLOCK * (row["block"] + 1)] = np.frombuffer(row["counts"], np.uint16)
     model = Model(code, np.split(flat, np.cumsum([1 << b for b in TABLE_BITS])[:-1]))
     sent = training.sparkSession.sparkContext.broadcast(model)
     learned = _mix_statistics(training.filter("mixing"), sent).collect()      # one row a weight or map cell
