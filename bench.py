@@ -24,6 +24,8 @@ HEADLINE = (
     "forms_extract",
     "address_fallback",
     "fallback_counters",
+    "provider_counters",
+    "report_join",
     "provider_parse_brasilapi",
     "postal_profile",
     "batch_numbering_ties",

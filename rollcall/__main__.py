@@ -9,6 +9,9 @@
         --tables checkoutparticipant,checkoutsession --partition-column id --lower 1 \\
         --upper 90000000 --partitions 400 --out s3://landing
 
+``report`` and ``pending`` extract first, or read with ``--extract PATH`` what
+``extract`` wrote, whole or one ``--batch`` of it.  ``report`` also writes the
+lookup's counters and unresolved rows (``<out>_counters``, ``<out>_unresolved``).
 ``extract`` writes ``forms``, ``forms_profile`` (the postal-code profile) and
 ``participants`` under ``--out``.  Tables are read from ``<landing>/<table>``
 with their declared schemas
@@ -68,6 +71,11 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--rows-per-batch", type=int, default=fv.DEFAULT_ROWS_PER_BATCH)
         s.add_argument("--as-of", default=None, help="date ages are computed at (default: today)")
         s.add_argument("--out", required=True)
+        s.add_argument("--input-bytes", type=int, default=None, help="size of the landing: sizes splits and shuffles")
+        s.add_argument("--cores", type=int, default=None, help="cores of the cluster, with --input-bytes")
+        if name in ("report", "pending"):
+            s.add_argument("--extract", default=None, help="read what extract wrote here instead of extracting")
+            s.add_argument("--batch", type=int, default=None, help="of --extract: only this batch of participants")
         if name == "report":
             s.add_argument("--out-format", default="parquet", choices=("parquet", "csv"))
     return p
@@ -77,6 +85,10 @@ def _land(args, spark):
     from rollcall.session import build_session
     from rollcall.sources.readers import PURCHASE_DATED, jdbc_options, land_table, read_jdbc
     names = [t.strip() for t in args.tables.split(",") if t.strip()]
+    if args.partition_column is None:
+        from rollcall.sources.schemas import SPANNING
+        if whole := [n for n in names if n in SPANNING]:
+            raise SystemExit(f"{', '.join(whole)}: tables of all events need --partition-column, --lower, --upper, --partitions")
     options = [jdbc_options(args.url, t, user=args.user, password=args.password, driver=args.driver,
                             partition_column=args.partition_column, lower_bound=args.lower,
                             upper_bound=args.upper, num_partitions=args.partitions) for t in names]
@@ -97,11 +109,11 @@ def _editions(args, spark, tables):
 
 
 def _extract(args, spark, tables):
-    from concurrent.futures import ThreadPoolExecutor
+    from pyspark.sql import functions as F
 
     from rollcall.operators.postal import normalise_postal_codes, profile_display, profile_postal_codes
     from rollcall.plans.extract import edition_scope, extract_forms, extract_participants
-    from rollcall.session import materialize
+    from rollcall.session import materialize, run_concurrently
     from rollcall.sources.sinks import write_extract
     scope = edition_scope(tables, args.edition)
 
@@ -111,35 +123,49 @@ def _extract(args, spark, tables):
         forms = materialize(forms, "extract-forms")
         write_extract(forms, f"{args.out}/forms", "edicao")
         profile = profile_postal_codes(forms)      # of this edition's rows, whatever else lies in --out
-        profile.join(profile_display(profile), "label").write.mode("overwrite").parquet(f"{args.out}/forms_profile")
+        profile = profile.join(profile_display(profile), "label").withColumn("edicao", F.lit(args.edition))
+        write_extract(profile, f"{args.out}/forms_profile", "edicao")
 
     def people_job():
         people = extract_participants(tables, args.edition, args.first, args.last, args.max_rows,
                                       args.rows_per_batch, _as_of(args), scope=scope)
         write_extract(people, f"{args.out}/participants", "edition")
 
-    with ThreadPoolExecutor(max_workers=2) as pool:   # independent jobs, run concurrently
-        for done in [pool.submit(forms_job), pool.submit(people_job)]:
-            done.result()
+    run_concurrently(spark, forms_job, people_job)   # independent jobs
 
 
 def _pending(args, spark, tables):
     from rollcall.operators.lookup import pending_requests
     from rollcall.operators.postal import normalise_postal_codes
+    from rollcall.operators.sizing import key_set, restrict
+    from rollcall.operators.batching import select_batch
     from rollcall.plans.extract import extract_forms
-    forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last, args.max_rows,
-                                                 args.rows_per_batch))
+    from rollcall.sources.readers import read_extract
+    if args.extract:
+        people, forms = read_extract(spark, args.extract, args.edition)
+        if args.batch is not None:
+            forms = restrict(forms, "participant_id", key_set(select_batch(people, args.batch), "item_id"))
+    else:
+        forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last, args.max_rows,
+                                                     args.rows_per_batch))
     pending_requests(forms, _responses(args, spark)).write.mode("overwrite").parquet(args.out)
 
 
 def _report(args, spark, tables):
-    from rollcall.plans.report import build_report
-    from rollcall.sources.sinks import display_participants, write_report
-    report = build_report(tables, _responses(args, spark), args.edition, args.first, args.last, _as_of(args),
-                          rows_per_batch=args.rows_per_batch, max_rows=args.max_rows)
-    write_report(display_participants(report.report), args.out, dt.datetime.now(),
+    from rollcall.plans.report import build_report, report_from_extract
+    from rollcall.sources.readers import read_extract
+    from rollcall.sources.sinks import display_participants, write_beside_report, write_report
+    if args.extract:
+        report = report_from_extract(*read_extract(spark, args.extract, args.edition), _responses(args, spark), args.batch)
+    else:
+        report = build_report(tables, _responses(args, spark), args.edition, args.first, args.last, _as_of(args),
+                              rows_per_batch=args.rows_per_batch, max_rows=args.max_rows)
+    now = dt.datetime.now()
+    write_report(display_participants(report.report), args.out, now,
                  edition_col=fv.PARTICIPANT_DISPLAY_NAMES["edition"], fmt=args.out_format)
-    report.resolved.counters.write.mode("overwrite").parquet(f"{args.out}_counters")
+    write_beside_report(report.resolved.counters.withColumnsRenamed(fv.COUNTER_DISPLAY_NAMES),
+                        f"{args.out}_counters", now, args.edition)
+    write_beside_report(report.resolved.unresolved, f"{args.out}_unresolved", now, args.edition)
 
 
 def _as_of(args) -> dt.date:
@@ -159,10 +185,13 @@ def main(argv=None, spark=None) -> int:
     if args.command == "land":
         _land(args, spark)
         return 0
-    from rollcall.session import build_session
+    from rollcall.session import build_session, scale_conf
     from rollcall.sources.readers import PURCHASE_DATED, read_tables
     from rollcall.sources.schemas import OPERATIONAL
-    spark = spark or build_session()
+    if getattr(args, "batch", None) is not None and not args.extract:
+        raise SystemExit("--batch needs --extract")
+    sized = getattr(args, "input_bytes", None) and args.cores
+    spark = spark or build_session(conf=scale_conf(args.input_bytes, args.cores) if sized else None)
     names = list(OPERATIONAL)
     if args.option_view:
         names = [n for n in names if n != "participant_options"] + ["checkoutparticipant_array_vw"]

@@ -88,6 +88,7 @@ REPORT_ADDRESS_NAMES = {
     "neighborhood": "bairro",
     "street": "logradouro",
 }
+REPORT_STAMP = "%Y%m%d_%H%M"
 PROFILE_LABELS = {
     "total": "total de ceps",
     "with_underscore": "ceps com underline",

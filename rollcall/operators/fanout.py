@@ -6,13 +6,13 @@ its rows and put every match of a hot key in one task; counting matches per
 key first (partial aggregation on the map side) leaves one row per key, and
 the repeat is a streaming ``explode`` after a one-to-one join.
 
-A row that must be repeated more than ``HOT_COPIES`` times (a key holding a
-large share of the other side) would still be emitted by one task.  The
-per-key counts are small, so they are checked for such keys first; when one
-exists its copies are cut into chunks of ``HOT_COPIES`` and the chunks are
-hash-distributed over the shuffle partitions before being expanded.  The
-per-key counts are written once to the shared checkpoint folder, so the check
-and the join read the same small table.
+Copies are cut into chunks of at most ``CHUNK_COPIES``, and the chunks are
+dealt out before they are expanded, so no task emits all copies of a
+hot key.  Joining the copies again would gather them; jobs therefore attach
+the number first (``attach_copies``) and repeat rows as their last step.
+
+Sides that do contribute columns are joined by ``left_matches``, whose inner
+join can be split on either side when a key is hot.
 """
 
 from __future__ import annotations
@@ -22,45 +22,62 @@ from pyspark.sql import functions as F
 
 from rollcall.session import materialize
 
-HOT_COPIES = 100_000
+CHUNK_COPIES = 1_000
 _KEY, _COPIES, _REP, _CHUNK = "__rc_fan_key", "__rc_fan_copies", "__rc_fan_rep", "__rc_fan_chunk"
 
 
-def repeat_rows(df: DataFrame, copies: Column, spread_by: str | None = None,
-                chunk: int = HOT_COPIES) -> DataFrame:
+def repeat_rows(df: DataFrame, copies: Column) -> DataFrame:
     """Emit each row ``copies`` times; 0 (or less) drops it.
 
-    With ``spread_by`` (a key column), rows are first cut into chunks of at
-    most ``chunk`` copies that are shuffled by ``(spread_by, chunk index)``,
-    so one row's copies are produced by many tasks.
+    A row is first cut into chunks of at most ``CHUNK_COPIES`` copies, which are
+    dealt out in turn (Spark sorts before it deals, so a retried task deals alike).
     """
+    one, step = F.lit(1).cast("long"), F.lit(CHUNK_COPIES).cast("long")
     counted = df.withColumn(_COPIES, copies.cast("long")).filter(F.col(_COPIES) > 0)
-    one = F.lit(1).cast("long")
-    if spread_by is None:
-        out = counted.withColumn(_REP, F.explode(F.sequence(one, F.col(_COPIES))))
-        return out.drop(_REP, _COPIES)
-    step = F.lit(int(chunk)).cast("long")
     last_chunk = F.floor((F.col(_COPIES) - one) / step).cast("long")
     # An explicit partition count: chunk rows are tiny, and AQE would otherwise
     # coalesce them back into a single partition.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = (counted.withColumn(_CHUNK, F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
-                     .repartition(parts, F.col(spread_by), F.col(_CHUNK)))
+                     .repartition(parts))
     size = F.least(step, F.col(_COPIES) - F.col(_CHUNK) * step)
     out = chunks.withColumn(_REP, F.explode(F.sequence(one, size)))
     return out.drop(_REP, _CHUNK, _COPIES)
 
 
-def _multiply(df: DataFrame, id_col: str, per_key: DataFrame, default: int) -> DataFrame:
-    # One row per key, written once: the hot-key check and the join read it
-    # instead of aggregating the (whole) other side twice.
+def attach_copies(df: DataFrame, id_col: str, per_key: DataFrame, copies_col: str) -> DataFrame:
+    """Add ``copies_col``: the key's number in ``per_key`` (one row a key, written once), 1 where it has none."""
     per_key = materialize(per_key, "per-key")
-    hot = per_key.filter(F.col(_COPIES) > HOT_COPIES).limit(1).count() > 0
     joined = df.join(per_key, F.col(id_col) == F.col(_KEY), "left")
-    copies = F.coalesce(F.col(_COPIES), F.lit(default))
-    return repeat_rows(joined.withColumn("__rc_fan_n", copies).drop(_KEY, _COPIES),
-                       F.col("__rc_fan_n"), spread_by=id_col if hot else None,
-                       chunk=HOT_COPIES).drop("__rc_fan_n")
+    return joined.withColumn(copies_col, F.coalesce(F.col(_COPIES), F.lit(1))).drop(_KEY, _COPIES)
+
+
+def _multiply(df: DataFrame, id_col: str, per_key: DataFrame) -> DataFrame:
+    counted = attach_copies(df, id_col, per_key, "__rc_fan_n")
+    return repeat_rows(counted, F.col("__rc_fan_n")).drop("__rc_fan_n")
+
+
+def left_matches(df: DataFrame, side: DataFrame, id_col: str, key: str) -> DataFrame:
+    """``df LEFT JOIN side ON key = id_col`` without ``key``, written once.
+
+    A left join can only be split on its left side, so a key with many rows in
+    ``side`` would be one task.  The inner join can be split on both; the rows
+    without a match come from an anti-join with the distinct keys.
+    """
+    matched = df.join(side, F.col(id_col) == F.col(key)).drop(key)
+    keys = side.select(F.col(key).alias(_KEY)).distinct()
+    alone = df.join(keys, F.col(id_col) == F.col(_KEY), "left_anti")
+    return materialize(matched.unionByName(alone, allowMissingColumns=True), "matches")
+
+
+def null_reason_copies(cancels: DataFrame, key: str = "participantId", reason: str = "reason") -> DataFrame:
+    """Per key of ``cancels``: how many of its cancellations have a null reason."""
+    return cancels.groupBy(F.col(key).alias(_KEY)).agg(F.count_if(F.col(reason).isNull()).alias(_COPIES))
+
+
+def match_copies(other: DataFrame, key: str) -> DataFrame:
+    """Per key of ``other``: its rows."""
+    return other.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias(_COPIES))
 
 
 def without_partial_cancel(df: DataFrame, cancels: DataFrame, id_col: str,
@@ -71,44 +88,39 @@ def without_partial_cancel(df: DataFrame, cancels: DataFrame, id_col: str,
     cancellations all carry a reason goes, and a row stays once per
     cancellation with a null reason.
     """
-    per_key = (cancels.groupBy(F.col(key).alias(_KEY))
-                      .agg(F.count_if(F.col(reason).isNull()).alias(_COPIES)))
-    return _multiply(df, id_col, per_key, 1)
+    return _multiply(df, id_col, null_reason_copies(cancels, key, reason))
 
 
 def keep_unused_fanout(df: DataFrame, other: DataFrame, id_col: str, key: str) -> DataFrame:
     """Same rows as ``df LEFT JOIN other ON other.key = id_col`` with no column of other."""
-    per_key = other.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias(_COPIES))
-    return _multiply(df, id_col, per_key, 1)
+    return _multiply(df, id_col, match_copies(other, key))
 
 
-def multiply_by_matches(df: DataFrame, id_col: str, cancels: DataFrame | None = None,
-                        unused: tuple = (), key: str = "participantId", reason: str = "reason") -> DataFrame:
-    """``without_partial_cancel`` and any number of ``keep_unused_fanout`` on one key, in one pass.
+def combined_copies(cancels: DataFrame, unused: tuple = (), key: str = "participantId",
+                    reason: str = "reason") -> DataFrame:
+    """Per key the copies left by ``without_partial_cancel`` and any number of ``keep_unused_fanout`` on it.
 
     ``unused`` holds ``(table, key)`` pairs.  All sides are unioned into one
-    per-key aggregate (one shuffle, partial aggregation on the map side), so
-    the rows are joined and repeated once: copies = (null-reason cancellations
-    if the key has any cancellation, else 1) x max(1, matches) of every
-    ``unused`` side.
+    per-key aggregate (one shuffle, partial aggregation on the map side):
+    copies = (null-reason cancellations if the key has any cancellation, else
+    1) x max(1, matches) of every ``unused`` side.
     """
     flags = ["__rc_c", "__rc_cn"] + [f"__rc_u{i}" for i in range(len(unused))]
     zero = {f: F.lit(0) for f in flags}
-    parts = []
-    if cancels is not None:
-        cols = {**zero, "__rc_c": F.lit(1), "__rc_cn": F.col(reason).isNull().cast("int")}
-        parts.append(cancels.select(F.col(key).alias(_KEY), *[cols[f].cast("long").alias(f) for f in flags]))
+    cols = {**zero, "__rc_c": F.lit(1), "__rc_cn": F.col(reason).isNull().cast("int")}
+    sides = cancels.select(F.col(key).alias(_KEY), *[cols[f].cast("long").alias(f) for f in flags])
     for i, (table, table_key) in enumerate(unused):
         cols = {**zero, f"__rc_u{i}": F.lit(1)}
-        parts.append(table.select(F.col(table_key).alias(_KEY), *[cols[f].cast("long").alias(f) for f in flags]))
-    if not parts:
-        return df
-    sides = parts[0]
-    for part in parts[1:]:
-        sides = sides.unionByName(part)
+        sides = sides.unionByName(
+            table.select(F.col(table_key).alias(_KEY), *[cols[f].cast("long").alias(f) for f in flags]))
     sums = sides.groupBy(_KEY).agg(*[F.sum(f).alias(f) for f in flags])
     copies = F.when(F.col("__rc_c") > 0, F.col("__rc_cn")).otherwise(F.lit(1))
     for i in range(len(unused)):
         copies = copies * F.greatest(F.col(f"__rc_u{i}"), F.lit(1))
-    per_key = sums.select(_KEY, copies.cast("long").alias(_COPIES))
-    return _multiply(df, id_col, per_key, 1)
+    return sums.select(_KEY, copies.cast("long").alias(_COPIES))
+
+
+def multiply_by_matches(df: DataFrame, id_col: str, cancels: DataFrame, unused: tuple = (),
+                        key: str = "participantId", reason: str = "reason") -> DataFrame:
+    """``without_partial_cancel`` and the ``keep_unused_fanout`` of ``unused`` on one key, in one pass."""
+    return _multiply(df, id_col, combined_copies(cancels, unused, key, reason))

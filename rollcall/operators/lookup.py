@@ -15,14 +15,11 @@ same decisions are joins:
   partially aggregated on the map side, so a code fetched many times is no
   hot spot); the winner is the first provider in the chain whose latest body
   accepts, and only its body is parsed;
-* the per-code decisions are joined back to the form rows.  They are an
-  aggregate, so their true size is known only once their shuffle stage has
-  run: AQE turns the join into a broadcast when that size is under
-  ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise keeps the
-  sort-merge join, splitting the partition of a hot code (such as the
-  ``00000-000`` filler) with its skew-join handling.  Checking the size up
-  front would compute the whole lookup twice.  All counters come from one
-  aggregate over the rows.
+* the per-code decisions are written and joined back to the form rows: a
+  plain scan on both sides, so skew handling can split a hot code (such as the
+  ``00000-000`` filler) on the row side, and AQE broadcasts small decisions;
+* counters are sums over codes of their form rows, which were counted when the
+  codes in use were; no row is joined for them.
 """
 
 from __future__ import annotations
@@ -54,13 +51,18 @@ def latest_responses(responses: DataFrame) -> DataFrame:
 
 
 def _codes_in_use(forms: DataFrame, code_col: str) -> DataFrame:
-    """Distinct codes of the form rows, written once (a partial aggregate collapses hot codes)."""
-    return materialize(forms.select(F.col(code_col).alias("cep_requested")).distinct(), "codes")
+    """Distinct codes of the form rows and their ``n_rows``, written once (a partial aggregate collapses hot codes)."""
+    return materialize(forms.groupBy(F.col(code_col).alias("cep_requested")).agg(F.count("*").alias("n_rows")), "codes")
+
+
+def _rows_where(condition) -> "F.Column":
+    """Sum of ``n_rows`` over the codes that meet the condition."""
+    return F.coalesce(F.sum(F.when(condition, F.col("n_rows"))), F.lit(0)).cast("long")
 
 
 def _answered(responses: DataFrame, codes: DataFrame) -> DataFrame:
     """Responses for the codes in use only: a scan-side filter when the code set is broadcast."""
-    return responses.join(broadcast_if_small(codes), "cep_requested", "left_semi")
+    return responses.join(broadcast_if_small(codes.select("cep_requested")), "cep_requested", "left_semi")
 
 
 def parse_responses(responses: DataFrame, provider: str) -> DataFrame:
@@ -84,7 +86,8 @@ def lookup_provider(forms: DataFrame, responses: DataFrame, provider: str,
     ``counters`` has ``ok``, ``nok`` and the extra ``errors``.
     """
     # written first, so that a hot code's rows can be split in the join
-    parsed = materialize(parse_responses(_answered(responses, _codes_in_use(forms, code_col)), provider), "parsed")
+    codes = _codes_in_use(forms, code_col)
+    parsed = materialize(parse_responses(_answered(responses, codes), provider), "parsed")
     joined = forms.join(parsed, F.col(code_col) == F.col("cep_requested"), "left")
     status = (F.when(F.col("accepted"), F.lit("ok"))
                 .when(F.col("is_object"), F.lit("nok"))
@@ -92,27 +95,47 @@ def lookup_provider(forms: DataFrame, responses: DataFrame, provider: str,
     rows = joined.select(
         F.col(id_col).cast("string").alias("item_id"), F.col(code_col), status.alias("status"),
         *[F.when(F.col("accepted"), F.col(f"fields.{f}")).alias(f) for f in ADDRESS_FIELDS])
-    counters = rows.agg(F.count_if(F.col("status") == "ok").alias("ok"),
-                        F.count_if(F.col("status") == "nok").alias("nok"),
-                        F.count_if(F.col("status") == "error").alias("errors"))
+    decided = codes.join(parsed, "cep_requested", "left").withColumn("status", status)
+    counters = decided.agg(*[_rows_where(F.col("status") == s).alias(c)
+                             for s, c in (("ok", "ok"), ("nok", "nok"), ("error", "errors"))])
     return rows, counters
 
 
-def code_winners(responses: DataFrame, codes: DataFrame, providers=PROVIDER_ORDER) -> DataFrame:
-    """Per code: ``winner_rank`` (1-based, null if none accepts) and the winner's fields.
+def _latest_bodies(responses: DataFrame, codes: DataFrame, providers) -> DataFrame:
+    """Per answered code the latest body of every provider, ``__rc_b1``, ``__rc_b2``...; null where there is none.
 
-    One aggregate per code: for every provider the latest body (a ``max_by``
-    whose ordering is null on the other providers' rows, so they are
-    skipped), then the first provider whose latest body accepts wins.  Only
-    the winning body is parsed into fields.
+    The ordering of a ``max_by`` is null on the other providers' rows, so they are skipped.
     """
     latest = []
     for i, name in enumerate(providers, start=1):
         mine = F.col("provider") == F.lit(name)
         latest.append(F.max_by(F.when(mine, F.col("body")), F.when(mine, F.struct("fetched_at", "body")))
                        .alias(f"__rc_b{i}"))
-    per_code = (_answered(responses.filter(F.col("provider").isin(list(providers))), codes)
-                .groupBy("cep_requested").agg(*latest))
+    return (_answered(responses.filter(F.col("provider").isin(list(providers))), codes)
+            .groupBy("cep_requested").agg(*latest))
+
+
+def provider_counters(forms: DataFrame, responses: DataFrame, providers=PROVIDER_ORDER,
+                      code_col: str = "parsed_ceps") -> DataFrame:
+    """``provider, ok, nok, errors`` over all form rows, as ``lookup_provider`` counts them, from one pass."""
+    codes = _codes_in_use(forms, code_col)
+    state = codes.join(_latest_bodies(responses, codes, providers), "cep_requested", "left")
+    sums = []
+    for i, name in enumerate(providers, start=1):
+        accepted = F.coalesce(provider_accepts(f"__rc_b{i}", name), F.lit(False))
+        found = is_object(f"__rc_b{i}")
+        sums.append(F.struct(F.lit(name).alias("provider"), _rows_where(accepted).alias("ok"),
+                             _rows_where(found & ~accepted).alias("nok"), _rows_where(~found).alias("errors")))
+    return state.agg(F.array(*sums).alias("s")).select(F.inline("s"))
+
+
+def code_winners(responses: DataFrame, codes: DataFrame, providers=PROVIDER_ORDER) -> DataFrame:
+    """Per code: ``winner_rank`` (1-based, null if none accepts) and the winner's fields.
+
+    One aggregate per code (``_latest_bodies``), then the first provider whose
+    latest body accepts wins.  Only the winning body is parsed into fields.
+    """
+    per_code = _latest_bodies(responses, codes, providers)
     rank = F.when(has_key(F.col("__rc_b1")), F.lit(1))
     for i in range(2, len(providers) + 1):
         rank = rank.when(has_key(F.col(f"__rc_b{i}")), F.lit(i))
@@ -121,7 +144,7 @@ def code_winners(responses: DataFrame, codes: DataFrame, providers=PROVIDER_ORDE
                        .select("cep_requested", "winner_rank",
                                F.element_at(bodies, F.col("winner_rank")).alias("__rc_body")))
     return codes.join(decided, "cep_requested", "left").select(
-        "cep_requested", "winner_rank", address_fields(F.col("__rc_body")).alias("fields"))
+        "cep_requested", "n_rows", "winner_rank", address_fields(F.col("__rc_body")).alias("fields"))
 
 
 def pending_requests(forms: DataFrame, responses: DataFrame, providers=PROVIDER_ORDER,
@@ -170,7 +193,7 @@ def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER
     codes = _codes_in_use(forms, code_col)
     # written first: the row join then has plain shuffles on both sides, and a hot code's rows can be split
     winners = materialize(code_winners(responses, codes, providers), "code-winners")
-    rows = forms.join(winners, F.col(code_col) == F.col("cep_requested"), "left").drop("cep_requested")
+    rows = forms.join(winners.drop("n_rows"), F.col(code_col) == F.col("cep_requested"), "left").drop("cep_requested")
     if materialized:
         rows = materialize(rows, "resolved")
     addresses = rows.filter(F.col("winner_rank").isNotNull()).select(
@@ -178,10 +201,10 @@ def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER
         *[F.col(f"fields.{f}").alias(f) for f in ADDRESS_FIELDS])
     never = F.lit(len(providers) + 1)
     rank = F.coalesce(F.col("winner_rank"), never)
-    counters = rows.agg(
-        F.count_if(F.col("winner_rank").isNotNull()).alias("ok"),
-        F.count_if(F.col("winner_rank").isNull()).alias("nok"),
-        *[F.count_if(rank > F.lit(i)).alias(f"{name}_errors")
+    counters = winners.agg(
+        _rows_where(F.col("winner_rank").isNotNull()).alias("ok"),
+        _rows_where(F.col("winner_rank").isNull()).alias("nok"),
+        *[_rows_where(rank > F.lit(i)).alias(f"{name}_errors")
           for i, name in enumerate(providers, start=1)])
     unresolved = rows.filter(F.col("winner_rank").isNull()).drop("winner_rank", "fields")
     return Resolved(rows.drop("fields"), addresses, counters, unresolved)

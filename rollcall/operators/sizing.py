@@ -1,18 +1,18 @@
 """Broadcast only behind a checked size bound.
 
 ``has_at_most`` counts, so each task sends one number; a side that is costly
-to compute is written first (``key_set``) and the written copy is counted.  Sides above the bound are left to the planner (sort-merge join, turned
-into a broadcast at run time by AQE when the shuffled side proves small).
+to compute is written first (``key_set``) and the written copy is counted.
+Sides above the bound are left to the planner (sort-merge join, turned into a
+broadcast at run time by AQE when the shuffled side proves small); an id set
+above it makes the restricted table shuffle on its key once.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.session import materialize
+from rollcall.session import materialize, run_concurrently
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
@@ -44,8 +44,7 @@ def key_set(df: DataFrame, col: str, max_rows: int = ID_SET_ROWS) -> DataFrame:
 
 def key_sets(df: DataFrame, *cols: str, max_rows: int = ID_SET_ROWS) -> list[DataFrame]:
     """``key_set`` of several columns of ``df``, computed as concurrent jobs."""
-    with ThreadPoolExecutor(max_workers=max(1, len(cols))) as pool:
-        return list(pool.map(lambda c: key_set(df, c, max_rows), cols))
+    return run_concurrently(df.sparkSession, *[lambda c=c: key_set(df, c, max_rows) for c in cols])
 
 
 def restrict(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:

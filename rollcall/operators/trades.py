@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.fixed_values import PAID_STATUS
 from rollcall.functions.labels import full_name
+from rollcall.operators.fanout import left_matches
 from rollcall.operators.sizing import broadcast_if_small, restrict
 from rollcall.session import materialize
 
@@ -36,28 +37,27 @@ def trade_sides(trades: DataFrame, participants: DataFrame, paid_status: str = P
     holders = (participants.select(F.col("id").alias("__rc_holder_id"),
                                    full_name("name", "surname").alias("__rc_holder_name"))
                            .join(broadcast_if_small(wanted), "__rc_holder_id", "left_semi"))
-    as_old = (by_participant.select(F.col("participantId").alias("__rc_old_key"),
+    as_old = materialize(by_participant.select(F.col("participantId").alias("__rc_old_key"),
                                     F.col("originalParticipantId").alias("__rc_old_new_item"))
-                            .join(holders, F.col("__rc_old_new_item") == F.col("__rc_holder_id"), "left")
-                            .drop("__rc_holder_id"))
+                         .join(holders, F.col("__rc_old_new_item") == F.col("__rc_holder_id"), "left")
+                         .drop("__rc_holder_id"), "trades-old")
     as_new = by_original.select(F.col("originalParticipantId").alias("__rc_new_key"),
                                 F.col("participantId").alias("__rc_new_old_item"),
                                 full_name("participantName", "participantSurname").alias("__rc_new_name"))
     return as_old, as_new
 
 
-def attach_trade_sides(df: DataFrame, sides: tuple[DataFrame, DataFrame], id_col: str) -> DataFrame:
-    """Left-join both sides and coalesce id and name independently (new-item side first).
+def correlated(df: DataFrame) -> DataFrame:
+    """Coalesce id and name of the joined sides independently (new-item side first)."""
+    return (df.withColumn("correlated_item_id", F.coalesce("__rc_new_old_item", "__rc_old_new_item"))
+              .withColumn("correlated_participant", F.coalesce("__rc_new_name", "__rc_holder_name"))
+              .drop("__rc_old_new_item", "__rc_holder_name", "__rc_new_old_item", "__rc_new_name"))
 
-    Several paid trades per participant multiply its rows, as the joins do.
-    """
+
+def attach_trade_sides(df: DataFrame, sides: tuple[DataFrame, DataFrame], id_col: str) -> DataFrame:
+    """Left-join both sides to ``df``; several paid trades per participant multiply its rows, as the joins do."""
     as_old, as_new = sides
-    out = (df.join(as_old, F.col(id_col) == F.col("__rc_old_key"), "left")
-             .join(as_new, F.col(id_col) == F.col("__rc_new_key"), "left")
-             .withColumn("correlated_item_id", F.coalesce("__rc_new_old_item", "__rc_old_new_item"))
-             .withColumn("correlated_participant", F.coalesce("__rc_new_name", "__rc_holder_name")))
-    return out.drop("__rc_old_key", "__rc_old_new_item", "__rc_holder_name",
-                    "__rc_new_key", "__rc_new_old_item", "__rc_new_name")
+    return correlated(left_matches(left_matches(df, as_old, id_col, "__rc_old_key"), as_new, id_col, "__rc_new_key"))
 
 
 def correlate_trades(df: DataFrame, trades: DataFrame, participants: DataFrame, id_col: str,

@@ -20,7 +20,8 @@ from rollcall.operators.batching import number_batches, select_batch
 from rollcall.operators.catalogue import list_editions
 from rollcall.operators.collation import join_collated
 from rollcall.operators.fanout import keep_unused_fanout, without_partial_cancel
-from rollcall.operators.lookup import PROVIDER_ORDER, lookup_provider, pending_requests, resolve_addresses
+from rollcall.operators.lookup import (PROVIDER_ORDER, lookup_provider, pending_requests, provider_counters,
+                                       resolve_addresses)
 from rollcall.operators.options import option_answers, unnest_options
 from rollcall.operators.postal import normalise_postal_codes, profile_postal_codes
 from rollcall.operators.report import join_addresses
@@ -29,6 +30,7 @@ from rollcall.operators.trades import correlate_trades
 from rollcall.plans.extract import checkout_tickets, extract_forms, extract_participants
 from rollcall.plans.testdata_model import (landed_responses, operational_tables, postal_answer,
                                             read_driver_table)
+from rollcall.session import materialize
 from rollcall.sources.sinks import edition_label
 
 # Parameters of the bound queries (kept equal to the oracle SQL).
@@ -37,6 +39,7 @@ EXCLUDED_EVENTS = (7,)
 FIRST, LAST = "1996-01-01", "1999-12-31"
 AS_OF = dt.date(2025, 6, 30)
 ROWS_PER_BATCH = 2500
+EXTRACT_BATCH = 500
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,8 +86,16 @@ def q_paid_star_join(spark, sf_dir):
 
 
 def q_label_left_joins(spark, sf_dir):
+    """Ticket type, race, payment and insurance of every participant, whatever the edition."""
     m = _model(spark, sf_dir)
-    p = _paid_edition_participants(m)
+    pr = m["eventticketbatchprice"].select(F.col("id").alias("__price"), F.col("typeId").alias("__type"),
+                                           F.col("ticketBatchId").alias("__batch"))
+    bt = m["eventticketbatch"].select(F.col("id").alias("__batch"), F.col("ticketId").alias("__ticket"))
+    cp = m["checkouteventticketbatchprice"].select(F.col("id").alias("__cprice"),
+                                                   F.col("eventTicketBatchPriceId").alias("__price"))
+    p = (m["checkoutparticipant"].select(F.col("id").alias("item_id"), F.col("sessionId").alias("__session"),
+                                         F.col("checkoutEventTicketBatchPriceId").alias("__cprice"))
+         .join(cp, "__cprice").join(broadcast_if_small(pr.join(bt, "__batch")), "__price"))
     types = m["eventticketbatchpricetype"].select(F.col("id").alias("__type"), F.col("name").alias("ticket_type"))
     races = m["eventticketcomplement"].select(F.col("ticketId").alias("__ticket"), F.col("nameParsed").alias("race"))
     pays = m["checkoutpayment"].select(F.col("sessionId").alias("__session"), F.col("paymentOption").alias("payment"))
@@ -246,13 +257,7 @@ def _provider(name):
 
 def q_provider_counters(spark, sf_dir):
     forms = _normalised(spark, sf_dir)
-    responses = landed_responses(forms)
-    parts = [lookup_provider(forms, responses, name)[1].select(F.lit(name).alias("provider"), "*")
-             for name in PROVIDER_ORDER]
-    out = parts[0]
-    for other in parts[1:]:
-        out = out.unionByName(other)
-    return out
+    return provider_counters(forms, landed_responses(forms))
 
 
 def _resolved(spark, sf_dir):
@@ -308,6 +313,16 @@ def q_participant_report(spark, sf_dir):
                         excluded_events=EXCLUDED_EVENTS).report
 
 
+def q_report_by_batches(spark, sf_dir):
+    """The report of the first two batches of a written extract, one batch at a time."""
+    from rollcall.plans.report import extract_edition, report_from_extract
+    people, forms = extract_edition(_model(spark, sf_dir), EDITION, FIRST, LAST, AS_OF, rows_per_batch=EXTRACT_BATCH,
+                                    excluded_events=EXCLUDED_EVENTS)
+    people, forms = materialize(people, "extract-people"), materialize(forms, "extract-forms")
+    first, second = (report_from_extract(people, forms, landed_responses(forms), batch).report for batch in (1, 2))
+    return first.unionByName(second)
+
+
 QUERIES = {
     "edition_catalogue": q_edition_catalogue,
     "edition_catalogue_all": q_edition_catalogue_all,
@@ -344,4 +359,5 @@ QUERIES = {
     "forms_extract": q_forms_extract,
     "participants_extract": q_participants_extract,
     "participant_report": q_participant_report,
+    "report_by_batches": q_report_by_batches,
 }

@@ -8,14 +8,16 @@ all events is then filtered in its scan by a broadcast key set of the edition
 (checkout prices, then participants and sessions), the date range is pushed
 into the scan as a half-open instant range, and the row multiplicity of the
 original left joins is kept: matches that contribute no column are counted per
-key and repeated, the others are joined.
+key, the others are joined.
+
+Joins read written tables on both sides, so that a hot session, participant
+or answer is split by skew handling; rows are repeated last, right before numbering.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from typing import NamedTuple
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +27,12 @@ from rollcall.functions.dates import local_date, purchased_between
 from rollcall.functions.labels import age_band, age_years, full_name, payment_label, refund_mark
 from rollcall.operators.batching import number_batches
 from rollcall.operators.collation import join_collated
-from rollcall.operators.fanout import keep_unused_fanout, multiply_by_matches, without_partial_cancel
+from rollcall.operators.fanout import (attach_copies, combined_copies, left_matches, match_copies, null_reason_copies,
+                                       repeat_rows)
 from rollcall.operators.options import option_answer_groups, unnest_options
 from rollcall.operators.sizing import broadcast_if_small, key_set, key_sets, restrict
-from rollcall.operators.trades import attach_trade_sides, trade_sides
-from rollcall.session import materialize
+from rollcall.operators.trades import correlated, trade_sides
+from rollcall.session import materialize, run_concurrently
 
 FORMS_COLUMNS = ("batch_number", "participant_id", "data_compra", "edicao", "evento", "field_id",
                  "pergunta_cadastrada", "pergunta_tratada", "cep")
@@ -163,7 +166,6 @@ def extract_forms(tables: dict[str, DataFrame], edition: str,
     buyers = materialize(buyers.join(checkout, "__cprice"), "edition-buyers")
     ids, session_ids = key_sets(buyers, "__pid", "__session")
     paid = restrict(_paid_sessions(tables), "id", session_ids).select(F.col("id").alias("__session"))
-    buyers = buyers.join(paid, "__session")
     answers = (restrict(tables["formfieldanswer"], "checkoutParticipantId", ids)
                .filter(~F.col("answer").isin(list(fv.REJECTED_ANSWERS)))
                .select(F.col("checkoutParticipantId").alias("participant_id"),
@@ -172,17 +174,20 @@ def extract_forms(tables: dict[str, DataFrame], edition: str,
                               dim, "__ticket")
     cancels = restrict(tables["checkoutorderticketpartialcancel"], "participantId", ids)
 
-    def fanned_buyers():
-        return without_partial_cancel(keep_unused_fanout(buyers, complements, "__ticket", "__ticket"),
-                                      cancels, "__pid")
+    def counted_buyers():
+        counted = attach_copies(buyers.join(paid, "__session"), "__ticket", match_copies(complements, "__ticket"), "__races")
+        counted = attach_copies(counted, "__pid", null_reason_copies(cancels), "__kept")
+        return materialize(counted.filter(F.col("__kept") > 0), "paid-buyers")
+
+    def postal_answers():
+        # written once: the matching of the field ids and the join with the buyers read that copy
+        return join_collated(materialize(answers, "answers"), "field_id", questions, "__q_field", collation).drop("__q_field")
 
     # The question matching and the buyers' row multiplicity are independent;
     # their small eager jobs run concurrently.
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        matched = pool.submit(join_collated, answers, "field_id", questions, "__q_field", collation)
-        fanned = pool.submit(fanned_buyers)
-        answers, buyers = matched.result().drop("__q_field"), fanned.result()
-    forms = answers.join(buyers, F.col("participant_id") == F.col("__pid")).select(
+    answers, buyers = run_concurrently(dim.sparkSession, postal_answers, counted_buyers)
+    forms = repeat_rows(answers.join(buyers, F.col("participant_id") == F.col("__pid")),
+                        F.col("__races") * F.col("__kept")).select(
         "participant_id", "data_compra", F.col("__edition").alias("edicao"),
         F.col("__event_title").alias("evento"), "field_id", "pergunta_cadastrada",
         "pergunta_tratada", "cep")
@@ -226,40 +231,49 @@ def extract_participants(tables: dict[str, DataFrame], edition: str,
     sessions = restrict(purchased_between(_paid_sessions(tables), "createdAt", first, last), "id", session_ids
                         ).select(F.col("id").alias("__session"), local_date("createdAt").alias("purchase_date"))
     payments = restrict(tables["checkoutpayment"], "sessionId", session_ids).select(
-        F.col("sessionId").alias("__session"), F.col("paymentOption").alias("__payment"))
+        F.col("sessionId").alias("__pay_session"), F.col("paymentOption").alias("__payment"))
     summary = restrict(tables["checkoutsummary"], "sessionId", session_ids).select(
-        F.col("sessionId").alias("__session"), F.col("ticketInsurance").alias("__insurance"))
-    # The three session-keyed joins back to back: one shuffle of the participants.
-    p = (p.join(sessions, "__session").withColumn("order_id", F.col("__session"))
-          .join(payments, "__session", "left").join(summary, "__session", "left"))
+        F.col("sessionId").alias("__sum_session"), F.col("ticketInsurance").alias("__insurance"))
     types = _of_edition(tables["eventticketbatchpricetype"].select(F.col("id").alias("__type"),
                                                                   F.col("name").alias("ticket_type")),
                         dim, "__type")
     races = _of_edition(tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket"),
                                                                F.col("nameParsed").alias("race")),
                         dim, "__ticket")
-    p = p.join(broadcast_if_small(types), "__type", "left").join(broadcast_if_small(races), "__ticket", "left")
     trades = tables["tradecheckoutsession"]
     cancels = restrict(tables["checkoutorderticketpartialcancel"], "participantId", ids)
     trades_fanout = () if drop_unused_fanout else ((restrict(trades, "participantId", ids), "participantId"),)
-    # Three independent steps, each with its own small eager jobs (writes to
-    # the checkpoint folder, size checks): submitted concurrently.
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        fanned = pool.submit(multiply_by_matches, p, "item_id", cancels, trades_fanout)
-        chosen = pool.submit(
-            option_answer_groups,
-            _option_view(tables, ids), tables["eventticketstockitems"],
-            tables["eventticketstockitemscomplement"], tables["eventticketstock"],
-            {"shirts": (fv.SHIRT_STOCK_NAMES, {"nameParsed": "shirt"}),
-             "kits": (fv.KIT_PICKUP_STOCK_NAMES, {"day": "pickup_day", "hour": "pickup_hour"})},
-            "__opt_pid")
-        partners = pool.submit(trade_sides, trades, tables["checkoutparticipant"], fv.PAID_STATUS, ids)
-        p, options, sides = fanned.result(), chosen.result(), partners.result()
-    shirts = options["shirts"].withColumnRenamed("__opt_pid", "__shirt_pid")
-    kits = options["kits"].withColumnRenamed("__opt_pid", "__kit_pid")
-    p = (p.join(shirts, F.col("item_id") == F.col("__shirt_pid"), "left")
-          .join(kits, F.col("item_id") == F.col("__kit_pid"), "left"))
-    p = attach_trade_sides(p, sides, "item_id")
+
+    def paid_purchases():
+        block = left_matches(left_matches(sessions, payments, "__session", "__pay_session"),
+                             summary, "__session", "__sum_session")
+        return (p.join(block, "__session").withColumn("order_id", F.col("__session"))
+                 .join(broadcast_if_small(types), "__type", "left").join(broadcast_if_small(races), "__ticket", "left"))
+
+    def choices():
+        # Narrow rows, one or more per participant: chosen options, trade partners, number of repeats.
+        options, (as_old, as_new) = run_concurrently(
+            dim.sparkSession,
+            lambda: option_answer_groups(
+                _option_view(tables, ids), tables["eventticketstockitems"],
+                tables["eventticketstockitemscomplement"], tables["eventticketstock"],
+                {"shirts": (fv.SHIRT_STOCK_NAMES, {"nameParsed": "shirt"}),
+                 "kits": (fv.KIT_PICKUP_STOCK_NAMES, {"day": "pickup_day", "hour": "pickup_hour"})},
+                "__opt_pid"),
+            lambda: trade_sides(trades, tables["checkoutparticipant"], fv.PAID_STATUS, ids))
+        rows = p.filter(F.col("item_id").isNotNull()).select(F.col("item_id").alias("__id")).distinct()
+        rows = attach_copies(rows, "__id", combined_copies(cancels, trades_fanout), "__copies").filter(F.col("__copies") > 0)
+        rows = materialize(rows, "kept-ids")
+        for side, key in ((options["shirts"], "__opt_pid"), (options["kits"], "__opt_pid"),
+                          (as_old, "__rc_old_key"), (as_new, "__rc_new_key")):
+            rows = left_matches(rows, side, "__id", key)
+        return rows
+
+    p, rows = run_concurrently(dim.sparkSession, lambda: materialize(paid_purchases(), "purchases"), choices)
+    # every kept id has its rows in the narrow table; a participant without an id can have no choices
+    p = p.join(rows, F.col("item_id") == F.col("__id")).drop("__id").unionByName(
+        p.filter(F.col("item_id").isNull()), allowMissingColumns=True)
+    p = repeat_rows(correlated(p), F.coalesce("__copies", F.lit(1)))
     age = age_years("birth_date", as_of)
     report = p.select(
         "item_id", "order_id", "purchase_date", "participant", "correlated_item_id",

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
 from rollcall import fixed_values as fv
 from rollcall.operators.lookup import PROVIDER_ORDER, Resolved, resolve_addresses
+from rollcall.operators.batching import select_batch
 from rollcall.operators.postal import normalise_postal_codes
 from rollcall.operators.report import join_addresses
+from rollcall.operators.sizing import key_set, restrict
 from rollcall.plans.extract import edition_scope, extract_forms, extract_participants
+from rollcall.session import run_concurrently
 
 
 class Report(NamedTuple):
@@ -21,6 +23,36 @@ class Report(NamedTuple):
     report: DataFrame
 
 
+def extract_edition(tables: dict[str, DataFrame], edition: str, first, last, as_of,
+                    rows_per_batch: int = fv.DEFAULT_ROWS_PER_BATCH, max_rows: int | None = None,
+                    excluded_events=(fv.SERVICE_SHOP_EVENT_ID,), workdir: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Participants, and forms with cleaned codes, of one edition.
+
+    The two extractions are independent (an empty forms extract does not stop
+    the participant one); their eager steps run concurrently.
+    """
+    scope = edition_scope(tables, edition)
+    people, answers = run_concurrently(
+        scope.checkout.sparkSession,
+        lambda: extract_participants(tables, edition, first, last, max_rows, rows_per_batch, as_of, excluded_events,
+                                     workdir=workdir, scope=scope),
+        lambda: extract_forms(tables, edition, first, last, max_rows, rows_per_batch, workdir=workdir, scope=scope))
+    return people, normalise_postal_codes(answers)
+
+
+def report_from_extract(participants: DataFrame, forms: DataFrame, responses: DataFrame, batch: int | None = None,
+                        providers=PROVIDER_ORDER, materialize_lookup: bool = True) -> Report:
+    """The report of an extract, or of one batch of its participants and their form rows.
+
+    The reports of all batches add up to that of the whole extract.
+    """
+    if batch is not None:
+        participants = select_batch(participants, batch)
+        forms = restrict(forms, "participant_id", key_set(participants, "item_id"))
+    resolved = resolve_addresses(forms, responses, providers, materialized=materialize_lookup)
+    return Report(participants, forms, resolved, join_addresses(participants, resolved.addresses))
+
+
 def build_report(tables: dict[str, DataFrame], responses, edition: str, first, last, as_of,
                  rows_per_batch: int = fv.DEFAULT_ROWS_PER_BATCH, max_rows: int | None = None,
                  excluded_events=(fv.SERVICE_SHOP_EVENT_ID,), providers=PROVIDER_ORDER,
@@ -28,21 +60,11 @@ def build_report(tables: dict[str, DataFrame], responses, edition: str, first, l
     """Participants of ``edition`` with the address of every postal code they answered.
 
     ``responses`` is the landed responses table, or a callable that builds it
-    from the cleaned forms (for landings keyed by the codes in use).  The two
-    extractions are independent jobs (an empty forms extract does not stop
-    the participant one).  The lookup rows are written once to the shared
-    checkpoint folder (``materialize_lookup``), so the report, the addresses
-    and the counters all read the same decided rows.
+    from the cleaned forms (for landings keyed by the codes in use).  The lookup
+    rows are written once to the shared checkpoint folder
+    (``materialize_lookup``) for the report and the addresses.
     """
-    scope = edition_scope(tables, edition)
-    # The two extractions are independent: their eager steps (writes to the
-    # checkpoint folder, size checks) run as concurrent jobs from two threads.
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        people = pool.submit(extract_participants, tables, edition, first, last, max_rows, rows_per_batch,
-                             as_of, excluded_events, workdir=workdir, scope=scope)
-        answers = pool.submit(extract_forms, tables, edition, first, last, max_rows, rows_per_batch,
-                              workdir=workdir, scope=scope)
-        participants, forms = people.result(), normalise_postal_codes(answers.result())
+    participants, forms = extract_edition(tables, edition, first, last, as_of, rows_per_batch, max_rows,
+                                          excluded_events, workdir)
     landed = responses(forms) if callable(responses) else responses
-    resolved = resolve_addresses(forms, landed, providers, materialized=materialize_lookup)
-    return Report(participants, forms, resolved, join_addresses(participants, resolved.addresses))
+    return report_from_extract(participants, forms, landed, None, providers, materialize_lookup)

@@ -167,10 +167,14 @@ RESPONSE_BODY_SQL = f"""
       WHEN d = '8' THEN '{{"code":"not_found"}}' END
   END"""
 STALE_BODY = '{"errors":["stale"]}'
+UNUSED_BODY = '{"cep":"0"}'
 
 
 def landed_responses(codes: DataFrame, code_col: str = "parsed_ceps") -> DataFrame:
-    """Provider answers for the distinct codes of ``codes``, as a landing would hold them."""
+    """Provider answers for the distinct codes of ``codes``, as a landing would hold them.
+
+    The landing also holds, for each, an accepted answer to another code that no row uses.
+    """
     from rollcall.operators.lookup import PROVIDER_ORDER
     distinct = codes.select(F.col(code_col).alias("c")).distinct().withColumn("d", F.substring("c", 9, 1))
     providers = F.explode(F.array(*[F.lit(p) for p in PROVIDER_ORDER])).alias("p")
@@ -182,4 +186,7 @@ def landed_responses(codes: DataFrame, code_col: str = "parsed_ceps") -> DataFra
     stale = distinct.select(F.lit(PROVIDER_ORDER[0]).alias("provider"), F.col("c").alias("cep_requested"),
                             F.lit(STALE_BODY).alias("body"),
                             F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("fetched_at"))
-    return fresh.unionByName(stale)
+    unused = distinct.select(F.lit(PROVIDER_ORDER[0]).alias("provider"), F.concat(F.lit("X"), "c").alias("cep_requested"),
+                             F.lit(UNUSED_BODY).alias("body"),
+                             F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("fetched_at"))
+    return fresh.unionByName(stale).unionByName(unused)

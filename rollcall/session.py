@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import threading
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
 
-# Settings that define results (UTC wall clock, ANSI casts) and the runtime
-# re-planning the joins count on (AQE broadcast conversion, skew splitting).
-DEFAULT_CONF = {
+# Always set: no web page, and what defines results (UTC wall clock, ANSI casts).
+FIXED_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+}
+# Used where spark-submit names no other value: the runtime re-planning the
+# joins count on (AQE broadcast conversion, skew splitting).
+DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -48,17 +54,27 @@ def build_session(master: str | None = None, app: str = "rollcall",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
+    settings = dict(FIXED_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in DEFAULT_CONF.items():
+        if key not in settings and not given.contains(key):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def run_concurrently(spark: SparkSession, *jobs: Callable) -> list:
+    """Results of the jobs, run in threads that keep the caller's job group, pool and description."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 _LOCAL_DIRS: dict[int, str] = {}
 _LOCAL_LOCK = threading.Lock()   # extractions call this from several driver threads
 

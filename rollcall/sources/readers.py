@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.sources.schemas import ALL, OPERATIONAL
+from rollcall.sources.schemas import ALL, CLEANED_FORMS, OPERATIONAL, PARTICIPANTS
 
 
 def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet",
@@ -43,6 +43,17 @@ def read_tables(spark: SparkSession, base: str, names=None, fmt: str = "parquet"
     return {name: read_table(spark, base, name, fmt, months.get(name)) for name in (names or OPERATIONAL)}
 
 
+def read_extract(spark: SparkSession, base: str, edition: str) -> tuple[DataFrame, DataFrame]:
+    """Participants and forms of one edition, as ``extract`` wrote them under ``base``."""
+    base, label = base.rstrip("/"), edition.replace(" ", "_")
+
+    def one(name: str, schema: T.StructType, col: str) -> DataFrame:
+        stored = T.StructType([*schema.fields, T.StructField("edition_label", T.StringType())])
+        rows = spark.read.schema(stored).parquet(f"{base}/{name}")
+        return rows.filter((F.col("edition_label") == label) & (F.col(col) == edition)).drop("edition_label")
+    return one("participants", PARTICIPANTS, "edition"), one("forms", CLEANED_FORMS, "edicao")
+
+
 def jdbc_options(url: str, table: str, *, user: str | None = None, password: str | None = None,
                  partition_column: str | None = None, lower_bound: int | None = None,
                  upper_bound: int | None = None, num_partitions: int | None = None,
@@ -53,7 +64,8 @@ def jdbc_options(url: str, table: str, *, user: str | None = None, password: str
     range queries instead of one cursor, so a large table is read by many
     tasks.  The four partitioning options must be given together.
     """
-    opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
+    # datetimes without a zone stay as they are, whatever the driver's zone
+    opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), "preferTimestampNTZ": "true"}
     if user is not None:
         opts["user"] = user
     if password is not None:

@@ -52,6 +52,9 @@ FORMS = _struct(
     ("batch_number", L), ("participant_id", L), ("data_compra", D), ("edicao", S), ("evento", S),
     ("field_id", S), ("pergunta_cadastrada", S), ("pergunta_tratada", S), ("cep", S))
 
+# As ``extract`` writes them: with the cleaned code.
+CLEANED_FORMS = T.StructType([*FORMS.fields, T.StructField("parsed_ceps", S), T.StructField("peculiar_ceps", S)])
+
 PARTICIPANTS = _struct(
     ("batch_number", L), ("item_id", L), ("order_id", L), ("purchase_date", D),
     ("participant", S), ("correlated_item_id", L), ("correlated_participant", S),
@@ -60,6 +63,10 @@ PARTICIPANTS = _struct(
     ("cpf", S), ("birth_date", D), ("age", I), ("age_band", S), ("shirt", S),
     ("refundable", S), ("pickup_day", S), ("pickup_hour", S))
 
+# Tables with rows of every event's buyers; the others are catalogues.
+SPANNING = ("checkouteventticketbatchprice", "checkoutparticipant", "checkoutsession", "checkoutpayment", "checkoutsummary",
+            "checkoutorderticketpartialcancel", "tradecheckoutsession", "participant_options", "formfieldanswer")
+
 # One landed answer per (provider, requested code); ``body`` is the raw text.
 RESPONSES = _struct(("provider", S), ("cep_requested", S), ("body", S), ("fetched_at", TS))
 

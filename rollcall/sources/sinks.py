@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.fixed_values import PARTICIPANT_DISPLAY_NAMES
+from rollcall.fixed_values import PARTICIPANT_DISPLAY_NAMES, REPORT_STAMP
 
 
 def label_text(col) -> "F.Column":
@@ -57,8 +57,18 @@ def write_report(df: DataFrame, path: str, run_ts: dt.datetime, edition_col: str
     editions land in one folder each.  ``fmt="csv"`` writes CSV with a header
     line (for spreadsheet users) instead of Parquet.  Returns the base path.
     """
-    stamp = run_ts.strftime("%Y%m%d_%H%M")
-    writer = (df.withColumn("report_label", F.coalesce(label_text(edition_col), F.lit("_")))
+    label = F.coalesce(label_text(edition_col), F.lit("_"))
+    return _write_stamped(df.withColumn("report_label", label), path, run_ts, fmt)
+
+
+def write_beside_report(df: DataFrame, path: str, run_ts: dt.datetime, edition: str, fmt: str = "parquet") -> str:
+    """Write what goes with one edition's report (counters, failed codes) under the same label and time."""
+    return _write_stamped(df.withColumn("report_label", label_text(F.lit(edition))), path, run_ts, fmt)
+
+
+def _write_stamped(df: DataFrame, path: str, run_ts: dt.datetime, fmt: str) -> str:
+    stamp = run_ts.strftime(REPORT_STAMP)
+    writer = (df
                 .withColumn("run_ts", F.lit(stamp))
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("report_label", "run_ts").format(fmt))

@@ -29,6 +29,42 @@ def test_cli_extract_and_report(spark, tables, tmp_path):
     assert report.filter("itemID = 1").select("cidade").distinct().collect()[0][0] == "SP"
     counters = spark.read.parquet(str(tmp_path / "r_counters")).first().asDict()
     assert counters["ok"] == 2 and counters["nok"] == 2   # participants 1 and 11 answered 01310-100
+    assert counters["report_label"] == "10_Milhas_RJ" and "viacep errors" in counters
+    assert spark.read.parquet(str(tmp_path / "r_unresolved")).count() == 2
+    # the same report from the extract, whole and batch by batch
+    extracted = ["--extract", str(tmp_path / "x")]
+    assert main(["report", *common, *extracted, "--out", str(tmp_path / "whole")], spark) == 0
+    batches = [r[0] for r in spark.read.parquet(str(tmp_path / "x" / "participants")).select("batch_number").distinct().collect()]
+    assert len(batches) > 1
+    for b in batches:
+        assert main(["report", *common, *extracted, "--batch", str(b), "--out", str(tmp_path / f"b{b}")], spark) == 0
+    columns = [c for c in report.columns if c != "run_ts"]
+    rows = lambda *paths: sorted(repr(r) for p in paths for r in spark.read.parquet(str(tmp_path / p)).select(*[f"`{c}`" for c in columns]).collect())
+    assert rows("r") == rows("whole") == rows(*[f"b{b}" for b in batches])
+    assert main(["pending", *common, *extracted, "--out", str(tmp_path / "p")], spark) == 0
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 2
+
+
+def test_cli_editions_share_an_output_and_may_be_empty(spark, tables, tmp_path):
+    base = str(tmp_path / "landing")
+    _land(spark, tables, base)
+    common = ["--landing", base, "--as-of", "2025-06-30", "--out", str(tmp_path / "x")]
+    assert main(["extract", "--edition", "10 Milhas RJ", *common], spark) == 0
+    before = {r.metric: r.n for r in spark.read.parquet(str(tmp_path / "x" / "forms_profile")).collect()}
+    assert main(["extract", "--edition", "none such", *common], spark) == 0
+    profile = spark.read.parquet(str(tmp_path / "x" / "forms_profile"))
+    assert {r.metric: r.n for r in profile.filter("edition_label = '10_Milhas_RJ'").collect()} == before
+    empty = profile.filter("edition_label = 'none_such'").collect()
+    assert len(empty) == len(before) and all(r.n == 0 and r.share is None for r in empty)
+    assert main(["report", "--edition", "none such", *common[:-1], str(tmp_path / "r")], spark) == 0
+
+
+def test_land_refuses_one_cursor_over_a_table_of_all_events():
+    import pytest
+    with pytest.raises(SystemExit):
+        main(["land", "--url", "jdbc:mysql://db:3306/x", "--tables", "checkoutparticipant", "--out", "x"])
+    with pytest.raises(SystemExit):
+        main(["report", "--landing", "x", "--edition", "e", "--batch", "1", "--out", "y"], spark=object())
 
 
 def test_cli_reads_month_partitioned_landing(spark, tables, tmp_path):

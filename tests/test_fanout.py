@@ -20,7 +20,7 @@ def test_unused_fanout_counts_every_match(spark):
 
 
 def test_hot_participant_is_split_across_tasks(spark, monkeypatch):
-    monkeypatch.setattr(fanout, "HOT_COPIES", 500)
+    monkeypatch.setattr(fanout, "CHUNK_COPIES", 500)
     people = spark.range(0, 20).withColumnRenamed("id", "pid")
     cancels = spark.range(0, 30000).select(
         F.when(F.col("id") < 25000, F.lit(3)).otherwise(F.col("id") % 20).alias("participantId"),

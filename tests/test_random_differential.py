@@ -100,5 +100,5 @@ def test_extractions_match_sql_without_any_broadcast(spark, tmp_path, seed, monk
     import rollcall.operators.fanout as fanout
     import rollcall.operators.sizing as sizing
     monkeypatch.setattr(sizing, "has_at_most", lambda df, max_rows: False)
-    monkeypatch.setattr(fanout, "HOT_COPIES", 1)
+    monkeypatch.setattr(fanout, "CHUNK_COPIES", 1)
     test_extractions_match_sql_on_random_tables(spark, tmp_path, seed)

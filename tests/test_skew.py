@@ -67,7 +67,7 @@ def _tables(spark):
 
 
 def test_skewed_extraction_matches_sql(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(fanout, "HOT_COPIES", 1000)
+    monkeypatch.setattr(fanout, "CHUNK_COPIES", 1000)
     base = str(tmp_path / "ops")
     written = _tables(spark)
     for name, df in written.items():
@@ -86,3 +86,42 @@ def test_skewed_extraction_matches_sql(spark, tmp_path, monkeypatch):
     assert sorted(map(repr, rows)) == sorted(map(repr, want))
     hot = [r for r in rows if r[1] == 1]
     assert len(hot) == 5000          # one copy per null-reason cancellation
+
+
+def test_no_task_holds_a_hot_key_before_numbering(spark, tmp_path, monkeypatch):
+    """A session with a third of the participants, a participant with most of the repeats."""
+    import rollcall.plans.extract as extract
+    spread = {}
+
+    def before(df, *args, **kwargs):
+        spread["sizes"] = [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        return df.withColumn("batch_number", F.lit(1).cast("long"))
+    monkeypatch.setattr(extract, "number_batches", before)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.shuffle.partitions": "16",
+                # a skewed partition is split between map tasks: one a file, as files of full size have
+                "spark.sql.files.openCostInBytes": "128m"}
+    base = str(tmp_path / "ops")
+    written = _tables(spark)
+    people = written["tradecheckoutsession"]
+    # one participant with 20,000 trades of which none is paid
+    written["tradecheckoutsession"] = people.unionByName(spark.range(0, 20_000).select(
+        F.lit(3).cast("long").alias("participantId"), F.col("id").alias("originalParticipantId"), F.lit("Pending").alias("status"),
+        F.lit(1).cast("decimal(18,2)").alias("transferValue"), F.lit("Novo").alias("participantName"),
+        F.lit("Dono").alias("participantSurname")).select(people.columns))
+    for name, df in written.items():
+        df.repartition(8).write.parquet(f"{base}/{name}")
+    tables = {n: spark.read.schema(OPERATIONAL[n]).parquet(f"{base}/{n}") for n in written}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        extract_participants(tables, "ASIA", "1996-01-01", "1999-12-31", as_of=dt.date(2025, 6, 30), excluded_events=())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(spread["sizes"]) > 20_000
+    assert max(spread["sizes"]) < 0.25 * sum(spread["sizes"])
