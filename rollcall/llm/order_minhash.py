@@ -6,11 +6,12 @@ five-word k-mers are labelled with the number of their occurrence; each of
 keeps them in the order of the text, so an equal vector needs equal k-mers in
 equal order.  Texts that share a vector meet in a bucket.
 
-A bucket's members are compared with its leader, not with each other.  Where a
-bucket holds members that are not linked to the leader, all of it is dealt
-again by two, then three vectors and with other leaders.  So a group of copies
-costs as many comparisons as it has members, and texts that merely share a
-passage part quickly.
+A bucket's members are compared with its leader.  Members that are not in the
+leader's class stay, without the leader, and the bucket is dealt again with
+four times as many leaders, those with the most links first, until all its
+members are in one class or all have led.  So a group of copies costs as many
+comparisons as it has members, and of texts that share a vector every two are
+compared or in one class.
 
 A comparison aligns the two word sequences within the band that an alignment
 of ``MIN_SIMILARITY`` can reach (an LCS over bit vectors); the similarity is
@@ -185,15 +186,37 @@ def _word_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node binary, words binary")
 
 
-def _buckets(entries: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
-    """Entries of buckets with two members or more, and each such bucket's leader (smallest by a salted order)."""
-    entries = materialize(entries, "bucket-entries")
-    order = F.xxhash64(F.lit(salt), "node")
-    leaders = materialize(entries.groupBy("bucket").agg(
-        F.min(F.struct(order.alias("o"), F.col("node").alias("leader"), F.col("n_words").alias("leader_words"))).alias("l"),
-        F.max(F.struct(order.alias("o"), F.col("node").alias("leader"), F.col("n_words").alias("leader_words"))).alias("m"))
-        .filter(F.col("l.leader") != F.col("m.leader")).select("bucket", "l.leader", "l.leader_words"), "leaders")
-    return entries, leaders
+def _members(entries: DataFrame) -> DataFrame:
+    """``entries`` (``bucket, node, n_words``) of the buckets with two members or more."""
+    order = F.xxhash64("node")
+    shared = entries.groupBy("bucket").agg(F.min(order).alias("a"), F.max(order).alias("b")) \
+        .filter(F.col("a") != F.col("b")).select("bucket")
+    return entries.join(shared.hint("merge"), "bucket", "left_semi")
+
+
+def _leaders(members: DataFrame, groups: int, salt: int) -> DataFrame:
+    """Of each bucket up to ``groups`` members, from each salted group the one with the most links."""
+    group = F.pmod(F.xxhash64(F.lit(salt), "bucket", "node"), F.lit(groups))
+    first = F.struct((-F.col("n_links")).alias("l"), F.xxhash64(F.lit(salt + 1), "bucket", "node").alias("o"),
+                     F.col("node").alias("leader"), F.col("n_words").alias("leader_words"), F.col("root").alias("leader_root"))
+    return members.groupBy("bucket", group.alias("g")).agg(F.min(first).alias("f")) \
+        .select("bucket", "f.leader", "f.leader_words", "f.leader_root")
+
+
+def _open_members(members: DataFrame, led: DataFrame, roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Members that have not led, of the buckets that still hold two classes, with their classes and links as they are now."""
+    left = members.select("bucket", "node", "n_words") \
+        .join(led.select("bucket", F.col("leader").alias("node")).hint("merge"), ["bucket", "node"], "left_anti")
+    known = left.join(roots.hint("merge"), "node", "left").select("bucket", "node", "n_words", F.coalesce("root", "node").alias("root"))
+    known = materialize(known, "left-members")
+    split = known.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")) \
+        .filter(F.col("a") != F.col("b")).select("bucket")
+    return known.join(split.hint("merge"), "bucket", "left_semi").join(_degrees(links).hint("merge"), "node", "left") \
+        .select("bucket", "node", "n_words", "root", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def _degrees(links: DataFrame) -> DataFrame:
+    return links.select(F.explode(F.array("leader", "node")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
 
 
 def _verify(pairs: DataFrame, words: DataFrame) -> DataFrame:
@@ -211,42 +234,51 @@ def _verify(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return both.select("leader", "node", "a", "b").mapInArrow(run, "leader binary, node binary")
 
 
-def find_links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Verified ``leader, node`` links between different texts."""
+def find_links(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Verified ``leader, node`` links between different texts, and ``node, root`` of the linked ones."""
     nodes = materialize(sketched.filter(F.size("sketch") > 0).groupBy("node").agg(
         F.min(_known_id(F.col("doc_id"))).alias("first_id"), F.max("n_words").alias("n_words"), F.max("sketch").alias("sketch")),
         "nodes")
-    spark = docs.sparkSession
-    words, links, active = None, None, None
-    for vectors in (1, 2, 3):
-        # the bucket of a text and hash function r: r and the vectors from r on
-        keys = F.transform(F.sequence(F.lit(0), F.lit(SKETCHES - 1)), lambda r: F.struct(
-            r.alias("r"), F.xxhash64(r, *[F.get("sketch", (r + k) % SKETCHES) for k in range(vectors)]).alias("bucket"),
-            F.get("sketch", r).alias("parent")))
-        entries = nodes.select("node", "n_words", F.explode(keys).alias("e")) \
-            .select("node", "n_words", F.col("e.bucket").alias("bucket"), F.xxhash64("e.r", "e.parent").alias("parent"))
-        if active is not None:
-            entries = entries.join(active.hint("merge"), "parent", "left_semi")
-        entries, leaders = _buckets(entries, vectors)
-        met = entries.join(leaders.hint("merge"), "bucket").filter(F.col("node") != F.col("leader"))
+    # the bucket of a text and hash function
+    keys = F.transform("sketch", lambda v, r: F.xxhash64(r, v))
+    members = materialize(_members(nodes.select("node", "n_words", F.explode(keys).alias("bucket"))), "members")
+    involved = members.select("node").distinct().join(nodes.select("node", "first_id").hint("merge"), "node")
+    words = materialize(_word_table(docs, materialize(involved, "involved")), "words")
+    members = members.withColumn("root", F.col("node")).withColumn("n_links", F.lit(0))
+    links, roots, compared = None, None, None
+    groups = 1
+    while True:
+        leaders = materialize(_leaders(members, groups, 2 * groups), "leaders")
         reach = 2 * F.least("n_words", "leader_words") >= F.lit(MIN_SIMILARITY) * (F.col("n_words") + F.col("leader_words"))
-        pairs = met.filter(reach).select("leader", "node").distinct()
-        if links is not None:
-            pairs = pairs.join(links.hint("merge"), ["leader", "node"], "left_anti")
+        pairs = members.join(leaders.hint("merge"), "bucket").filter((F.col("root") != F.col("leader_root")) & reach) \
+            .select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")).distinct()
+        if compared is not None:
+            pairs = pairs.join(compared.hint("merge"), ["leader", "node"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        if words is None:
-            involved = entries.join(leaders.select("bucket").hint("merge"), "bucket", "left_semi").select("node").distinct()
-            involved = involved.join(nodes.select("node", "first_id").hint("merge"), "node")
-            words = materialize(_word_table(docs, materialize(involved, "involved")), "words")
+        compared = pairs if compared is None else compared.unionByName(pairs)
         found = materialize(_verify(pairs, words), "links")
-        links = found if links is None else materialize(links.unionByName(found), "links")
-        if vectors < 3:
-            # parent buckets with a member that is not linked to its leader are dealt again
-            active = materialize(met.join(links.hint("merge"), ["leader", "node"], "left_anti").filter(reach)
-                                 .select("parent").distinct(), "open-buckets")
-            if active.isEmpty():
-                break
-    return links if links is not None else spark.createDataFrame([], "leader binary, node binary")
+        links = found if links is None else links.unionByName(found)
+        roots = _merge_roots(roots, found)
+        members = materialize(_open_members(members, leaders, roots, links), "open-members")
+        if members.isEmpty():
+            return links, roots
+        groups *= 4
+
+
+def _merge_roots(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+    """``roots`` after the links of ``found``."""
+    if roots is None:
+        return materialize(close_links(found), "roots")
+    if found.isEmpty():
+        return roots
+    edges = found
+    for side in ("leader", "node"):
+        edges = edges.join(roots.select(F.col("node").alias(side), F.col("root").alias("r")).hint("merge"), side, "left") \
+            .withColumn(side, F.coalesce("r", side)).drop("r")
+    moved = materialize(close_links(materialize(edges.filter(F.col("leader") != F.col("node")).distinct(), "root-edges")), "moved")
+    now = moved.select(F.col("node").alias("root"), F.col("root").alias("r"))
+    return materialize(roots.join(now.hint("merge"), "root", "left").select("node", F.coalesce("r", "root").alias("root"))
+                       .unionByName(moved.select("node", "root")), "roots")
 
 
 def close_links(links: DataFrame) -> DataFrame:
@@ -282,10 +314,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``class_size`` counts rows, ``n_links`` the verified links of the row's text to other texts.
     """
     sketched = materialize(sketch_documents(docs), "sketches")
-    links = find_links(docs, sketched)
-    roots = close_links(links)
-    degree = links.select(F.explode(F.array("leader", "node")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    linked = materialize(roots.join(degree, "node", "full"), "roots")
+    links, roots = find_links(docs, sketched)
+    linked = materialize(roots.join(_degrees(links), "node", "full"), "linked")
     rows = materialize(sketched.select("doc_id", "node").join(linked.hint("merge"), "node", "left").select(
         "doc_id", "node", F.coalesce("root", "node").alias("class_node"), F.coalesce("n_links", F.lit(0)).alias("n_links")),
         "rows")

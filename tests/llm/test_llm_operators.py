@@ -216,6 +216,22 @@ def test_large_group_of_near_copies_is_one_class(spark):
     assert {r.class_id for r in out} == {0} and {r.class_size for r in out} == {300}
 
 
+def reworded(words, share, seed):
+    """The words with a share of them, all over the text, replaced by new ones."""
+    places = set(random.Random(seed).sample(range(len(words)), round(share * len(words))))
+    return [f"new{seed}x{i}" if i in places else w for i, w in enumerate(words)]
+
+
+def test_variants_of_one_text_are_one_class_though_not_close_to_each_other(spark):
+    base = prose(78, 300).split()
+    rows = [(i, base if i == 500 else reworded(base, 0.15, i)) for i in range(1001)]
+    out = order_minhash.near_duplicates(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()
+    sketches = {i: order_minhash.sketch(order_minhash.word_hashes(" ".join(w))) for i, w in rows}
+    met = {i for i in sketches if (sketches[i] == sketches[500]).any()}
+    cls = {r.doc_id: r.class_id for r in out}
+    assert len(met) > 800 and {cls[i] for i in met} == {min(met)}
+
+
 def test_model_scores_and_base(docs, empty):
     rows = context_mixing.score_documents(docs).collect()
     tokens = [(d, (t or "").encode().lower().split() + [b"\n"]) for d, t in texts()]
