@@ -232,6 +232,15 @@ def test_variants_of_one_text_are_one_class_though_not_close_to_each_other(spark
     assert len(met) > 800 and {cls[i] for i in met} == {min(met)}
 
 
+def test_a_pair_with_scattered_edits_shares_a_vector():
+    missed = 0
+    for i in range(200):
+        base = prose(5000 + i, 300).split()
+        pair = [order_minhash.sketch(order_minhash.word_hashes(" ".join(w))) for w in (base, reworded(base, 0.18, i))]
+        missed += not (pair[0] == pair[1]).any()
+    assert missed <= 4
+
+
 def test_model_scores_and_base(docs, empty):
     rows = context_mixing.score_documents(docs).collect()
     tokens = [(d, (t or "").encode().lower().split() + [b"\n"]) for d, t in texts()]
