@@ -14,8 +14,9 @@ queries, however many there are.
 
 Defined results: vectors that are null, empty, zero or hold a null or
 non-finite component take no part, nor do rows without an id or of another
-length than the most frequent one; rows that repeat an id are one candidate
-each; an empty table gives no rows.
+length than the most frequent one; rows that repeat an id and a vector are one,
+and of an id with several vectors the best counts, for the query and the
+candidate; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -94,7 +95,9 @@ class Forest:
             if len(rows):
                 # a sum per row, so that equal vectors have equal scores
                 cosines = (self.vectors[rows] * queries[q]).sum(axis=1) / (self.norms[rows] * norms[q])
-                best = np.lexsort((self.ids[rows], -cosines))[:neighbours]
+                best = np.lexsort((self.ids[rows], -cosines))
+                # the best row of each id
+                best = best[np.sort(np.unique(self.ids[rows[best]], return_index=True)[1])][:neighbours]
                 yield ids[q], self.ids[rows[best]], cosines[best]
 
 
@@ -109,7 +112,8 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
 def search_neighbours(vectors: DataFrame, query_filter, neighbours: int = NEIGHBOURS, trees: int = TREES, bits: int = BITS,
                       shard_rows: int = SHARD_ROWS, candidates: int = CANDIDATES) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the nearest rows of each row for which ``query_filter`` holds."""
-    valid = materialize(valid_vectors(vectors), "vectors")
+    valid = materialize(valid_vectors(vectors).withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0)))
+                        .dropDuplicates(["vec_id", "embedding"]), "vectors")
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sizes = valid.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
@@ -160,5 +164,5 @@ def search_neighbours(vectors: DataFrame, query_filter, neighbours: int = NEIGHB
                             names=["query_id", "vec_id", "score"])
     nearest = dealt.mapInArrow(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return nearest.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(order)) \
+    return nearest.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order)) \
         .filter(F.col("rank") <= neighbours).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

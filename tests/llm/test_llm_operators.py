@@ -371,3 +371,21 @@ def test_forest_recall_and_edge_cases(spark):
             assert found == best
     assert hits >= 0.9 * 60 and {x.query_id for x in out} == set(range(0, 600, 50))
     assert prefix_forest.search_neighbours(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_repeated_rows_do_not_push_out_neighbours(spark):
+    vectors = np.random.default_rng(6).standard_normal((60, 16))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    # an id with several vectors counts by its best one
+    rows += [(60, [float(x) for x in vectors[0] * k + np.eye(16)[k]]) for k in range(1, 8)]
+    once = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    five = spark.createDataFrame(rows * 5, "vec_id long, embedding array<double>").repartition(7)
+    found = [sorted(tuple(r) for r in prefix_forest.search_neighbours(f, F.col("vec_id") % 20 == 0).collect()) for f in (once, five)]
+    assert found[0] == found[1] and len(found[0]) == 4 * 5
+    for q in (0, 20, 40):
+        best = {}
+        for i, v in rows:
+            if i != q:
+                v = np.array(v)
+                best[i] = max(best.get(i, -9), float(v @ vectors[q] / np.sqrt((v @ v) * (vectors[q] @ vectors[q]))))
+        assert [r[2] for r in found[0] if r[0] == q] == sorted(best, key=lambda i: -best[i])[:5]
