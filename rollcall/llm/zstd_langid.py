@@ -35,21 +35,25 @@ MIN_MARGIN = 0.002
 def learn_dictionaries(training: DataFrame, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """A raw dictionary per ``lang`` from ``text``, the rows picked by hash order; the commonest language first.
 
-    The fit reads a bounded sample: about twice ``size / SNIPPET_CHARS`` rows
-    a language by hash, cut to snippets from the middle of each text.
+    The fit reads a bounded sample: of the distinct texts of a language, by
+    hash, those whose snippets from the middle make about four times ``size``.
     """
     rows = training.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0)).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
-        F.abs(F.xxhash64("text") % 1_000_000_007).alias("h"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+        F.xxhash64("text").alias("t"))
+    middle = F.greatest(F.lit(1), ((F.length("text") - SNIPPET_CHARS) / 2).cast("int") + 1)
+    snippet = F.col("text").substr(middle, F.lit(SNIPPET_CHARS))
+    # copies of a text are one
+    distinct = rows.groupBy("lang", "t").agg(F.count("*").alias("n"), F.max(F.octet_length(snippet)).alias("size"))
+    counts, sizes = {}, {}
+    for r in distinct.groupBy("lang").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).collect():
+        counts[r["lang"]], sizes[r["lang"]] = r["n"], r["size"]
     if not counts:
         return {}
-    wanted = max(8, 4 * size // SNIPPET_CHARS)
-    limit = F.create_map(*[x for k, n in counts.items()
-                           for x in (F.lit(k), F.lit(int(1_000_000_007 * min(1.0, wanted / n)) + 1))])[F.col("lang")]
-    middle = F.greatest(F.lit(1), ((F.length("text") - SNIPPET_CHARS) / 2).cast("int") + 1)
-    picked = rows.filter(F.col("h") < limit).select(
-        "lang", "h", F.col("text").substr(middle, F.lit(SNIPPET_CHARS)).alias("snippet"))
+    limit = F.create_map(*[x for k, n in sizes.items()
+                           for x in (F.lit(k), F.lit(int(1_000_000_007 * min(1.0, 4 * size / n)) + 1))])[F.col("lang")]
+    place = F.abs(F.col("t") % 1_000_000_007)
+    picked = rows.filter(place < limit).select("lang", place.alias("h"), snippet.alias("snippet"))
     snippets: dict[str, set] = {}
     for r in picked.dropDuplicates(["lang", "snippet"]).collect():
         snippets.setdefault(r["lang"], set()).add((r["h"], r["snippet"]))

@@ -109,6 +109,14 @@ def test_language_is_predicted_from_text(docs, empty):
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
 
 
+def test_copies_do_not_shrink_a_dictionary(spark):
+    rows = [(lang, prose(i, 80, lang)) for lang in ("en", "de") for i in range(300)] + [("de", prose(1, 80, "de"))] * 20_000
+    rows += [("fr", prose(i, 3, "fr")) for i in range(6000)]      # short texts: as many as fill it
+    learned = zstd_langid.learn_dictionaries(spark.createDataFrame(rows, "lang string, text string"))
+    assert list(learned) == ["de", "fr", "en"]
+    assert {len(d) for d in learned.values()} == {zstd_langid.DICTIONARY_BYTES}
+
+
 def test_toxicity_scores(docs, labels, empty, spark):
     out = fair_toxicity.score_documents(docs, labels)
     rows = out.collect()
