@@ -281,6 +281,17 @@ def test_model_is_a_probability():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_model_sees_the_sixth_byte_back():
+    documents = [b"a bcd x \n", b"q bcd y \n"] * 200
+    raw = np.frombuffer(b"".join(documents), np.uint8).astype(int)
+    code = context_mixing.Code(np.bincount(raw[:-1] * 256 + raw[1:], minlength=1 << 16))
+    tables = [np.zeros(2 << b, np.int32) for b in context_mixing.TABLE_BITS]
+    context_mixing.count_bits(tables, context_mixing.Stream(code, documents))
+    model = context_mixing.Model(code, [context_mixing._states(t) for t in tables])
+    right, wrong, other = model.score([b"a bcd x", b"a bcd y", b"q bcd y"])
+    assert right - wrong > 0.3 and other - model.score([b"q bcd x"])[0] > 0.3
+
+
 def test_packed_counts_round_trip():
     counts = np.zeros(2 * context_mixing.BLOCK, np.int64)
     counts[[0, 7, 9]] = 65534, 65535, 1 << 40
