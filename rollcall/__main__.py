@@ -7,7 +7,7 @@
     spark-submit rollcall/__main__.py pending  --landing s3://landing --edition "City Run 2025" --out s3://requests
     spark-submit rollcall/__main__.py land --url jdbc:mysql://db:3306/tickets --user u --password p \\
         --tables checkoutparticipant,checkoutsession --partition-column id --lower 1 \\
-        --upper 90000000 --partitions 400 --out s3://landing
+        --upper 90000000 --partitions 400 --clustered --out s3://landing
 
 ``report`` and ``pending`` extract first, or read with ``--extract PATH`` what
 ``extract`` wrote, whole or one ``--batch`` of it.  ``report`` also writes the
@@ -43,7 +43,12 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("--lower", type=int, default=None)
     land.add_argument("--upper", type=int, default=None)
     land.add_argument("--partitions", type=int, default=None)
+    land.add_argument("--key-width", type=int, default=None,
+                      help="plan the splits from the database's counts per so many keys, instead of --lower and --upper")
+    land.add_argument("--above", type=int, default=None, help="with --key-width: land (append) only keys after this one")
     land.add_argument("--out", required=True)
+    land.add_argument("--clustered", action="store_true",
+                      help="sort tables of all events by the id that extractions restrict them by")
     land.add_argument("--month-partitioned", action="store_true",
                       help="partition purchase-dated tables by month of createdAt")
     helps = {
@@ -83,19 +88,27 @@ def _parser() -> argparse.ArgumentParser:
 
 def _land(args, spark):
     from rollcall.session import build_session
-    from rollcall.sources.readers import PURCHASE_DATED, jdbc_options, land_table, read_jdbc
+    from rollcall.sources.readers import (PURCHASE_DATED, RESTRICTED_BY, jdbc_options, land_table, read_jdbc,
+                                          read_jdbc_balanced)
     names = [t.strip() for t in args.tables.split(",") if t.strip()]
     if args.partition_column is None:
         from rollcall.sources.schemas import SPANNING
         if whole := [n for n in names if n in SPANNING]:
             raise SystemExit(f"{', '.join(whole)}: tables of all events need --partition-column, --lower, --upper, --partitions")
-    options = [jdbc_options(args.url, t, user=args.user, password=args.password, driver=args.driver,
-                            partition_column=args.partition_column, lower_bound=args.lower,
-                            upper_bound=args.upper, num_partitions=args.partitions) for t in names]
+    counted = args.key_width is not None
+    if counted and (args.partition_column is None or args.partitions is None or args.lower is not None or args.upper is not None):
+        raise SystemExit("--key-width needs --partition-column and --partitions, and no bounds")
+    if args.above is not None and not counted:
+        raise SystemExit("--above needs --key-width")
+    split = {} if counted else {"partition_column": args.partition_column, "lower_bound": args.lower,
+                                "upper_bound": args.upper, "num_partitions": args.partitions}
+    options = [jdbc_options(args.url, t, user=args.user, password=args.password, driver=args.driver, **split) for t in names]
     spark = spark or build_session()
     for name, opts in zip(names, options):
-        month_of = PURCHASE_DATED.get(name) if args.month_partitioned else None
-        land_table(read_jdbc(spark, name, opts), args.out, name, month_of=month_of)
+        rows = (read_jdbc_balanced(spark, name, opts, args.partition_column, args.partitions, args.key_width, args.above)
+                if counted else read_jdbc(spark, name, opts))
+        land_table(rows, args.out, name, month_of=PURCHASE_DATED.get(name) if args.month_partitioned else None,
+                   cluster_by=RESTRICTED_BY.get(name) if args.clustered else None, append=args.above is not None)
 
 
 def _editions(args, spark, tables):
@@ -111,25 +124,25 @@ def _editions(args, spark, tables):
 def _extract(args, spark, tables):
     from pyspark.sql import functions as F
 
-    from rollcall.operators.postal import normalise_postal_codes, profile_display, profile_postal_codes
+    from rollcall.operators.postal import normalise_postal_codes, observe_profile, profile_display
     from rollcall.plans.extract import edition_scope, extract_forms, extract_participants
-    from rollcall.session import materialize, run_concurrently
+    from rollcall.session import run_concurrently
     from rollcall.sources.sinks import write_extract
     scope = edition_scope(tables, args.edition)
 
     def forms_job():
         forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last,
                                                      args.max_rows, args.rows_per_batch, scope=scope))
-        forms = materialize(forms, "extract-forms")
-        write_extract(forms, f"{args.out}/forms", "edicao")
-        profile = profile_postal_codes(forms)      # of this edition's rows, whatever else lies in --out
+        forms, profile_of = observe_profile(forms)      # counted while the forms are written
+        write_extract(forms, f"{args.out}/forms", "edicao", edition=args.edition)
+        profile = profile_of()
         profile = profile.join(profile_display(profile), "label").withColumn("edicao", F.lit(args.edition))
-        write_extract(profile, f"{args.out}/forms_profile", "edicao")
+        write_extract(profile, f"{args.out}/forms_profile", "edicao", edition=args.edition)
 
     def people_job():
         people = extract_participants(tables, args.edition, args.first, args.last, args.max_rows,
                                       args.rows_per_batch, _as_of(args), scope=scope)
-        write_extract(people, f"{args.out}/participants", "edition")
+        write_extract(people, f"{args.out}/participants", "edition", edition=args.edition)
 
     run_concurrently(spark, forms_job, people_job)   # independent jobs
 
@@ -137,14 +150,13 @@ def _extract(args, spark, tables):
 def _pending(args, spark, tables):
     from rollcall.operators.lookup import pending_requests
     from rollcall.operators.postal import normalise_postal_codes
-    from rollcall.operators.sizing import key_set, restrict
-    from rollcall.operators.batching import select_batch
     from rollcall.plans.extract import extract_forms
+    from rollcall.plans.report import batch_forms
     from rollcall.sources.readers import read_extract
     if args.extract:
         people, forms = read_extract(spark, args.extract, args.edition)
         if args.batch is not None:
-            forms = restrict(forms, "participant_id", key_set(select_batch(people, args.batch), "item_id"))
+            forms = batch_forms(people, forms, args.batch)
     else:
         forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last, args.max_rows,
                                                      args.rows_per_batch))
@@ -161,11 +173,10 @@ def _report(args, spark, tables):
         report = build_report(tables, _responses(args, spark), args.edition, args.first, args.last, _as_of(args),
                               rows_per_batch=args.rows_per_batch, max_rows=args.max_rows)
     now = dt.datetime.now()
-    write_report(display_participants(report.report), args.out, now,
-                 edition_col=fv.PARTICIPANT_DISPLAY_NAMES["edition"], fmt=args.out_format)
+    write_report(display_participants(report.report), args.out, now, fmt=args.out_format, edition=args.edition, batch=args.batch)
     write_beside_report(report.resolved.counters.withColumnsRenamed(fv.COUNTER_DISPLAY_NAMES),
-                        f"{args.out}_counters", now, args.edition)
-    write_beside_report(report.resolved.unresolved, f"{args.out}_unresolved", now, args.edition)
+                        f"{args.out}_counters", now, args.edition, batch=args.batch)
+    write_beside_report(report.resolved.unresolved, f"{args.out}_unresolved", now, args.edition, batch=args.batch)
 
 
 def _as_of(args) -> dt.date:
@@ -185,7 +196,7 @@ def main(argv=None, spark=None) -> int:
     if args.command == "land":
         _land(args, spark)
         return 0
-    from rollcall.session import build_session, scale_conf
+    from rollcall.session import build_session, run_folder, scale_conf
     from rollcall.sources.readers import PURCHASE_DATED, read_tables
     from rollcall.sources.schemas import OPERATIONAL
     if getattr(args, "batch", None) is not None and not args.extract:
@@ -197,7 +208,8 @@ def main(argv=None, spark=None) -> int:
         names = [n for n in names if n != "participant_options"] + ["checkoutparticipant_array_vw"]
     tables = read_tables(spark, args.landing, names=names, fmt=args.format,
                          months=PURCHASE_DATED if args.month_partitioned else None)
-    COMMANDS[args.command](args, spark, tables)
+    with run_folder(spark):     # a run's intermediates go when it ends
+        COMMANDS[args.command](args, spark, tables)
     return 0
 
 

@@ -11,8 +11,8 @@ dealt out before they are expanded, so no task emits all copies of a
 hot key.  Joining the copies again would gather them; jobs therefore attach
 the number first (``attach_copies``) and repeat rows as their last step.
 
-Sides that do contribute columns are joined by ``left_matches``, whose inner
-join can be split on either side when a key is hot.
+Sides that do contribute columns are attached by ``attach_sides``: one exchange
+for all of them, and joins that can be split for the keys that are hot.
 """
 
 from __future__ import annotations
@@ -20,10 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.operators.sizing import broadcast_if_small
 from rollcall.session import materialize
 
 CHUNK_COPIES = 1_000
+#: Rows of one key and table that may be gathered into a list.
+HOT_SIDE_ROWS = 1_000
 _KEY, _COPIES, _REP, _CHUNK = "__rc_fan_key", "__rc_fan_copies", "__rc_fan_rep", "__rc_fan_chunk"
+_TAG, _HOT, _SIDE, _MATCHED = "__rc_fan_tag", "__rc_fan_hot", "__rc_fan_side", "__rc_fan_matched"
 
 
 def repeat_rows(df: DataFrame, copies: Column) -> DataFrame:
@@ -58,16 +62,67 @@ def _multiply(df: DataFrame, id_col: str, per_key: DataFrame) -> DataFrame:
 
 
 def left_matches(df: DataFrame, side: DataFrame, id_col: str, key: str) -> DataFrame:
-    """``df LEFT JOIN side ON key = id_col`` without ``key``, written once.
+    """``df LEFT JOIN side ON key = id_col`` without ``key``, of written tables.
 
     A left join can only be split on its left side, so a key with many rows in
     ``side`` would be one task.  The inner join can be split on both; the rows
     without a match come from an anti-join with the distinct keys.
     """
     matched = df.join(side, F.col(id_col) == F.col(key)).drop(key)
-    keys = side.select(F.col(key).alias(_KEY)).distinct()
-    alone = df.join(keys, F.col(id_col) == F.col(_KEY), "left_anti")
-    return materialize(matched.unionByName(alone, allowMissingColumns=True), "matches")
+    keys = side.select(F.col(key).alias(_MATCHED)).distinct()
+    alone = df.join(keys, F.col(id_col) == F.col(_MATCHED), "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
+def attach_sides(df: DataFrame, id_col: str, sides: list[tuple[DataFrame, str]], hot_rows: int | None = None) -> DataFrame:
+    """``df LEFT JOIN side ON key = id_col`` for every ``(side, key)``, without the keys; rows multiply as the joins do.
+
+    All sides meet ``df`` in one exchange: rows of all of them are written once
+    as a union tagged with the table they come from, grouped by key into one
+    list per table, and the lists are expanded.  So each input is read once,
+    however many left joins there are.  Keys with more than ``hot_rows`` rows of
+    one table never become lists: their rows are joined by ``left_matches``
+    from the written union, where either side of a join can be split.
+    """
+    hot_rows = HOT_SIDE_ROWS if hot_rows is None else hot_rows
+    tables = [(df, id_col, list(df.columns))] + [(side, key, [c for c in side.columns if c != key]) for side, key in sides]
+    names = [f"__rc_t{i}" for i in range(len(tables))]
+    payloads = [F.struct(*[F.col(c) for c in cols]) if cols else F.struct(F.lit(1).alias("__rc_any")) for _, _, cols in tables]
+    empty = [F.lit(None).cast(table.select(payload.alias("p")).schema["p"].dataType)
+             for (table, _, _), payload in zip(tables, payloads, strict=True)]
+    tagged = None
+    for i, (table, key, _) in enumerate(tables):
+        mine = table if i == 0 else table.filter(F.col(key).isNotNull())
+        rows = mine.select(F.col(key).alias(_KEY), F.lit(i).alias(_TAG),
+                           *[(payloads[j] if j == i else empty[j]).alias(n) for j, n in enumerate(names)])
+        tagged = rows if tagged is None else tagged.unionByName(rows)
+    tagged = materialize(tagged, "tagged-sides")
+    columns = [c for _, _, cols in tables for c in cols]
+
+    def expanded(lists: DataFrame) -> DataFrame:
+        out = lists.filter(F.size(names[0]) > 0)
+        for n in names:
+            out = out.withColumn(n, F.explode_outer(n))
+        return out.select(*[F.col(f"{n}.{c}").alias(c) for n, (_, _, cols) in zip(names, tables, strict=True) for c in cols])
+
+    known = tagged.filter(F.col(_KEY).isNotNull())
+    hot = materialize(known.groupBy(_KEY, _TAG).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
+                      .select(F.col(_KEY).alias(_HOT)).distinct(), "hot-keys")
+    crowded = not hot.isEmpty()
+    hot = broadcast_if_small(hot)
+    calm = known.join(hot, F.col(_KEY) == F.col(_HOT), "left_anti") if crowded else known
+    out = expanded(calm.groupBy(_KEY).agg(*[F.collect_list(n).alias(n) for n in names]))
+    # rows without a key match nothing
+    out = out.unionByName(tagged.filter(F.col(_KEY).isNull()).select(*[F.col(f"{names[0]}.{c}").alias(c) for c in tables[0][2]]),
+                          allowMissingColumns=True)
+    if crowded:
+        rows = known.join(hot, F.col(_KEY) == F.col(_HOT), "left_semi")
+        joined = rows.filter(F.col(_TAG) == 0).select(_KEY, *[F.col(f"{names[0]}.{c}").alias(c) for c in tables[0][2]])
+        for i, (_, _, cols) in enumerate(tables[1:], start=1):
+            side = rows.filter(F.col(_TAG) == i).select(F.col(_KEY).alias(_SIDE), *[F.col(f"{names[i]}.{c}").alias(c) for c in cols])
+            joined = materialize(left_matches(joined, side, _KEY, _SIDE), "hot-matches")
+        out = out.unionByName(joined.drop(_KEY), allowMissingColumns=True)
+    return out.select(*columns)
 
 
 def null_reason_copies(cancels: DataFrame, key: str = "participantId", reason: str = "reason") -> DataFrame:

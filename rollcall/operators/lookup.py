@@ -19,20 +19,22 @@ same decisions are joins:
   plain scan on both sides, so skew handling can split a hot code (such as the
   ``00000-000`` filler) on the row side, and AQE broadcasts small decisions;
 * counters are sums over codes of their form rows, which were counted when the
-  codes in use were; no row is joined for them.
+  codes in use were, observed while the decisions are written; no row is joined
+  and no job is run for them.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rollcall.fixed_values import ADDRESS_FIELDS, PROVIDER_URLS, PROVIDERS, URL_PLACEHOLDER
 from rollcall.functions.responses import address_fields, has_key, is_object, provider_accepts
 from rollcall.operators.sizing import broadcast_if_small
-from rollcall.session import materialize
+from rollcall.session import materialize, scratch_folder
 
 PROVIDER_ORDER = tuple(name for name, _, _ in PROVIDERS)
 
@@ -50,9 +52,33 @@ def latest_responses(responses: DataFrame) -> DataFrame:
                      .agg(F.max_by("body", F.struct("fetched_at", "body")).alias("body")))
 
 
-def _codes_in_use(forms: DataFrame, code_col: str) -> DataFrame:
-    """Distinct codes of the form rows and their ``n_rows``, written once (a partial aggregate collapses hot codes)."""
-    return materialize(forms.groupBy(F.col(code_col).alias("cep_requested")).agg(F.count("*").alias("n_rows")), "codes")
+def latest_answers(responses: DataFrame) -> DataFrame:
+    """The last fetched answer per (provider, code) as rows of the landing (ties broken by body text)."""
+    last = F.max(F.struct("fetched_at", "body")).alias("last")
+    return responses.groupBy("cep_requested", "provider").agg(last).select(
+        "provider", "cep_requested", F.col("last.body").alias("body"), F.col("last.fetched_at").alias("fetched_at"))
+
+
+def _bucketed(codes: DataFrame, buckets: int) -> tuple[DataFrame, str]:
+    """``codes`` written in buckets like those of an answer table, and the table's name."""
+    spark = codes.sparkSession
+    name = f"rollcall_codes_{uuid.uuid4().hex}"
+    (codes.repartition(buckets, "cep_requested").write.format("parquet").bucketBy(buckets, "cep_requested").sortBy("cep_requested")
+          .option("path", f"{scratch_folder(spark)}/{name}").saveAsTable(name))
+    return spark.table(name), name
+
+
+def _codes_in_use(forms: DataFrame, code_col: str, counted: str | None = None) -> DataFrame:
+    """Distinct codes of the form rows and their ``n_rows``, written once (a partial aggregate collapses hot codes).
+
+    With ``counted``, only rows where that column is true are counted.
+    """
+    return materialize(_count_codes(forms, code_col, counted), "codes")
+
+
+def _count_codes(forms: DataFrame, code_col: str, counted: str | None = None) -> DataFrame:
+    n_rows = F.count("*") if counted is None else F.count_if(F.col(counted))
+    return forms.groupBy(F.col(code_col).alias("cep_requested")).agg(n_rows.alias("n_rows"))
 
 
 def _rows_where(condition) -> "F.Column":
@@ -183,28 +209,44 @@ def pending_requests(forms: DataFrame, responses: DataFrame, providers=PROVIDER_
 
 def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER_ORDER,
                       code_col: str = "parsed_ceps", id_col: str = "participant_id",
-                      materialized: bool = False) -> Resolved:
+                      materialized: bool = False, counted: str | None = None, buckets: int | None = None) -> Resolved:
     """First-success fallback over ``providers`` for every form row.
 
-    The four results share one lineage; with ``materialized`` the row-level
-    result is written once to the shared checkpoint folder, so writing the
-    addresses and the counters does not run the lookup twice.
+    The per-code decisions are written once, and the counters are observed
+    during that write; with ``materialized`` the row-level result is written
+    once as well, so that addresses and unresolved rows do not join twice.
+
+    With ``counted`` (a boolean column of ``forms``), counters and unresolved
+    rows are of the rows where it is true.  ``buckets`` says that ``responses``
+    is a table of so many buckets by code (``streaming.latest``): the codes in
+    use are written in buckets alike, and neither side is shuffled.
     """
-    codes = _codes_in_use(forms, code_col)
+    spark = forms.sparkSession
+    if buckets is None:
+        codes, name = _codes_in_use(forms, code_col, counted), None
+    else:
+        codes, name = _bucketed(_count_codes(forms, code_col, counted), buckets)
     # written first: the row join then has plain shuffles on both sides, and a hot code's rows can be split
-    winners = materialize(code_winners(responses, codes, providers), "code-winners")
+    winners, counters = _observed_winners(code_winners(responses, codes, providers), providers)
+    if name is not None:
+        spark.sql(f"DROP TABLE {name}")
     rows = forms.join(winners.drop("n_rows"), F.col(code_col) == F.col("cep_requested"), "left").drop("cep_requested")
     if materialized:
         rows = materialize(rows, "resolved")
     addresses = rows.filter(F.col("winner_rank").isNotNull()).select(
         F.col(id_col).cast("string").alias("item_id"),
         *[F.col(f"fields.{f}").alias(f) for f in ADDRESS_FIELDS])
-    never = F.lit(len(providers) + 1)
-    rank = F.coalesce(F.col("winner_rank"), never)
-    counters = winners.agg(
-        _rows_where(F.col("winner_rank").isNotNull()).alias("ok"),
-        _rows_where(F.col("winner_rank").isNull()).alias("nok"),
-        *[_rows_where(rank > F.lit(i)).alias(f"{name}_errors")
-          for i, name in enumerate(providers, start=1)])
-    unresolved = rows.filter(F.col("winner_rank").isNull()).drop("winner_rank", "fields")
+    failed = rows.filter(F.col("winner_rank").isNull())
+    unresolved = (failed if counted is None else failed.filter(F.col(counted)).drop(counted)).drop("winner_rank", "fields")
     return Resolved(rows.drop("fields"), addresses, counters, unresolved)
+
+
+def _observed_winners(winners: DataFrame, providers) -> tuple[DataFrame, DataFrame]:
+    """``winners`` written, and the fallback's counters as observed while they were."""
+    rank = F.coalesce(F.col("winner_rank"), F.lit(len(providers) + 1))
+    sums = {"ok": F.col("winner_rank").isNotNull(), "nok": F.col("winner_rank").isNull(),
+            **{f"{name}_errors": rank > F.lit(i) for i, name in enumerate(providers, start=1)}}
+    seen = Observation()
+    written = materialize(winners.observe(seen, *[_rows_where(c).alias(n) for n, c in sums.items()]), "code-winners")
+    counters = winners.sparkSession.createDataFrame([tuple(seen.get[n] for n in sums)], ", ".join(f"{n} long" for n in sums))
+    return written, counters

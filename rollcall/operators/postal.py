@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rollcall.fixed_values import POSTAL_DIGITS, PROFILE_LABELS
@@ -20,6 +22,19 @@ def normalise_postal_codes(df: DataFrame, col: str = "cep", out: str = "parsed_c
               .filter(F.col("peculiar_ceps").isNull()))
 
 
+def _profile_counters(col: str) -> list:
+    length = F.length(stripped(col))
+    return [
+        F.count(F.lit(1)).alias("total"),
+        F.coalesce(F.sum(underscore_count(col)), F.lit(0)).cast("long").alias("with_underscore"),
+        F.count_if(~raw_text(col).contains("-")).alias("without_hyphen"),
+        F.count_if(length == POSTAL_DIGITS).alias("ok"),
+        F.count_if(length < POSTAL_DIGITS).alias("too_short"),
+        F.count_if(length > POSTAL_DIGITS).alias("too_long"),
+        F.count_if(F.lit(False)).alias("peculiar"),
+    ]
+
+
 def profile_postal_codes(df: DataFrame, col: str = "cep") -> DataFrame:
     """One row per metric: ``metric``, ``label``, ``n`` and ``share`` of all rows.
 
@@ -28,18 +43,22 @@ def profile_postal_codes(df: DataFrame, col: str = "cep") -> DataFrame:
     hyphen, and cleaned lengths equal to, below and above 8.  ``share`` is null
     on empty input.
     """
-    length = F.length(stripped(col))
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.coalesce(F.sum(underscore_count(col)), F.lit(0)).cast("long").alias("with_underscore"),
-        F.count_if(~raw_text(col).contains("-")).alias("without_hyphen"),
-        F.count_if(length == POSTAL_DIGITS).alias("ok"),
-        F.count_if(length < POSTAL_DIGITS).alias("too_short"),
-        F.count_if(length > POSTAL_DIGITS).alias("too_long"),
-        F.lit(0).cast("long").alias("peculiar"),
-    ).withColumn("__rc_total", F.col("total"))
+    return _profile_rows(df.agg(*_profile_counters(col)))
+
+
+def observe_profile(df: DataFrame, col: str = "cep") -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``df``, and a function giving its ``profile_postal_codes`` once it has been written: counted during that write."""
+    seen = Observation()
+
+    def profile() -> DataFrame:
+        counts = {f: int(seen.get[f]) for f in PROFILE_LABELS}
+        return _profile_rows(df.sparkSession.createDataFrame([tuple(counts.values())], ", ".join(f"{f} long" for f in counts)))
+    return df.observe(seen, *_profile_counters(col)), profile
+
+
+def _profile_rows(counts: DataFrame) -> DataFrame:
     metrics = list(PROFILE_LABELS)
-    long_form = counts.unpivot(["__rc_total"], metrics, "metric", "n")
+    long_form = counts.withColumn("__rc_total", F.col("total")).unpivot(["__rc_total"], metrics, "metric", "n")
     labels = F.create_map(*[F.lit(x) for kv in PROFILE_LABELS.items() for x in kv])
     return long_form.select(
         "metric", labels[F.col("metric")].alias("label"), F.col("n").cast("long").alias("n"),

@@ -9,6 +9,8 @@ above it makes the restricted table shuffle on its key once.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,22 +33,38 @@ ID_SET_ROWS = 2_000_000
 _IDS = "__rc_ids"
 
 
-def key_set(df: DataFrame, col: str, max_rows: int = ID_SET_ROWS) -> DataFrame:
-    """Distinct non-null values of ``col`` as column ``__rc_ids``, broadcast when the bound holds.
+class IdSet(NamedTuple):
+    """Distinct ids, and the range they lie in (``None`` when there are none)."""
+    ids: DataFrame
+    low: object
+    high: object
+
+
+def key_set(df: DataFrame, col: str, max_rows: int = ID_SET_ROWS) -> IdSet:
+    """Distinct non-null values of ``col`` as column ``__rc_ids``, broadcast when the bound holds, with their range.
 
-    The set is written once to the shared checkpoint folder: the size check
-    and every table it filters read that small file instead of each
-    re-aggregating ``df``.
+    The set is written once to the shared checkpoint folder: the one look that
+    counts it and finds its range, and every table it filters, read that small
+    file instead of each re-aggregating ``df``.
     """
     ids = materialize(df.select(F.col(col).alias(_IDS)).filter(F.col(_IDS).isNotNull()).distinct(), "ids")
-    return broadcast_if_small(ids, max_rows)
+    n, low, high = ids.agg(F.count("*"), F.min(_IDS), F.max(_IDS)).first()
+    return IdSet(F.broadcast(ids) if n <= max_rows else ids, low, high)
 
 
-def key_sets(df: DataFrame, *cols: str, max_rows: int = ID_SET_ROWS) -> list[DataFrame]:
+def key_sets(df: DataFrame, *cols: str, max_rows: int = ID_SET_ROWS) -> list[IdSet]:
     """``key_set`` of several columns of ``df``, computed as concurrent jobs."""
     return run_concurrently(df.sparkSession, *[lambda c=c: key_set(df, c, max_rows) for c in cols])
 
 
-def restrict(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose ``col`` is in ``ids`` (a semi-join: a map-side filter when ids are broadcast)."""
-    return df.join(ids, F.col(col) == F.col(_IDS), "left_semi")
+def restrict(df: DataFrame, col: str, ids: IdSet) -> DataFrame:
+    """Rows of ``df`` whose ``col`` is in ``ids``.
+
+    A semi-join (a map-side filter when the ids are broadcast, a shuffle by
+    ``col`` beyond the bound), behind a comparison with the ids' range that
+    reaches the scan: of a table clustered by ``col`` (``land_table``) it reads
+    only the row groups that overlap the range, whatever the number of ids.
+    """
+    if ids.low is None:
+        return df.filter(F.lit(False))
+    return df.filter(F.col(col).between(F.lit(ids.low), F.lit(ids.high))).join(ids.ids, F.col(col) == F.col(_IDS), "left_semi")

@@ -9,6 +9,8 @@ directly.  Nothing here caps, samples or filters rows to make a check cheap.
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +32,9 @@ from rollcall.operators.trades import correlate_trades
 from rollcall.plans.extract import checkout_tickets, extract_forms, extract_participants
 from rollcall.plans.testdata_model import (landed_responses, operational_tables, postal_answer,
                                             read_driver_table)
-from rollcall.session import materialize
+from rollcall.session import materialize, scratch_folder
 from rollcall.sources.sinks import edition_label
+from rollcall.streaming.latest import AnswerTable, open_answers, upsert_answers
 
 # Parameters of the bound queries (kept equal to the oracle SQL).
 EDITION = "ASIA"
@@ -39,7 +42,7 @@ EXCLUDED_EVENTS = (7,)
 FIRST, LAST = "1996-01-01", "1999-12-31"
 AS_OF = dt.date(2025, 6, 30)
 ROWS_PER_BATCH = 2500
-EXTRACT_BATCH = 500
+ANSWER_BUCKETS = 8
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -314,13 +317,33 @@ def q_participant_report(spark, sf_dir):
 
 
 def q_report_by_batches(spark, sf_dir):
-    """The report of the first two batches of a written extract, one batch at a time."""
+    """The report of every batch of a written extract, one batch at a time: together the whole report."""
     from rollcall.plans.report import extract_edition, report_from_extract
-    people, forms = extract_edition(_model(spark, sf_dir), EDITION, FIRST, LAST, AS_OF, rows_per_batch=EXTRACT_BATCH,
+    from rollcall.sources.readers import read_extract
+    from rollcall.sources.sinks import write_extract
+    people, forms = extract_edition(_model(spark, sf_dir), EDITION, FIRST, LAST, AS_OF, rows_per_batch=ROWS_PER_BATCH,
                                     excluded_events=EXCLUDED_EVENTS)
-    people, forms = materialize(people, "extract-people"), materialize(forms, "extract-forms")
-    first, second = (report_from_extract(people, forms, landed_responses(forms), batch).report for batch in (1, 2))
-    return first.unionByName(second)
+    base = f"{scratch_folder(spark)}/rollcall-extract-{uuid.uuid4().hex}"
+    write_extract(people, f"{base}/participants", "edition", edition=EDITION)
+    write_extract(forms, f"{base}/forms", "edicao", edition=EDITION)
+    people, forms = read_extract(spark, base, EDITION)
+    landed = materialize(landed_responses(forms), "responses")
+    last = people.agg(F.max("batch_number")).first()[0] or 1
+    reports = [report_from_extract(people, forms, landed, batch).report for batch in range(1, last + 1)]
+    return functools.reduce(DataFrame.unionByName, reports)
+
+
+def q_latest_answers(spark, sf_dir):
+    """``address_fallback`` from a bucketed answer table that two overlapping landings were added to."""
+    forms = _normalised(spark, sf_dir)
+    landed = landed_responses(forms)
+    name = f"rollcall_answers_{uuid.uuid4().hex}"
+    table = open_answers(spark, AnswerTable(name, f"{scratch_folder(spark)}/{name}", ANSWER_BUCKETS))
+    upsert_answers(landed.filter(F.col("provider") != PROVIDER_ORDER[0]), table)
+    upsert_answers(landed, table)
+    found = resolve_addresses(forms, table.read(spark), buckets=table.buckets).addresses
+    spark.sql(f"DROP TABLE {name}")      # the files stay; the result reads the written decisions
+    return found
 
 
 QUERIES = {
@@ -351,6 +374,7 @@ QUERIES = {
     **{f"provider_parse_{name}": _provider(name) for name in PROVIDER_ORDER},
     "provider_counters": q_provider_counters,
     "address_fallback": q_address_fallback,
+    "latest_answers": q_latest_answers,
     "fallback_counters": q_fallback_counters,
     "unresolved_codes": q_unresolved_codes,
     "pending_requests": q_pending_requests,

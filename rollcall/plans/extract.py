@@ -27,11 +27,11 @@ from rollcall.functions.dates import local_date, purchased_between
 from rollcall.functions.labels import age_band, age_years, full_name, payment_label, refund_mark
 from rollcall.operators.batching import number_batches
 from rollcall.operators.collation import join_collated
-from rollcall.operators.fanout import (attach_copies, combined_copies, left_matches, match_copies, null_reason_copies,
+from rollcall.operators.fanout import (attach_copies, attach_sides, combined_copies, match_copies, null_reason_copies,
                                        repeat_rows)
 from rollcall.operators.options import option_answer_groups, unnest_options
 from rollcall.operators.sizing import broadcast_if_small, key_set, key_sets, restrict
-from rollcall.operators.trades import correlated, trade_sides
+from rollcall.operators.trades import OLD, correlated, trade_roles, trade_sides
 from rollcall.session import materialize, run_concurrently
 
 FORMS_COLUMNS = ("batch_number", "participant_id", "data_compra", "edicao", "evento", "field_id",
@@ -240,19 +240,19 @@ def extract_participants(tables: dict[str, DataFrame], edition: str,
     races = _of_edition(tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket"),
                                                                F.col("nameParsed").alias("race")),
                         dim, "__ticket")
-    trades = tables["tradecheckoutsession"]
     cancels = restrict(tables["checkoutorderticketpartialcancel"], "participantId", ids)
-    trades_fanout = () if drop_unused_fanout else ((restrict(trades, "participantId", ids), "participantId"),)
 
     def paid_purchases():
-        block = left_matches(left_matches(sessions, payments, "__session", "__pay_session"),
-                             summary, "__session", "__sum_session")
+        block = materialize(attach_sides(sessions, "__session", [(payments, "__pay_session"), (summary, "__sum_session")]), "session-block")
         return (p.join(block, "__session").withColumn("order_id", F.col("__session"))
                  .join(broadcast_if_small(types), "__type", "left").join(broadcast_if_small(races), "__ticket", "left"))
 
     def choices():
         # Narrow rows, one or more per participant: chosen options, trade partners, number of repeats.
-        options, (as_old, as_new) = run_concurrently(
+        def correlations():
+            roles = trade_roles(tables["tradecheckoutsession"], ids)
+            return roles, trade_sides(roles, tables["checkoutparticipant"])
+        options, (roles, (as_old, as_new)) = run_concurrently(
             dim.sparkSession,
             lambda: option_answer_groups(
                 _option_view(tables, ids), tables["eventticketstockitems"],
@@ -260,14 +260,12 @@ def extract_participants(tables: dict[str, DataFrame], edition: str,
                 {"shirts": (fv.SHIRT_STOCK_NAMES, {"nameParsed": "shirt"}),
                  "kits": (fv.KIT_PICKUP_STOCK_NAMES, {"day": "pickup_day", "hour": "pickup_hour"})},
                 "__opt_pid"),
-            lambda: trade_sides(trades, tables["checkoutparticipant"], fv.PAID_STATUS, ids))
+            correlations)
         rows = p.filter(F.col("item_id").isNotNull()).select(F.col("item_id").alias("__id")).distinct()
-        rows = attach_copies(rows, "__id", combined_copies(cancels, trades_fanout), "__copies").filter(F.col("__copies") > 0)
-        rows = materialize(rows, "kept-ids")
-        for side, key in ((options["shirts"], "__opt_pid"), (options["kits"], "__opt_pid"),
-                          (as_old, "__rc_old_key"), (as_new, "__rc_new_key")):
-            rows = left_matches(rows, side, "__id", key)
-        return rows
+        unused = () if drop_unused_fanout else ((roles.filter(F.col("__rc_role") == OLD), "__rc_key"),)
+        rows = attach_copies(rows, "__id", combined_copies(cancels, unused), "__copies").filter(F.col("__copies") > 0)
+        return materialize(attach_sides(rows, "__id", [(options["shirts"], "__opt_pid"), (options["kits"], "__opt_pid"),
+                                                       (as_old, "__rc_old_key"), (as_new, "__rc_new_key")]), "choices")
 
     p, rows = run_concurrently(dim.sparkSession, lambda: materialize(paid_purchases(), "purchases"), choices)
     # every kept id has its rows in the narrow table; a participant without an id can have no choices

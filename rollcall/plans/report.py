@@ -5,15 +5,15 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rollcall import fixed_values as fv
 from rollcall.operators.lookup import PROVIDER_ORDER, Resolved, resolve_addresses
 from rollcall.operators.batching import select_batch
 from rollcall.operators.postal import normalise_postal_codes
 from rollcall.operators.report import join_addresses
-from rollcall.operators.sizing import key_set, restrict
 from rollcall.plans.extract import edition_scope, extract_forms, extract_participants
-from rollcall.session import run_concurrently
+from rollcall.session import materialize, run_concurrently
 
 
 class Report(NamedTuple):
@@ -40,16 +40,37 @@ def extract_edition(tables: dict[str, DataFrame], edition: str, first, last, as_
     return people, normalise_postal_codes(answers)
 
 
-def report_from_extract(participants: DataFrame, forms: DataFrame, responses: DataFrame, batch: int | None = None,
+def batch_forms(participants: DataFrame, forms: DataFrame, batch: int) -> DataFrame:
+    """The form rows that one batch of participants needs, and ``__rc_owned``: whether the batch counts them.
+
+    A batch needs the rows of its participants.  Each row is counted by one
+    batch: that of its participant's first row, or batch 1 when the participant
+    is in none (another purchase date, an excluded event).  So a participant
+    whose rows straddle two batches is reported in both and counted once.
+    """
+    first = materialize(participants.groupBy(F.col("item_id").alias("__rc_person"))
+                        .agg(F.min("batch_number").alias("__rc_first"), F.max("batch_number").alias("__rc_last")), "batches-of-people")
+    mine = forms.join(first.filter((F.col("__rc_first") <= batch) & (F.col("__rc_last") >= batch)),
+                      F.col("participant_id") == F.col("__rc_person")) \
+        .withColumn("__rc_owned", F.col("__rc_first") == batch)
+    mine = mine.select(*forms.columns, "__rc_owned")
+    if batch == 1:
+        nobody = forms.join(first, F.col("participant_id") == F.col("__rc_person"), "left_anti")
+        mine = mine.unionByName(nobody.withColumn("__rc_owned", F.lit(True)))
+    return mine
+
+
+def report_from_extract(participants: DataFrame, forms: DataFrame, responses, batch: int | None = None,
                         providers=PROVIDER_ORDER, materialize_lookup: bool = True) -> Report:
     """The report of an extract, or of one batch of its participants and their form rows.
 
-    The reports of all batches add up to that of the whole extract.
+    Reports, counters and unresolved rows of all batches add up to those of the whole extract (``batch_forms``).
     """
+    counted = None
     if batch is not None:
+        forms, counted = batch_forms(participants, forms, batch), "__rc_owned"
         participants = select_batch(participants, batch)
-        forms = restrict(forms, "participant_id", key_set(participants, "item_id"))
-    resolved = resolve_addresses(forms, responses, providers, materialized=materialize_lookup)
+    resolved = resolve_addresses(forms, responses, providers, materialized=materialize_lookup, counted=counted)
     return Report(participants, forms, resolved, join_addresses(participants, resolved.addresses))
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import threading
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 from pyspark.util import inheritable_thread_target
@@ -111,15 +113,45 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return folder
 
 
+_RUNS: list[str] = []      # folders of the runs that are open, the innermost last
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """Where intermediates go: the folder of the open run, else the checkpoint folder."""
+    return _RUNS[-1] if _RUNS else ensure_checkpoint_dir(spark).rstrip("/")
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder under the checkpoint folder for the intermediates of one run, removed when the run ends.
+
+    What the run returns must be written before that.
+    """
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rollcall-run-{uuid.uuid4().hex}"
+    _RUNS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUNS.remove(folder)
+        remove_folder(spark, folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder through Spark's file system layer (a Connect session leaves it to the folder's expiry)."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
 
     Cuts the lineage: later actions and retried tasks read the files instead
     of recomputing (or re-deciding) what produced them.  The folder is the
-    one the cluster names in ``spark.checkpoint.dir``.
+    one the cluster names in ``spark.checkpoint.dir`` (or that of the open run in it).
     """
-    import uuid
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rollcall-{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/rollcall-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

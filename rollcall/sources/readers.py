@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollcall.sources.commits import read_parts
 from rollcall.sources.schemas import ALL, CLEANED_FORMS, OPERATIONAL, PARTICIPANTS
 
 
@@ -44,13 +45,11 @@ def read_tables(spark: SparkSession, base: str, names=None, fmt: str = "parquet"
 
 
 def read_extract(spark: SparkSession, base: str, edition: str) -> tuple[DataFrame, DataFrame]:
-    """Participants and forms of one edition, as ``extract`` wrote them under ``base``."""
-    base, label = base.rstrip("/"), edition.replace(" ", "_")
+    """Participants and forms of one edition, as ``extract`` wrote them last under ``base``."""
+    base, part = base.rstrip("/"), {"edition_label": edition.replace(" ", "_")}
 
     def one(name: str, schema: T.StructType, col: str) -> DataFrame:
-        stored = T.StructType([*schema.fields, T.StructField("edition_label", T.StringType())])
-        rows = spark.read.schema(stored).parquet(f"{base}/{name}")
-        return rows.filter((F.col("edition_label") == label) & (F.col(col) == edition)).drop("edition_label")
+        return read_parts(spark, f"{base}/{name}", schema, part).filter(F.col(col) == edition)
     return one("participants", PARTICIPANTS, "edition"), one("forms", CLEANED_FORMS, "edicao")
 
 
@@ -85,9 +84,58 @@ def jdbc_options(url: str, table: str, *, user: str | None = None, password: str
 
 def read_jdbc(spark: SparkSession, name: str, options: dict[str, str]) -> DataFrame:
     """Scan one operational table over JDBC and conform it to the declared schema."""
-    raw = spark.read.format("jdbc").options(**options).load()
-    schema = ALL[name]
-    return raw.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return _conformed(spark.read.format("jdbc").options(**options).load(), name)
+
+
+def _conformed(raw: DataFrame, name: str) -> DataFrame:
+    return raw.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in ALL[name].fields])
+
+
+def histogram_query(table: str, column: str, width: int, above: int | None = None) -> str:
+    """SQL for the database: rows per ``width`` consecutive values of an integer key, of keys after ``above``."""
+    where = f" WHERE {column} > {int(above)}" if above is not None else ""
+    return (f"(SELECT FLOOR({column} / {int(width)}) * {int(width)} AS low, COUNT(*) AS n FROM {table}{where} "
+            f"GROUP BY FLOOR({column} / {int(width)}) * {int(width)}) key_histogram")
+
+
+def split_predicates(histogram: list[tuple[int | None, int]], column: str, num_partitions: int,
+                     above: int | None = None) -> list[str]:
+    """One condition per scan task, of about equally many rows each, from ``(low, rows)`` of a key histogram.
+
+    The conditions part all keys, also those that came after the histogram was
+    taken and nulls; with ``above`` (the watermark of an increment), the keys
+    after it.  Ranges end where the histogram's do, so a task holds at most the
+    rows of an equal share and of one of its ranges.
+    """
+    if num_partitions <= 0:
+        raise ValueError("need num_partitions > 0")
+    known = sorted((int(low), int(n)) for low, n in histogram if low is not None and n > 0)
+    share, bounds, before = sum(n for _, n in known) / num_partitions, [], 0
+    for low, n in known:
+        if before >= (len(bounds) + 1) * share:
+            bounds.append(low)
+        before += n
+    floor = [f"{column} > {int(above)}"] if above is not None else []
+    if not bounds:
+        return [" AND ".join(floor) or "1 = 1"]
+    first = " AND ".join([*floor, f"{column} < {bounds[0]}"])
+    return [first if floor else f"({first} OR {column} IS NULL)",
+            *[" AND ".join([*floor, f"{column} >= {a}", f"{column} < {b}"]) for a, b in zip(bounds, bounds[1:], strict=False)],
+            " AND ".join([*floor, f"{column} >= {bounds[-1]}"])]
+
+
+def read_jdbc_balanced(spark: SparkSession, name: str, options: dict[str, str], column: str, num_partitions: int,
+                       width: int, above: int | None = None) -> DataFrame:
+    """Scan a table over JDBC in parts of equally many rows, as the database counts them, instead of equal key ranges.
+
+    The histogram has one row per ``width`` keys; choose it so that those are some thousands.
+    """
+    base = {k: v for k, v in options.items() if k not in ("dbtable", "partitionColumn", "lowerBound", "upperBound", "numPartitions")}
+    asked = spark.read.format("jdbc").options(**base, dbtable=histogram_query(options["dbtable"], column, width, above)).load()
+    predicates = split_predicates([tuple(r) for r in asked.select("low", "n").collect()], column, num_partitions, above)
+    raw = spark.read.jdbc(base["url"], options["dbtable"], predicates=predicates,
+                          properties={k: v for k, v in base.items() if k != "url"})
+    return _conformed(raw, name)
 
 
 def month_column(col: str) -> str:
@@ -95,18 +143,31 @@ def month_column(col: str) -> str:
     return f"{col}_month"
 
 
-def land_table(df: DataFrame, base: str, name: str, partition_by=(), month_of: str | None = None) -> str:
+#: The column by which extractions restrict a table of all events: landed clustered by it.
+RESTRICTED_BY = {"checkoutparticipant": "checkoutEventTicketBatchPriceId", "checkoutsession": "id", "checkoutpayment": "sessionId",
+                 "checkoutsummary": "sessionId", "checkoutorderticketpartialcancel": "participantId",
+                 "participant_options": "id", "formfieldanswer": "checkoutParticipantId", "checkouteventticketbatchprice": "eventTicketBatchPriceId"}
+
+
+def land_table(df: DataFrame, base: str, name: str, partition_by=(), month_of: str | None = None,
+               cluster_by: str | None = None, append: bool = False) -> str:
     """Write a scanned table as Parquet so later runs read it column-pruned.
 
     ``month_of`` names a timestamp column; the table is then partitioned by its
     UTC month (``<col>_month``, ``yyyy-MM``), and ``purchased_between`` on that
     column reads only the months of its range (static partition pruning).
+    ``cluster_by`` sorts the rows by a column (by range over the files and inside
+    each), so that ``restrict`` on it reads only the row groups in its ids'
+    range.  ``append`` adds an increment.
     """
     path = f"{base.rstrip('/')}/{name}"
     if month_of:
         df = df.withColumn(month_column(month_of), F.date_format(F.col(month_of), "yyyy-MM"))
         partition_by = (*partition_by, month_column(month_of))
-    writer = df.write.mode("overwrite")
+    if cluster_by:
+        keys = [*partition_by, cluster_by]
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    writer = df.write.mode("append" if append else "overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.fixed_values import PARTICIPANT_DISPLAY_NAMES, REPORT_STAMP
+from rollcall.sources.commits import commit_part
 
 
 def label_text(col) -> "F.Column":
@@ -24,17 +25,23 @@ def edition_label(df: DataFrame, col: str = "edition") -> DataFrame:
     return df.agg(label_text(F.min(col)).alias("edition_label"))
 
 
-def write_extract(df: DataFrame, path: str, edition_col: str, cluster_by: str = "batch_number") -> str:
-    """Write an extract partitioned by its edition label.
+def write_extract(df: DataFrame, path: str, edition_col: str, cluster_by: str = "batch_number",
+                  edition: str | None = None) -> str:
+    """Write an extract by its edition label.
 
-    Dynamic overwrite replaces only the editions present in ``df``, so one
-    edition can be re-extracted without touching the others.  An empty
-    extract writes no partition.  Rows are clustered by ``cluster_by`` inside
+    With ``edition``, ``df`` is what that edition now has, also when that is
+    nothing: it replaces the edition's part of the extract (``commit_part``).
+    Without, dynamic overwrite replaces the editions present in ``df``.  Either
+    way other editions stay.  Rows are clustered by ``cluster_by`` inside
     each file, so reading one batch back (``batch_number = n``) skips the
     row groups of the others through their Parquet statistics.
     """
+    clustered = [cluster_by] if cluster_by in df.columns else []
+    if edition is not None:
+        rows = df.sortWithinPartitions(*clustered) if clustered else df
+        return commit_part(rows, path, {"edition_label": _label(edition)})
     labelled = df.withColumn("edition_label", label_text(edition_col))
-    if cluster_by in df.columns:
+    if clustered:
         labelled = labelled.sortWithinPartitions("edition_label", cluster_by)
     (labelled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("edition_label").parquet(path))
@@ -48,27 +55,20 @@ def display_participants(df: DataFrame, extra: dict[str, str] | None = None) ->
 
 
 def write_report(df: DataFrame, path: str, run_ts: dt.datetime, edition_col: str = "edition",
-                 fmt: str = "parquet") -> str:
+                 fmt: str = "parquet", edition: str | None = None, batch: int | None = None) -> str:
     """Write the report under ``report_label=<edition label>/run_ts=<YYYYMMDD_HHMM>``.
 
-    The label is computed per row (blanks as ``_``): for a one-edition report,
-    which is what the extraction yields, it equals ``edition_label``, and it
-    needs no pass over the report before the write.  Rows of several
+    With ``edition`` the report is one part, ``.../batch=<number, or all>``, which
+    replaces exactly the same part of an earlier write: batches reported within
+    one minute lie beside each other, and an empty report is a part without rows.
+    Without, the label is computed per row (blanks as ``_``) and rows of several
     editions land in one folder each.  ``fmt="csv"`` writes CSV with a header
     line (for spreadsheet users) instead of Parquet.  Returns the base path.
     """
-    label = F.coalesce(label_text(edition_col), F.lit("_"))
-    return _write_stamped(df.withColumn("report_label", label), path, run_ts, fmt)
-
-
-def write_beside_report(df: DataFrame, path: str, run_ts: dt.datetime, edition: str, fmt: str = "parquet") -> str:
-    """Write what goes with one edition's report (counters, failed codes) under the same label and time."""
-    return _write_stamped(df.withColumn("report_label", label_text(F.lit(edition))), path, run_ts, fmt)
-
-
-def _write_stamped(df: DataFrame, path: str, run_ts: dt.datetime, fmt: str) -> str:
+    if edition is not None:
+        return write_beside_report(df, path, run_ts, edition, fmt, batch)
     stamp = run_ts.strftime(REPORT_STAMP)
-    writer = (df
+    writer = (df.withColumn("report_label", F.coalesce(label_text(edition_col), F.lit("_")))
                 .withColumn("run_ts", F.lit(stamp))
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("report_label", "run_ts").format(fmt))
@@ -78,5 +78,16 @@ def _write_stamped(df: DataFrame, path: str, run_ts: dt.datetime, fmt: str) -> s
     return path
 
 
+def write_beside_report(df: DataFrame, path: str, run_ts: dt.datetime, edition: str, fmt: str = "parquet",
+                        batch: int | None = None) -> str:
+    """Write what goes with one edition's report (counters, failed codes) under the same label, time and batch."""
+    part = {"report_label": _label(edition), "run_ts": run_ts.strftime(REPORT_STAMP), "batch": "all" if batch is None else batch}
+    return commit_part(df, path, part, fmt)
+
+
+def _label(edition: str) -> str:
+    return edition.replace(" ", "_")
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)

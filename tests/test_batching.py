@@ -45,21 +45,39 @@ def test_descending_order_and_empty_input(spark):
     assert number_batches(empty, ["id"], 2).count() == 0
 
 
-def test_hot_key_is_spread_over_ranges(spark, tmp_path):
-    # a third of the rows share one key: the sort still uses several ranges
-    df = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
-    # at this size AQE would rightly merge every range into one partition
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        numbered = number_rows(df, ["k"], "rn", workdir=str(tmp_path))
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert numbered.select(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first() == (1, 30000, 30000)
-    hot = numbered.filter(F.col("k") == 7).agg(F.min("rn"), F.max("rn"), F.count("*")).first()
-    assert hot[1] - hot[0] + 1 == hot[2] == 10001  # the hot key's rows are consecutive
-    landed = spark.read.parquet(str(next(tmp_path.glob("rollcall-rows-*")) / "sorted"))
-    files = (landed.filter(F.col("k") == 7).select(F.input_file_name().alias("f")).distinct().count())
-    assert files > 1                                # and were sorted by more than one task
+def test_hot_key_is_numbered_in_pieces(spark, tmp_path, monkeypatch):
+    # a third of the rows share one key: no task numbers them all
+    import rollcall.operators.batching as batching
+    monkeypatch.setattr(batching, "HOT_ROWS", 500)
+    df = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 100 == 1, F.lit(None)).otherwise(F.col("id"))
+                                      .alias("k"), (F.col("id") % 50).alias("v"))
+    numbered = number_rows(df, ["k", "v"], "rn", workdir=str(tmp_path))
+    rows = numbered.collect()
+    first = lambda x: (x is not None, x or 0)   # noqa: E731  nulls first
+    assert [(r.k, r.v) for r in sorted(rows, key=lambda r: r.rn)] == sorted(((r.k, r.v) for r in rows), key=lambda r: (first(r[0]), first(r[1])))
+    assert sorted(r.rn for r in rows) == list(range(1, 30001))
+    # the widest group of the window, from the written groups
+    staged = spark.read.parquet(str(next(tmp_path.glob("rollcall-rows-*")) / "staged"))
+    hot = staged.groupBy("k").count().filter("count > 500").select(F.col("k").alias("__rc_id"), F.col("count").alias("__rc_n"))
+    rest = F.struct(F.col("v").alias("k0"), F.col("__rc_tie").alias("tie"))
+    pieces = batching._with_pieces(staged, batching._splitters(staged, hot, "k", rest), "k", rest)
+    assert pieces.filter("k = 7").groupBy("__rc_group").count().agg(F.max("count")).first()[0] < 2000
+    # only the rows up to the limit reach the sort
+    capped = number_rows(df, ["k", "v"], "rn", workdir=str(tmp_path), max_rows=700)
+    assert sorted(r.rn for r in capped.collect()) == list(range(1, 701))
+
+
+def test_one_full_width_write_and_a_pushed_limit(spark, tmp_path):
+    path = str(tmp_path / "scan")
+    spark.range(0, 5000).select((F.col("id") % 997).alias("k"), F.col("id").alias("v"), F.lit("x" * 50).alias("wide")).write.parquet(path)
+    out = number_rows(spark.read.parquet(path), ["k", "v"], "rn", workdir=str(tmp_path / "work"), max_rows=60, stage_input=False)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(k,9)" in plan              # 60 rows of 6 a key
+    assert out.count() == 60
+    assert not list(tmp_path.glob("work/rollcall-rows-*"))   # no full-width write at all for a plain scan
+    staged = number_rows(spark.read.parquet(path), ["k", "v"], "rn", workdir=str(tmp_path / "work"))
+    assert [p.name for p in tmp_path.glob("work/rollcall-rows-*/*")] == ["staged"]
+    assert staged.count() == 5000
 
 
 @settings(max_examples=10, deadline=None)

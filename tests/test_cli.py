@@ -38,9 +38,14 @@ def test_cli_extract_and_report(spark, tables, tmp_path):
     assert len(batches) > 1
     for b in batches:
         assert main(["report", *common, *extracted, "--batch", str(b), "--out", str(tmp_path / f"b{b}")], spark) == 0
-    columns = [c for c in report.columns if c != "run_ts"]
+    columns = [c for c in report.columns if c not in ("run_ts", "batch")]
     rows = lambda *paths: sorted(repr(r) for p in paths for r in spark.read.parquet(str(tmp_path / p)).select(*[f"`{c}`" for c in columns]).collect())
     assert rows("r") == rows("whole") == rows(*[f"b{b}" for b in batches])
+    # counters and failed rows of the batches add up as well
+    sums = lambda *paths: [sum(spark.read.parquet(str(tmp_path / f"{p}_counters")).first()[c] for p in paths) for c in counters if c not in ("report_label", "run_ts", "batch")]
+    assert sums("whole") == sums(*[f"b{b}" for b in batches])
+    failed = lambda *paths: sorted(r.participant_id for p in paths for r in spark.read.parquet(str(tmp_path / f"{p}_unresolved")).collect())
+    assert failed("whole") == failed(*[f"b{b}" for b in batches]) != []
     assert main(["pending", *common, *extracted, "--out", str(tmp_path / "p")], spark) == 0
     assert spark.read.parquet(str(tmp_path / "p")).count() == 2
 

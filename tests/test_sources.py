@@ -146,3 +146,58 @@ def test_report_as_csv(spark, tmp_path):
     out = write_report(df, str(tmp_path / "csv"), dt.datetime(2025, 6, 30, 14, 5), fmt="csv")
     back = spark.read.option("header", "true").csv(f"{out}/report_label=10_Milhas_RJ/run_ts=20250630_1405")
     assert [tuple(r) for r in back.collect()] == [("10 Milhas RJ", "1", "São Paulo")]
+
+
+@pytest.mark.parametrize("above", [None, 500])
+def test_split_predicates_balance_skewed_keys(above):
+    import duckdb
+
+    from rollcall.sources.readers import histogram_query, split_predicates
+    con = duckdb.connect()
+    # dense old keys, a gap, and a burst of new ones; some without key
+    con.execute("CREATE TABLE t AS SELECT CASE WHEN i % 997 = 0 THEN NULL WHEN i < 1000 THEN i WHEN i < 9000 THEN 1000000 + i // 4 "
+                "ELSE 5000000 + 1000 * i END AS id FROM range(12000) r(i)")
+    histogram = con.execute(f"SELECT low, n FROM {histogram_query('t', 'id', 100, above)}").fetchall()
+    con.execute("INSERT INTO t VALUES (-5), (99999999999)")               # after the histogram was taken
+    parts = split_predicates(histogram, "id", 8, above)
+    sizes = [con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in parts]
+    total = con.execute("SELECT count(*) FROM t" + (f" WHERE id > {above}" if above else "")).fetchone()[0]
+    assert len(parts) == 8 and sum(sizes) == total
+    assert max(sizes) <= total / 8 + 2 * 400 + 20      # a share, a range of 100 keys four times over, the rows without key
+    assert split_predicates([], "id", 8) == ["1 = 1"]
+    with pytest.raises(ValueError):
+        split_predicates(histogram, "id", 0)
+
+
+def test_clustered_landing_skips_row_groups(spark, tmp_path):
+    from rollcall.operators.sizing import key_set, restrict
+    from rollcall.sources.readers import land_table
+    rows = spark.range(0, 60_000).select(F.col("id").alias("sessionId"), F.concat(F.lit("Pix"), F.col("id")).alias("paymentOption")) \
+        .orderBy(F.xxhash64("sessionId"))
+    wanted = key_set(spark.range(20_000, 24_000).filter("id % 2 = 0"), "id", max_rows=10)      # beyond the broadcast bound
+    read = {}
+    for name, cluster in (("loose", None), ("clustered", "sessionId")):
+        land_table(rows.withColumn("n", F.lit(1)), str(tmp_path / name), "checkoutpayment", cluster_by=cluster)
+        landed = spark.read.option("mergeSchema", "false").parquet(f"{tmp_path}/{name}/checkoutpayment")
+        found = restrict(landed, "sessionId", wanted)
+        assert found.count() == 2000
+        plan = restrict(landed, "sessionId", wanted)._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(sessionId,20000)" in plan and "LessThanOrEqual(sessionId,23998)" in plan
+        read[name] = _scan_rows(spark, landed.filter(F.col("sessionId").between(wanted.low, wanted.high)))
+    assert read["clustered"] < 0.35 * read["loose"] and read["loose"] == 60_000
+
+
+def _scan_rows(spark, df):
+    """Rows that the scan read from the row groups it did not skip."""
+    execution = df.select("sessionId")._jdf.queryExecution()
+    execution.executedPlan().execute().count()
+    leaf = execution.executedPlan().collectLeaves().head()
+    return leaf.metrics().get("numOutputRows").get().value()
+
+
+def test_land_command_plans_its_splits_or_takes_bounds():
+    from rollcall.__main__ import main
+    land = ["land", "--url", "jdbc:mysql://db:3306/x", "--tables", "event", "--out", "/nonexistent"]
+    for wrong in (["--key-width", "100"], ["--above", "7"], ["--key-width", "100", "--partition-column", "id", "--partitions", "4", "--lower", "1"]):
+        with pytest.raises(SystemExit):
+            main([*land, *wrong])
