@@ -42,6 +42,7 @@ EXCLUDED_EVENTS = (7,)
 FIRST, LAST = "1996-01-01", "1999-12-31"
 AS_OF = dt.date(2025, 6, 30)
 ROWS_PER_BATCH = 2500
+EXTRACT_BATCH = 1000
 ANSWER_BUCKETS = 8
 
 
@@ -321,7 +322,7 @@ def q_report_by_batches(spark, sf_dir):
     from rollcall.plans.report import extract_edition, report_from_extract
     from rollcall.sources.readers import read_extract
     from rollcall.sources.sinks import write_extract
-    people, forms = extract_edition(_model(spark, sf_dir), EDITION, FIRST, LAST, AS_OF, rows_per_batch=ROWS_PER_BATCH,
+    people, forms = extract_edition(_model(spark, sf_dir), EDITION, FIRST, LAST, AS_OF, rows_per_batch=EXTRACT_BATCH,
                                     excluded_events=EXCLUDED_EVENTS)
     base = f"{scratch_folder(spark)}/rollcall-extract-{uuid.uuid4().hex}"
     write_extract(people, f"{base}/participants", "edition", edition=EDITION)
