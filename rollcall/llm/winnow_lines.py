@@ -81,7 +81,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """``did, th, lines``: per document with a repeated run the indices of the lines to delete."""
+    """``did, th, out, n_out``: per document with a repeated run whether each line goes (up to the last that does), and how many do.
+
+    Every step is linear in the document's lines.
+    """
     places = materialize(fingerprints(docs), "fingerprints")
     position = F.struct("did", "th", "line")
     first = materialize(places.groupBy("key").agg(F.min(position).alias("first"), F.max(position).alias("latest"))
@@ -93,19 +96,25 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         .select("did", "th", (F.col("line") + F.col("step")).alias("line"), "n")
     # a document's marked lines meet in one row: at most its own lines
     per_doc = marked.groupBy("did", "th").agg(F.array_sort(F.collect_set(F.struct("line", "n"))).alias("ms"))
-    start = F.struct(F.lit(-2).cast("int").alias("line"), F.lit(0).alias("words"), F.array().cast("array<int>").alias("run"),
-                     F.array().cast("array<int>").alias("out"))
-
-    def close(state: Column) -> Column:
-        return F.when(state["words"] >= MIN_WORDS, F.concat(state["out"], state["run"])).otherwise(state["out"])
-
-    def step(state: Column, m: Column) -> Column:
-        follows = m["line"] == state["line"] + 1
-        return F.struct(
-            m["line"].alias("line"), (F.when(follows, state["words"]).otherwise(0) + m["n"]).alias("words"),
-            F.when(follows, F.concat(state["run"], F.array(m["line"]))).otherwise(F.array(m["line"])).alias("run"),
-            F.when(follows, state["out"]).otherwise(close(state)).alias("out"))
-    return per_doc.select("did", "th", F.aggregate("ms", start, step, close).alias("lines")).filter(F.size("lines") > 0)
+    sized = per_doc.withColumn("size", F.size("ms"))
+    # places (from 1) at which a run of marked lines starts
+    begins = F.filter(F.sequence(F.lit(1), F.col("size")), lambda i: (i == 1) | (
+        F.get("ms", i - 1)["line"] != F.get("ms", i - 2)["line"] + 1))
+    started = materialize(sized.withColumn("begins", begins), "marked-lines")
+
+    def run_of(begin: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("begins", k + 1), F.col("size") + 1)
+        own = F.slice("ms", begin, end - begin)
+        return F.struct(F.get(own, F.lit(0))["line"].alias("first"), (F.get(own, F.lit(0))["line"] + end - begin).alias("after"),
+                        F.aggregate(own, F.lit(0), lambda n, m: n + m["n"]).alias("words"))
+    runs = F.filter(F.transform("begins", run_of), lambda r: r["words"] >= MIN_WORDS)
+    closed = materialize(started.select("did", "th", runs.alias("runs")).filter(F.size("runs") > 0), "line-runs")
+
+    def flags(r: Column, k: Column) -> Column:
+        before = F.when(k > 0, F.get("runs", k - 1)["after"]).otherwise(0)
+        return F.concat(F.array_repeat(F.lit(False), r["first"] - before), F.array_repeat(F.lit(True), r["after"] - r["first"]))
+    n_out = F.aggregate("runs", F.lit(0), lambda n, r: n + r["after"] - r["first"])
+    return closed.select("did", "th", F.flatten(F.transform("runs", flags)).alias("out"), n_out.alias("n_out"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -117,7 +126,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     joined = docs.select(*kept).alias("d").join(
         removed.hint("merge").alias("r"), (F.coalesce(F.col("d.doc_id").cast("long"), F.lit(_NO_ID)) == F.col("r.did"))
         & (F.xxhash64(text) == F.col("r.th")), "left")
-    lines = F.transform(_lines(text), lambda x, i: F.struct(x.alias("x"), F.array_contains(F.col("r.lines"), i).alias("out")))
+    lines = F.transform(_lines(text), lambda x, i: F.struct(x.alias("x"), F.coalesce(F.get(F.col("r.out"), i), F.lit(False)).alias("out")))
     stays = F.rtrim(F.array_join(F.transform(F.filter(lines, lambda x: ~x["out"]), lambda x: x["x"]), ""), F.lit("\n"))
     words = F.aggregate(F.filter(lines, lambda x: x["out"]), F.lit(0),
                         lambda n, x: n + F.regexp_count(x["x"], F.lit(_WORD)))
@@ -125,7 +134,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     return joined.select(
         *[F.when(cut, stays).otherwise(text).alias(c) if c == "text" else F.col(f"d.`{c}`").alias(c) for c in kept],
         F.when(F.length(text) > 0, F.size(_lines(text))).otherwise(0).cast("long").alias("n_lines"),
-        F.coalesce(F.size("r.lines"), F.lit(0)).cast("long").alias("n_removed_lines"),
+        F.coalesce("r.n_out", F.lit(0)).cast("long").alias("n_removed_lines"),
         F.when(cut, words).otherwise(0).cast("long").alias("n_removed_words"))
 
 
