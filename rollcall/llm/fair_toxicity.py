@@ -157,8 +157,9 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
         base = (toxic + 0.5) / (toxic + clean + 1.0)
         return {}, math.log(base / (1 - base))
     place = {w: i for i, w in enumerate(features)}
-    # ids alone are ordered; the texts of the chosen rows stay in the executors
-    sample = materialize(known.orderBy(F.xxhash64("label_id"), "label_id").limit(FIT_ROWS), "fit-rows")
+    # of labels of these documents only; ids alone are ordered, the texts of the chosen rows stay in the executors
+    here = known.join(docs.select(F.col("doc_id").alias("label_id")), "label_id", "left_semi")
+    sample = materialize(here.orderBy(F.xxhash64("label_id"), "label_id").limit(FIT_ROWS), "fit-rows")
 
     def featurise(batches):
         for batch in batches:
