@@ -2,7 +2,8 @@
 
 A pre-token never reaches over the start of a run of white space, so a text
 may be cut there and each piece (white space and the word after it) encoded
-alone.  Arrow cuts a batch of texts and numbers its distinct pieces; their ids
+alone.  A text that holds the text of a special token is encoded whole, so that
+it becomes what the library's own ``encode(text, add_special_tokens=False)`` gives.  Arrow cuts a batch of texts and numbers its distinct pieces; their ids
 are kept per Python worker, and a missing piece is pre-tokenised and merged by
 the library's own parts.
 """
@@ -56,12 +57,15 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         #: White space is dropped and letters lowered (word ends), or kept in front of a word (byte level).
         self.lower = lower
         self.tokens: dict[str, bytes] = {}
         self.alphabet = _Alphabet()
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Texts the library cuts by more than words: control characters, and tokens it looks for in the raw text.
+        self.whole = re.compile("|".join([_CONTROL.pattern, *added]))
+        self.uneven = "|".join([_UNEVEN, *added])
 
     def merged(self, token: str) -> bytes:
         """Ids of one pre-token in the model's alphabet."""
@@ -96,7 +100,7 @@ class WordEncoder(dict):
 
     def encode(self, text: str) -> bytes:
         """Ids of one text, whatever its white space."""
-        if _CONTROL.search(text):
+        if self.whole.search(text):
             return _little_endian(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return b"".join(map(self.__getitem__, text.split() if self.lower else _PIECES.findall(text)))
 
@@ -113,7 +117,7 @@ class WordEncoder(dict):
         return out
 
     def _encode_slice(self, texts: pa.Array) -> list[bytes]:
-        uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
+        uneven = pc.match_substring_regex(texts, self.uneven).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(uneven), "", texts)
         if self.lower:
             cut = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
