@@ -141,6 +141,44 @@ def read_documents(blocks: DataFrame) -> DataFrame:
     return placed.mapInArrow(run, "doc_id long, start long, ids_crc32 long, ids binary")
 
 
+def read_tokens(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc_id, position, token`` for the rows of ``wanted`` (``doc_id, position`` from 0), read through the ranks.
+
+    Only a byte, a bit and a rank of each level are read per token.  Positions
+    that a document does not have, and ids that are not in the file, give no
+    row; a doc_id that the file has several times gives a row for each.  A
+    block meets its questions in one task, before them, so a task holds one
+    block at a time however many tokens of it are asked for.
+    """
+    place = F.posexplode("lengths").alias("i", "n")
+    listed = blocks.select("part", "block", "doc_ids", "lengths", place).select(
+        "part", "block", F.get("doc_ids", F.col("i")).alias("doc_id"), F.col("n").alias("length"), "i", "lengths")
+    before = Window.partitionBy("part", "block").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    listed = listed.drop("lengths").withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).drop("i")
+    asked = wanted.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("position").cast("long").alias("position")) \
+        .join(materialize(listed, "code-places"), "doc_id").filter((F.col("position") >= 0) & (F.col("position") < F.col("length")))
+    levels = ("chunks", "bitmaps", "ranks")
+    nothing = [F.lit(None).cast("long").alias(c) for c in ("doc_id", "position", "at")]
+    empty = [F.lit(None).cast("array<binary>").alias(c) for c in levels]
+    rows = blocks.select("part", "block", F.lit(0).alias("kind"), *nothing, *levels).unionByName(
+        asked.select("part", "block", F.lit(1).alias("kind"), "doc_id", "position", (F.col("offset") + F.col("position")).alias("at"), *empty))
+    dealt = rows.repartition("part", "block").sortWithinPartitions("part", "block", "kind")
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                if row["kind"] == 0:
+                    held = [row[c] for c in levels]
+                else:
+                    found.append((row["doc_id"], row["position"], token_at(*held, row["at"])))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)],
+                                                 names=["doc_id", "position", "token"])
+    return dealt.mapInArrow(run, "doc_id long, position long, token long")
+
+
 def code_digest(spark: SparkSession, docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Digest of the contract, from the file read back."""
     blocks = materialize(encode_documents(docs, tokenizer_path), "direct-codes")
