@@ -127,6 +127,18 @@ def test_toxicity_scores(docs, labels, empty, spark):
     assert len({r.score for r in neutral}) == 1
 
 
+def test_labels_of_other_documents_do_not_crowd_out_the_fit(spark, monkeypatch):
+    monkeypatch.setattr(fair_toxicity, "FIT_ROWS", 400)
+    rows = [(i, prose(i, 30) + (" you idiot fool" if i % 5 == 0 else "")) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    own = [(i, 1, int(i % 5 == 0)) for i in range(600)]
+    foreign = spark.range(0, 60_000).selectExpr("id + 1000000", "1", "cast(id % 2 as int)")
+    few = spark.createDataFrame(own, "doc_id long, quality int, toxic int")
+    found = [sorted(map(tuple, fair_toxicity.score_documents(docs, labels).collect())) for labels in (few, few.union(foreign))]
+    assert found[0] == found[1]
+    assert sum(r[3] == int(r[0] % 5 == 0) for r in found[0]) >= 590
+
+
 def test_identity_swaps_make_group_weights_equal():
     assert ("muslim", "christian") in fair_toxicity.swapped_mentions("One muslim spoke. Nothing here.")
     rows = [([0], 1), ([0, 2], 1), ([1], 0), ([], 0), ([2], 1)] * 40
@@ -149,6 +161,19 @@ def test_lines_match_brute_force(docs, empty):
     assert winnow_lines.dedup_lines(docs).columns[:8] == docs.columns
 
 
+def test_long_documents_take_time_in_proportion(spark):
+    import time
+    took = {}
+    for n in (1000, 20_000, 40_000):
+        text = "\n".join(f"line {k} of a long text with some words" for k in range(n))
+        docs = spark.createDataFrame([(1, text), (2, text), (3, text + "\nand an end")], "doc_id long, text string")
+        began = time.time()
+        rows = {r.doc_id: r for r in winnow_lines.dedup_lines(docs).collect()}
+        took[n] = time.time() - began
+        assert [rows[i].n_removed_lines for i in (1, 2, 3)] == [0, n, n] and rows[3].text == "and an end" and rows[1].text == text
+    assert took[40_000] < 3 * took[20_000] + 2
+
+
 def test_every_repeated_run_is_found(spark):
     r = random.Random(5)
     lines = [prose(k, r.randint(1, 30)) for k in range(40)]
@@ -182,6 +207,75 @@ def test_every_repeated_run_is_found(spark):
         assert sizes[0] <= out[d] <= sizes[1]
 
 
+def test_near_duplicates_match_all_pairs(spark):
+    """Every class of texts whose alignment reaches the similarity, comparing all pairs."""
+    r = random.Random(9)
+    rows = []
+    for i in range(25):
+        base = prose(500 + i, r.choice([3, 5, 9, 20, 60, 150])).split()
+        rows.append(base)
+        for _ in range(r.randint(0, 4)):
+            rows.append(reworded(base, r.choice([0.0, 0.05, 0.1, 0.18, 0.3]), r.randrange(10**9)))
+    passage = prose(9, 60).split()
+    rows += [prose(800 + i, 90).split() + passage for i in range(60)]       # a passage of two fifths
+    words = [[w.lower() for w in x] for x in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i, a in enumerate(words):
+        for j in range(i):
+            table = [0] * (len(a) + 1)
+            for y in words[j]:
+                before = 0
+                for k, x in enumerate(a):
+                    now = table[k + 1]
+                    table[k + 1] = before + 1 if x == y else max(now, table[k])
+                    before = now
+            if 2 * table[-1] >= 0.8 * (len(a) + len(words[j])):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    out = order_minhash.near_duplicates(spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(rows)], "doc_id long, text string"))
+    found = {x.doc_id: x.class_id for x in out.collect()}
+    wrong = [i for i in range(len(rows)) if found[i] != find(i)]
+    assert len(wrong) <= 0.02 * len(rows), wrong
+
+
+@pytest.mark.parametrize("n", [2, 3, 5, 12, 25, 40, 73, 200])
+def test_pairs_at_the_similarity_meet(n):
+    missed = 0
+    for i in range(100):
+        base = prose(7000 + i, n).split()
+        pair = [order_minhash.buckets(order_minhash.word_hashes(" ".join(w))) for w in (base, reworded(base, math.floor(0.2 * n + 1e-9) / n, i))]
+        missed += not np.intersect1d(*pair).size
+    assert missed <= 8
+
+
+def test_signatures_never_hide_a_link():
+    r = random.Random(4)
+    for _ in range(300):
+        a = [r.getrandbits(64) for _ in range(r.randint(1, 300))]
+        b = [x if r.random() > 0.15 else r.getrandbits(64) for x in a] + [r.getrandbits(64) for _ in range(r.randint(0, 9))]
+        x, y = (order_minhash.signature(np.array(w, np.uint64)) for w in (a, b))
+        apart = int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
+        assert apart <= (1 - order_minhash.aligned_similarity(a, b, 0.0)) * (len(a) + len(b)) + 1e-9
+
+
+def test_repeated_rows_and_clashing_columns_of_near_duplicates(spark):
+    base = prose(3, 80)
+    near = base.replace(" ", " x ", 1)
+    rows = [(2, base, "k", 1), (1, near, "k", 1), (1, near, "k", 1), (2, base, "k", 1), (None, base, "k", 1), (1, base, "k", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string, node int").repartition(3)
+    out = order_minhash.duplicate_digest(docs).collect()
+    assert {(r.class_id, r.class_size) for r in out} == {(1, 6)} and {r.n_links for r in out} == {1}
+    kept = order_minhash.keep_representatives(docs)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
+    alone = spark.createDataFrame([(9, "a b c", "k", 1), (9, "a b c", "k", 1)], docs.schema)
+    assert order_minhash.keep_representatives(alone).count() == 1
+
+
 def test_near_duplicates(docs, empty):
     rows = order_minhash.near_duplicates(docs).collect()
     assert len(rows) == docs.count()
@@ -246,7 +340,7 @@ def test_a_pair_with_scattered_edits_shares_a_vector():
         base = prose(5000 + i, 300).split()
         pair = [order_minhash.sketch(order_minhash.word_hashes(" ".join(w))) for w in (base, reworded(base, 0.18, i))]
         missed += not (pair[0] == pair[1]).any()
-    assert missed <= 4
+    assert missed <= 10
 
 
 def test_model_scores_and_base(docs, empty):
@@ -260,6 +354,8 @@ def test_model_scores_and_base(docs, empty):
                    for (d, ws), h in zip(tokens, held, strict=True))
     assert want == Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows)
     assert all(r.score < 0 and math.isfinite(r.score) for r in rows)
+    sizes = Counter(len(context_mixing.normal(t)) for _, t in texts())
+    assert Counter(round(-r.score * math.log2(10) / r.bits_per_byte) for r in rows) == sizes
     assert context_mixing.score_documents(empty).count() == 0
 
 
@@ -268,12 +364,13 @@ def test_model_is_a_probability():
     raw = np.frombuffer(b" ".join(documents), np.uint8).astype(int)
     code = context_mixing.Code(np.bincount(raw[:-1] * 256 + raw[1:], minlength=1 << 16))
     assert np.allclose((0.5 ** code.length.reshape(256, 256).astype(float)).sum(axis=1), 1)
-    tables = [np.zeros(2 << b, np.int32) for b in context_mixing.TABLE_BITS]
+    tables = [np.zeros(2 << b, np.int32) for b in code.bits]
     context_mixing.count_bits(tables, context_mixing.Stream(code, documents))
     model = context_mixing.Model(code, [context_mixing._states(t) for t in tables])
     seen, hits = np.zeros(model.weights.size + context_mixing._DEPTHS), np.zeros((2, model.maps.size))
-    before = model.score(documents[:5]).sum()
+    before = model.frozen().score(documents[:5]).sum()
     model.learn(documents, seen, hits)
+    model = model.frozen()
     assert model.score(documents[:5]).sum() > before
     # the probabilities of all next bytes after a prefix add up to one
     prefix = model.score([b"the"])[0]
@@ -281,13 +378,19 @@ def test_model_is_a_probability():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_tables_grow_with_the_training_bytes():
+    sizes = [context_mixing.table_bits(1 << b) for b in (10, 20, 24, 26)]
+    assert [s[-1] for s in sizes] == [16, 17, 21, 23] and all(len(s) == context_mixing.PREDICTORS for s in sizes)
+
+
 def test_model_sees_the_sixth_byte_back():
     documents = [b"a bcd x \n", b"q bcd y \n"] * 200
     raw = np.frombuffer(b"".join(documents), np.uint8).astype(int)
     code = context_mixing.Code(np.bincount(raw[:-1] * 256 + raw[1:], minlength=1 << 16))
-    tables = [np.zeros(2 << b, np.int32) for b in context_mixing.TABLE_BITS]
+    tables = [np.zeros(2 << b, np.int32) for b in code.bits]
     context_mixing.count_bits(tables, context_mixing.Stream(code, documents))
     model = context_mixing.Model(code, [context_mixing._states(t) for t in tables])
+    model = model.frozen()
     right, wrong, other = model.score([b"a bcd x", b"a bcd y", b"q bcd y"])
     assert right - wrong > 0.3 and other - model.score([b"q bcd x"])[0] > 0.3
 
@@ -302,7 +405,6 @@ def test_packing_places_every_id_once(docs, empty):
     from tokenizers import Tokenizer
     path = P.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = retrieval_packing.packing_digest(docs, path).collect()
     want = Counter()
     for d, t in texts():
@@ -334,7 +436,6 @@ def test_direct_codes(docs, empty, spark):
     from tokenizers import Tokenizer
     path = P.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = sorted(direct_codes.code_digest(spark, docs, path).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in rows] == sorted((d for d, _ in texts()), key=lambda d: (d is not None, d))
     ids = {d: np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4") for d, t in texts()}
@@ -343,6 +444,12 @@ def test_direct_codes(docs, empty, spark):
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids[r.doc_id]), zlib.crc32(ids[r.doc_id].tobytes()))
         start += r.n_tokens
     assert direct_codes.code_digest(spark, empty, path).count() == 0
+    # random access to the written file
+    blocks = direct_codes.materialize(direct_codes.encode_documents(docs, path), "codes")
+    asked = [(d, p) for d, _ in texts() if d is not None for p in (-1, 0, 5, len(ids[d]) - 1, len(ids[d]))] + [(12345, 0)]
+    found = direct_codes.read_tokens(blocks, spark.createDataFrame(asked, "doc_id long, position long")).collect()
+    assert {(r.doc_id, r.position, r.token) for r in found} == {(d, p, int(ids[d][p])) for d, p in asked if d in ids and 0 <= p < len(ids[d])}
+    assert direct_codes.read_tokens(blocks, spark.createDataFrame([], "doc_id long, position long")).count() == 0
 
 
 def test_random_access_and_round_trip():
