@@ -128,7 +128,7 @@ def _extract(args, spark, tables):
     from rollcall.plans.extract import edition_scope, extract_forms, extract_participants
     from rollcall.session import run_concurrently
     from rollcall.sources.sinks import write_extract
-    scope = edition_scope(tables, args.edition)
+    scope = edition_scope(tables, args.edition, shared=True)
 
     def forms_job():
         forms = normalise_postal_codes(extract_forms(tables, args.edition, args.first, args.last,

@@ -17,7 +17,7 @@ or answer is split by skew handling; rows are repeated last, right before number
 from __future__ import annotations
 
 import datetime as dt
-from typing import NamedTuple
+import threading
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ from rollcall.operators.collation import join_collated
 from rollcall.operators.fanout import (attach_copies, attach_sides, combined_copies, match_copies, null_reason_copies,
                                        repeat_rows)
 from rollcall.operators.options import option_answer_groups, unnest_options
-from rollcall.operators.sizing import broadcast_if_small, key_set, key_sets, restrict
+from rollcall.operators.sizing import IdSet, broadcast_if_small, key_set, key_sets, restrict
 from rollcall.operators.trades import OLD, correlated, trade_roles, trade_sides
 from rollcall.session import materialize, run_concurrently
 
@@ -78,14 +78,89 @@ def checkout_tickets(tables, edition, excluded_events=(), tickets: DataFrame | N
     return cp.join(_edition_dim(tables, edition, excluded_events, tickets), "__price")
 
 
-class EditionScope(NamedTuple):
-    """What both extractions of one edition share, computed once."""
-    tickets: DataFrame     # ticket dimension, broadcast when its row bound holds
-    checkout: DataFrame    # the edition's checkout-price rows with their ticket columns (written once)
-    cprice_ids: DataFrame  # the id set of those rows (written once, broadcast within its bound)
+class EditionScope:
+    """What the extractions of one edition start from; each part is computed once, when it is first asked for.
 
+    ``shared`` says that both extractions will run.  Then participants, sessions
+    and cancellations of the edition are read once, whatever their dates, and
+    written for both; otherwise each extraction reads what it needs, with its
+    date range pushed into the scan.
+    """
 
-def edition_scope(tables: dict[str, DataFrame], edition: str) -> EditionScope:
+    def __init__(self, tables: dict[str, DataFrame], edition: str, shared: bool = False):
+        self.tables, self.shared = tables, shared
+        self.tickets = checked_edition_tickets(tables, edition)    # broadcast when its row bound holds
+        #: The edition's checkout-price rows with their ticket columns (written once), and their id set.
+        self.checkout = materialize(checkout_tickets(tables, edition, tickets=self.tickets), "edition-checkout")
+        self.cprice_ids = key_set(self.checkout, "__cprice")
+        self._lock = threading.RLock()
+
+    def _once(self, name: str, compute):
+        with self._lock:
+            if name not in self.__dict__:
+                self.__dict__[name] = compute()
+            return self.__dict__[name]
+
+    @property
+    def people(self) -> DataFrame:
+        """Participants of the edition with their ticket columns: the participant table is filtered in its scan and written once."""
+        return self._once("_people", lambda: materialize(
+            restrict(self.tables["checkoutparticipant"], "checkoutEventTicketBatchPriceId", self.cprice_ids).select(
+                F.col("id").alias("__pid"), F.col("sessionId").alias("__session"),
+                F.col("checkoutEventTicketBatchPriceId").alias("__cprice"), "createdAt",
+                full_name("name", "surname").alias("participant"), F.col("trackingCode").alias("ticket_tracking"),
+                F.col("coupon"), F.col("email"), F.col("phoneNumber").alias("phone"), F.col("cpf"),
+                F.col("birthDate").alias("birth_date")).join(self.checkout, "__cprice"), "edition-people"))
+
+    @property
+    def id_sets(self) -> list[IdSet]:
+        """Id sets of the edition's participants and of their sessions."""
+        return self._once("_id_sets", lambda: key_sets(self.people, "__pid", "__session"))
+
+    def buyers_between(self, first, last) -> DataFrame:
+        """Participants of the edition who bought in the range, by their own date, with their tickets; written once."""
+        if self.shared:
+            found = purchased_between(self.people, "createdAt", first, last)
+        else:
+            found = restrict(purchased_between(self.tables["checkoutparticipant"], "createdAt", first, last),
+                             "checkoutEventTicketBatchPriceId", self.cprice_ids).select(
+                F.col("id").alias("__pid"), F.col("sessionId").alias("__session"),
+                F.col("checkoutEventTicketBatchPriceId").alias("__cprice"), "createdAt").join(self.checkout, "__cprice")
+        return materialize(found.select("__pid", "__session", "__ticket", "__edition", "__event_title",
+                                        local_date("createdAt").alias("data_compra")), "edition-buyers")
+
+    def _paid_sessions(self) -> DataFrame:
+        return self.tables["checkoutsession"].filter(F.col("status") == F.lit(fv.PAID_STATUS))
+
+    @property
+    def _shared_sessions(self) -> DataFrame:
+        return self._once("_paid", lambda: materialize(
+            restrict(self._paid_sessions(), "id", self.id_sets[1]).select(F.col("id").alias("__session"), "createdAt"), "paid-sessions"))
+
+    def sessions_of(self, buyers: DataFrame) -> DataFrame:
+        """``__session``: paid sessions of the buyers."""
+        if self.shared:
+            return self._shared_sessions.select("__session")
+        return restrict(self._paid_sessions(), "id", key_set(buyers, "__session")).select(F.col("id").alias("__session"))
+
+    def sessions_between(self, first, last) -> DataFrame:
+        """``__session, purchase_date`` of the edition's paid sessions in the range, by the session's date."""
+        if self.shared:
+            found = purchased_between(self._shared_sessions, "createdAt", first, last)
+        else:
+            found = restrict(purchased_between(self._paid_sessions(), "createdAt", first, last), "id", self.id_sets[1]) \
+                .withColumnRenamed("id", "__session")
+        return found.select("__session", local_date("createdAt").alias("purchase_date"))
+
+    def cancels_of(self, ids: IdSet) -> DataFrame:
+        """Cancellations of participants in ``ids`` (of all the edition's, when shared)."""
+        table = self.tables["checkoutorderticketpartialcancel"]
+        if self.shared:
+            return self._once("_cancels", lambda: materialize(restrict(table, "participantId", self.id_sets[0]), "edition-cancels"))
+        return restrict(table, "participantId", ids)
+
+
+def edition_scope(tables: dict[str, DataFrame], edition: str, shared: bool = False) -> EditionScope:
     """The edition's tickets and checkout-price rows, and the id set that filters the participant table.
 
     The checkout-price table spans every event; it is filtered by the
@@ -93,18 +168,14 @@ def edition_scope(tables: dict[str, DataFrame], edition: str) -> EditionScope:
     written once.  Its id set then filters the participant table in its scan,
     so no extraction shuffles the participants of every event.
     """
-    tickets = checked_edition_tickets(tables, edition)
-    checkout = materialize(checkout_tickets(tables, edition, tickets=tickets), "edition-checkout")
-    return EditionScope(tickets, checkout, key_set(checkout, "__cprice"))
+    return EditionScope(tables, edition, shared)
 
 
-def _scoped(scope: EditionScope, excluded_events=()) -> tuple[DataFrame, DataFrame]:
-    """Ticket dimension and checkout rows of the scope without the excluded events."""
-    dim, checkout = scope.tickets, scope.checkout
+def _tickets(scope: EditionScope, excluded_events=()) -> DataFrame:
+    """Ticket dimension of the scope without the excluded events."""
     if excluded_events:
-        keep = ~F.col("__event").isin(list(excluded_events))
-        dim, checkout = dim.filter(keep), checkout.filter(keep)
-    return dim, checkout
+        return scope.tickets.filter(~F.col("__event").isin(list(excluded_events)))
+    return scope.tickets
 
 
 def _of_edition(catalogue: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -128,10 +199,6 @@ def _option_view(tables, ids: DataFrame) -> DataFrame:
     return unnest_options(restrict(tables["participant_options"], "id", ids))
 
 
-def _paid_sessions(tables) -> DataFrame:
-    return tables["checkoutsession"].filter(F.col("status") == F.lit(fv.PAID_STATUS))
-
-
 def extract_forms(tables: dict[str, DataFrame], edition: str,
                   first=None, last=None,
                   max_rows: int | None = None,
@@ -153,26 +220,17 @@ def extract_forms(tables: dict[str, DataFrame], edition: str,
                  .select(F.col("fieldId").alias("__q_field"), F.col("placeholder").alias("pergunta_cadastrada"),
                          F.col("placeholderParsed").alias("pergunta_tratada")))
     scope = scope or edition_scope(tables, edition)
-    dim, checkout = _scoped(scope)
-    # The edition's buyers in the date range: the participant table is filtered
-    # in its scan (date range pushed down, checkout-price id set broadcast),
-    # joined to the edition's checkout rows and written once.  Their id sets
-    # then filter the all-events session, answer and cancellation tables.
-    buyers = restrict(purchased_between(tables["checkoutparticipant"], "createdAt", first, last),
-                      "checkoutEventTicketBatchPriceId", scope.cprice_ids).select(
-        F.col("id").alias("__pid"), F.col("sessionId").alias("__session"),
-        F.col("checkoutEventTicketBatchPriceId").alias("__cprice"),
-        local_date("createdAt").alias("data_compra"))
-    buyers = materialize(buyers.join(checkout, "__cprice"), "edition-buyers")
-    ids, session_ids = key_sets(buyers, "__pid", "__session")
-    paid = restrict(_paid_sessions(tables), "id", session_ids).select(F.col("id").alias("__session"))
+    dim = scope.tickets
+    # The edition's buyers in the date range, and the id set that filters the all-events answers in their scan.
+    buyers = scope.buyers_between(first, last)
+    ids = key_set(buyers, "__pid")
+    paid, cancels = scope.sessions_of(buyers), scope.cancels_of(ids)
     answers = (restrict(tables["formfieldanswer"], "checkoutParticipantId", ids)
                .filter(~F.col("answer").isin(list(fv.REJECTED_ANSWERS)))
                .select(F.col("checkoutParticipantId").alias("participant_id"),
                        F.col("fieldId").alias("field_id"), F.col("answer").alias("cep")))
     complements = _of_edition(tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket")),
                               dim, "__ticket")
-    cancels = restrict(tables["checkoutorderticketpartialcancel"], "participantId", ids)
 
     def counted_buyers():
         counted = attach_copies(buyers.join(paid, "__session"), "__ticket", match_copies(complements, "__ticket"), "__races")
@@ -214,22 +272,14 @@ def extract_participants(tables: dict[str, DataFrame], edition: str,
     if as_of is None:
         raise ValueError("as_of is required")
     scope = scope or edition_scope(tables, edition)
-    dim, checkout = _scoped(scope, excluded_events)
-    # The edition's participants: the participant table is filtered in its scan
-    # by the broadcast checkout-price id set, joined to the edition's checkout
-    # rows and written once.  Their id sets then filter every table that spans
-    # all events (sessions, payments, summaries, cancellations, trades, option
-    # choices) in its scan, before any join, aggregate or explode.
-    people = restrict(tables["checkoutparticipant"], "checkoutEventTicketBatchPriceId", scope.cprice_ids).select(
-        F.col("id").alias("item_id"), F.col("sessionId").alias("__session"),
-        F.col("checkoutEventTicketBatchPriceId").alias("__cprice"),
-        full_name("name", "surname").alias("participant"), F.col("trackingCode").alias("ticket_tracking"),
-        F.col("coupon"), F.col("email"), F.col("phoneNumber").alias("phone"), F.col("cpf"),
-        F.col("birthDate").alias("birth_date"))
-    p = materialize(people.join(checkout, "__cprice"), "edition-participants")
-    ids, session_ids = key_sets(p, "item_id", "__session")
-    sessions = restrict(purchased_between(_paid_sessions(tables), "createdAt", first, last), "id", session_ids
-                        ).select(F.col("id").alias("__session"), local_date("createdAt").alias("purchase_date"))
+    dim = _tickets(scope, excluded_events)
+    # The edition's participants; their id sets filter every table that spans all events (sessions, payments, summaries,
+    # cancellations, trades, option choices) in its scan, before any join, aggregate or explode.
+    p = scope.people.withColumnRenamed("__pid", "item_id")
+    if excluded_events:
+        p = p.filter(~F.col("__event").isin(list(excluded_events)))
+    ids, session_ids = scope.id_sets
+    sessions = scope.sessions_between(first, last)
     payments = restrict(tables["checkoutpayment"], "sessionId", session_ids).select(
         F.col("sessionId").alias("__pay_session"), F.col("paymentOption").alias("__payment"))
     summary = restrict(tables["checkoutsummary"], "sessionId", session_ids).select(
@@ -240,11 +290,10 @@ def extract_participants(tables: dict[str, DataFrame], edition: str,
     races = _of_edition(tables["eventticketcomplement"].select(F.col("ticketId").alias("__ticket"),
                                                                F.col("nameParsed").alias("race")),
                         dim, "__ticket")
-    cancels = restrict(tables["checkoutorderticketpartialcancel"], "participantId", ids)
 
     def paid_purchases():
         block = materialize(attach_sides(sessions, "__session", [(payments, "__pay_session"), (summary, "__sum_session")]), "session-block")
-        return (p.join(block, "__session").withColumn("order_id", F.col("__session"))
+        return (p.drop("createdAt").join(block, "__session").withColumn("order_id", F.col("__session"))
                  .join(broadcast_if_small(types), "__type", "left").join(broadcast_if_small(races), "__ticket", "left"))
 
     def choices():
@@ -263,7 +312,7 @@ def extract_participants(tables: dict[str, DataFrame], edition: str,
             correlations)
         rows = p.filter(F.col("item_id").isNotNull()).select(F.col("item_id").alias("__id")).distinct()
         unused = () if drop_unused_fanout else ((roles.filter(F.col("__rc_role") == OLD), "__rc_key"),)
-        rows = attach_copies(rows, "__id", combined_copies(cancels, unused), "__copies").filter(F.col("__copies") > 0)
+        rows = attach_copies(rows, "__id", combined_copies(scope.cancels_of(ids), unused), "__copies").filter(F.col("__copies") > 0)
         return materialize(attach_sides(rows, "__id", [(options["shirts"], "__opt_pid"), (options["kits"], "__opt_pid"),
                                                        (as_old, "__rc_old_key"), (as_new, "__rc_new_key")]), "choices")
 

@@ -31,7 +31,7 @@ def extract_edition(tables: dict[str, DataFrame], edition: str, first, last, as_
     The two extractions are independent (an empty forms extract does not stop
     the participant one); their eager steps run concurrently.
     """
-    scope = edition_scope(tables, edition)
+    scope = edition_scope(tables, edition, shared=True)
     people, answers = run_concurrently(
         scope.checkout.sparkSession,
         lambda: extract_participants(tables, edition, first, last, max_rows, rows_per_batch, as_of, excluded_events,
