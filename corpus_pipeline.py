@@ -2,6 +2,14 @@
 
 Each stage takes the documents its predecessor kept, as written and read
 again, and works on all of them.
+
+Defined results of every stage: an empty table gives an empty one; columns
+beyond those of documents are ignored; a row without doc_id is a document like
+any other, and so is each of several rows that repeat an id.  A null text is
+scored as an empty one by the toxicity stage; it has no language, as has an
+empty text or one without letters, so the language stage rejects it; line dedup
+leaves it null, and a copy of an earlier document empty; texts left empty are
+copies of each other; packing gives each document at least its end id.
 """
 
 from __future__ import annotations
