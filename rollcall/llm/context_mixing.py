@@ -4,7 +4,7 @@ A text is its lower-cased words, a space after each, and an end symbol.  Every
 byte is coded by binary decisions along the Huffman code of the bytes that
 follow the one before it.  Five predictors hold counts of ones per (context,
 decision): the last one, two, four and six bytes, and the word so far, hashed
-into fixed tables.  Their stretched probabilities are mixed with weights that
+into tables whose size follows the training bytes.  Their stretched probabilities are mixed with weights that
 are chosen by each predictor's confidence and scaled by the decision's depth,
 and an adaptive probability map per depth refines the sum.
 
@@ -43,14 +43,18 @@ from rollcall.llm.common import fold, materialize
 HELD_OUT_FOLDS, HELD_OUT = 5, 1
 #: Of the training rows, one in so many (by hash) trains the mixing instead of the counts.
 MIX_FOLD = 16
-#: Bytes of context of the predictors (the first is one), before that of the word so far; and their table bits.
+#: Bytes of context of the predictors (the first is one), before that of the word so far.
 ORDERS = (1, 2, 4, 6)
-TABLE_BITS = (16, 18, 21, 22, 22)
+PREDICTORS = len(ORDERS) + 1
+#: Bits of the largest table at most: a worker holds four bytes a slot, twice, while it counts, and each task writes its counts.
+MOST_TABLE_BITS = 22
 BLOCK = 1 << 16
 CONFIDENCES = 8
 HEAVY_SHARE = 1 << 19
 #: Bytes of text that Arrow cuts into words at a time.
 SLICE_BYTES = 4 << 20
+#: Distinct words of a task's counts that are held before they are handed on.
+WORDS_HELD = 300_000
 #: Bytes counted, scored and learned from at a time.
 COUNT_POSITIONS, SCORE_POSITIONS, LEARN_POSITIONS = 1 << 16, 1 << 15, 1 << 15
 END = "\n"
@@ -59,6 +63,8 @@ _PAD = b"\n" * 8
 _DEPTHS = 64
 #: Cells of a probability map over the mixed logit, from -8 to 8.
 _MAP_CELLS = 257
+#: When scoring, steps of a logit, and what a predictor adds at most: five of them fit in 16 bits, doubled.
+_STEPS, _MOST = 128, 1600
 _ODD = np.uint32(0x9E3779B1)
 _WORD_BASE = 0x5851F42D4C957F2D
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -95,10 +101,20 @@ def numbered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return number, owner, words
 
 
+def table_bits(training_bytes: int) -> tuple[int, ...]:
+    """Bits of the predictors' tables: slots in proportion to the training bytes, up to ``MOST_TABLE_BITS``."""
+    large = max(16, min(MOST_TABLE_BITS, round(math.log2(max(1, training_bytes))) - 2))
+    return 16, min(18, large), max(16, large - 1), large, large
+
+
 class Code:
-    """For each byte the Huffman code of the bytes after it; a step holds the inner node and the bit."""
+    """For each byte the Huffman code of the bytes after it; a step holds the inner node and the bit.
+
+    ``bits`` are those of the predictors' tables.
+    """
 
-    def __init__(self, histogram: np.ndarray):
+    def __init__(self, histogram: np.ndarray, bits: tuple[int, ...] | None = None):
+        self.bits = bits or table_bits(int(histogram.sum()))
         paths = [path for row in histogram.reshape(256, 256) for path in self._paths(row)]
         self.length = np.array([len(p) for p in paths], np.uint8)
         self.steps = np.zeros((int(self.length.max()), 1 << 16), np.uint16)
@@ -176,7 +192,7 @@ class Stream:
             salt = node * np.uint32(0x27D4EB2F)
             slots = [(self.hashes[0][:n] | node).astype(np.intp)]
             slots += [((h[:n] ^ salt) * _ODD >> np.uint32(32 - b)).astype(np.intp)
-                      for h, b in zip(self.hashes[1:], TABLE_BITS[1:], strict=True)]
+                      for h, b in zip(self.hashes[1:], self.code.bits[1:], strict=True)]
             yield d, n, step & np.uint16(1), slots
 
 
@@ -222,22 +238,30 @@ def _partial_counts(training: DataFrame, code: Code) -> DataFrame:
     """Word counts, and tables of bit counts in blocks, of each partition's rows."""
     names = [f.split()[0] for f in _PARTIAL.split(", ")]
 
-    def words_out(words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-        none = [pa.nulls(len(words), kind) for kind in (pa.int32(), pa.int32(), pa.binary())]
-        return pa.RecordBatch.from_arrays([words, pa.array(counts, pa.int64()), *none], names=names)
+    def added_up(held: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+    def words_out(counts: pa.Table) -> pa.RecordBatch:
+        none = [pa.nulls(len(counts), kind) for kind in (pa.int32(), pa.int32(), pa.binary())]
+        return pa.RecordBatch.from_arrays([*(counts.column(c).combine_chunks() for c in ("word", "n")), *none], names=names)
 
     def run(batches):
-        tables = [np.zeros(2 << b, np.int32) for b in TABLE_BITS]
-        any_rows, ends = False, 0
+        tables = [np.zeros(2 << b, np.int32) for b in code.bits]
+        any_rows, ends, held = False, 0, []
         for batch in (part for whole in batches for part in slices(whole)):
             number, _, words = numbered_words(batch.column("text"))
-            yield words_out(words, np.bincount(number, minlength=len(words)))
+            held.append(pa.table([words, np.bincount(number, minlength=len(words))], names=["word", "n"]))
+            if sum(len(h) for h in held) > 2 * WORDS_HELD:
+                held = [added_up(held)]
+                if len(held[0]) > WORDS_HELD:
+                    yield words_out(held.pop())
             ends += batch.num_rows
             counted = [normal(t) for t in batch.filter(pc.invert(batch.column("mixing"))).column("text").to_pylist()]
             any_rows |= bool(counted)
             for a, b in runs(counted, COUNT_POSITIONS):
                 count_bits(tables, Stream(code, counted[a:b]))
-        yield words_out(pa.array([END.encode()], pa.binary()), np.array([ends]))
+        held.append(pa.table([pa.array([END.encode()], pa.binary()), np.array([ends])], names=["word", "n"]))
+        yield words_out(added_up(held))
         if any_rows:
             salt = TaskContext.get().partitionId() % 64
             parts = (t[at:at + 2 * BLOCK] for t in tables for at in range(0, len(t), 2 * BLOCK))
@@ -294,7 +318,7 @@ class Model:
 
     def __init__(self, code: Code, tables: list[np.ndarray]):
         self.code, self.tables = code, tables
-        self.weights = np.tile([0.0, 0.1, 0.2, 0.25, 0.3, 0.35, 0.35, 0.35], (len(TABLE_BITS), 1))
+        self.weights = np.tile([0.0, 0.1, 0.2, 0.25, 0.3, 0.35, 0.35, 0.35], (PREDICTORS, 1))
         self.scales = np.ones(_DEPTHS)
         self.maps = np.tile(self._centres(), (_DEPTHS, 1))
 
@@ -329,20 +353,15 @@ class Model:
     def cells(total: np.ndarray, scale: float) -> np.ndarray:
         return (np.clip(total * np.float32(scale * 16), -128, 128) + np.float32(128.5)).astype(np.int32)
 
-    def score(self, documents: list[bytes]) -> np.ndarray:
-        """log10 probability of each document: a bit's is the mean of its cell's mixed and refined one."""
-        out = np.zeros(len(documents))
-        inputs = self.inputs()
+    def frozen(self) -> Scorer:
+        """The fixed model: a slot holds what its predictor adds to the logit, a depth's table the cost of each sum."""
+        inputs = np.clip(np.rint(self.inputs() * _STEPS), -_MOST, _MOST).astype(np.int16)
+        levels = [given.take(t, mode="clip") for given, t in zip(inputs, self.tables, strict=True)]
+        sums = np.arange(-PREDICTORS * _MOST, PREDICTORS * _MOST + 1, dtype=np.float32) / np.float32(_STEPS)
         p = 0.5 * (self._centres() + np.clip(self.maps, 1e-6, 1 - 1e-6))
-        costs = np.log10(np.stack([1 - p, p], axis=2)).reshape(_DEPTHS, -1).astype(np.float32)
-        for a, b in runs(documents, SCORE_POSITIONS):
-            stream = Stream(self.code, documents[a:b])
-            cost = np.zeros(len(stream.pairs))
-            for d, n, bit, slots in stream.decisions():
-                total, _ = self.mix(slots, inputs)
-                cost[:n] += costs[d].take(self.cells(total, self.scales[d]) * 2 + bit, mode="clip")
-            out[a:b] = np.bincount(stream.owner, cost, b - a)
-        return out
+        costs = np.log10(np.stack([1 - p, p], axis=2)).astype(np.float32)
+        depths = [costs[d].take(self.cells(sums, self.scales[d]), axis=0).ravel() for d in range(self.code.steps.shape[0])]
+        return Scorer(self.code, levels, depths)
 
     def learn(self, documents: list[bytes], seen: np.ndarray, hits: np.ndarray) -> None:
         """Online steps over the documents; counts events per weight and scale in ``seen``, per map cell in ``hits``."""
@@ -368,6 +387,30 @@ class Model:
         values += rate * np.bincount(index, gradient, len(seen)) / (np.bincount(index, curvature, len(seen)) + 20)
 
 
+class Scorer:
+    """A fixed model; picklable for a broadcast."""
+
+    def __init__(self, code: Code, levels: list[np.ndarray], costs: list[np.ndarray]):
+        self.code, self.levels, self.costs = code, levels, costs
+
+    def score(self, documents: list[bytes]) -> np.ndarray:
+        """log10 probability of each document: a bit's is the mean of its cell's mixed and refined one."""
+        out = np.zeros(len(documents))
+        for a, b in runs(documents, SCORE_POSITIONS):
+            stream = Stream(self.code, documents[a:b])
+            cost = np.zeros(len(stream.pairs))
+            for d, n, bit, slots in stream.decisions():
+                total = self.levels[0].take(slots[0], mode="clip")
+                for level, slot in zip(self.levels[1:], slots[1:], strict=True):
+                    total += level.take(slot, mode="clip")
+                total += np.int16(PREDICTORS * _MOST)
+                total += total
+                total += bit.view(np.int16)
+                cost[:n] += self.costs[d].take(total, mode="clip")
+            out[a:b] = np.bincount(stream.owner, cost, b - a)
+        return out
+
+
 def _mix_statistics(mixing: DataFrame, model) -> DataFrame:
     """Sums over partitions of the learned weights by their events, and of the maps' counts: ``i, a, b``."""
     def run(batches):
@@ -392,9 +435,11 @@ def _histogram(training: DataFrame) -> np.ndarray:
     def run(batches):
         counts = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                raw = np.frombuffer((" " + (text or "") + " ").encode().translate(_FOLDED), np.uint8).astype(np.int64)
-                np.add.at(counts, raw[:-1] * 256 + raw[1:], 1)
+            for part in slices(batch):
+                # texts meet at two spaces, a pair that is not counted
+                raw = np.frombuffer("  ".join(["", *(t or "" for t in part.column("text").to_pylist()), ""]).encode().translate(_FOLDED),
+                                    np.uint8).astype(np.uint16)
+                counts += np.bincount(raw[:-1] << np.uint16(8) | raw[1:], minlength=1 << 16)
             counts[32 * 256 + 10] += batch.num_rows
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["pair", "n"])
@@ -412,23 +457,23 @@ def train(training: DataFrame):
     words = materialize(partial.filter(F.col("n") > 0).groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     sums = _sum_blocks(partial.filter(F.col("block").isNotNull()), "block", "salt")
     states = _sum_blocks(sums, "block", finish=lambda total: _states(total).tobytes())
-    flat = np.full(sum(1 << b for b in TABLE_BITS), 128, np.uint16)
-    for row in states.collect():      # two bytes a slot of the fixed tables
+    flat = np.full(sum(1 << b for b in code.bits), 128, np.uint16)
+    for row in states.collect():      # two bytes a slot of the tables
         flat[BLOCK * row["block"]:BLOCK * (row["block"] + 1)] = np.frombuffer(row["counts"], np.uint16)
-    model = Model(code, np.split(flat, np.cumsum([1 << b for b in TABLE_BITS])[:-1]))
+    model = Model(code, np.split(flat, np.cumsum([1 << b for b in code.bits])[:-1]))
     sent = training.sparkSession.sparkContext.broadcast(model)
     learned = _mix_statistics(training.filter("mixing"), sent).collect()      # one row a weight or map cell
     model.adopt({r["i"]: (r["a"], r["b"]) for r in learned})
     total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    return model, words, total["n"], total["v"]
+    return model.frozen(), words, total["n"], total["v"]
 
 
-_SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
+_SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long, "
            "rare array<binary>")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
-    """Digest of the contract, one row per row of ``docs``, and ``bits_per_byte`` of the model."""
+    """Digest of the contract, one row per row of ``docs``, and the model's ``bits_per_byte`` of the stream."""
     folds = HELD_OUT_FOLDS * MIX_FOLD
     at = fold(F.col("doc_id"), folds)
     # a null id has no fold: it is trained on, and not held out
@@ -439,7 +484,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     denominator = math.log10(total + 0.5 * (distinct + 1)) if total else math.log10(0.5)
     frequent = words.filter(F.col("c") * HEAVY_SHARE >= total).collect()      # at most HEAVY_SHARE words
     sent = sc.broadcast((model, {bytes(r["word"]): (math.log10(r["c"] + 0.5) - denominator) for r in frequent}))
-    names = [f.split()[0] for f in _SCORED.split(", ")[:7]] + ["rare"]
+    names = [f.split()[0] for f in _SCORED.split(", ")[:8]] + ["rare"]
 
     def run(batches):
         own, known = sent.value
@@ -451,13 +496,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
             found = log[number] if len(number) else np.zeros(0)
             is_rare = np.isnan(found)
             rare = words.take(pa.array(number[is_rare]))
+            streams = [normal(t) for t in batch.column("text").to_pylist()]
             bounds = np.concatenate([[0], np.cumsum(np.bincount(owner[is_rare], minlength=rows))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), batch.column("held_out"),
                  pa.array(np.bincount(owner, minlength=rows) + 1),
                  pa.array(np.bincount(owner[~is_rare], minlength=rows) + int(END.encode() in known)),
                  pa.array(np.bincount(owner, np.nan_to_num(found), rows) + end),
-                 pa.array(own.score([normal(t) for t in batch.column("text").to_pylist()])),
+                 pa.array(own.score(streams)), pa.array([len(t) for t in streams], pa.int64()),
                  pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rare)], names=names)
     scored = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out")
                          .mapInArrow(run, _SCORED), "lm-scored")
@@ -470,4 +516,4 @@ def score_documents(docs: DataFrame) -> DataFrame:
     return scored.drop("rare").join(tails.hint("merge"), "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("tail", F.lit(0.0))).alias("base_score"),
-        "score")
+        "score", (F.col("score") * F.lit(-math.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"))
