@@ -380,7 +380,7 @@ def test_model_is_a_probability():
 
 def test_tables_grow_with_the_training_bytes():
     sizes = [context_mixing.table_bits(1 << b) for b in (10, 20, 24, 26)]
-    assert [s[-1] for s in sizes] == [16, 17, 21, 23] and all(len(s) == context_mixing.PREDICTORS for s in sizes)
+    assert [s[-1] for s in sizes] == [16, 18, 22, 22] and all(len(s) == context_mixing.PREDICTORS for s in sizes)
 
 
 def test_model_sees_the_sixth_byte_back():
