@@ -209,7 +209,8 @@ def pending_requests(forms: DataFrame, responses: DataFrame, providers=PROVIDER_
 
 def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER_ORDER,
                       code_col: str = "parsed_ceps", id_col: str = "participant_id",
-                      materialized: bool = False, counted: str | None = None, buckets: int | None = None) -> Resolved:
+                      materialized: bool = False, counted: str | None = None, buckets: int | None = None,
+                      tag: str | None = None) -> Resolved:
     """First-success fallback over ``providers`` for every form row.
 
     The per-code decisions are written once, and the counters are observed
@@ -219,7 +220,8 @@ def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER
     With ``counted`` (a boolean column of ``forms``), counters and unresolved
     rows are of the rows where it is true.  ``buckets`` says that ``responses``
     is a table of so many buckets by code (``streaming.latest``): the codes in
-    use are written in buckets alike, and neither side is shuffled.
+    use are written in buckets alike, and neither side is shuffled.  ``tag``
+    names a column of ``forms`` that addresses keep and counters are grouped by.
     """
     spark = forms.sparkSession
     if buckets is None:
@@ -234,18 +236,26 @@ def resolve_addresses(forms: DataFrame, responses: DataFrame, providers=PROVIDER
     if materialized:
         rows = materialize(rows, "resolved")
     addresses = rows.filter(F.col("winner_rank").isNotNull()).select(
-        F.col(id_col).cast("string").alias("item_id"),
+        F.col(id_col).cast("string").alias("item_id"), *([F.col(tag)] if tag else []),
         *[F.col(f"fields.{f}").alias(f) for f in ADDRESS_FIELDS])
+    if tag is not None:
+        mine = rows if counted is None else rows.filter(F.col(counted))
+        counters = mine.groupBy(tag).agg(*[F.count_if(c).alias(n) for n, c in _outcomes(providers).items()])
     failed = rows.filter(F.col("winner_rank").isNull())
     unresolved = (failed if counted is None else failed.filter(F.col(counted)).drop(counted)).drop("winner_rank", "fields")
     return Resolved(rows.drop("fields"), addresses, counters, unresolved)
 
 
-def _observed_winners(winners: DataFrame, providers) -> tuple[DataFrame, DataFrame]:
-    """``winners`` written, and the fallback's counters as observed while they were."""
+def _outcomes(providers) -> dict:
+    """What the fallback counts, by the rank of a row's winner."""
     rank = F.coalesce(F.col("winner_rank"), F.lit(len(providers) + 1))
-    sums = {"ok": F.col("winner_rank").isNotNull(), "nok": F.col("winner_rank").isNull(),
+    return {"ok": F.col("winner_rank").isNotNull(), "nok": F.col("winner_rank").isNull(),
             **{f"{name}_errors": rank > F.lit(i) for i, name in enumerate(providers, start=1)}}
+
+
+def _observed_winners(winners: DataFrame, providers) -> tuple[DataFrame, DataFrame]:
+    """``winners`` written, and the fallback's counters as observed while they were."""
+    sums = _outcomes(providers)
     seen = Observation()
     written = materialize(winners.observe(seen, *[_rows_where(c).alias(n) for n, c in sums.items()]), "code-winners")
     counters = winners.sparkSession.createDataFrame([tuple(seen.get[n] for n in sums)], ", ".join(f"{n} long" for n in sums))

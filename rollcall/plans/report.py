@@ -16,6 +16,10 @@ from rollcall.plans.extract import edition_scope, extract_forms, extract_partici
 from rollcall.session import materialize, run_concurrently
 
 
+#: The batch that a form row is reported in, where several are reported at once.
+BATCH = "report_batch"
+
+
 class Report(NamedTuple):
     participants: DataFrame
     forms: DataFrame
@@ -40,38 +44,50 @@ def extract_edition(tables: dict[str, DataFrame], edition: str, first, last, as_
     return people, normalise_postal_codes(answers)
 
 
-def batch_forms(participants: DataFrame, forms: DataFrame, batch: int) -> DataFrame:
+def batch_forms(participants: DataFrame, forms: DataFrame, batch: int | range) -> DataFrame:
     """The form rows that one batch of participants needs, and ``__rc_owned``: whether the batch counts them.
 
     A batch needs the rows of its participants.  Each row is counted by one
     batch: that of its participant's first row, or batch 1 when the participant
     is in none (another purchase date, an excluded event).  So a participant
     whose rows straddle two batches is reported in both and counted once.
+
+    For a range of batches, the rows of each of them with its number as ``report_batch``, from one join.
     """
+    batches = batch if isinstance(batch, range) else range(batch, batch + 1)
+    low, high = F.lit(batches.start).cast("long"), F.lit(batches.stop - 1).cast("long")
     first = materialize(participants.groupBy(F.col("item_id").alias("__rc_person"))
                         .agg(F.min("batch_number").alias("__rc_first"), F.max("batch_number").alias("__rc_last")), "batches-of-people")
-    mine = forms.join(first.filter((F.col("__rc_first") <= batch) & (F.col("__rc_last") >= batch)),
-                      F.col("participant_id") == F.col("__rc_person")) \
-        .withColumn("__rc_owned", F.col("__rc_first") == batch)
-    mine = mine.select(*forms.columns, "__rc_owned")
-    if batch == 1:
+    mine = forms.join(first.filter((F.col("__rc_first") <= high) & (F.col("__rc_last") >= low)),
+                      F.col("participant_id") == F.col("__rc_person"))
+    mine = mine.withColumn(BATCH, F.explode(F.sequence(F.greatest("__rc_first", low), F.least("__rc_last", high)))) \
+        .withColumn("__rc_owned", F.col("__rc_first") == F.col(BATCH))
+    mine = mine.select(*forms.columns, "__rc_owned", BATCH)
+    if 1 in batches:
         nobody = forms.join(first, F.col("participant_id") == F.col("__rc_person"), "left_anti")
-        mine = mine.unionByName(nobody.withColumn("__rc_owned", F.lit(True)))
-    return mine
+        mine = mine.unionByName(nobody.withColumn("__rc_owned", F.lit(True)).withColumn(BATCH, F.lit(1).cast("long")))
+    return mine if isinstance(batch, range) else mine.drop(BATCH)
 
 
-def report_from_extract(participants: DataFrame, forms: DataFrame, responses, batch: int | None = None,
+def report_from_extract(participants: DataFrame, forms: DataFrame, responses, batch: int | range | None = None,
                         providers=PROVIDER_ORDER, materialize_lookup: bool = True) -> Report:
     """The report of an extract, or of one batch of its participants and their form rows.
 
     Reports, counters and unresolved rows of all batches add up to those of the whole extract (``batch_forms``).
+    A range of batches is reported in as many jobs as one: every batch from its own form rows, with counters (where
+    it counts any) and unresolved rows by ``report_batch``.
     """
-    counted = None
+    counted = tag = None
     if batch is not None:
         forms, counted = batch_forms(participants, forms, batch), "__rc_owned"
+    if isinstance(batch, range):
+        tag = BATCH
+        participants = participants.filter(F.col("batch_number").between(batch.start, batch.stop - 1))
+    elif batch is not None:
         participants = select_batch(participants, batch)
-    resolved = resolve_addresses(forms, responses, providers, materialized=materialize_lookup, counted=counted)
-    return Report(participants, forms, resolved, join_addresses(participants, resolved.addresses))
+    resolved = resolve_addresses(forms, responses, providers, materialized=materialize_lookup, counted=counted, tag=tag)
+    report = join_addresses(participants, resolved.addresses, same=None if tag is None else ("batch_number", tag))
+    return Report(participants, forms, resolved, report)
 
 
 def build_report(tables: dict[str, DataFrame], responses, edition: str, first, last, as_of,
