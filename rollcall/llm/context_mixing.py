@@ -56,7 +56,7 @@ SLICE_BYTES = 4 << 20
 #: Distinct words of a task's counts that are held before they are handed on.
 WORDS_HELD = 300_000
 #: Bytes counted, scored and learned from at a time.
-COUNT_POSITIONS, SCORE_POSITIONS, LEARN_POSITIONS = 1 << 16, 1 << 15, 1 << 15
+COUNT_POSITIONS, SCORE_POSITIONS, LEARN_POSITIONS = 1 << 17, 1 << 17, 1 << 15
 END = "\n"
 
 _PAD = b"\n" * 8
@@ -147,25 +147,25 @@ class Stream:
     def __init__(self, code: Code, texts: list[bytes]):
         raw = np.frombuffer(b"".join([_PAD + t for t in texts]), np.uint8)
         sizes = np.array([len(t) for t in texts]) + len(_PAD)
-        owner = np.repeat(np.arange(len(texts)), sizes)
-        pads = np.zeros(len(raw), bool)
+        inside = np.ones(len(raw), bool)
         for k in range(len(_PAD)):
-            pads[np.cumsum(sizes) - sizes + k] = True
-        at = np.flatnonzero(~pads)
+            inside[np.cumsum(sizes) - sizes + k] = False
+        at = np.flatnonzero(inside)
         wide = raw.astype(np.uint32)
-        pairs = (wide[at - 1] << np.uint32(8) | wide[at]).astype(np.uint16)
-        lengths = code.length.take(pairs)
+        pairs = (wide[:-1] << np.uint32(8) | wide[1:]).astype(np.uint16).take(at - 1, mode="clip")
+        lengths = code.length.take(pairs, mode="clip")
         order = np.argsort(np.uint8(255) - lengths, kind="stable")
-        at = at[order]
-        self.pairs, self.owner = pairs[order], owner[at]
+        at = at.take(order, mode="clip")
+        self.pairs = pairs.take(order, mode="clip")
+        self.owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes).take(at, mode="clip")
         counts = np.bincount(lengths, minlength=256)
         self.active = len(at) - np.cumsum(counts)[:code.steps.shape[0]]      # symbols with more than d decisions
-        self.hashes, mixed = [wide[at - 1] << np.uint32(8)], wide
+        self.hashes, mixed = [(self.pairs & np.uint16(0xFF00)).astype(np.uint32)], wide
         for back in range(2, max(ORDERS) + 1):
             # mixed[i] is a hash of the `back` bytes up to i
             mixed = mixed[1:] * np.uint32(0x85EBCA6B) + (wide[:-back + 1] + np.uint32(1)) * np.uint32(pow(0x2C1B3C6D, back, 1 << 32))
             if back in ORDERS:
-                found = mixed[at - back]
+                found = mixed.take(at - back, mode="clip")
                 self.hashes.append(found ^ found >> np.uint32(15))
         self.hashes.append(self._words(raw, at))
         self.code = code
@@ -179,20 +179,28 @@ class Stream:
                 _POWERS[k] = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(2 * n, base, np.uint64))])
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _POWERS[0][:n])])
         gap = (raw == 32) | (raw == 10)
-        start = np.maximum.accumulate(np.where(gap, np.arange(1, n + 1), 0))[at - 1]
-        return ((sums[at] - sums[start]) * _POWERS[1][start] * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32)
+        start = np.maximum.accumulate(np.where(gap, np.arange(1, n + 1), 0)).take(at - 1, mode="clip")
+        return ((sums.take(at, mode="clip") - sums.take(start, mode="clip")) * _POWERS[1].take(start, mode="clip") * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32)
 
     def decisions(self):
-        """Per code depth: the depth, how many symbols take part, their bits, and the slot in each table."""
+        """Per code depth: the depth, how many symbols take part, their bits, and the slot in each table.
+
+        The slots are overwritten by the next depth.
+        """
+        most = int(self.active[0]) if len(self.active) else 0
+        places, mixed, salts = np.empty((PREDICTORS, most), np.intp), np.empty(most, np.uint32), np.empty(most, np.uint32)
         for d, n in enumerate(self.active):
             if not n:
                 return
-            step = self.code.steps[d].take(self.pairs[:n])
-            node = (step >> np.uint16(1)).astype(np.uint32)
-            salt = node * np.uint32(0x27D4EB2F)
-            slots = [(self.hashes[0][:n] | node).astype(np.intp)]
-            slots += [((h[:n] ^ salt) * _ODD >> np.uint32(32 - b)).astype(np.intp)
-                      for h, b in zip(self.hashes[1:], self.code.bits[1:], strict=True)]
+            step = self.code.steps[d].take(self.pairs[:n], mode="clip")
+            slots, own, salt = list(places[:, :n]), mixed[:n], salts[:n]
+            np.right_shift(step, np.uint16(1), out=own)
+            np.bitwise_or(self.hashes[0][:n], own, out=slots[0])
+            np.multiply(own, np.uint32(0x27D4EB2F), out=salt)
+            for h, bits, slot in zip(self.hashes[1:], self.code.bits[1:], slots[1:], strict=True):
+                np.bitwise_xor(h[:n], salt, out=own)
+                np.multiply(own, _ODD, out=own)
+                np.right_shift(own, np.uint32(32 - bits), out=slot)
             yield d, n, step & np.uint16(1), slots
 
 
@@ -226,9 +234,13 @@ def _unpack(packed: bytes, size: int = 2 * BLOCK) -> np.ndarray:
 
 def count_bits(tables: list[np.ndarray], stream: Stream) -> None:
     """Adds a run's zeros and ones per slot to the tables."""
+    one = np.int32(1)
     for _, _, bit, slots in stream.decisions():
+        bit = bit.astype(np.intp)
         for table, slot in zip(tables, slots, strict=True):
-            np.add.at(table, slot * 2 + bit, np.int32(1))
+            slot += slot
+            slot += bit
+            np.add.at(table, slot, one)
 
 
 _PARTIAL = "word binary, n long, block int, salt int, counts binary"
@@ -399,10 +411,11 @@ class Scorer:
         for a, b in runs(documents, SCORE_POSITIONS):
             stream = Stream(self.code, documents[a:b])
             cost = np.zeros(len(stream.pairs))
+            sums, given = np.empty((2, len(cost)), np.int16)
             for d, n, bit, slots in stream.decisions():
-                total = self.levels[0].take(slots[0], mode="clip")
+                total = self.levels[0].take(slots[0], out=sums[:n], mode="clip")
                 for level, slot in zip(self.levels[1:], slots[1:], strict=True):
-                    total += level.take(slot, mode="clip")
+                    total += level.take(slot, out=given[:n], mode="clip")
                 total += np.int16(PREDICTORS * _MOST)
                 total += total
                 total += bit.view(np.int16)

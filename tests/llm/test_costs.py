@@ -1,0 +1,42 @@
+"""What the operators hold, make or compare, where that is bounded."""
+
+import random
+import tracemalloc
+
+import numpy as np
+
+from rollcall.llm import context_mixing, order_minhash, retrieval_packing
+
+
+def test_members_of_a_large_class_are_compared_about_once(spark, monkeypatch):
+    draw = random.Random(3)
+    base = [f"w{draw.randrange(4000)}" for _ in range(60)]
+    texts = []
+    for i in range(60):
+        words = list(base)
+        for k in range(2):
+            words[draw.randrange(60)] = f"x{i}y{k}"
+        texts.append(" ".join(words))
+    made = []
+    init = order_minhash.Linker.__init__
+    monkeypatch.setattr(order_minhash.Linker, "__init__", lambda self, *a: made.append(self) or init(self, *a))
+    out = order_minhash.duplicate_digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r.class_id, r.class_size) for r in out} == {(0, 60)}
+    assert made[0].compared.count() <= 2 * len(texts)
+
+
+def test_an_index_holds_a_few_numbers_a_posting():
+    draw = np.random.default_rng(5)
+    documents = [draw.integers(0, 50_000, 400).astype(np.uint32) for _ in range(1500)]
+    tracemalloc.start()
+    retrieval_packing.Bm25Index(documents)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * sum(len(set(d.tolist())) for d in documents)
+
+
+def test_depths_share_the_arrays_of_slots():
+    texts = [context_mixing.normal("the quick brown fox jumps over the lazy dog " * 20)]
+    code = context_mixing.Code(np.bincount(np.arange(1 << 16) % 1009 * 7, minlength=1 << 16), (16, 16, 16, 16, 16))
+    bases = {slot.base.ctypes.data for _, _, _, slots in context_mixing.Stream(code, texts).decisions() for slot in slots}
+    assert len(bases) == 1
