@@ -10,8 +10,10 @@ resemblance of their k-mers; edits scattered word by word leave
 J = s^k / (2 - s^k) at a similarity s.  ``SCHEMES`` adds vectors of shorter
 k-mers for short texts, of which an edit takes a larger share of the k-mers.
 
-Members of a bucket are compared with its leader, first in some buckets, then
-in all; links are closed into classes, and buckets whose members are in one
+Members of a bucket are compared with its leader: every member with the leader
+that it meets most, then with the leaders that are in other classes, first in
+some buckets, then in all.  So the members of a large class are compared about
+once each.  Links are closed into classes, and buckets whose members are in one
 class are done.  The others are dealt again, led by the member with the most
 links, as long as that finds links.  What is left is compared pair by pair, so of texts that share a vector every two are compared or in one
 class.  Before two texts are compared, the parities of their words (a bit
@@ -433,8 +435,13 @@ def find_links(docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]
     members = materialize(bucket_members(sketched), "members")
     linker = Linker(docs, nodes, sketched.select("node", "n_words", "signature"))
     led = members.filter(F.col("leader") != F.col("node"))
-    linker.compare(led.filter(F.col("bucket").bitwiseAND(F.lit(1)) == 1))
-    linker.compare(linker.rooted(linker.rooted(led), "leader").filter(F.col("node_root") != F.col("leader_root")))
+    first = led.filter(F.col("bucket").bitwiseAND(F.lit(1)) == 1)
+    # one leader a member, that of most of its buckets; the other leaders only of members in other classes
+    most = F.min(F.struct((-F.col("n")).alias("m"), F.col("leader")))
+    linker.compare(first.groupBy("leader", "node").agg(F.count("*").alias("n")).groupBy("node").agg(most.alias("f"))
+                   .select("f.leader", "node"))
+    for some in (first, led):
+        linker.compare(linker.rooted(linker.rooted(some), "leader").filter(F.col("node_root") != F.col("leader_root")))
     left = linker.open_members(members)
     while count := left.count():
         # led by the member with the most links
