@@ -42,26 +42,34 @@ class Bm25Index:
     """Inverted index of one shard: for every term the documents that hold it and their BM25 weights."""
 
     def __init__(self, documents: list[np.ndarray]):
+        # arrays as long as the postings are few and narrow: several workers share an executor's memory
         lengths = np.array([len(d) for d in documents], float)
         found = [np.unique(d, return_counts=True) for d in documents]
         sizes = np.array([len(t) for t, _ in found])
+        ends = np.cumsum(sizes)
         terms = np.concatenate([t for t, _ in found])
-        counts = np.concatenate([c for _, c in found]).astype(float)
-        owner = np.repeat(np.arange(len(documents)), sizes)
+        counts = np.concatenate([c.astype(np.int32) for _, c in found])
+        del found
         self.size = len(documents)
-        self.vocabulary, column, frequency = np.unique(terms, return_inverse=True, return_counts=True)
-        idf = np.log1p((self.size - frequency + 0.5) / (frequency + 0.5))[column]
-        norm = K1 * (1 - B + B * lengths / lengths.mean())[owner]
-        weight = (idf * counts * (K1 + 1) / (counts + norm)).astype(np.float32)
-        # queries: the heaviest terms of each document, the postings in term order
-        heaviest = np.lexsort((column, -weight, owner))
-        first = np.cumsum(sizes) - sizes
-        rank = np.arange(len(owner)) - np.repeat(first, sizes)
-        chosen = heaviest[rank < QUERY_TERMS]
-        self.query_terms = column[chosen]
+        self.vocabulary, frequency = np.unique(terms, return_counts=True)
+        column = np.searchsorted(self.vocabulary, terms).astype(np.int32)
+        del terms
+        idf = np.log1p((self.size - frequency + 0.5) / (frequency + 0.5))
+        norms = K1 * (1 - B + B * lengths / lengths.mean())
+        # queries: the heaviest terms of each document, ties in term order
+        weight, queries = np.empty(len(column), np.float32), []
+        for start, end, norm in zip(ends - sizes, ends, norms, strict=True):
+            own, n = column[start:end], counts[start:end]
+            weight[start:end] = idf[own] * n * (K1 + 1) / (n + norm)
+            queries.append(own[np.argsort(-weight[start:end], kind="stable")[:QUERY_TERMS]])
+        del counts
+        self.query_terms = np.concatenate(queries)
         self.query_bounds = np.concatenate([[0], np.cumsum(np.minimum(sizes, QUERY_TERMS))])
+        # the postings in term order
         order = np.argsort(column, kind="stable")
-        self.owner, self.weight = owner[order], weight[order]
+        del column
+        self.weight = weight[order]
+        self.owner = np.repeat(np.arange(self.size, dtype=np.int32), sizes)[order]
         self.bounds = np.concatenate([[0], np.cumsum(frequency)])
 
     def neighbours(self, seed: int) -> np.ndarray:
@@ -147,7 +155,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         base = TaskContext.get().partitionId() << 40
         ids, texts, held = [], [], 0
         for batch in batches:
-            for doc_id, encoded in zip(batch.column("doc_id").to_pylist(), words.encode_all(batch.column("text")), strict=True):
+            for doc_id, encoded in zip(batch.column("doc_id").to_pylist(), words.encode_each(batch.column("text")), strict=True):
                 ids.append(doc_id)
                 texts.append(encoded + end)
                 held += len(encoded) // 4 + 1
@@ -156,6 +164,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                     base += len(out)      # at least as many as sequences
                     ids, texts, held = [], [], 0
                     yield out
+                    del out
+            pa.default_memory_pool().release_unused()
         if ids:
             yield _pack_shard(ids, texts, base)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

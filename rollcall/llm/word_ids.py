@@ -14,6 +14,7 @@ import os
 import re
 import sys
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ _CONTROL = re.compile("[\x1c-\x1f\x00]")   # white space to Python, symbols to t
 _UNEVEN = (r"[ \n][ \n]|^[ \n]|[ \n]$|"
            r"[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 #: Bytes of text that are cut at a time.
-_SLICE_BYTES = 8 << 20
+_SLICE_BYTES = 4 << 20
 #: Words below this character lower and compose alike everywhere, letter by letter.
 _PLAIN_BELOW = "\u0130"
 
@@ -106,15 +107,17 @@ class WordEncoder(dict):
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text of a string array; a null text has none."""
-        texts = texts.fill_null("")
-        out, start = [], 0
+        return list(self.encode_each(texts))
+
+    def encode_each(self, texts: pa.Array) -> Iterator[bytes]:
+        """``encode_all`` one text after the other; the texts of about ``_SLICE_BYTES`` are encoded ahead."""
+        texts, start = texts.fill_null(""), 0
         ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
         while start < len(texts):
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + _SLICE_BYTES)))
-            out += self._encode_slice(texts.slice(start, stop - start))
+            yield from self._encode_slice(texts.slice(start, stop - start))
             start = stop
-        return out
 
     def _encode_slice(self, texts: pa.Array) -> list[bytes]:
         uneven = pc.match_substring_regex(texts, self.uneven).to_numpy(zero_copy_only=False)
