@@ -2,9 +2,10 @@
 
 ``has_at_most`` counts, so each task sends one number; a side that is costly
 to compute is written first (``key_set``) and the written copy is counted.
-Sides above the bound are left to the planner (sort-merge join, turned into a
-broadcast at run time by AQE when the shuffled side proves small); an id set
-above it makes the restricted table shuffle on its key once.
+Sides above the bound are merge-joined: the planner, which looks at the bytes of
+files and shuffles, would still send the driver some of them, once for every join.
+An id set above it makes the restricted table shuffle on its key once.  So what a
+job sends to the driver does not grow with its tables beyond the bounds.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rollcall.session import materialize, run_concurrently
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 250_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -24,12 +25,12 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    return F.broadcast(df) if has_at_most(df, max_rows) else df.hint("merge")
 
 
-# An id set is one long per row: a bound of 2,000,000 keeps its broadcast hash
-# table (built on the driver, then sent to every executor) near 32 MB.
-ID_SET_ROWS = 2_000_000
+# An id set is one long per row, and filters a dozen tables of an extraction, each
+# with its own broadcast (collected by the driver, then sent to every executor).
+ID_SET_ROWS = 500_000
 _IDS = "__rc_ids"
 
 
@@ -49,7 +50,7 @@ def key_set(df: DataFrame, col: str, max_rows: int = ID_SET_ROWS) -> IdSet:
     """
     ids = materialize(df.select(F.col(col).alias(_IDS)).filter(F.col(_IDS).isNotNull()).distinct(), "ids")
     n, low, high = ids.agg(F.count("*"), F.min(_IDS), F.max(_IDS)).first()
-    return IdSet(F.broadcast(ids) if n <= max_rows else ids, low, high)
+    return IdSet(F.broadcast(ids) if n <= max_rows else ids.hint("merge"), low, high)
 
 
 def key_sets(df: DataFrame, *cols: str, max_rows: int = ID_SET_ROWS) -> list[IdSet]:
