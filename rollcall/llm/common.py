@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,10 +48,23 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
     return df.mapInArrow(run, schema)
 
 
+def text_slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``size`` bytes of ``text``; what a run left unused is given back."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size)))
+        yield batch.slice(start, stop - start)
+        start = stop
+        pa.default_memory_pool().release_unused()
+
+
 def with_fields(df: DataFrame, fields: str) -> StructType:
     """The schema of ``df`` and more fields (``StructType.add`` would change the DataFrame's own)."""
     return StructType([*df.schema.fields, *StructType.fromDDL(fields).fields])
 
 
 __all__ = ["BROADCAST_ROWS", "DOCUMENT_COLUMNS", "WORD_PATTERN", "broadcast_checked", "fold", "map_batches",
-           "materialize", "read_table", "with_fields"]
+           "materialize", "read_table",
+           "text_slices", "with_fields"]

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import fold, materialize
+from rollcall.llm.common import fold, materialize, text_slices
 
 HELD_OUT_FOLDS, HELD_OUT = 5, 1
 #: Of the training rows, one in so many (by hash) trains the mixing instead of the counts.
@@ -75,18 +75,6 @@ def normal(text: str | None) -> bytes:
     return b" ".join([*text.encode().lower().split(), END.encode()]) if text else END.encode()
 
 
-def slices(batch: pa.RecordBatch):
-    """The batch in runs of rows with about ``SLICE_BYTES`` of text."""
-    ends = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    start = 0
-    while start < batch.num_rows:
-        before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES)))
-        yield batch.slice(start, stop - start)
-        start = stop
-        pa.default_memory_pool().release_unused()
-
-
 def numbered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """For every word of a batch its number and its row, and the distinct words by number."""
     cut = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
@@ -260,7 +248,7 @@ def _partial_counts(training: DataFrame, code: Code) -> DataFrame:
     def run(batches):
         tables = [np.zeros(2 << b, np.int32) for b in code.bits]
         any_rows, ends, held = False, 0, []
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in text_slices(whole, SLICE_BYTES)):
             number, _, words = numbered_words(batch.column("text"))
             held.append(pa.table([words, np.bincount(number, minlength=len(words))], names=["word", "n"]))
             if sum(len(h) for h in held) > 2 * WORDS_HELD:
@@ -448,7 +436,7 @@ def _histogram(training: DataFrame) -> np.ndarray:
     def run(batches):
         counts = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for part in slices(batch):
+            for part in text_slices(batch, SLICE_BYTES):
                 # texts meet at two spaces, a pair that is not counted
                 raw = np.frombuffer("  ".join(["", *(t or "" for t in part.column("text").to_pylist()), ""]).encode().translate(_FOLDED),
                                     np.uint8).astype(np.uint16)
@@ -502,7 +490,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def run(batches):
         own, known = sent.value
         end = known.get(END.encode(), math.log10(0.5) - denominator)
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in text_slices(whole, SLICE_BYTES)):
             rows = batch.num_rows
             number, owner, words = numbered_words(batch.column("text"))
             log = np.array([known.get(w, math.nan) for w in words.to_pylist()])

@@ -24,12 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.llm.common import text_slices
 from rollcall.llm.word_ids import encoder
 
 WINDOW = 1024
 END_ID = 0
 #: Ids after which a shard is closed and packed (a longer document is a shard of its own).
 SHARD_IDS = 3_000_000
+#: Bytes of text encoded at a time: several workers share an executor's memory.
+SLICE_BYTES = 2 << 20
 #: Terms of a seed that are looked up, by their weight in the seed.
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
@@ -154,8 +157,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         words = encoder(tokenizer_path, lower=False)
         base = TaskContext.get().partitionId() << 40
         ids, texts, held = [], [], 0
-        for batch in batches:
-            for doc_id, encoded in zip(batch.column("doc_id").to_pylist(), words.encode_each(batch.column("text")), strict=True):
+        for part in (part for batch in batches for part in text_slices(batch, SLICE_BYTES)):
+            for doc_id, encoded in zip(part.column("doc_id").to_pylist(), words.encode_each(part.column("text")), strict=True):
                 ids.append(doc_id)
                 texts.append(encoded + end)
                 held += len(encoded) // 4 + 1
@@ -165,7 +168,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                     ids, texts, held = [], [], 0
                     yield out
                     del out
-            pa.default_memory_pool().release_unused()
+            del part      # before the next batch is read
         if ids:
             yield _pack_shard(ids, texts, base)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -5,13 +5,18 @@ may be cut there and each piece (white space and the word after it) encoded
 alone.  A text that holds the text of a special token is encoded whole, so that
 it becomes what the library's own ``encode(text, add_special_tokens=False)`` gives.  Arrow cuts a batch of texts and numbers its distinct pieces; their ids
 are kept per Python worker, and a missing piece is pre-tokenised and merged by
-the library's own parts.
+the library's own parts.  At byte level Arrow also parts the distinct pieces
+into a word and the marks after it, so a word is merged and kept once whatever
+follows it.
 """
 
 from __future__ import annotations
 
+import codecs
+import functools
 import os
 import re
+import string
 import sys
 from array import array
 from collections.abc import Iterator
@@ -31,6 +36,8 @@ _UNEVEN = (r"[ \n][ \n]|^[ \n]|[ \n]$|"
 _SLICE_BYTES = 4 << 20
 #: Words below this character lower and compose alike everywhere, letter by letter.
 _PLAIN_BELOW = "\u0130"
+#: Marks after a word that are parted from it, at most so many; longer runs stay in their piece.
+_MARKS, _MOST_MARKS = string.punctuation, 8
 
 
 class _Alphabet(dict):
@@ -43,6 +50,25 @@ class _Alphabet(dict):
         return spelt
 
 
+@functools.cache
+def _byte_spelling() -> str:
+    """The character of each byte in the alphabet of byte-level models; control bytes and the like follow in order from U+0100 on."""
+    from tokenizers.pre_tokenizers import ByteLevel
+    own, shifted = set(ByteLevel.alphabet()), map(chr, range(256, 512))
+    return "".join(chr(b) if chr(b) in own else next(shifted) for b in range(256))
+
+
+def _beyond_plain(words: pa.Array) -> np.ndarray:
+    """Which words hold a character from ``_PLAIN_BELOW`` on."""
+    _, offsets, data = words.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1]
+    raw = np.frombuffer(data, np.uint8)[:bounds[-1]] if data else np.zeros(0, np.uint8)
+    first, second = _PLAIN_BELOW.encode()
+    at = np.flatnonzero(raw >= first)
+    at = at[(raw[at] > first) | (raw[np.minimum(at + 1, len(raw) - 1)] >= second)]
+    return np.searchsorted(at, bounds[1:]) > np.searchsorted(at, bounds[:-1])
+
+
 def _little_endian(ids: list[int]) -> bytes:
     packed = array("I", ids)
     if sys.byteorder == "big":
@@ -111,7 +137,7 @@ class WordEncoder(dict):
 
     def encode_each(self, texts: pa.Array) -> Iterator[bytes]:
         """``encode_all`` one text after the other; the texts of about ``_SLICE_BYTES`` are encoded ahead."""
-        texts, start = texts.fill_null(""), 0
+        texts, start = texts.fill_null("") if texts.null_count else texts, 0
         ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
         while start < len(texts):
             before = ends[start - 1] if start else 0
@@ -119,6 +145,55 @@ class WordEncoder(dict):
             yield from self._encode_slice(texts.slice(start, stop - start))
             start = stop
 
+    def _merge_words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters, with the space before them if any, of a byte-level model."""
+        spelling, tokenize = _byte_spelling(), self.model.tokenize
+        spelt = codecs.charmap_decode("\n".join(words).encode(), "strict", spelling)[0].split(spelling[10])
+        for word, token in zip(words, spelt, strict=True):
+            ids = _little_endian([t.id for t in tokenize(token)])
+            if len(self) < CACHE_ENTRIES:
+                self[word] = ids
+            yield ids
+
+    def _known(self, pieces: pa.Array) -> pa.Array:
+        """Ids of distinct pieces of a byte-level model; a word is looked up once whatever marks follow it.
+
+        Marks of ASCII that end a piece are one pre-token, and so are the letters before them.
+        """
+        body = pc.utf8_rtrim(pieces, _MARKS)
+        new_line = pc.starts_with(body, "\n")
+        core = pc.if_else(new_line, pc.utf8_slice_codeunits(body, 1), body)
+        spaced = pc.starts_with(core, " ")
+        word = pc.if_else(spaced, pc.utf8_slice_codeunits(core, 1), core)
+        marks = pc.subtract(pc.binary_length(pieces), pc.binary_length(body))
+        is_word = pc.and_(pc.and_(pc.utf8_is_alpha(word), pa.array(~_beyond_plain(word))),
+                          pc.and_(pc.less_equal(marks, _MOST_MARKS), pc.invert(pc.and_(new_line, spaced))))
+        keys = pc.if_else(is_word, core, pieces).dictionary_encode()
+        words = np.zeros(len(keys.dictionary), bool)
+        words[keys.indices.to_numpy()[is_word.to_numpy(zero_copy_only=False)]] = True
+        listed = keys.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.get, listed))
+        missing = [i for i, found in enumerate(ids) if found is None]
+        letters = [i for i in missing if words[i]]
+        if letters:
+            for i, merged in zip(letters, self._merge_words([listed[i] for i in letters]), strict=True):
+                ids[i] = merged
+        for i in missing:
+            if not words[i]:
+                ids[i] = self[listed[i]] if listed[i] else b""
+        none = pa.scalar(b"", pa.binary())
+        start = pc.if_else(pc.and_(is_word, new_line), pa.scalar(self.merged(self.alphabet["\n"]), pa.binary()), none)
+        ends, number = [b""], np.zeros(len(pieces), np.int64)
+        marks = np.where(is_word.to_numpy(zero_copy_only=False), marks.to_numpy(), 0)
+        for n in range(1, _MOST_MARKS + 1):
+            at = np.flatnonzero(marks == n)
+            if len(at):
+                found = pc.utf8_slice_codeunits(pieces.take(pa.array(at)), -n, None).dictionary_encode()
+                number[at] = found.indices.to_numpy() + len(ends)
+                ends += [self.merged(m) for m in found.dictionary.to_pylist()]
+        end = pa.array(ends, pa.binary()).take(pa.array(number))
+        return pc.binary_join_element_wise(start, pa.array(ids, pa.binary()).take(keys.indices), end, none)
+
     def _encode_slice(self, texts: pa.Array) -> list[bytes]:
         uneven = pc.match_substring_regex(texts, self.uneven).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(uneven), "", texts)
@@ -128,7 +203,10 @@ class WordEncoder(dict):
             plain = pc.replace_substring(pc.replace_substring(plain, " ", "\0 "), "\n", "\0\n")
             cut = pc.split_pattern(plain, "\0")
         pieces = cut.flatten().dictionary_encode()
-        known = pa.array([self[p] if p else b"" for p in pieces.dictionary.to_pylist()], pa.binary())
+        if self.lower:
+            known = pa.array([self[p] if p else b"" for p in pieces.dictionary.to_pylist()], pa.binary())
+        else:
+            known = self._known(pieces.dictionary)
         ids = known.take(pieces.indices)
         starts = cut.offsets.to_numpy()
         bounds = np.frombuffer(ids.buffers()[1], np.int32)[starts - starts[0]]

@@ -3,8 +3,12 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import public_tokenizers as P
+from tokenizers import Tokenizer
 
-from rollcall.llm import context_mixing, retrieval_packing
+from rollcall.llm import context_mixing, retrieval_packing, word_ids
+from rollcall.llm.common import text_slices
 
 
 def test_an_index_holds_a_few_numbers_a_posting():
@@ -22,3 +26,21 @@ def test_depths_share_the_arrays_of_slots():
     code = context_mixing.Code(np.bincount(np.arange(1 << 16) % 1009 * 7, minlength=1 << 16), (16, 16, 16, 16, 16))
     bases = {slot.base.ctypes.data for _, _, _, slots in context_mixing.Stream(code, texts).decisions() for slot in slots}
     assert len(bases) == 1
+
+
+def test_a_word_is_kept_once_whatever_marks_follow():
+    path = P.path("byte_bpe_50k.json")
+    words, library = word_ids.WordEncoder(path, lower=False), Tokenizer.from_file(path)
+    texts = [f"Zwölfgang{m} quorvel{m}\nquorvel{m} straßig" for m in ("", ".", ",", "!!", "###", ");", "...", "'", ".,", "$" * 12)]
+    texts += [None, "", ".", "\n.", "a.\n,b", "it's 12. Ġ. İa. x\u0101.", "a  b.", "<|endoftext|>."]
+    found = words.encode_all(pa.array(texts, pa.string()))
+    assert found == [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    kept = [k for k in words if "quorvel" in k or "Zwölfgang" in k]
+    assert set(kept) <= {"Zwölfgang", " quorvel", "quorvel", "Zwölfgang" + "$" * 12, " quorvel" + "$" * 12, "\nquorvel" + "$" * 12}
+
+
+def test_texts_are_packed_a_small_slice_at_a_time():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array([None, "x" * 300_000] * 20)], names=["doc_id", "text"])
+    parts = list(text_slices(batch, retrieval_packing.SLICE_BYTES))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert max(sum(len(t or "") for t in p.column("text").to_pylist()) for p in parts) <= 2_500_000
