@@ -60,7 +60,7 @@ class Scheme(NamedTuple):
 SCHEMES = (Scheme(3, 96, 12, 0), Scheme(2, 48, 6, 72), Scheme(1, 48, 6, 24))
 #: Texts of at most so many words also meet by every two of their words in order.
 PAIR_WORDS = 3
-SIGNATURE_BITS = 512
+SIGNATURE_BITS = 2048
 #: Rounds of leaders go on while they find a link for every so many open places in buckets.
 LEAST_LINKED = 10
 #: Hash values of a text held at a time, unless one function has more.
@@ -392,7 +392,7 @@ class Linker:
         return n
 
     def _read_words(self, pairs: DataFrame) -> None:
-        wanted = pairs.select(F.explode(F.array("leader", "node")).alias("node")).distinct()
+        wanted = pairs.select(F.col("leader").alias("node")).distinct().unionByName(pairs.select("node").distinct()).distinct()
         if self.words is not None:
             wanted = wanted.join(self.words.select("node"), "node", "left_anti")
         wanted = materialize(wanted.join(self.nodes, "node").select("node", "key", "first_id"), "wanted")
@@ -427,6 +427,19 @@ def _degrees(links: DataFrame) -> DataFrame:
     return links.select(F.explode(F.array("leader", "node")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
 
 
+def _left_pairs(left: DataFrame, facts: DataFrame) -> DataFrame:
+    """``leader, node`` of the members of ``left`` that share a bucket, are of two classes and within reach, in the least bucket they share."""
+    # each node's facts meet its buckets in one row
+    own = left.groupBy("node").agg(F.min("node_root").alias("node_root"), F.collect_set("bucket").alias("buckets"))
+    own = own.join(facts, "node").withColumn("bucket", F.explode("buckets"))
+    members = materialize(own, "left-members")
+    a, b = (members.select("bucket", *[F.col(c).alias(f"{p}{c}") for c in ("node", "node_root", "n_words", "signature", "buckets")])
+            for p in ("a_", "b_"))
+    near = (F.col("a_node") < F.col("b_node")) & (F.col("a_node_root") != F.col("b_node_root")) & _within_reach("a_", "b_")
+    least = F.array_min(F.array_intersect("a_buckets", "b_buckets")) == F.col("bucket")
+    return a.join(b, "bucket").filter(near & least).select(F.col("a_node").alias("leader"), F.col("b_node").alias("node"))
+
+
 def find_links(docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Verified ``leader, node`` links between different texts, and ``node, root`` of the linked ones."""
     sketched = materialize(sketch_nodes(docs, nodes), "sketches")
@@ -447,13 +460,7 @@ def find_links(docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]
             break          # the classes that `left` knows are a few links old, which costs no more than their comparison
         left = linker.open_members(left)
     if count:
-        # each node's facts meet its buckets in one row
-        own = left.groupBy("node").agg(F.min("node_root").alias("node_root"), F.collect_set("bucket").alias("buckets"))
-        own = own.join(linker.facts, "node").withColumn("bucket", F.explode("buckets")).drop("buckets")
-        facts = materialize(own, "left-members")
-        a, b = (facts.select("bucket", *[F.col(c).alias(f"{p}{c}") for c in ("node", "node_root", "n_words", "signature")]) for p in ("a_", "b_"))
-        near = (F.col("a_node") < F.col("b_node")) & (F.col("a_node_root") != F.col("b_node_root")) & _within_reach("a_", "b_")
-        linker.compare(a.join(b, "bucket").filter(near).select(F.col("a_node").alias("leader"), F.col("b_node").alias("node")), checked=True)
+        linker.compare(_left_pairs(left, linker.facts), checked=True)
     return linker.links, linker.roots
 
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 import public_tokenizers as P
 from tokenizers import Tokenizer
 
-from rollcall.llm import context_mixing, retrieval_packing, word_ids
+from rollcall.llm import context_mixing, order_minhash, retrieval_packing, word_ids
 from rollcall.llm.common import text_slices
 
 
@@ -44,3 +44,18 @@ def test_texts_are_packed_a_small_slice_at_a_time():
     parts = list(text_slices(batch, retrieval_packing.SLICE_BYTES))
     assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
     assert max(sum(len(t or "") for t in p.column("text").to_pylist()) for p in parts) <= 2_500_000
+
+
+def test_unlike_long_texts_are_out_of_reach():
+    draw = np.random.default_rng(8)
+    a, b = (draw.integers(0, 1 << 63, 720).astype(np.uint64) for _ in range(2))
+    apart = int(np.bitwise_count((order_minhash.signature(a) ^ order_minhash.signature(b)).view(np.uint64)).sum())
+    assert apart > (1 - order_minhash.MIN_SIMILARITY) * (len(a) + len(b))
+
+
+def test_a_left_pair_is_made_once_whatever_buckets_it_shares(spark):
+    left = spark.createDataFrame([(b, n, n) for b in (-7, 1, 2, 3, 50) for n in (1, 2)], "bucket long, node long, node_root long")
+    facts = spark.createDataFrame([(n, 10, [0] * (order_minhash.SIGNATURE_BITS // 64)) for n in (1, 2)],
+                                  "node long, n_words long, signature array<long>")
+    pairs = order_minhash._left_pairs(left, facts).collect()
+    assert [tuple(p) for p in pairs] == [(1, 2)]
