@@ -8,6 +8,9 @@ into tables whose size follows the training bytes.  Their stretched probabilitie
 are chosen by each predictor's confidence and scaled by the decision's depth,
 and an adaptive probability map per depth refines the sum.
 
+A symbol and what the predictors see before it - six bytes and the word so far - make an event.  The
+equal events of a run of texts are brought together by sorting and counted, learned from or scored once.
+
 Training.  The counts are sums over all training rows but a hash fold of
 them (``MIX_FOLD``); on that fold, whose counts the tables have not seen, the
 weights are learned online in mini-batches, in each partition, and averaged by
@@ -28,7 +31,8 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +60,9 @@ SLICE_BYTES = 4 << 20
 #: Distinct words of a task's counts that are held before they are handed on.
 WORDS_HELD = 300_000
 #: Bytes counted, scored and learned from at a time.
-COUNT_POSITIONS, SCORE_POSITIONS, LEARN_POSITIONS = 1 << 17, 1 << 17, 1 << 15
+COUNT_POSITIONS, SCORE_POSITIONS, LEARN_POSITIONS = 1 << 19, 1 << 19, 1 << 15
+#: Distinct events of them that are taken through a depth of the code at a time when counting and scoring.
+SPAN = 1 << 17
 END = "\n"
 
 _PAD = b"\n" * 8
@@ -105,6 +111,8 @@ class Code:
         self.bits = bits or table_bits(int(histogram.sum()))
         paths = [path for row in histogram.reshape(256, 256) for path in self._paths(row)]
         self.length = np.array([len(p) for p in paths], np.uint8)
+        #: Place of each pair among all, longer codes first.
+        self.rank = np.argsort(np.argsort(np.uint8(255) - self.length, kind="stable")).astype(np.uint16)
         self.steps = np.zeros((int(self.length.max()), 1 << 16), np.uint16)
         for pair, path in enumerate(paths):
             self.steps[:len(path), pair] = path
@@ -130,66 +138,93 @@ class Code:
 
 
 class Stream:
-    """Symbols and context hashes of a run of documents, ordered so that longer codes come first."""
+    """The distinct events of a run of documents, ordered so that longer codes come first.
+
+    An event is a symbol with all that the predictors see of what is before it - six bytes and the word so far -, so
+    that one that occurs often in a run is counted, or costed, once.  ``weights`` tell how often each occurs.
+    """
 
-    def __init__(self, code: Code, texts: list[bytes]):
+    def __init__(self, code: Code, texts: list[bytes], predictors: range = range(PREDICTORS)):
         raw = np.frombuffer(b"".join([_PAD + t for t in texts]), np.uint8)
-        sizes = np.array([len(t) for t in texts]) + len(_PAD)
+        self._sizes = np.array([len(t) for t in texts], np.int64)
+        starts = np.cumsum(self._sizes + len(_PAD)) - self._sizes
         inside = np.ones(len(raw), bool)
         for k in range(len(_PAD)):
-            inside[np.cumsum(sizes) - sizes + k] = False
-        at = np.flatnonzero(inside)
-        wide = raw.astype(np.uint32)
-        pairs = (wide[:-1] << np.uint32(8) | wide[1:]).astype(np.uint16).take(at - 1, mode="clip")
-        lengths = code.length.take(pairs, mode="clip")
-        order = np.argsort(np.uint8(255) - lengths, kind="stable")
-        at = at.take(order, mode="clip")
-        self.pairs = pairs.take(order, mode="clip")
-        self.owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes).take(at, mode="clip")
-        counts = np.bincount(lengths, minlength=256)
-        self.active = len(at) - np.cumsum(counts)[:code.steps.shape[0]]      # symbols with more than d decisions
-        self.hashes, mixed = [(self.pairs & np.uint16(0xFF00)).astype(np.uint32)], wide
+            inside[starts - 1 - k] = False
+        # a number whose lowest byte is the symbol, the next six those before it
+        seen = np.ndarray(len(raw) - 7, ">u8", raw, strides=(1,))[inside[7:]].astype(np.uint64) & np.uint64((1 << 56) - 1)
+        word = self._words(raw)[:-1][inside]
+        # by code length, then pair, then a hash of the rest
+        key = ((seen ^ word * np.uint64(_WORD_BASE)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(np.uint16)
+        order = np.argsort(key, kind="stable")
+        ranks = code.rank.take(seen.astype(np.uint16), mode="clip").take(order, mode="clip")
+        order = order.take(np.argsort(ranks, kind="stable"), mode="clip")
+        seen, word = seen.take(order, mode="clip"), word.take(order, mode="clip")
+        new = np.ones(len(order), bool)
+        np.not_equal(seen[1:], seen[:-1], out=new[1:])
+        new[1:] |= word[1:] != word[:-1]
+        begin = np.flatnonzero(new)
+        seen, word = seen.take(begin, mode="clip"), word.take(begin, mode="clip")
+        self.code, self.predictors, self._order = code, predictors, order
+        self.pairs, self.weights = seen.astype(np.uint16), np.diff(begin, append=len(order))
+        counts = np.bincount(code.length.take(self.pairs, mode="clip"), minlength=256)
+        self.active = len(begin) - np.cumsum(counts)[:code.steps.shape[0]]      # events with more than d decisions
+        self.hashes = [(self.pairs & np.uint16(0xFF00)).astype(np.uint32)]
+        before = seen.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)
+        mixed = before[:, 1].astype(np.uint32)
         for back in range(2, max(ORDERS) + 1):
-            # mixed[i] is a hash of the `back` bytes up to i
-            mixed = mixed[1:] * np.uint32(0x85EBCA6B) + (wide[:-back + 1] + np.uint32(1)) * np.uint32(pow(0x2C1B3C6D, back, 1 << 32))
+            # a hash of the `back` bytes before the symbol
+            mixed = mixed * np.uint32(0x85EBCA6B) + (before[:, back] + np.uint32(1)) * np.uint32(pow(0x2C1B3C6D, back, 1 << 32))
             if back in ORDERS:
-                found = mixed.take(at - back, mode="clip")
-                self.hashes.append(found ^ found >> np.uint32(15))
-        self.hashes.append(self._words(raw, at))
-        self.code = code
+                self.hashes.append(mixed ^ mixed >> np.uint32(15))
+        self.hashes.append(word)
+
+    def by_document(self, each: np.ndarray) -> np.ndarray:
+        """The sum over each document of a number an event."""
+        out = np.empty(len(self._order))
+        out[self._order] = np.repeat(each, self.weights)
+        return np.add.reduceat(out, np.cumsum(self._sizes) - self._sizes)      # no document is without a symbol
+
+    def decisions(self, span: int | None = None):
+        """Per code depth, in spans: the depth, the events that take part, their bits, and the slot in each table.
+
+        The slots are made one by one, each in the place of the one before.
+        """
+        most = min(span or len(self.pairs), int(self.active[0]) if len(self.active) else 0)
+        place, mixed, salts = np.empty(most, np.intp), np.empty(most, np.uint32), np.empty(most, np.uint32)
+        for d, active in enumerate(self.active.tolist()):
+            for begin in range(0, active, span or max(1, active)):
+                part = slice(begin, min(active, begin + (span or active)))
+                step = self.code.steps[d].take(self.pairs[part], mode="clip")
+                n = len(step)
+                np.right_shift(step, np.uint16(1), out=mixed[:n])
+                np.multiply(mixed[:n], np.uint32(0x27D4EB2F), out=salts[:n])
+                yield d, part, step & np.uint16(1), self._slots(part, step, place[:n], mixed[:n], salts[:n])
+
+    def _slots(self, part: slice, step: np.ndarray, slot: np.ndarray, mixed: np.ndarray, salt: np.ndarray):
+        for c in self.predictors:
+            if c == 0:
+                np.bitwise_or(self.hashes[0][part], step >> np.uint16(1), out=slot)
+            else:
+                np.bitwise_xor(self.hashes[c][part], salt, out=mixed)
+                np.multiply(mixed, _ODD, out=mixed)
+                np.right_shift(mixed, np.uint32(32 - self.code.bits[c]), out=slot)
+            yield slot
 
     @staticmethod
-    def _words(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def _words(raw: np.ndarray) -> np.ndarray:
         """Hash of the word so far: a polynomial in its bytes, free of where the word starts."""
         n = len(raw)
         if len(_POWERS[0]) <= n:
             for k, base in enumerate((_WORD_BASE, pow(_WORD_BASE, -1, 1 << 64))):
                 _POWERS[k] = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(2 * n, base, np.uint64))])
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _POWERS[0][:n])])
-        gap = (raw == 32) | (raw == 10)
-        start = np.maximum.accumulate(np.where(gap, np.arange(1, n + 1), 0)).take(at - 1, mode="clip")
-        return ((sums.take(at, mode="clip") - sums.take(start, mode="clip")) * _POWERS[1].take(start, mode="clip") * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32)
-
-    def decisions(self):
-        """Per code depth: the depth, how many symbols take part, their bits, and the slot in each table.
-
-        The slots are overwritten by the next depth.
-        """
-        most = int(self.active[0]) if len(self.active) else 0
-        places, mixed, salts = np.empty((PREDICTORS, most), np.intp), np.empty(most, np.uint32), np.empty(most, np.uint32)
-        for d, n in enumerate(self.active):
-            if not n:
-                return
-            step = self.code.steps[d].take(self.pairs[:n], mode="clip")
-            slots, own, salt = list(places[:, :n]), mixed[:n], salts[:n]
-            np.right_shift(step, np.uint16(1), out=own)
-            np.bitwise_or(self.hashes[0][:n], own, out=slots[0])
-            np.multiply(own, np.uint32(0x27D4EB2F), out=salt)
-            for h, bits, slot in zip(self.hashes[1:], self.code.bits[1:], slots[1:], strict=True):
-                np.bitwise_xor(h[:n], salt, out=own)
-                np.multiply(own, _ODD, out=own)
-                np.right_shift(own, np.uint32(32 - bits), out=slot)
-            yield d, n, step & np.uint16(1), slots
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _POWERS[0][:n], out=sums[1:])
+        starts = np.concatenate([[0], np.flatnonzero((raw == 32) | (raw == 10)) + 1])
+        lengths = np.diff(starts, append=n + 1)      # a word starts after each gap
+        sums -= np.repeat(sums[starts], lengths)
+        sums *= np.repeat(_POWERS[1][starts] * np.uint64(0xD6E8FEB86659FD93), lengths)
+        return (sums >> np.uint64(32)).astype(np.uint32)
 
 
 def runs(texts: list[bytes], size: int):
@@ -222,13 +257,13 @@ def _unpack(packed: bytes, size: int = 2 * BLOCK) -> np.ndarray:
 
 def count_bits(tables: list[np.ndarray], stream: Stream) -> None:
     """Adds a run's zeros and ones per slot to the tables."""
-    one = np.int32(1)
-    for _, _, bit, slots in stream.decisions():
+    weights = stream.weights.astype(np.int32)
+    for _, part, bit, slots in stream.decisions(SPAN):
         bit = bit.astype(np.intp)
         for table, slot in zip(tables, slots, strict=True):
             slot += slot
             slot += bit
-            np.add.at(table, slot, one)
+            np.add.at(table, slot, weights[part])
 
 
 _PARTIAL = "word binary, n long, block int, salt int, counts binary"
@@ -341,7 +376,7 @@ class Model:
         """Weighted stretched probability by predictor and state."""
         return (np.repeat(self.weights, 256, axis=1) * _STRETCH).astype(np.float32)
 
-    def mix(self, slots: list[np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    def mix(self, slots: Iterable[np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """The weighted sum of the predictors, and their states."""
         states = [t.take(s, mode="clip") for t, s in zip(self.tables, slots, strict=True)]
         total = inputs[0].take(states[0], mode="clip")
@@ -354,8 +389,8 @@ class Model:
         return (np.clip(total * np.float32(scale * 16), -128, 128) + np.float32(128.5)).astype(np.int32)
 
     def frozen(self) -> Scorer:
-        """The fixed model: a slot holds what its predictor adds to the logit, a depth's table the cost of each sum."""
-        inputs = np.clip(np.rint(self.inputs() * _STEPS), -_MOST, _MOST).astype(np.int16)
+        """The fixed model: a slot holds what its predictor adds to the logit, doubled, a depth's table the cost of each sum."""
+        inputs = 2 * np.clip(np.rint(self.inputs() * _STEPS), -_MOST, _MOST).astype(np.int16)
         levels = [given.take(t, mode="clip") for given, t in zip(inputs, self.tables, strict=True)]
         sums = np.arange(-PREDICTORS * _MOST, PREDICTORS * _MOST + 1, dtype=np.float32) / np.float32(_STEPS)
         p = 0.5 * (self._centres() + np.clip(self.maps, 1e-6, 1 - 1e-6))
@@ -367,24 +402,28 @@ class Model:
         """Online steps over the documents; counts events per weight and scale in ``seen``, per map cell in ``hits``."""
         size = self.weights.size
         for a, b in runs(documents, LEARN_POSITIONS):
-            for d, _, bit, slots in Stream(self.code, documents[a:b]).decisions():
-                total, states = self.mix(slots, self.inputs())
-                cell = d * _MAP_CELLS + self.cells(total, self.scales[d])
-                hits[0] += np.bincount(cell, minlength=hits.shape[1])
-                hits[1] += np.bincount(cell, bit, hits.shape[1])
+            stream = Stream(self.code, documents[a:b])
+            for d, part, bit, slots in stream.decisions():
+                events, inputs = stream.weights[part].astype(np.float64), self.inputs()
+                total, states = self.mix(slots, inputs)
+                cell, own = self.cells(total, self.scales[d]), slice(d * _MAP_CELLS, (d + 1) * _MAP_CELLS)
+                hits[0, own] += np.bincount(cell, events, _MAP_CELLS)
+                hits[1, own] += np.bincount(cell, events * bit, _MAP_CELLS)
                 p = 1 / (1 + np.exp(-np.clip(total * self.scales[d], -8, 8)))
-                error, curvature = bit - p, p * (1 - p) + 1e-4
+                error, curvature = events * (bit - p), events * (p * (1 - p) + 1e-4)
+                x = _STRETCH * self.scales[d]
                 for c, state in enumerate(states):
-                    x = _STRETCH[state] * self.scales[d]
-                    self._step(self.weights[c], state >> 8, error * x, curvature * x * x, seen[c * CONFIDENCES:][:CONFIDENCES])
-                self._step(self.scales[d:d + 1], np.zeros(len(bit), np.int64), error * total, curvature * total * total,
-                           seen[size + d:][:1])
+                    state = state.astype(np.intp)
+                    sums = [np.bincount(state, events, len(x)), x * np.bincount(state, error, len(x)),
+                            x * x * np.bincount(state, curvature, len(x))]
+                    self._step(self.weights[c], *(s.reshape(CONFIDENCES, -1).sum(axis=1) for s in sums), seen[c * CONFIDENCES:][:CONFIDENCES])
+                self._step(self.scales[d:d + 1], events.sum(), (error * total).sum(), (curvature * total * total).sum(), seen[size + d:][:1])
 
     @staticmethod
-    def _step(values, index, gradient, curvature, seen) -> None:
-        seen += np.bincount(index, minlength=len(seen))
+    def _step(values, events, gradient, curvature, seen) -> None:
+        seen += events
         rate = 0.25 / (1 + seen / 100_000) ** 0.5
-        values += rate * np.bincount(index, gradient, len(seen)) / (np.bincount(index, curvature, len(seen)) + 20)
+        values += rate * gradient / (curvature + 20)
 
 
 class Scorer:
@@ -393,22 +432,30 @@ class Scorer:
     def __init__(self, code: Code, levels: list[np.ndarray], costs: list[np.ndarray]):
         self.code, self.levels, self.costs = code, levels, costs
 
+    def __setstate__(self, state: dict) -> None:
+        # arrays of numpy's own lie in large pages of memory, what a pickle holds does not
+        self.__dict__.update(state, levels=[level.copy() for level in state["levels"]])
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        """Per depth and pair what the first predictor adds, doubled, from the least sum on, and the bit."""
+        slots = (np.arange(1 << 16) & 0xFF00) | (self.code.steps >> np.uint16(1))
+        return self.levels[0].take(slots, mode="clip") + np.int16(2 * PREDICTORS * _MOST) + (self.code.steps & np.uint16(1)).astype(np.int16)
+
     def score(self, documents: list[bytes]) -> np.ndarray:
         """log10 probability of each document: a bit's is the mean of its cell's mixed and refined one."""
         out = np.zeros(len(documents))
+        sums, given = np.empty((2, SPAN), np.int16)
         for a, b in runs(documents, SCORE_POSITIONS):
-            stream = Stream(self.code, documents[a:b])
+            stream = Stream(self.code, documents[a:b], range(1, PREDICTORS))
             cost = np.zeros(len(stream.pairs))
-            sums, given = np.empty((2, len(cost)), np.int16)
-            for d, n, bit, slots in stream.decisions():
-                total = self.levels[0].take(slots[0], out=sums[:n], mode="clip")
-                for level, slot in zip(self.levels[1:], slots[1:], strict=True):
+            for d, part, bit, slots in stream.decisions(SPAN):
+                n = len(bit)
+                total = self.first[d].take(stream.pairs[part], out=sums[:n], mode="clip")
+                for level, slot in zip(self.levels[1:], slots, strict=True):
                     total += level.take(slot, out=given[:n], mode="clip")
-                total += np.int16(PREDICTORS * _MOST)
-                total += total
-                total += bit.view(np.int16)
-                cost[:n] += self.costs[d].take(total, mode="clip")
-            out[a:b] = np.bincount(stream.owner, cost, b - a)
+                cost[part] += self.costs[d].take(total, mode="clip")
+            out[a:b] = stream.by_document(cost)
         return out
 
 

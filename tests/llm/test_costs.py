@@ -28,6 +28,15 @@ def test_depths_share_the_arrays_of_slots():
     assert len(bases) == 1
 
 
+def test_an_event_that_repeats_is_costed_once():
+    texts = [context_mixing.normal("the quick brown fox jumps over the lazy dog " * 20)] * 3
+    code = context_mixing.Code(np.bincount(np.arange(1 << 16) % 1009 * 7, minlength=1 << 16), (16, 16, 16, 16, 16))
+    stream = context_mixing.Stream(code, texts)
+    assert len(stream.pairs) < 120 and stream.weights.sum() == sum(map(len, texts))
+    symbols = sum(len(bit) for d, _, bit, _ in stream.decisions() if d == 0)
+    assert symbols == len(stream.pairs)
+
+
 def test_a_word_is_kept_once_whatever_marks_follow():
     path = P.path("byte_bpe_50k.json")
     words, library = word_ids.WordEncoder(path, lower=False), Tokenizer.from_file(path)

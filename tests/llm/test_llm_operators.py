@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -383,6 +384,41 @@ def test_tables_grow_with_the_training_bytes():
     assert [s[-1] for s in sizes] == [16, 18, 22, 22] and all(len(s) == context_mixing.PREDICTORS for s in sizes)
 
 
+def test_repeated_events_count_and_score_like_single_ones():
+    # the same six bytes in words that began differently, empty texts, copies, and words at a text's start
+    texts = ["xabcdefgh yabcdefgh", "yabcdefghi", "", None, " a ", "a", "xabcdefgh", "ÄÖ äö\x00 ß", "the cat the cat the cat"] * 3
+    documents = [context_mixing.normal(t) for t in texts]
+    raw = np.frombuffer(b"".join(b"\n" + t for t in documents), np.uint8).astype(int)
+    code = context_mixing.Code(np.bincount(raw[:-1] * 256 + raw[1:], minlength=1 << 16), (16, 16, 16, 16, 16))
+    tables = [np.zeros(2 << b, np.int32) for b in code.bits]
+    context_mixing.count_bits(tables, context_mixing.Stream(code, documents))
+
+    # one symbol after the other, by the definition of the contexts
+    want = [np.zeros(2 << b, np.int32) for b in code.bits]
+    mask, longer = (1 << 32) - 1, lambda b: pow(0x2C1B3C6D, b, 1 << 32)
+    for text in documents:
+        padded = b"\n" * 8 + text
+        for i in range(8, len(padded)):
+            pair = padded[i - 1] << 8 | padded[i]
+            hashes, mixed = [], padded[i - 1]
+            for back in range(2, 7):
+                mixed = (mixed * 0x85EBCA6B + (padded[i - back] + 1) * longer(back)) & mask
+                hashes += [mixed ^ mixed >> 15] if back in context_mixing.ORDERS else []
+            word, h = padded[8:i].replace(b"\n", b" ").split(b" ")[-1], 0
+            for k, c in enumerate(word):
+                h += (c + 1) * pow(0x5851F42D4C957F2D, k, 1 << 64)
+            hashes.append((h * 0xD6E8FEB86659FD93 & (1 << 64) - 1) >> 32)
+            for step in code.steps[:code.length[pair], pair].tolist():
+                node, bit = step >> 1, step & 1
+                want[0][2 * (padded[i - 1] << 8 | node) + bit] += 1
+                for table, h in zip(want[1:], hashes, strict=True):
+                    table[2 * (((h ^ node * 0x27D4EB2F & mask) * 0x9E3779B1 & mask) >> 16) + bit] += 1
+    assert all((a == b).all() for a, b in zip(tables, want, strict=True))
+    scorer = context_mixing.Model(code, [context_mixing._states(t) for t in tables]).frozen()
+    together = pickle.loads(pickle.dumps(scorer)).score(documents)
+    assert together.tolist() == pytest.approx([scorer.score([t])[0] for t in documents], rel=1e-12)
+
+
 def test_model_sees_the_sixth_byte_back():
     documents = [b"a bcd x \n", b"q bcd y \n"] * 200
     raw = np.frombuffer(b"".join(documents), np.uint8).astype(int)
